@@ -11,6 +11,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episodica.contract import EPISODE, SPLITS, is_finite
 from episodica.functions.labels import name_number, normalize_split
@@ -139,8 +140,7 @@ def check_component_order(records: DataFrame, components: list[str], split="spli
     spans = records.groupBy(split, component).agg(F.min(order).alias("low"), F.max(order).alias("high"))
     spans = spans.withColumn("rank", rank)
     before = F.lag("high").over(Window.partitionBy(split).orderBy("rank"))
-    spans = spans.withColumn("before", before)
-    known = spans.where("rank > 0")
+    known = spans.where("rank > 0").withColumn("before", before)
     present = known.groupBy(split).agg(F.count(F.lit(1)).alias("n"))
     return all_of(
         violations(spans.where("rank = 0"), "unknown component", key_of(split, component), F.col("low")),
@@ -441,7 +441,7 @@ def schema_fingerprint(feature: Column, dtype: Column, shape: Column) -> Column:
     return F.concat(F.lit("sha256:"), F.sha2(text, 256))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def canonical_json(texts: pd.Series) -> pd.Series:
     """JSON text with sorted keys and no spaces; null when it is not finite JSON."""
 

@@ -13,6 +13,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from episodica.contract import EPISODE
 from episodica.operators.checks import set_difference
@@ -40,7 +41,7 @@ def scale_brightness_packed(pixels: Column, scale: float) -> Column:
         raise ValueError("scale must lie strictly between 0 and 1")
     table = np.clip(np.floor(np.arange(256) * scale + 0.5), 0, 255).astype(np.uint8).tobytes()
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf(T.BinaryType())
     def dim(frames: pd.Series) -> pd.Series:
         return frames.map(lambda b: None if b is None else bytes(b).translate(table))
 
@@ -57,13 +58,13 @@ def zero_frame_packed(pixels: Column) -> Column:
     return F.unhex(F.repeat(F.lit("00"), F.octet_length(pixels)))
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def pack_pixels(pixels: pd.Series) -> pd.Series:
     """uint8 array to packed bytes."""
     return pixels.map(lambda p: None if p is None else np.asarray(p, dtype=np.uint8).tobytes())
 
 
-@F.pandas_udf("array<int>")
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
 def unpack_pixels(frames: pd.Series) -> pd.Series:
     return frames.map(lambda b: None if b is None else np.frombuffer(b, dtype=np.uint8).astype(np.int32))
 
@@ -104,7 +105,7 @@ def range_mask_frames(
     ).drop("_m")
 
 
-@F.pandas_udf("binary")
+@F.pandas_udf(T.BinaryType())
 def _joined(parts: pd.Series) -> pd.Series:
     return parts.map(lambda p: b"".join(bytes(b) for b in p))
 
@@ -139,7 +140,7 @@ def _frames_of(payload, f, h, w, c) -> np.ndarray:
 
 
 def _layout_udf(change):
-    @F.pandas_udf("binary")
+    @F.pandas_udf(T.BinaryType())
     def run(payloads: pd.Series, fs: pd.Series, hs: pd.Series, ws: pd.Series, cs: pd.Series) -> pd.Series:
         rows = zip(payloads, fs, hs, ws, cs, strict=True)
         return pd.Series([np.ascontiguousarray(change(*row)).tobytes() for row in rows])

@@ -213,7 +213,8 @@ def split_session_grouped(
 ) -> DataFrame:
     """T4: whole sessions stay together; the best of many drawn assignments."""
     scores = session_trials(episodes, seed, trials, session, goal)
-    best = scores.agg(F.min_by("trial", F.struct("score", "trial")).alias("trial"))
+    # Rounded, so that the order of summation cannot decide between equal scores.
+    best = scores.agg(F.min_by("trial", F.struct(F.round("score", 12), "trial")).alias("trial"))
     numbers = _numbered_sessions(episodes, session)
     size = numbers.agg(F.count(F.lit(1)).alias("n"))
     chosen = numbers.withColumns({"_trial": best.scalar(), "_sessions": size.scalar()})

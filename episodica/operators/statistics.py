@@ -82,7 +82,10 @@ def command_state_gap(df, action="action", state="state", by=EPISODE, order=("fr
     same, ahead = _minus(act, now), _minus(act, after)
 
     def source(label, values, delta):
-        return F.struct(F.lit(label).alias("source"), values.alias("values"), delta.alias("deltas"))
+        # The first row of an episode has values but no deltas.
+        none = F.transform(values, lambda x: F.lit(None).cast("double"))
+        deltas = F.coalesce(delta, none).alias("deltas")
+        return F.struct(F.lit(label).alias("source"), values.alias("values"), deltas)
 
     sources = F.array(
         source("action", act, _minus(act, act_before)),
