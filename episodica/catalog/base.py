@@ -39,7 +39,7 @@ def split_sql(number: str) -> str:
 # --- events: one episode per user, one frame per event ------------------------------
 
 EVENTS = f"""
-ev AS (
+ev AS MATERIALIZED (
   SELECT 'events' AS dataset, {split_sql('user_id')} AS split, user_id AS episode_index,
     ts, event_id, event_type, value,
     CAST(regexp_extract(props, '"k": ([0-9]+)', 1) AS DOUBLE) AS k,
@@ -74,7 +74,7 @@ def event_frames(spark, d) -> DataFrame:
 
 
 EVENT_EPISODES = """
-ep AS (
+ep AS MATERIALIZED (
   SELECT dataset, split, episode_index, count(*) AS length,
     CASE WHEN episode_index % 3 = 0 THEN 'pick' WHEN episode_index % 3 = 1 THEN 'place' ELSE 'stack' END AS task
   FROM ev GROUP BY ALL)
@@ -91,7 +91,7 @@ def event_episodes(spark, d) -> DataFrame:
 # --- embeddings: 64-wide vectors, one episode per label -----------------------------
 
 VECTORS = f"""
-vec AS (
+vec AS MATERIALIZED (
   SELECT 'vectors' AS dataset, {split_sql('label')} AS split, CAST(label AS BIGINT) AS episode_index,
     row_number() OVER (PARTITION BY label ORDER BY vec_id) - 1 AS frame_index, vec_id,
     CAST(embedding AS DOUBLE[]) AS state, list_reverse(CAST(embedding AS DOUBLE[])) AS action
@@ -121,17 +121,17 @@ def vector_frames(spark, d) -> DataFrame:
 # --- conversations: three datasets with splits, one episode per conversation --------
 
 TURNS = """
-turns AS (
+turns AS MATERIALIZED (
   SELECT ['base','left','right'][CAST(conv_id % 3 AS INT) + 1] AS dataset, conv_id % 3 AS source_rank,
     CASE (conv_id // 3) % 5 WHEN 3 THEN 'validation' WHEN 4 THEN 'test' ELSE 'train' END AS split,
     conv_id, turn AS frame_index, role, text,
     CAST(length(text) AS DOUBLE) AS size
   FROM conversations),
-tasks AS (
+tasks AS MATERIALIZED (
   SELECT dataset, source_rank, split, role AS task,
     row_number() OVER (PARTITION BY dataset, split ORDER BY role) - 1 AS task_index
   FROM (SELECT DISTINCT dataset, source_rank, split, role FROM turns)),
-eps AS (
+eps AS MATERIALIZED (
   SELECT dataset, source_rank, split, conv_id, count(*) AS length,
     row_number() OVER (PARTITION BY dataset, split ORDER BY conv_id) - 1 AS episode_index
   FROM turns GROUP BY dataset, source_rank, split, conv_id),
@@ -188,7 +188,7 @@ def turn_frames(spark, d) -> DataFrame:
 # --- documents: one episode per document ---------------------------------------------
 
 DOCS = f"""
-docs AS (
+docs AS MATERIALIZED (
   SELECT source AS source_dataset, source AS source_session, lang AS goal, doc_id AS episode_index,
     printf('episode_%06d', doc_id) AS source_episode, source || '/' || printf('episode_%06d', doc_id) AS source_identity,
     n_chars AS frame_count, sha256(text) AS data_json_sha256, {split_sql('doc_id')} AS split, doc_id
@@ -218,14 +218,14 @@ def doc_episodes(spark, d) -> DataFrame:
 LAYOUT: Layout = [("left_arm", 0, 2), ("right_arm", 2, 4), ("left_hand", 4, 5), ("right_hand", 5, 7)]
 
 PAIRS = """
-pairs AS (
+pairs AS MATERIALIZED (
   SELECT l_orderkey AS episode_index, o_orderpriority AS task, o_orderstatus AS cohort,
     CASE l_returnflag WHEN 'N' THEN 'train' WHEN 'A' THEN 'validation' ELSE 'test' END AS part,
     l_linenumber - 1 AS joint_index, l_suppkey % 2 AS shuffle_repeat,
     row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate, l_extendedprice) - 1 AS frame_index,
-    l_extendedprice / 100000.0 AS expert,
-    l_quantity * p_retailprice / 100000.0 AS intact,
-    l_extendedprice * (1 - l_discount) * (1 + l_tax) / 100000.0 AS counterfactual
+    l_extendedprice / 99991.0 AS expert,
+    l_quantity * p_retailprice / 99991.0 AS intact,
+    l_extendedprice * (1 - l_discount) * (1 + l_tax) / 99991.0 AS counterfactual
   FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey)
 """
 
@@ -258,9 +258,9 @@ def pair_rows(spark, d) -> DataFrame:
         (F.col("l_linenumber") - 1).alias("joint_index"),
         F.pmod("l_suppkey", F.lit(2)).alias("shuffle_repeat"),
         "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
-        (F.col("l_extendedprice") / 100000.0).alias("expert"),
-        (F.col("l_quantity") * F.col("p_retailprice") / 100000.0).alias("intact"),
-        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 100000.0).alias("counterfactual"),
+        (F.col("l_extendedprice") / 99991.0).alias("expert"),
+        (F.col("l_quantity") * F.col("p_retailprice") / 99991.0).alias("intact"),
+        (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")) / 99991.0).alias("counterfactual"),
     )
 
 

@@ -77,7 +77,7 @@ def renumbered(spark, d):
     "U1_append_datasets",
     f"""{with_(TURNS)}, m AS (SELECT dataset, split, conv_id, role, size, frame_index, source_rank FROM turns),
         o AS (SELECT source_rank, split, conv_id, count(*) AS length,
-            row_number() OVER (ORDER BY source_rank, split, conv_id) - 1 AS episode_index FROM turns GROUP BY ALL),
+            row_number() OVER (ORDER BY source_rank, split, conv_id) - 1 AS episode_index FROM turns GROUP BY source_rank, split, conv_id),
         s AS (SELECT *, coalesce(sum(length) OVER (ORDER BY episode_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_index FROM o),
         t AS (SELECT role, row_number() OVER (ORDER BY min(source_rank * 1000 + r)) - 1 AS task_index FROM
           (SELECT source_rank, role, row_number() OVER (PARTITION BY source_rank ORDER BY role) AS r FROM (SELECT DISTINCT source_rank, role FROM turns)) GROUP BY role)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from episodica.functions.seeds import draw_below, seeded_digest
 from episodica.operators.ordered import row_numbers
 from episodica.operators.quantiles import exact_quantiles
+from episodica.shared import checkpointed
 
 INTERVAL = {"ci95_low": 0.025, "ci95_high": 0.975}
 
@@ -21,7 +22,9 @@ INTERVAL = {"ci95_low": 0.025, "ci95_high": 0.975}
 def _draws(clusters: DataFrame, keys, block, replicates: int, seed: int, values) -> DataFrame:
     """Drawn values: ``keys, replicate`` and ``values``, as many per replicate as clusters."""
     keys = list(keys)
-    # Null keys are groups too: one text key stands for all of them.
+    # One row per episode, read four times below. Null keys are groups too: one text
+    # key stands for all of them.
+    clusters = checkpointed(clusters)
     clusters = clusters.withColumn("_group", F.to_json(F.struct(*keys)) if keys else F.lit("{}"))
     numbered = row_numbers(clusters, ["_group"], ["episode_index"], block, "_number", start=0)
     sizes = clusters.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))

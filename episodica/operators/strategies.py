@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from episodica.operators.bootstrap import cluster_bootstrap_ci
 from episodica.operators.ordered import index_block
 from episodica.operators.quantiles import exact_quantiles, match
+from episodica.shared import checkpointed
 
 HOLD = "hold_pre_dropout"
 CONTINUE = "continue_previous_chunk"
@@ -101,20 +102,17 @@ PAIRED = ("checkpoint_step", "split", "event_id", "decision_offset", "noise_repe
 def join_hold_baseline(metrics: DataFrame, keys=PAIRED) -> DataFrame:
     """Every strategy row with the hold strategy's MSE on the same key.
 
-    The key names one window, so a window's strategies meet in a group of three; a
+    The key names one decision window, so a group holds its few strategies only; a
     second hold row on a key fails the task.
     """
-    keys = list(keys)
-    hold = metrics.where(F.col("strategy") == HOLD).groupBy(*keys).agg(
-        F.max("mse").alias("hold_mse"), F.count(F.lit(1)).alias("_holds")
+    window = Window.partitionBy(*keys)
+    is_hold = F.col("strategy") == HOLD
+    holds = F.count_if(is_hold).over(window)
+    hold = F.max(F.when(is_hold, F.col("mse"))).over(window)
+    single = F.when(holds <= 1, hold).otherwise(
+        F.raise_error(F.lit("several hold rows on one key")).cast("double")
     )
-    hold = hold.withColumn(
-        "hold_mse",
-        F.when(F.col("_holds") == 1, F.col("hold_mse")).otherwise(
-            F.raise_error(F.lit("several hold rows on one key")).cast("double")
-        ),
-    ).drop("_holds")
-    out = metrics.join(hold, keys, "left")
+    out = metrics.withColumn("hold_mse", single)
     return out.withColumn("mse_delta_vs_hold", F.col("mse") - F.col("hold_mse"))
 
 
@@ -129,7 +127,8 @@ def strategy_summary(
     window_scopes = F.array_compact(
         F.array(F.lit("all_windows"), F.when(F.col("window_all_stale"), F.lit("full_stale_window")))
     )
-    rows = join_hold_baseline(metrics).withColumn("window_scope", F.explode(window_scopes))
+    # Metric rows are small beside the frames they come from and are read many times.
+    rows = checkpointed(join_hold_baseline(metrics)).withColumn("window_scope", F.explode(window_scopes))
     n = F.sum("sample_count")
     win = F.when(F.col("mse") < F.col("hold_mse"), 1.0).otherwise(0.0)
     out = rows.groupBy(*keys).agg(
