@@ -64,36 +64,54 @@ def limb(*values):
     return F.struct(F.array(*values).alias("qpos"))
 
 
+RAW_FRAMES = 32
+RAW = f"""
+rawev AS MATERIALIZED (SELECT ev.*, episode_index * 1000000 + frame_index // {RAW_FRAMES} + 1 AS raw_number, frame_index % {RAW_FRAMES} AS raw_frame,
+    task FROM ev JOIN ep USING (dataset, split, episode_index)),
+rawep AS (SELECT raw_number, printf('episode_%04d', raw_number) AS episode, split, task, count(*) AS length FROM rawev GROUP BY ALL)"""
+
+
+def raw_events(spark, d):
+    """Events cut into raw episodes of at most ``RAW_FRAMES`` frames."""
+    frames = event_frames(spark, d).join(event_episodes(spark, d).select("episode_index", "task"), "episode_index")
+    number = F.col("episode_index") * 1000000 + F.expr(f"frame_index div {RAW_FRAMES}") + 1
+    return frames.withColumns(
+        {
+            "raw_number": number,
+            "episode": labels.numbered_name(number),
+            "raw_frame": F.col("frame_index") % RAW_FRAMES,
+        }
+    )
+
+
 def raw_folder(spark, d) -> str:
-    """One ``data.json`` per user: session/episode_NNNN, frames in event order."""
+    """One JSON document per raw episode, in folders session/episode."""
     path = scratch_path(spark, "raw")
-    frames = event_frames(spark, d)
     step = lambda x: limb(*[x + i for i in range(7)])
     parts = ("left_arm", "right_arm", "left_ee", "right_ee")
-    name = F.format_string("frame_%06d", "frame_index")
+    name = F.format_string("frame_%06d", "raw_frame")
     frame = F.struct(
-        F.col("frame_index").alias("idx"),
-        F.unix_micros("ts").cast("double").alias("timestamp_s"),
+        F.col("raw_frame").alias("idx"),
+        F.col("event_id").cast("double").alias("timestamp_s"),
         F.struct(F.concat(F.lit("colors/"), name).alias("color_0")).alias("colors"),
         F.struct(F.concat(F.lit("depths/"), name).alias("depth_0"), F.concat(F.lit("raw/"), name).alias("raw_depth_0")).alias("depths"),
         F.struct(*[step(F.col("k")).alias(p) for p in parts]).alias("states"),
         F.struct(*[step(F.col("value")).alias(p) for p in parts]).alias("actions"),
     )
-    rows = frames.groupBy("split", "episode_index").agg(F.array_sort(F.collect_list(frame)).alias("data"))
-    rows = rows.join(event_episodes(spark, d).select("episode_index", "task"), "episode_index")
+    # A group has at most RAW_FRAMES frames.
+    rows = raw_events(spark, d).groupBy("split", "task", "raw_number", "episode").agg(
+        F.array_sort(F.collect_list(frame)).alias("data")
+    )
     text = F.to_json(
         F.struct(
             F.struct(F.struct(F.lit(0.0010000000474974513).alias("scale_m_per_unit")).alias("depth")).alias("info"),
             F.struct(F.concat(F.lit(" "), F.col("task"), F.lit(" ")).alias("goal")).alias("text"),
-            F.struct(F.format_string("2024-01-01T00:%03d", "episode_index").alias("capture_start_utc")).alias("timing"),
+            F.struct(F.format_string("2024-01-01T%012d", "raw_number").alias("capture_start_utc")).alias("timing"),
             "data",
         )
     )
-    named = rows.select(
-        text.alias("value"), F.concat(F.lit("session_"), "split").alias("session"),
-        F.format_string("episode_%04d", F.col("episode_index") + 1).alias("episode"),
-    )
-    named.repartition("session", "episode").write.partitionBy("session", "episode").option("maxRecordsPerFile", 1).text(path)
+    named = rows.select(text.alias("value"), F.concat(F.lit("session_"), "split").alias("session"), "episode")
+    named.write.partitionBy("session", "episode").option("maxRecordsPerFile", 1).text(path)
     return path
 
 
@@ -110,8 +128,8 @@ def raw_episodes(spark, d):
 
 @query(
     "S4_scan_raw_episodes",
-    f"""{with_(EVENTS, EVENT_EPISODES)} SELECT printf('episode_%04d', episode_index + 1) AS episode, 'session_' || split AS source_session, task AS goal, length AS frame_count,
-        printf('2024-01-01T00:%03d', episode_index) AS capture_start_utc, 64 AS hash_length FROM ep""",
+    f"""{with_(EVENTS, EVENT_EPISODES, RAW)} SELECT episode, 'session_' || split AS source_session, task AS goal, length AS frame_count,
+        printf('2024-01-01T%012d', raw_number) AS capture_start_utc, 64 AS hash_length FROM rawep""",
     ints="frame_count hash_length",
 )
 def raw(spark, d):
@@ -122,10 +140,10 @@ def raw(spark, d):
 
 @query(
     "P11_raw_to_frames",
-    f"""{with_(EVENTS, EVENT_EPISODES)}, o AS (SELECT episode_index, task, row_number() OVER (ORDER BY episode_index) - 1 AS new_index,
-          coalesce(sum(length) OVER (ORDER BY episode_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_index FROM ep)
-        SELECT new_index AS episode_index, frame_index, first_index + frame_index AS "index", CASE task WHEN 'pick' THEN 0 WHEN 'place' THEN 1 ELSE 2 END AS task_index,
-          28 * k + 84 AS state, 28 * value + 84 AS action, 28 AS width FROM ev JOIN o USING (episode_index)""",
+    f"""{with_(EVENTS, EVENT_EPISODES, RAW)}, o AS (SELECT raw_number, row_number() OVER (ORDER BY raw_number) - 1 AS new_index,
+          coalesce(sum(length) OVER (ORDER BY raw_number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS first_index FROM rawep)
+        SELECT new_index AS episode_index, raw_frame AS frame_index, first_index + raw_frame AS "index", CASE task WHEN 'pick' THEN 0 WHEN 'place' THEN 1 ELSE 2 END AS task_index,
+          28 * k + 84 AS state, 28 * value + 84 AS action, 28 AS width FROM rawev JOIN o USING (raw_number)""",
     "state action", "episode_index frame_index index task_index width",
 )
 def converted(spark, d):
@@ -146,19 +164,20 @@ def converted(spark, d):
 
 @query(
     "V3_audit_raw_source",
-    f"""{with_(EVENTS, EVENT_EPISODES)} SELECT 'goal' AS "check", printf('episode_%04d', episode_index + 1) AS key, task AS detail FROM ep WHERE task <> 'pick'
-        UNION ALL SELECT 'missing file', printf('episode_%04d', episode_index + 1) || '/' || frame_index, printf('episode_%04d/raw/frame_%06d', episode_index + 1, frame_index)
-          FROM ev WHERE event_type = 'error'""",
+    f"""{with_(EVENTS, EVENT_EPISODES, RAW)} SELECT 'goal' AS "check", episode AS key, task AS detail FROM rawep WHERE task <> 'pick'
+        UNION ALL SELECT 'missing file', printf('episode_%04d', raw_number) || '/' || raw_frame, printf('episode_%04d/raw/frame_%06d', raw_number, raw_frame)
+          FROM rawev WHERE event_type = 'error'
+        UNION ALL SELECT 'timestamp', printf('episode_%04d', raw_number) || '/' || raw_frame, 'falls' FROM (
+          SELECT *, lag(event_id) OVER (PARTITION BY raw_number ORDER BY raw_frame) AS b FROM rawev) WHERE event_id < b""",
 )
 def audited(spark, d):
     """Every media file but the raw depths of error events is in the inventory."""
     episodes = raw_episodes(spark, d)
     frames = scans.raw_frames(episodes)
-    name = F.format_string("frame_%06d", "frame_index")
-    home = F.format_string("episode_%04d/", F.col("episode_index") + 1)
+    name = F.format_string("frame_%06d", "raw_frame")
     folder = F.array(F.lit("colors/"), F.lit("depths/"), F.when(F.col("event_type") != "error", F.lit("raw/")))
-    files = event_frames(spark, d).withColumn("folder", F.explode(F.array_compact(folder)))
-    inventory = files.select(F.concat(home, "folder", name).alias("path"))
+    files = raw_events(spark, d).withColumn("folder", F.explode(F.array_compact(folder)))
+    inventory = files.select(F.concat("episode", F.lit("/"), "folder", name).alias("path"))
     return checks.audit_raw_source(frames, episodes, inventory, "pick")
 
 

@@ -215,7 +215,8 @@ def discover_collection(inventory: DataFrame, excluded=()) -> tuple[DataFrame, D
     ).where("dataset is not null")
     names = inventory.sparkSession.createDataFrame([(n,) for n in excluded], "dataset string")
     kept = rows.join(names, "dataset", "left_anti")
-    nested = F.exists("below", lambda d: d.rlike(EPISODE_NAME))
+    # At any depth below an episode, directly below it included.
+    nested = F.col("episode").rlike(EPISODE_NAME) & F.exists("below", lambda d: d.rlike(EPISODE_NAME))
     found = kept.groupBy("dataset").agg(
         F.count_if(F.col("episode").rlike(EPISODE_NAME)).alias("files"),
         F.count_if(~F.col("episode").rlike(EPISODE_NAME)).alias("wrapped"),
