@@ -267,6 +267,11 @@ def pair_rows(spark, d) -> DataFrame:
 PAIR_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
 
 
+def plain_pairs(spark, d) -> DataFrame:
+    """Predictions without frame numbers."""
+    return pair_rows(spark, d).drop(*PAIR_ORDER)
+
+
 def pairs(spark, d) -> DataFrame:
     """Predictions with their frame number inside the order."""
     block = [F.col("l_linenumber"), index_block("l_partkey")]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.catalog.base import (
-    EVENT_EPISODES, EVENT_KEYS, EVENTS, GROUPED, PAIRS, event_episodes, event_frames, grouped, pairs, table, with_,
+    EVENT_EPISODES, EVENT_KEYS, EVENTS, GROUPED, PAIRS, event_episodes, event_frames, grouped, pairs, plain_pairs, table, with_,
 )
 from episodica.catalog.registry import query
 from episodica.functions import labels
@@ -34,7 +34,7 @@ long AS (SELECT * EXCLUDE (intact, counterfactual), 'intact' AS condition, intac
     METRIC_DOUBLES, "sample_count",
 )
 def metrics(spark, d):
-    return errors.error_metrics(pairs(spark, d), ["task"], "intact")
+    return errors.error_metrics(plain_pairs(spark, d), ["task"], "intact")
 
 
 @query(
@@ -45,7 +45,7 @@ def metrics(spark, d):
     "sum_absolute_prediction_change mean_absolute_prediction_change max_absolute_prediction_change",
 )
 def change(spark, d):
-    return errors.prediction_change(pairs(spark, d), ["cohort"])
+    return errors.prediction_change(plain_pairs(spark, d), ["cohort"])
 
 
 @query(
@@ -54,7 +54,7 @@ def change(spark, d):
     METRIC_DOUBLES, "episode_index sample_count",
 )
 def per_condition(spark, d):
-    return errors.episode_condition_metrics(pairs(spark, d), ["episode_index"])
+    return errors.episode_condition_metrics(plain_pairs(spark, d), ["episode_index"])
 
 
 EFFECTS = PAIRS + "," + GROUPED + """,
@@ -77,7 +77,7 @@ EFFECT_KEYS = ["shuffle_repeat", "episode_index", "task", "cohort", "group"]
 
 
 def effects(spark, d):
-    return errors.episode_pairs(grouped(pairs(spark, d)), EFFECT_KEYS)
+    return errors.episode_pairs(grouped(plain_pairs(spark, d)), EFFECT_KEYS)
 
 
 @query(
@@ -95,9 +95,10 @@ scoped AS (SELECT *, 'all_tasks' AS scope, 'all' AS scope_value FROM {0} UNION A
 
 @query(
     "A11_condition_summary",
-    f"""{with_(PAIRS, GROUPED)}{LONG.format('grouped')}{SCOPED.format('long')} SELECT scope, scope_value, condition, "group",
-        count(DISTINCT episode_index) AS episodes, count(DISTINCT (episode_index, frame_index)) AS frames, {METRIC.format(e='e')}
-        FROM scoped GROUP BY scope, scope_value, condition, "group" """,
+    f"""{with_(PAIRS, GROUPED)}{LONG.format('grouped')}{SCOPED.format('long')}, seen AS (SELECT scope, scope_value,
+          count(DISTINCT episode_index) AS episodes, count(DISTINCT (episode_index, frame_index)) AS frames FROM scoped WHERE "group" = 'all' GROUP BY ALL)
+        SELECT scope, scope_value, condition, "group", any_value(episodes) AS episodes, any_value(frames) AS frames, {METRIC.format(e='e')}
+        FROM scoped JOIN seen USING (scope, scope_value) GROUP BY scope, scope_value, condition, "group" """,
     METRIC_DOUBLES, "sample_count episodes frames",
 )
 def conditions(spark, d):
@@ -125,7 +126,7 @@ def horizons(spark, d):
     " ".join(n for n in EFFECT_DOUBLES.split() if "_error" not in n), "joint_index sample_count",
 )
 def joints(spark, d):
-    return errors.joint_summary(pairs(spark, d))
+    return errors.joint_summary(plain_pairs(spark, d))
 
 
 @query(
@@ -185,7 +186,7 @@ def chunks(spark, d):
     "pooled_mae equal_episode_mae equal_task_mae", "episodes tasks",
 )
 def weighted(spark, d):
-    return errors.weighted_errors(grouped(pairs(spark, d)), prediction="intact")
+    return errors.weighted_errors(grouped(plain_pairs(spark, d)), prediction="intact")
 
 
 @query(
@@ -194,7 +195,7 @@ def weighted(spark, d):
     "mae", "samples",
 )
 def by_task(spark, d):
-    return errors.task_errors(grouped(pairs(spark, d)), prediction="intact")
+    return errors.task_errors(grouped(plain_pairs(spark, d)), prediction="intact")
 
 
 @query(
@@ -205,7 +206,7 @@ def by_task(spark, d):
     ints="wins episodes",
 )
 def wins(spark, d):
-    rows = errors.long_conditions(pairs(spark, d)).withColumnRenamed("condition", "model")
+    rows = errors.long_conditions(plain_pairs(spark, d)).withColumnRenamed("condition", "model")
     mae = rows.groupBy("model", "task", "episode_index").agg(
         F.round(F.avg(F.abs(F.col("prediction") - F.col("expert"))), 9).alias("mae")
     )
@@ -234,7 +235,7 @@ def motion(spark, d):
     METRIC_DOUBLES, "sample_count",
 )
 def normalized(spark, d):
-    rows = pairs(spark, d)
+    rows = plain_pairs(spark, d)
     stats = rows.where("part = 'train'").groupBy("joint_index").agg(
         F.avg("expert").alias("offset"), F.stddev_pop("expert").alias("scale")
     )
@@ -256,7 +257,7 @@ REPLICATES = 50
     "ci95_low ci95_high",
 )
 def stratified(spark, d):
-    rows = pairs(spark, d)
+    rows = plain_pairs(spark, d)
     effect = F.abs(F.col("counterfactual") - F.col("expert")) - F.abs(F.col("intact") - F.col("expert"))
     return bootstrap.stratified_bootstrap_ci(
         rows.withColumn("v", effect), "v", index_block("episode_index"), REPLICATES, SEED
@@ -274,7 +275,7 @@ def stratified(spark, d):
     "ci95_low ci95_high",
 )
 def cluster(spark, d):
-    rows = pairs(spark, d).withColumn("v", F.col("intact") - F.col("expert"))
+    rows = plain_pairs(spark, d).withColumn("v", F.col("intact") - F.col("expert"))
     return bootstrap.cluster_bootstrap_ci(rows, "v", index_block("episode_index"), REPLICATES, SEED, ["cohort"])
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from episodica.operators.ordered import index_block
 from episodica.operators.quantiles import exact_quantiles, match
 from episodica.operators.statistics import frame_delta
+from episodica.shared import checkpointed
 
 PAIR = ["intact", "counterfactual"]
 
@@ -148,18 +149,19 @@ def condition_summary(pairs: DataFrame, keys=(), episode=("episode_index",), fra
             F.max("max_absolute_error").alias("max_absolute_error"),
         )
     )
-    tally = rows.groupBy(*fine, F.abs(error).alias("_size")).agg(F.count(F.lit(1)).alias("_n"))
-    tally = tally.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
-    typical = exact_quantiles(tally, scoped, "_size", TYPICAL, weight="_n")
-    # A frame counts once per episode: distinct frames, then distinct episodes.
-    seen = rows.groupBy(*fine, *episode, *frame).agg(F.lit(1).alias("_f"))
-    seen = seen.groupBy(*fine, *episode).agg(F.count(F.lit(1)).alias("_f"))
+    sizes = rows.select(*fine, F.abs(error).alias("_size"))
+    typical = exact_quantiles(sizes, scoped, "_size", TYPICAL, fan_out=scopes())
+    # Episodes and frames belong to the scope alone: distinct frames of group "all",
+    # counted per episode, then episodes.
+    whole = [*keys, "task", "cohort"]
+    seen = pairs.where(F.col("group") == "all").groupBy(*whole, *episode, *frame).agg(F.lit(1).alias("_f"))
+    seen = seen.groupBy(*whole, *episode).agg(F.count(F.lit(1)).alias("_f"))
     seen = seen.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
-    seen = seen.groupBy(*scoped, *episode).agg(F.sum("_f").alias("_f"))
-    seen = seen.groupBy(*scoped).agg(
+    seen = seen.groupBy(*keys, "scope", "scope_value", *episode).agg(F.sum("_f").alias("_f"))
+    seen = seen.groupBy(*keys, "scope", "scope_value").agg(
         F.count(F.lit(1)).alias("episodes"), F.sum("_f").cast("long").alias("frames")
     )
-    return match(match(totals, typical, scoped), seen, scoped)
+    return match(match(totals, typical, scoped), seen, [*keys, "scope", "scope_value"])
 
 
 def horizon_summary(pairs: DataFrame, keys=()) -> DataFrame:
@@ -182,6 +184,8 @@ def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
     Repeats are averaged per episode, episodes per task, tasks per scope.
     """
     scoped = [*keys, "scope", "scope_value", "group"]
+    # One row per episode and group, far fewer than predictions, and read four times.
+    effects = checkpointed(effects)
     spread = effects.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
     per_episode = spread.groupBy(*scoped, "task", "episode_index").agg(
         F.avg("delta_mae_counterfactual_minus_intact").alias("delta_mae"),

@@ -7,7 +7,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CELLS = 4096  # cells per power of two
+from episodica.shared import checkpointed
+
+CELLS = 2048  # cells per power of two
+BROADCAST_ROWS = 200_000  # cells that are sent to every task; more are joined by shuffle
 
 
 def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
@@ -30,26 +33,41 @@ def _cell(value: Column) -> Column:
 
 
 def exact_quantiles(
-    df: DataFrame, by, value: str, probabilities: dict[str, float], weight: str | None = None
+    df: DataFrame,
+    by,
+    value: str,
+    probabilities: dict[str, float],
+    weight: str | None = None,
+    fan_out: Column | None = None,
 ) -> DataFrame:
     """One row per group with the linear-interpolated quantiles of finite ``value``.
 
-    1. equal values are counted together (combined before the shuffle, so a value
-       that fills a third of the rows costs one row per task);
-    2. counts per histogram cell locate the cells that hold the wanted ranks;
-    3. only those cells are ordered by value and read off.
+    1. values are counted per histogram cell, combined before the shuffle: what is
+       moved is bounded by groups x cells, whatever the number of rows;
+    2. the counts locate the cells that hold the wanted ranks (checkpointed, at most
+       two cells per group and quantile);
+    3. only rows in those cells are counted per value, ordered and read off. A value
+       that fills a third of the rows is one row per task there.
+
+    ``fan_out`` is an array of structs that adds ``by`` columns, such as several
+    scopes for one row. Counts, not rows, are fanned out in the first step.
     """
     by = list(by)
-    count = F.sum(weight) if weight else F.count(F.lit(1))
-    tally = (
-        df.groupBy(*by, F.col(value).cast("double").alias("_v"))
-        .agg(count.alias("_n"))
-        .where(F.col("_v").isNotNull())
-        .withColumn("_cell", _cell(F.col("_v")))
-    )
+    fine = by if fan_out is None else [c for c in df.columns if c not in (value, weight)]
+    number = F.col(weight) if weight else F.lit(1).cast("long")
+    rows = df.select(*fine, F.col(value).cast("double").alias("_v"), number.alias("_n"))
+    rows = rows.where(F.col("_v").isNotNull()).withColumn("_cell", _cell(F.col("_v")))
+
+    def fanned(part: DataFrame) -> DataFrame:
+        if fan_out is None:
+            return part
+        return part.withColumn("_s", F.explode(fan_out)).select("*", "_s.*").drop("_s")
+
+    cells = rows.groupBy(*fine, "_cell").agg(F.sum("_n").alias("_m"))
+    if fan_out is not None:
+        cells = fanned(cells).groupBy(*by, "_cell").agg(F.sum("_m").alias("_m"))
     before = Window.unboundedPreceding, -1
     group = Window.partitionBy(*by)
-    cells = tally.groupBy(*by, "_cell").agg(F.sum("_n").alias("_m"))
     cells = cells.withColumns(
         {
             "_from": F.coalesce(
@@ -68,9 +86,11 @@ def exact_quantiles(
 
     wanted = [r for p in probabilities.values() for r in ranks(p)[1:]]
     hit = reduce(lambda a, b: a | b, [holds(r, "_m") for r in wanted])
-    chosen = match(
-        tally, cells.where(hit).select(*by, "_cell", "_from", "_all"), [*by, "_cell"]
-    )
+    hits = checkpointed(cells.where(hit).select(*by, "_cell", "_from", "_all"))
+    if hits.count() <= BROADCAST_ROWS:
+        hits = F.broadcast(hits)
+    chosen = match(fanned(rows).select(*by, "_v", "_n", "_cell"), hits, [*by, "_cell"])
+    chosen = chosen.groupBy(*by, "_cell", "_from", "_all", "_v").agg(F.sum("_n").alias("_n"))
     order = Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(*before)
     chosen = chosen.withColumn(
         "_from", F.col("_from") + F.coalesce(F.sum("_n").over(order), F.lit(0))

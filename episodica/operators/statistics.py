@@ -97,14 +97,30 @@ def command_state_gap(df, action="action", state="state", by=EPISODE, order=("fr
     return rows.where(F.col("values").isNotNull())
 
 
-def joint_statistics(df, by, value="value") -> DataFrame:
-    """A1: counts, extremes, exact percentiles, mean, population std and the same of |x|.
-
-    Non-finite samples are counted and left out.
-    """
+def _quantiles_of(df: DataFrame, by, samples: dict[str, Column], wanted: dict[str, dict[str, float]]):
+    """Quantiles of several expressions of a row in one pass; nulls are left out."""
     by = list(by)
-    x = F.when(is_finite(F.col(value)), F.col(value))
-    basic = df.groupBy(*by).agg(
+    kinds = F.array(*[F.struct(F.lit(k).alias("_kind"), c.alias("_x")) for k, c in samples.items()])
+    rows = df.select(*by, F.explode(kinds).alias("_k")).select(*by, "_k.*")
+    levels = sorted({p for names in wanted.values() for p in names.values()})
+    column = {p: f"_q{i}" for i, p in enumerate(levels)}
+    found = exact_quantiles(rows, [*by, "_kind"], "_x", {column[p]: p for p in levels})
+    return found.groupBy(*by).agg(
+        *[
+            F.max(F.when(F.col("_kind") == kind, F.col(column[p]))).alias(name)
+            for kind, names in wanted.items()
+            for name, p in names.items()
+        ]
+    )
+
+
+def _finite(name: str) -> Column:
+    return F.when(is_finite(F.col(name)), F.col(name))
+
+
+def _value_aggregates(value: str) -> list[Column]:
+    x = _finite(value)
+    return [
         F.count(value).alias("sample_count"),
         F.count(x).alias("finite_count"),
         (F.count(value) - F.count(x)).alias("nonfinite_count"),
@@ -114,32 +130,26 @@ def joint_statistics(df, by, value="value") -> DataFrame:
         F.stddev_pop(x).alias("std"),
         F.avg(F.abs(x)).alias("abs_mean"),
         F.max(F.abs(x)).alias("abs_max"),
-    )
-    finite = df.where(is_finite(F.col(value))).select(*by, F.col(value).alias("_x"))
-    plain = exact_quantiles(finite, by, "_x", PERCENTILES)
-    sizes = exact_quantiles(
-        finite.withColumn("_x", F.abs("_x")), by, "_x", {f"abs_{k}": p for k, p in TAILS.items()}
-    )
-    return match(match(basic, plain, by, "left"), sizes, by, "left")
+    ]
 
 
-def delta_statistics(df, by, delta="delta", fps: float | None = None) -> DataFrame:
-    """A2: statistics of |delta|, and of the speed |delta| x fps."""
-    by = list(by)
-    x = F.when(is_finite(F.col(delta)), F.abs(F.col(delta)))
-    basic = df.groupBy(*by).agg(
+def _delta_aggregates(delta: str) -> list[Column]:
+    x = F.abs(_finite(delta))
+    return [
         F.count(delta).alias("delta_sample_count"),
         F.count(x).alias("delta_finite_count"),
         (F.count(delta) - F.count(x)).alias("delta_nonfinite_count"),
         F.avg(x).alias("abs_delta_mean"),
         F.max(x).alias("abs_delta_max"),
-    )
-    finite = df.where(is_finite(F.col(delta))).select(*by, F.abs(F.col(delta)).alias("_x"))
-    tails = exact_quantiles(finite, by, "_x", {f"abs_delta_{k}": p for k, p in TAILS.items()})
-    out = match(basic, tails, by, "left")
-    if fps is None:
-        return out
-    return out.withColumns(
+    ]
+
+
+VALUE_QUANTILES = {"value": PERCENTILES, "abs": {f"abs_{k}": p for k, p in TAILS.items()}}
+DELTA_QUANTILES = {"delta": {f"abs_delta_{k}": p for k, p in TAILS.items()}}
+
+
+def _speeds(df: DataFrame, fps: float) -> DataFrame:
+    return df.withColumns(
         {
             f"abs_velocity_{k}_rad_s": F.col(f"abs_delta_{k}") * F.lit(float(fps))
             for k in ("mean", "p95", "p99", "max")
@@ -147,6 +157,34 @@ def delta_statistics(df, by, delta="delta", fps: float | None = None) -> DataFra
     )
 
 
+def joint_statistics(df, by, value="value") -> DataFrame:
+    """A1: counts, extremes, exact percentiles, mean, population std and the same of |x|.
+
+    Non-finite samples are counted and left out.
+    """
+    samples = {"value": _finite(value), "abs": F.abs(_finite(value))}
+    basic = df.groupBy(*by).agg(*_value_aggregates(value))
+    return match(basic, _quantiles_of(df, by, samples, VALUE_QUANTILES), by, "left")
+
+
+def delta_statistics(df, by, delta="delta", fps: float | None = None) -> DataFrame:
+    """A2: statistics of |delta|, and of the speed |delta| x fps."""
+    basic = df.groupBy(*by).agg(*_delta_aggregates(delta))
+    tails = _quantiles_of(df, by, {"delta": F.abs(_finite(delta))}, DELTA_QUANTILES)
+    out = match(basic, tails, by, "left")
+    return out if fps is None else _speeds(out, fps)
+
+
+def motion_statistics(df, by, fps: float, value="value", delta="delta") -> DataFrame:
+    """A1 and A2 of the same rows together, in the passes of one."""
+    samples = {
+        "value": _finite(value), "abs": F.abs(_finite(value)), "delta": F.abs(_finite(delta)),
+    }
+    basic = df.groupBy(*by).agg(*_value_aggregates(value), *_delta_aggregates(delta))
+    found = _quantiles_of(df, by, samples, VALUE_QUANTILES | DELTA_QUANTILES)
+    return _speeds(match(basic, found, by, "left"), fps)
+
+
 def episode_stats(df, value="value", by=(*EPISODE, "feature", "dim")) -> DataFrame:
     """A4: min, max, mean, std, count and five quantiles per episode and feature."""
     by = list(by)

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.contract import EPISODE
-from episodica.operators.quantiles import match
-from episodica.operators.statistics import command_state_gap, delta_statistics, joint_statistics
+from episodica.operators.statistics import command_state_gap, motion_statistics
 
 
 def joint_report(
@@ -29,5 +28,4 @@ def joint_report(
         F.col("z.values").alias("value"), F.col("z.deltas").alias("delta"),
     )
     keys = ["source", "joint_index", "joint_name"]
-    out = match(joint_statistics(long, keys), delta_statistics(long, keys, "delta", fps), keys, "left")
-    return out.withColumn("sample_rate_hz", F.lit(float(fps)))
+    return motion_statistics(long, keys, fps).withColumn("sample_rate_hz", F.lit(float(fps)))
