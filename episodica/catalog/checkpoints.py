@@ -45,8 +45,9 @@ def latest(spark, d):
 
 PLAN = METRICS + """,
 target AS (SELECT m.model, CAST(s AS BIGINT) AS checkpoint_step FROM (SELECT DISTINCT model FROM metrics) m, (VALUES (5000), (10000), (15000), (20000), (25000)) AS v(s)),
-files AS (SELECT p_brand AS model, CAST(p_size % 6 * 5000 AS BIGINT) AS checkpoint_step, p_partkey AS size FROM part
-  UNION ALL SELECT p_brand, CAST(20000 AS BIGINT), 10 FROM part UNION ALL SELECT p_brand, CAST(25000 AS BIGINT), 10 FROM part),
+low AS (SELECT model, min(mse) AS low FROM metrics WHERE split = 'validation' AND checkpoint_step <= 25000 GROUP BY model),
+files AS (SELECT model, checkpoint_step, frames AS size FROM metrics JOIN low USING (model) WHERE split = 'validation' AND (mse = low OR frames % 2 = 0)
+  UNION ALL SELECT p_brand, CAST(20000 AS BIGINT), p_partkey FROM part UNION ALL SELECT p_brand, CAST(25000 AS BIGINT), p_partkey FROM part),
 plan0 AS (SELECT t.model, t.checkpoint_step, m.mse, min(m.mse) OVER (PARTITION BY t.model) AS low, f.files_before, f.bytes_before
   FROM target t LEFT JOIN metrics m ON m.model = t.model AND m.checkpoint_step = t.checkpoint_step AND m.split = 'validation'
   LEFT JOIN (SELECT model, checkpoint_step, count(*) AS files_before, sum(size) AS bytes_before FROM files GROUP BY ALL) f ON f.model = t.model AND f.checkpoint_step = t.checkpoint_step),
@@ -59,15 +60,14 @@ plan AS (SELECT model, checkpoint_step, mse, coalesce(mse = low, false) AS is_be
 
 
 def plan(spark, d):
-    part = table(spark, d, "part")
-    files = part.select(
-        F.col("p_brand").alias("model"), (F.col("p_size") % 6 * 5000).cast("long").alias("checkpoint_step"),
-        F.col("p_partkey").alias("size"),
-    )
+    """Files exist for the best, the always kept and every other step with even frames."""
+    wanted = metrics(spark, d).where("split = 'validation'")
+    best = ck.best_steps_with_ties(wanted.where("checkpoint_step <= 25000")).select("model", "checkpoint_step", F.lit(True).alias("best"))
+    files = wanted.join(best, ["model", "checkpoint_step"], "left").where("best or frames % 2 = 0")
+    files = files.select("model", "checkpoint_step", F.col("frames").alias("size"))
+    part = table(spark, d, "part").select(F.col("p_brand").alias("model"), F.col("p_partkey").alias("size"))
     for step in (20000, 25000):
-        files = files.unionByName(
-            part.select(F.col("p_brand").alias("model"), F.lit(step).cast("long").alias("checkpoint_step"), F.lit(10).cast("long").alias("size"))
-        )
+        files = files.unionByName(part.withColumn("checkpoint_step", F.lit(step).cast("long")))
     return ck.retention_plan(metrics(spark, d), files)
 
 

@@ -44,12 +44,14 @@ def detect_plateaus(
     vector = frames.schema[actions[0]].dataType.typeName() == "array"
     if vector:
         # Joint ranges need one row per joint, reduced before the shuffle.
-        sides = [
-            F.transform(F.col(a), lambda v, j, n=n: F.struct(F.lit(n).alias("hand"), j.alias("joint"), v.alias("v")))
-            for n, a in zip(("left", "right"), actions, strict=True)
-        ]
+        def side(name: str, action: str) -> Column:
+            def joint(v: Column, j: Column) -> Column:
+                return F.struct(F.lit(name).alias("hand"), j.alias("joint"), v.alias("v"))
+
+            return F.transform(F.col(action), joint)
+
+        sides = [side(n, a) for n, a in zip(("left", "right"), actions, strict=True)]
         joints = rows.select(*by, "_run", frame, F.explode(F.concat(*sides)).alias("_j"))
-        first = F.col("_j.hand") == "left"
         joints = joints.groupBy(*by, "_run", "_j.hand", "_j.joint").agg(
             F.min(frame).alias("_first"),
             F.max(frame).alias("_last"),

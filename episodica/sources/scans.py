@@ -47,7 +47,10 @@ STATUS = ("stage", "model", "status", "exit_code")
 
 
 def scan_inventory(spark: SparkSession, root: str, pattern: str | None = None) -> DataFrame:
-    """Every regular file below ``root`` with relative path and size; contents unread."""
+    """The files below ``root`` with relative path and size; contents are not read.
+
+    Spark's file sources leave out empty files and names that start with ``_`` or ``.``.
+    """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
