@@ -16,7 +16,6 @@ from episodica.functions.vectors import joint_groups
 from episodica.operators.ordered import index_block, row_numbers
 
 EVENT_KEYS = ["dataset", "split", "episode_index"]
-DAY = F.date_trunc
 
 
 def table(spark, sf_dir: str, name: str) -> DataFrame:
@@ -62,15 +61,17 @@ def event_rows(spark, d) -> DataFrame:
     )
 
 
-def day_block() -> Column:
-    return F.date_trunc("day", F.col("ts"))
+def time_block() -> Column:
+    """One block per minute: a user of any size has few rows in each, and a summary
+    has at most one row per minute of the recorded span."""
+    return F.date_trunc("minute", F.col("ts"))
 
 
 EVENT_ORDER = ["ts", "event_id"]
 
 
 def event_frames(spark, d) -> DataFrame:
-    return row_numbers(event_rows(spark, d), EVENT_KEYS, EVENT_ORDER, day_block(), "frame_index", start=0)
+    return row_numbers(event_rows(spark, d), EVENT_KEYS, EVENT_ORDER, time_block(), "frame_index", start=0)
 
 
 EVENT_EPISODES = """

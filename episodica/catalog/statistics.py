@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.catalog.base import (
-    EVENT_EPISODES, EVENT_KEYS, EVENT_ORDER, EVENTS, LAYOUT, TURNS, VECTORS, DOCS, day_block, doc_episodes,
+    EVENT_EPISODES, EVENT_KEYS, EVENT_ORDER, EVENTS, LAYOUT, TURNS, VECTORS, DOCS, time_block, doc_episodes,
     event_episodes, event_frames, event_rows, table, turn_episodes, turn_frames, turn_tasks,
     vector_frames, vector_rows, with_,
 )
@@ -156,7 +156,7 @@ def groups(spark, d):
 )
 def deltas(spark, d):
     rows = event_rows(spark, d).select(*EVENT_KEYS, *EVENT_ORDER, "value")
-    return st.frame_delta(rows, "value", EVENT_KEYS, EVENT_ORDER, day_block()).select("episode_index", "event_id", "delta")
+    return st.frame_delta(rows, "value", EVENT_KEYS, EVENT_ORDER, time_block()).select("episode_index", "event_id", "delta")
 
 
 @query(
@@ -167,7 +167,7 @@ def deltas(spark, d):
 )
 def gaps(spark, d):
     rows = event_rows(spark, d).select(*EVENT_KEYS, *EVENT_ORDER, "value", "k")
-    out = st.next_frame_gap(rows, "value", "k", EVENT_KEYS, EVENT_ORDER, day_block())
+    out = st.next_frame_gap(rows, "value", "k", EVENT_KEYS, EVENT_ORDER, time_block())
     return out.select("episode_index", "event_id", "gap", "gap_delta")
 
 
@@ -178,7 +178,7 @@ def gaps(spark, d):
 )
 def delta_stats(spark, d):
     rows = event_rows(spark, d).select(*EVENT_KEYS, *EVENT_ORDER, "event_type", "value")
-    steps = st.frame_delta(rows, "value", EVENT_KEYS, EVENT_ORDER, day_block())
+    steps = st.frame_delta(rows, "value", EVENT_KEYS, EVENT_ORDER, time_block())
     return st.delta_statistics(steps, ["event_type"], "delta", fps=30.0)
 
 

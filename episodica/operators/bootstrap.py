@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from episodica.functions.seeds import draw_below, seeded_digest
 from episodica.operators.ordered import row_numbers
 from episodica.operators.quantiles import exact_quantiles
-from episodica.shared import checkpointed
+from episodica.shared import checkpointed, sized
 
 INTERVAL = {"ci95_low": 0.025, "ci95_high": 0.975}
 
@@ -28,7 +28,7 @@ def _draws(clusters: DataFrame, keys, block, replicates: int, seed: int, values)
     clusters = clusters.withColumn("_group", F.to_json(F.struct(*keys)) if keys else F.lit("{}"))
     numbered = row_numbers(clusters, ["_group"], ["episode_index"], block, "_number", start=0)
     sizes = clusters.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    slots = numbered.join(sizes, "_group").select(
+    slots = numbered.join(sized(sizes), "_group").select(
         *keys,
         "_group",
         "_number",

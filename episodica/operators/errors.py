@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from episodica.operators.ordered import index_block
 from episodica.operators.quantiles import exact_quantiles, match
 from episodica.operators.statistics import frame_delta
-from episodica.shared import checkpointed
+from episodica.shared import checkpointed, sized
 
 PAIR = ["intact", "counterfactual"]
 
@@ -298,7 +298,7 @@ def motion_split_errors(
 
 def normalized_metrics(df, stats: DataFrame, by, joint="joint_index", prediction="prediction", expert="expert"):
     """A8 on values scaled by the caller's training ``(joint, offset, scale)``."""
-    scaled = df.join(stats.select(joint, "offset", "scale"), joint)
+    scaled = df.join(sized(stats.select(joint, "offset", "scale")), joint)
     scaled = scaled.withColumns(
         {c: (F.col(c) - F.col("offset")) / F.col("scale") for c in (prediction, expert)}
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from episodica.functions.labels import numbered_name
 from episodica.operators.numbering import renumber_episodes, renumber_frames
 from episodica.operators.ordered import index_block, row_numbers
+from episodica.shared import sized
 
 
 def merged_tasks(tasks: DataFrame, by=(), source="source_rank") -> DataFrame:
@@ -35,7 +36,7 @@ def task_map(tasks: DataFrame, merged: DataFrame, by=(), source="source_rank") -
 
 def remap_tasks(frames: DataFrame, mapping: DataFrame, by=(), source="source_rank") -> DataFrame:
     """Frames with merged task indices; a frame without one fails the task."""
-    out = frames.join(mapping, [*by, source, "task_index"], "left")
+    out = frames.join(sized(mapping), [*by, source, "task_index"], "left")
     found = F.when(F.col("new_task_index").isNotNull(), F.col("new_task_index")).otherwise(
         F.raise_error(F.lit("frame refers to a missing task_index")).cast("long")
     )
@@ -236,7 +237,7 @@ def embedded_prefix_check(base: DataFrame, incoming: DataFrame, merged: DataFram
     """
     by = list(by)
     sizes = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_shift"))
-    moved = incoming.join(sizes, by, "left") if by else incoming.withColumn("_shift", sizes.scalar())
+    moved = incoming.join(sized(sizes), by, "left") if by else incoming.withColumn("_shift", sizes.scalar())
     moved = moved.withColumn(index, F.col(index) + F.coalesce("_shift", F.lit(0)))
     expected = base.unionByName(moved.select(*base.columns))
     return set_difference(expected, merged.select(*base.columns))

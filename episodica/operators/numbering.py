@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions.labels import name_number, numbered_name
 from episodica.operators.ordered import index_block, running_total, sorted_numbers
+from episodica.shared import sized
 
 
 def renumber_episodes(episodes: DataFrame, by=("split",), source="source_rank", episode="episode_index", length="length"):
@@ -41,7 +42,7 @@ def append_names(destination: DataFrame, incoming: DataFrame, name="episode", or
     )
     numbered = sorted_numbers(incoming, by, list(order), "_rank")
     if by:
-        joined = numbered.join(top, by, "left")
+        joined = numbered.join(sized(top), by, "left")
         number = F.coalesce("_top", F.lit(0)) + F.col("_rank")
     else:
         joined = numbered

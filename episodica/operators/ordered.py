@@ -2,7 +2,7 @@
 
 A plain ``Window.partitionBy(episode)`` sends a whole episode to one task. Here a
 group is cut into blocks by a *monotone function of its leading order column*
-(``frame_index div 65536``, a day, a hash prefix). Each block is one window
+(``frame_index div 65536``, a minute, a hash prefix). Each block is one window
 partition; what crosses a block edge (a neighbour row, a running total) travels
 through a summary with one row per block. Results equal the plain window.
 

@@ -7,10 +7,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodica.shared import checkpointed
+from episodica.shared import BROADCAST_ROWS, sized
 
 CELLS = 2048  # cells per power of two
-BROADCAST_ROWS = 200_000  # cells that are sent to every task; more are joined by shuffle
 
 
 def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
@@ -86,9 +85,7 @@ def exact_quantiles(
 
     wanted = [r for p in probabilities.values() for r in ranks(p)[1:]]
     hit = reduce(lambda a, b: a | b, [holds(r, "_m") for r in wanted])
-    hits = checkpointed(cells.where(hit).select(*by, "_cell", "_from", "_all"))
-    if hits.count() <= BROADCAST_ROWS:
-        hits = F.broadcast(hits)
+    hits = sized(cells.where(hit).select(*by, "_cell", "_from", "_all"), BROADCAST_ROWS)
     chosen = match(fanned(rows).select(*by, "_v", "_n", "_cell"), hits, [*by, "_cell"])
     chosen = chosen.groupBy(*by, "_cell", "_from", "_all", "_v").agg(F.sum("_n").alias("_n"))
     order = Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(*before)

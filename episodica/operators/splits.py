@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from episodica.contract import RATIOS
 from episodica.functions.seeds import draw_below, seeded_digest, unit_draw
 from episodica.operators.ordered import hash_block, row_numbers, sorted_numbers
+from episodica.shared import sized
 
 
 def target_sizes(total: Column) -> dict[str, Column]:
@@ -116,7 +117,7 @@ def split_goal_stratified(episodes: DataFrame, seed: int, goal="goal", episode="
         .when(rank <= F.col("test") + F.col("validation"), "validation")
         .otherwise("train")
     )
-    joined = rows.join(quotas.select(*by, goal, "test", "validation"), [*by, goal])
+    joined = rows.join(sized(quotas.select(*by, goal, "test", "validation")), [*by, goal])
     return joined.select(*episodes.columns, split.alias("split"))
 
 
@@ -224,7 +225,7 @@ def split_session_grouped(
     chosen = chosen.select(
         session, _trial_split(seed, F.col("_trial"), F.col("_number"), enough).alias("split")
     )
-    return episodes.join(chosen, session)
+    return episodes.join(sized(chosen), session)
 
 
 def sample_per_goal(episode_goals: DataFrame, k: int, seed: int, goal="goal", episode="episode_index"):

@@ -11,6 +11,7 @@ from episodica.contract import EPISODE, is_finite
 from episodica.functions.vectors import explode_joints
 from episodica.operators.ordered import index_block, lookahead, next_row, previous_row
 from episodica.operators.quantiles import exact_quantiles, match
+from episodica.shared import sized
 
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "median": 0.50, "p95": 0.95, "p99": 0.99}
 EPISODE_QUANTILES = {"q01": 0.01, "q10": 0.10, "q50": 0.50, "q90": 0.90, "q99": 0.99}
@@ -214,7 +215,7 @@ def merge_stats(stats: DataFrame, by=("feature", "dim")) -> DataFrame:
         if q in stats.columns
     ]
     return (
-        match(stats, first, by)
+        match(stats, sized(first), by)
         .groupBy(*by)
         .agg(
             F.min("min").alias("min"),

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -24,5 +25,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+BROADCAST_ROWS = 200_000
+
+
+def sized(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A summary table to join with: sent to every task only if it is counted small.
+
+    The summary is checkpointed, so counting it does not compute it twice. A larger
+    one is joined by shuffle, where Spark splits skewed keys.
+    """
+    kept = checkpointed(df)
+    return F.broadcast(kept) if kept.count() <= rows else kept
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

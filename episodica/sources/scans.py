@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from episodica.functions.labels import name_number
 from episodica.operators.checks import all_of, violations
+from episodica.shared import sized
 
 TASKS = "task_index long, task string"
 EPISODES = "episode_index long, tasks array<string>, length long"
@@ -139,7 +140,7 @@ def raw_to_frames(frames: DataFrame, tasks: DataFrame, numbered: DataFrame) -> D
         return F.concat(*[F.col(f"{section}.{p}.qpos") for p in ("left_arm", "right_arm", "left_ee", "right_ee")])
 
     named = tasks.select("task_index", F.col("task").alias("goal"))
-    rows = frames.join(named, "goal").join(numbered, "episode")
+    rows = frames.join(sized(named), "goal").join(numbered, "episode")
     return rows.select(
         F.col("new_episode_index").alias("episode_index"),
         F.col("position").cast("long").alias("frame_index"),
