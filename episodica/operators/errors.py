@@ -180,34 +180,36 @@ def joint_summary(pairs: DataFrame, keys=()) -> DataFrame:
 def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
     """Per scope and group, micro, episode-macro and task-balanced effects.
 
-    ``effects`` has one row per (repeat, episode, group) as from ``episode_pairs``.
-    Repeats are averaged per episode, episodes per task, tasks per scope.
+    ``effects`` has one row per (repeat, episode, group) as from ``episode_pairs``; an
+    episode has one task and one cohort. Repeats are averaged per episode, episodes
+    per task, tasks per scope. Only sums per (task, cohort, group) are fanned out to
+    the scopes.
     """
-    scoped = [*keys, "scope", "scope_value", "group"]
-    # One row per episode and group, far fewer than predictions, and read four times.
-    effects = checkpointed(effects)
-    spread = effects.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
-    per_episode = spread.groupBy(*scoped, "task", "episode_index").agg(
+    fine, scoped = [*keys, "task", "cohort", "group"], [*keys, "scope", "scope_value", "group"]
+    sums = [f"{c}_{s}" for c in PAIR for s in ("absolute", "squared")]
+    per_episode = effects.groupBy(*fine, "episode_index").agg(
         F.avg("delta_mae_counterfactual_minus_intact").alias("delta_mae"),
         F.avg("mean_absolute_prediction_change").alias("change"),
-        *[
-            F.sum(f"{c}_sum_{s}_error").alias(f"{c}_{s}")
-            for c in PAIR
-            for s in ("absolute", "squared")
-        ],
+        *[F.sum(f"{c}_sum_{s}_error").alias(f"{c}_{s}") for c in PAIR for s in ("absolute", "squared")],
         F.sum("sample_count").alias("samples"),
+        F.collect_set("shuffle_repeat").alias("repeats"),
     )
-    repeats = spread.groupBy(*scoped, "shuffle_repeat").agg(F.lit(1).alias("_one"))
-    repeats = repeats.groupBy(*scoped).agg(F.count(F.lit(1)).alias("shuffle_repeats"))
-    per_task = per_episode.groupBy(*scoped, "task").agg(
+    # One row per episode and group, read four times below.
+    per_episode = checkpointed(per_episode)
+
+    def fanned(part: DataFrame) -> DataFrame:
+        return part.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
+
+    parts = per_episode.groupBy(*fine).agg(
         F.count(F.lit(1)).alias("_episodes"),
         F.sum("delta_mae").alias("_delta"),
-        F.avg("delta_mae").alias("_task_mean"),
         F.sum("change").alias("_change"),
         F.count_if(F.col("delta_mae") > 0).alias("_wins"),
-        *[F.sum(f"{c}_{s}").alias(f"{c}_{s}") for c in PAIR for s in ("absolute", "squared")],
+        *[F.sum(n).alias(n) for n in sums],
         F.sum("samples").alias("samples"),
     )
+    totals = ["_episodes", "_delta", "_change", "_wins", *sums, "samples"]
+    per_task = fanned(parts).groupBy(*scoped, "task").agg(*[F.sum(c).alias(c) for c in totals])
     n, k = F.sum("samples"), F.sum("_episodes")
     out = per_task.groupBy(*scoped).agg(
         k.alias("episodes"),
@@ -219,11 +221,16 @@ def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
         (F.sum("counterfactual_squared") / n).alias("micro_counterfactual_mse"),
         ((F.sum("counterfactual_squared") - F.sum("intact_squared")) / n).alias("micro_delta_mse"),
         (F.sum("_delta") / k).alias("episode_macro_mean_delta_mae"),
-        F.avg("_task_mean").alias("task_balanced_mean_delta_mae"),
+        F.avg(F.col("_delta") / F.col("_episodes")).alias("task_balanced_mean_delta_mae"),
         (F.sum("_wins") / k).alias("episode_win_rate_counterfactual_worse"),
         (F.sum("_change") / k).alias("episode_macro_prediction_change_mae"),
     )
-    middle = exact_quantiles(per_episode, scoped, "delta_mae", {"episode_macro_median_delta_mae": 0.5})
+    middle = exact_quantiles(
+        per_episode.select(*fine, "delta_mae"), scoped, "delta_mae",
+        {"episode_macro_median_delta_mae": 0.5}, fan_out=scopes(),
+    )
+    repeats = per_episode.select(*fine, F.explode("repeats").alias("_r")).groupBy(*fine, "_r").agg(F.lit(1).alias("_one"))
+    repeats = fanned(repeats).groupBy(*scoped).agg(F.count_distinct("_r").alias("shuffle_repeats"))
     return match(match(out, middle, scoped), repeats, scoped)
 
 
