@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm import exact_dedup, mixing
+import public_tokenizers
+from episodica.llm import bpe, exact_dedup, mixing, token_files
 from episodica.llm.tables import table
+from episodica.shared import scratch_path
 
 QUERIES = {}
 ORACLES = {}
@@ -22,6 +24,21 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+@query
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    rows = bpe.encoded(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, keep_ids=False)
+    return rows.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+@query
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_files.write_token_files(token_files.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")), path)
+    rows = token_files.read_token_files(spark, path).join(token_files.token_starts(spark, path), ["file", "row"])
+    return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
+
+
 @query
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = exact_dedup.exact_classes(table(spark, sf_dir, "documents"))
