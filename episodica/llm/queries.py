@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, mixing, token_files
+from episodica.llm import bpe, exact_dedup, mixing, token_files, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -31,6 +31,19 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(F.col("id").alias("doc_id"), "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def fold(modulus: int):
+    """Whether crc32 of the identifier as text leaves 0: the held-out fold."""
+    return lambda identifier: F.coalesce(F.crc32(identifier.cast("string")) % modulus == 0, F.lit(False))
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(5))
+    rows = toxicity.scored(docs, model, passages=False)
+    return rows.select(F.col("id").alias("doc_id"), fold(5)(F.col("id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
