@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, mixing, token_files, toxicity
+from episodica.llm import bpe, exact_dedup, lattice, mixing, token_files, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -64,3 +64,9 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
 FROM documents
 WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = lattice.likelihood(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), fold(10))
+    return rows.withColumnRenamed("id", "doc_id")
