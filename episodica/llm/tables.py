@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -48,3 +50,15 @@ def slices(batches: Iterator[pa.RecordBatch], text: int, limit: int = CHUNK) ->
 
 def text_or_empty(name: str = "text"):
     return F.coalesce(F.col(name), F.lit(""))
+
+
+def kept_in_worker(key: str, make: Callable[[], object]):
+    """What a task leaves for later tasks of the same Python worker, such as an encoder's memo.
+
+    Only the last object of a kind (the text before ``:`` of the key) is kept.
+    """
+    store = sys.modules.setdefault("_kept_between_tasks", ModuleType("_kept_between_tasks")).__dict__
+    kind = key.partition(":")[0]
+    if store.get(kind, (None,))[0] != key:
+        store[kind] = (key, make())
+    return store[kind][1]

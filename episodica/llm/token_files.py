@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +24,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from episodica.llm.tables import slices
+from episodica.llm.tables import kept_in_worker, slices
 
 END_ID = 1
-CACHE = 1_000_000
+CACHE = 300_000
+AT_ONCE = 8192
+"""Words given to the tokenizer at once: its results are large objects."""
+MARKS = b".,!?;:"
 WRITE = {
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(64 << 10),
@@ -38,32 +42,64 @@ WRITE = {
 
 
 class WordEncoder:
-    """Ids of texts by a tokenizer for which words between white space stand alone."""
+    """Ids of texts by a tokenizer for which words between white space stand alone.
+
+    The tokenizer folds case and parts letters from marks, so a word of letters is looked up
+    in lower case and without the marks at its end.
+    """
 
     def __init__(self, definition: str):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = True
         self.known: dict[bytes, bytes] = {}
+        self.parts: dict[bytes, bytes] = {}
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Encodes parts of words, many in one text; offsets tell whose each id is."""
+        for begin in range(0, len(words), AT_ONCE):
+            texts = [w.decode() for w in words[begin : begin + AT_ONCE]]
+            groups = [texts[i : i + 64] for i in range(0, len(texts), 64)]
+            for group, encoding in zip(groups, self.tokenizer.encode_batch([" ".join(g) for g in groups], add_special_tokens=False), strict=True):
+                ids = np.array(encoding.ids, "<u4")
+                starts = np.cumsum([0] + [len(w) + 1 for w in group[:-1]])
+                owner = np.searchsorted(starts, np.array([o[0] for o in encoding.offsets], np.int64), "right") - 1
+                ends = np.searchsorted(owner, np.arange(len(group)), "right") * 4
+                raw, at = ids.tobytes(), 0
+                for word, end in zip(group, ends.tolist(), strict=True):
+                    self.parts[word.encode()] = raw[at:end]
+                    at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.encode().split() for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        new = list({w for words in split for w in words if w not in self.known})
-        for word, encoding in zip(new, self.tokenizer.encode_batch([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self.known[word] = np.array(encoding.ids, "<u4").tobytes()
-        known = self.known
-        return [b"".join([known[w] for w in words]) for words in split]
+        known, parts = self.known, self.parts
+        new = {}
+        for word in set(chain.from_iterable(split)).difference(known):
+            base = word.rstrip(MARKS)
+            # Letters of ASCII have one lower case and one composed form.
+            new[word] = (base.lower(), word[len(base) :]) if base.isalpha() else (word, b"")
+        if len(parts) > CACHE:
+            parts.clear()
+        self._learn([p for p in {p for pair in new.values() for p in pair} if p and p not in parts])
+        found = {word: parts[base] + parts[tail] if tail else parts[base] for word, (base, tail) in new.items()}
+        # The words met first, and so the frequent ones, stay; later ones are found again.
+        if len(known) < CACHE:
+            known.update(found)
+            found = known
+        else:
+            found.update((w, known[w]) for w in set(chain.from_iterable(split)).intersection(known))
+        get = found.__getitem__
+        return [b"".join(map(get, words)) for words in split]
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id and ids of every row, the end id last."""
     with open(tokenizer_path) as file:
-        shared = docs.sparkSession.sparkContext.broadcast(file.read())
+        definition = file.read()
+    shared, version = docs.sparkSession.sparkContext.broadcast(definition), zlib.crc32(definition.encode())
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(shared.value)
+        encoder = kept_in_worker(f"words:{version}", lambda: WordEncoder(shared.value))
         for batch, texts in slices(batches, 1):
             ids = [i + tail for i in encoder.encode(texts)]
             ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
