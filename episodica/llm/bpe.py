@@ -15,6 +15,7 @@ import base64
 import hashlib
 import heapq
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,11 +23,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import slices
+from episodica.llm.tables import kept_in_worker, slices
 
 LONG = 512
 CACHE = 400_000
-"""Distinct pieces a worker remembers; then it starts afresh."""
+"""Distinct pieces that a worker remembers."""
 NONE = np.int64(1) << 40
 MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -91,16 +92,17 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
         self.known: dict[str, bytes] = {}
 
-    def learn(self, pieces: set[str]) -> None:
-        """Encodes pieces; ``known`` maps each to its ids as little-endian 32-bit integers."""
+    def learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Each piece's ids as little-endian 32-bit integers."""
+        out: dict[str, bytes] = {}
         buckets: dict[int, list[tuple[str, bytes]]] = {}
         for piece in pieces:
             raw = piece.encode()
             rank = self.ranks.get(raw)
             if rank is not None:
-                self.known[piece] = rank.to_bytes(4, "little")
+                out[piece] = rank.to_bytes(4, "little")
             elif len(raw) > LONG:
-                self.known[piece] = np.array(self._merge_long(raw), "<u4").tobytes()
+                out[piece] = np.array(self._merge_long(raw), "<u4").tobytes()
             else:
                 buckets.setdefault((len(raw) + 3) // 4 if len(raw) <= 32 else 8 + (len(raw) - 1).bit_length(), []).append((piece, raw))
         for bucket in buckets.values():
@@ -109,7 +111,8 @@ class Codec:
             for begin in range(0, len(bucket), rows):
                 part = bucket[begin : begin + rows]
                 for (piece, _), ids in zip(part, self._merge_rows([raw for _, raw in part], width), strict=True):
-                    self.known[piece] = ids
+                    out[piece] = ids
+        return out
 
     def _merge_rows(self, raws: list[bytes], width: int) -> list[bytes]:
         matrix = np.frombuffer(b"".join(raw.ljust(width, b"\0") for raw in raws), np.uint8).reshape(-1, width)
@@ -178,11 +181,15 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
         split = [self.split(t) for t in texts]
-        if len(self.known) > CACHE:
-            self.known.clear()
-        self.learn({p for pieces in split for p in pieces if p not in self.known})
-        known = self.known
-        return [b"".join([known[p] for p in pieces]) for pieces in split]
+        pieces = set(chain.from_iterable(split))
+        found = self.learn(pieces.difference(self.known))
+        # The pieces met first, and so the frequent ones, stay; later ones are encoded again.
+        if len(self.known) < CACHE:
+            self.known.update(found)
+            found = self.known
+        else:
+            found.update((p, self.known[p]) for p in pieces.intersection(self.known))
+        return [b"".join(map(found.__getitem__, pieces)) for pieces in split]
 
     def decode(self, ids: bytes) -> bytes:
         tokens = np.frombuffer(ids, "<u4").astype(np.int64)
@@ -199,9 +206,10 @@ def encoded(docs: DataFrame, ranks_path: str, pattern: str, id_column: str = "do
     with open(ranks_path, "rb") as file:
         lines = file.read()
     shared = docs.sparkSession.sparkContext.broadcast(lines)
+    version = hashlib.sha256(lines + pattern.encode()).hexdigest()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        codec = Codec(read_ranks(shared.value), pattern)
+        codec = kept_in_worker(f"bpe:{version}", lambda: Codec(read_ranks(shared.value), pattern))
         for batch, texts in slices(batches, 1):
             ids = codec.encode(texts)
             decoded = [codec.decode(i) for i in ids]
