@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, lattice, mixing, token_files, toxicity
+from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, token_files, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -70,3 +70,8 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = lattice.likelihood(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), fold(10))
     return rows.withColumnRenamed("id", "doc_id")
+
+
+@query
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_classes(table(spark, sf_dir, "documents"), words=2, similarity=0.8).withColumnRenamed("id", "doc_id")
