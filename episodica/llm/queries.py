@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, token_files, toxicity
+from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, token_files, topk, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -75,3 +75,24 @@ def op10_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_classes(table(spark, sf_dir, "documents"), words=2, similarity=0.8).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+ORACLES["op3_top_k"] = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.v, d.v) AS BIGINT) AS score
+    FROM whole q JOIN whole d ON q.vec_id % 20 = 0 AND q.vec_id <> d.vec_id
+)
+SELECT query_id, CAST(row_number() OVER best AS INTEGER) AS rank, vec_id, score
+FROM scored
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY rank <= 20
+"""
