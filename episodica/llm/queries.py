@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, token_files, topk, toxicity
+from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, repeats, token_files, topk, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -96,3 +96,9 @@ FROM scored
 WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY rank <= 20
 """
+
+
+@query
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
+    return rows.drop("kept").withColumnRenamed("id", "doc_id")
