@@ -14,11 +14,10 @@ an empty table.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import text_or_empty, written
+from episodica.llm.tables import located, text_or_empty, written
 from episodica.shared import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -30,14 +29,6 @@ def sha256(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """The rows with ``file`` and ``row``: where their content can be read again."""
-    try:
-        return docs.select("*", F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")).alias("locator"))
-    except AnalysisException:
-        return located(written(docs, "located"))
-
-
 def class_states(ledger: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> DataFrame:
     """One row per digest: ``kept`` (identifier, locator) and ``group_size``.
 
@@ -77,7 +68,7 @@ def exact_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     where the bytes of a hit differ, the rows of that digest are told apart by their text.
     """
     spark = docs.sparkSession
-    rows = located(docs).select(F.col(id_column).alias("id"), "locator", text_or_empty(text_column).alias("text"))
+    rows = located(docs).select(F.col(f"row.`{id_column}`").alias("id"), "locator", text_or_empty(f"row.`{text_column}`").alias("text"))
     rows = rows.withColumn("digest", digest(F.col("text")))
     ledger = written(rows.select("digest", "id", "locator"), "ledger")
     if not ledger.inputFiles():
@@ -103,5 +94,5 @@ def exact_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
     here = located(docs)
-    stay = exact_classes(docs, id_column, text_column).filter("kept").select(F.col("locator").alias("_stays"))
-    return here.join(stay, here["locator"] == stay["_stays"], "left_semi").drop("locator")
+    stay = exact_classes(docs, id_column, text_column).filter("kept").select(F.col("locator.file").alias("_file"), F.col("locator.row").alias("_row"))
+    return here.join(stay, (F.col("locator.file") == F.col("_file")) & (F.col("locator.row") == F.col("_row")), "left_semi").select("row.*")

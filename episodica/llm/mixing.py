@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import written
+from episodica.llm.tables import keyed, written
 
 WEIGHTS = (5, 2, 1)
 MOST = 3
@@ -115,3 +115,17 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         .withColumn("last_block", F.when(F.col("size") > 0, last).otherwise(0))
         .select("id", "source", "size", "source_size", "target", taken.alias("taken"))
     )
+
+
+def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", **settings) -> DataFrame:
+    """The mix as whole documents: each row as often as its taken words fill it.
+
+    What is left of a row is rounded up or down by a seeded draw in proportion, so that sources
+    keep their words on average; rows without words are not taken.
+    """
+    rows = keyed(docs, id_column)
+    flat = rows.select("key", F.col(f"row.`{text_column}`").alias("text"), F.col(f"row.`{source_column}`").alias("source"))
+    taken = mixed(flat, "key", "text", "source", **settings).withColumn("part", draw("id") / F.lit(float(1 << 60)))
+    times = taken.filter("size > 0").select(F.col("id.file").alias("_file"), F.col("id.row").alias("_row"), F.floor(F.col("taken") / F.col("size") + F.col("part")).cast("int").alias("_times")).filter("_times > 0")
+    found = rows.join(times, (F.col("key.file") == F.col("_file")) & (F.col("key.row") == F.col("_row")))
+    return found.select("row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("row.*")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.llm.shingles import Polynomial, mix, shingle_sets
-from episodica.llm.tables import slices, text_or_empty, written
+from episodica.llm.tables import keyed, only, slices, text_or_empty, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
@@ -234,3 +234,10 @@ def likely(pairs: DataFrame, sketches: DataFrame, similarity: float) -> DataFram
             yield batch.select(["a", "b"]).filter(pa.array((sides[0] == sides[1]).mean(axis=1) >= similarity - SURE))
 
     return both.select("a", "b", "s_a", "s_b").mapInArrow(run, "a binary, b binary")
+
+
+def drop_near_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", **settings) -> DataFrame:
+    """One row of each component, that with the smallest identifier, with all its columns."""
+    rows = keyed(docs, id_column)
+    found = near_classes(rows.select("key", F.col(f"row.`{text_column}`").alias("text")), id_column="key", text_column="text", **settings)
+    return only(rows, found.filter("kept"))

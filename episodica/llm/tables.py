@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 from types import ModuleType
 
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def located(docs: DataFrame) -> DataFrame:
+    """row (all columns of ``docs``) and locator (file and row in the file): where each row can be read again."""
+    found = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    try:
+        return docs.select(F.struct("*").alias("row"), found.alias("locator"))
+    except AnalysisException:
+        return located(written(docs, "located"))
+
+
+def keyed(docs: DataFrame, id_column: str) -> DataFrame:
+    """row, and ``key``: the identifier first, then the locator, so that rows that share it are told apart."""
+    return located(docs).select("row", F.struct(F.col(f"row.`{id_column}`").alias("id"), F.col("locator.file"), F.col("locator.row")).alias("key"))
+
+
+def only(rows: DataFrame, keys: DataFrame) -> DataFrame:
+    """The columns of those ``keyed`` rows whose key is the ``id`` of ``keys``."""
+    wanted = keys.select(F.col("id.file").alias("_file"), F.col("id.row").alias("_row"))
+    return rows.join(wanted, (F.col("key.file") == F.col("_file")) & (F.col("key.row") == F.col("_row")), "left_semi").select("row.*")
+
+
 def texts_of(column: pa.Array) -> list[str]:
     """A string column as a list, null as the empty text."""
     return [t or "" for t in column.to_pylist()]

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import slices, written
+from episodica.llm.tables import keyed, only, slices, written
 
 TRAIN_ROWS = 40_000
 PRIOR = 20.0
@@ -218,3 +218,11 @@ def scored(docs: DataFrame, model: dict | None, id_column: str = "doc_id", text_
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(score), pa.array(spans, kind)], names=["id", "score", "passages"])
 
     return rows.mapInArrow(run, schema)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, held_out, threshold: float = 0.5, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """The rows that score below ``threshold``, with all their columns."""
+    model = fit(docs, labels, held_out, id_column, text_column)
+    rows = keyed(docs, id_column)
+    found = scored(rows.select("key", F.col(f"row.`{text_column}`").alias("text")), model, "key", "text", passages=False)
+    return only(rows, found.filter(F.col("score") < threshold))
