@@ -9,7 +9,7 @@
   probability (1 - 0.8**6)**40 = 5e-6. Buckets have no cap.
 * Members of a bucket are compared with its smallest member first. Buckets that then still
   hold several components are compared across components, block by block: a task gets two
-  blocks of at most ``BLOCK`` members and gives out one link per pair of components.
+  blocks of about ``BLOCK_BYTES`` and gives out confirmed links that join components.
 * Every link is confirmed on the full shingle sets.
 * Components: labels fall to the smallest in reach, with pointer jumping.
 
@@ -34,7 +34,7 @@ from episodica.llm.tables import keyed, only, slices, text_or_empty, written
 
 SHINGLE, SIMILARITY = 5, 0.8
 BANDS, ROWS = 40, 6
-BLOCK = 2000
+BLOCK_BYTES = 16 << 20
 SURE = 0.12
 """A pair whose estimate is this far below the threshold (4.6 standard errors) is no link."""
 STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -155,34 +155,54 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def across(buckets: DataFrame, similarity: float, slots: int) -> DataFrame:
-    """Candidate pairs between different components of a bucket, one for each pair of components and task.
+def class_sets(texts: DataFrame, words: int) -> DataFrame:
+    """cls and its full shingle set, packed; ``texts`` has one text per class."""
 
-    ``buckets`` has key, cls, label, n and sketch, and only buckets with several labels.
-    Members are dealt to blocks by hash; each pair of blocks is compared in one task.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        polynomial = Polynomial()
+        for batch, chunk in slices(batches, 1):
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(chunk, words, polynomial)], pa.binary())], names=["cls", "packed"])
+
+    return texts.select("cls", "text").mapInArrow(run, "cls binary, packed binary")
+
+
+def across(buckets: DataFrame, similarity: float) -> DataFrame:
+    """Confirmed links between different components of a bucket: one task gives out a forest, never all pairs.
+
+    ``buckets`` has key, cls, label, n, sketch, bands and the packed set, and only buckets
+    with several labels. Members are dealt to blocks of about ``BLOCK_BYTES`` by hash; each
+    pair of blocks is compared in one task, each pair of members in the first band they share.
     """
-    blocks = buckets.groupBy("key").agg(F.ceil(F.count("*") / BLOCK).alias("blocks"))
+    blocks = buckets.groupBy("key").agg(F.ceil(F.sum(F.col("n") * 8 + 1000) / BLOCK_BYTES).alias("blocks"))
     placed = buckets.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("cls"), F.col("blocks")))
     other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = placed.withColumn("other", other).select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "cls", "label", "n", "sketch")
+    dealt = placed.withColumn("other", other).select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "cls", "label", "n", "sketch", "bands", "packed")
+    percent = round(similarity * 100)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("cls", ignore_index=True)
         sketch = np.stack([np.frombuffer(s, "<u2") for s in part["sketch"]])
-        size, label, block = part["n"].to_numpy(), part["label"].to_numpy(), part["block"].to_numpy()
-        found, diagonal = {}, part["x"].iloc[0] == part["y"].iloc[0]
+        bands = np.stack(part["bands"].to_list())
+        sets = [np.frombuffer(s, np.uint64) for s in part["packed"]]
+        size, block = part["n"].to_numpy(), part["block"].to_numpy()
+        _, label = np.unique(part["label"].to_numpy(), return_inverse=True)
+        band = int(np.flatnonzero(bands[0] == part["key"].iloc[0])[0])
+        links, diagonal = [], part["x"].iloc[0] == part["y"].iloc[0]
         for i in range(len(part) - 1):
             rest = slice(i + 1, None)
-            ratio = np.minimum(size[rest], size[i]) / np.maximum(size[rest], size[i])
-            open_ = (label[rest] != label[i]) & (ratio >= similarity)
+            open_ = (label[rest] != label[i]) & (100 * np.minimum(size[rest], size[i]) >= percent * np.maximum(size[rest], size[i]))
             if not diagonal:
                 open_ &= block[rest] != block[i]
             at = i + 1 + np.flatnonzero(open_)
-            if len(at):
-                estimate = (sketch[at] == sketch[i]).mean(axis=1)
-                for j in at[estimate >= similarity - SURE]:
-                    found[i, j] = (part["cls"][i], part["cls"][j])
-        return pd.DataFrame(list(found.values()), columns=["a", "b"])
+            at = at[(sketch[at] == sketch[i]).mean(axis=1) >= similarity - SURE]
+            at = at[~(bands[at, :band] == bands[i, :band]).any(axis=1)]
+            for j in at:
+                if label[j] != label[i]:
+                    both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * both >= percent * (size[i] + size[j] - both):
+                        links.append((part["cls"][i], part["cls"][j]))
+                        label[label == label[j]] = label[i]
+        return pd.DataFrame(links, columns=["a", "b"])
 
     return dealt.groupBy("key", "x", "y").applyInPandas(compare, "a binary, b binary").distinct()
 
@@ -209,11 +229,11 @@ def near_classes(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMI
     # What the stars left apart: buckets that still hold several components.
     named = buckets.join(labels.withColumnRenamed("node", "cls"), "cls", "left").select("key", "cls", F.coalesce("label", "cls").alias("label"))
     open_keys = named.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low != high").select("key")
-    open_buckets = named.join(open_keys, "key").join(sketches, "cls")
-    more = written(across(open_buckets, similarity, bands * rows), "across")
-    more = more.join(stars, ["a", "b"], "left_anti")
-    links = links.union(confirmed(more, texts, words, similarity))
-    labels = components(links)
+    in_open = named.join(open_keys, "key")
+    sets = class_sets(texts.join(in_open.select("cls").distinct(), "cls", "left_semi"), words)
+    open_buckets = in_open.join(classes, "cls").join(sets, "cls")
+    more = written(across(open_buckets, similarity), "across")
+    labels = components(links.union(more))
 
     found = here.select("id", "n_shingles", "cls").join(labels.withColumnRenamed("node", "cls"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     smallest = found.filter("label IS NOT NULL").groupBy("label").agg(F.min("id").alias("component_id"))
