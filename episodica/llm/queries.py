@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import public_tokenizers
-from episodica.llm import bpe, exact_dedup, lattice, mixing, near_dedup, repeats, token_files, topk, toxicity
+from episodica.llm import bpe, exact_dedup, lattice, main_text, mixing, near_dedup, repeats, token_files, topk, toxicity
 from episodica.llm.tables import table
 from episodica.shared import scratch_path
 
@@ -102,3 +102,9 @@ QUALIFY rank <= 20
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = repeats.without_repeats(table(spark, sf_dir, "documents"), keep_bytes=False)
     return rows.drop("kept").withColumnRenamed("id", "doc_id")
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extracted(pages, main_text.fit(pages))
