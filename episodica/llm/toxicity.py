@@ -34,7 +34,8 @@ from episodica.llm.tables import keyed, only, slices, written
 TRAIN_ROWS = 40_000
 PRIOR = 20.0
 """Weight of the prior, in documents per token of average share."""
-LEAST_Z, LEAST_DOCS = 4.0, 5
+LEAST_Z, LEAST_ODDS, LEAST_DOCS = 3.5, 2.0, 5
+"""A token counts if its log-odds are large and sure enough, and if enough documents hold it."""
 BEGINNINGS = (4, 5, 6)
 SIGNIFICANT = 0.5
 """Normalised score from which a segment counts as significant."""
@@ -132,14 +133,14 @@ def fit(docs: DataFrame, labels: DataFrame, held_out, id_column: str = "doc_id",
     mass = counts.filter("token != ''").agg(F.sum(F.col("clean") + F.col("toxic")).alias("m"), F.count("*").alias("v")).first()
     share = (F.col("clean") + F.col("toxic")) / F.lit(float(mass["m"]))
     prior = share * F.lit(PRIOR * float(mass["v"]) ** 0.5)
-    prior = F.least(F.greatest(prior, F.lit(0.05)), F.lit(PRIOR))
+    prior = F.least(F.greatest(prior, F.lit(0.5)), F.lit(PRIOR))
 
     def odds(found, n):
         return F.log((found + prior) / F.greatest(F.lit(n) + prior - found, F.lit(0.5)))
 
     delta = odds(F.col("toxic"), n1) - odds(F.col("clean"), n0)
     z = delta / F.sqrt(1 / (F.col("toxic") + prior) + 1 / (F.col("clean") + prior))
-    kept = counts.filter((F.col("token") != "") & (F.col("toxic") + F.col("clean") >= LEAST_DOCS)).select("token", "clean", delta.alias("delta"), z.alias("z")).filter(F.abs("z") >= LEAST_Z)
+    kept = counts.filter((F.col("token") != "") & (F.col("toxic") + F.col("clean") >= LEAST_DOCS)).select("token", "clean", delta.alias("delta"), z.alias("z")).filter((F.abs("z") >= LEAST_Z) & (F.abs("delta") >= LEAST_ODDS))
     # Significant tokens of at most ``limit`` training rows: the rows bound them.
     tokens = {r["token"]: (float(r["delta"]), float(r["z"])) for r in kept.collect()}
     model = {"tokens": tokens, "drift": -0.01, "scale": 1.0}
