@@ -14,6 +14,7 @@ equal ones in the order of their ids; an empty table gives an empty table.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 from itertools import chain
@@ -99,6 +100,8 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID,
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Spark runs one task per core; the tokenizer's own threads would only wait for each other.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = kept_in_worker(f"words:{version}", lambda: WordEncoder(shared.value))
         for batch, texts in slices(batches, 1):
             ids = [i + tail for i in encoder.encode(texts)]
