@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.catalog.base import (
-    EVENT_EPISODES, EVENT_KEYS, EVENTS, GROUPED, PAIRS, event_episodes, event_frames, grouped, pairs, plain_pairs, table, with_,
+    EVENT_EPISODES, EVENT_KEYS, EVENTS, GROUPED, PAIRS, event_episodes, event_frames, grouped, pair_rows, pairs, plain_pairs, table, with_,
 )
-from episodica.catalog.registry import query
+from episodica.catalog.registry import below_sql, digest_sql, query
 from episodica.functions import labels
 from episodica.functions.phases import OFFSETS, PHASES, offset_frame, phase_frame, phase_progress
 from episodica.operators import bootstrap, donors, errors, plateaus, strategies
@@ -242,22 +242,48 @@ def normalized(spark, d):
     return errors.normalized_metrics(rows, stats, ["part"], prediction="intact")
 
 
-REPLICATES = 50
+REPLICATES, CLUSTER_REPLICATES = 10_000, 1_000
+
+
+def bootstrap_sql(keys: str, replicates: int) -> str:
+    """SQL of the two-stage draws from table n (keys, i, size): table d (keys, replicate, i)."""
+    k = [x.strip() for x in keys.split(",")]
+    first, slot = below_sql(SEED, *k, "replicate", "i"), below_sql(SEED, "'slot'", *k, "replicate", "b", "t")
+    return f"""c AS (SELECT {keys}, replicate, 0 AS b, size, size AS k FROM (SELECT DISTINCT {keys}, size FROM n WHERE size <= {bootstrap.BLOCK}), range({replicates}) AS r(replicate)
+          UNION ALL SELECT {keys}, replicate, {first} % size // {bootstrap.BLOCK} AS b, size, count(*) AS k FROM n, range({replicates}) AS r(replicate) WHERE size > {bootstrap.BLOCK} GROUP BY ALL),
+        l AS (SELECT {keys}, replicate, b, size, unnest(range(k)) AS t FROM c),
+        d AS (SELECT {keys}, replicate, b * {bootstrap.BLOCK} + {slot} % least({bootstrap.BLOCK}, size - b * {bootstrap.BLOCK}) AS i FROM l)"""
+
+
+# Suppliers as episodes: few enough for 10 000 replicates of each in the SQL.
+SUPPLIED = """
+supplied AS (
+  SELECT l_suppkey AS episode_index, 'region ' || (s_nationkey % 5) AS task, l_extendedprice / 99991.0 AS expert,
+    l_quantity * p_retailprice / 99991.0 AS intact, l_extendedprice * (1 - l_discount) * (1 + l_tax) / 99991.0 AS counterfactual
+  FROM lineitem JOIN part ON p_partkey = l_partkey JOIN supplier ON s_suppkey = l_suppkey)
+"""
+
+
+def supplied_pairs(spark, d):
+    suppliers = table(spark, d, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.concat(F.lit("region "), F.pmod("s_nationkey", F.lit(5))).alias("task")
+    )
+    rows = pair_rows(spark, d).select("l_suppkey", "expert", "intact", "counterfactual")
+    return rows.join(suppliers, "l_suppkey").withColumnRenamed("l_suppkey", "episode_index")
 
 
 @query(
     "A15_stratified_bootstrap_ci",
-    f"""{with_(PAIRS)}, e AS (SELECT task, episode_index, avg(abs(counterfactual - expert) - abs(intact - expert)) AS v FROM pairs GROUP BY ALL),
+    f"""{with_(SUPPLIED)}, e AS (SELECT task, episode_index, avg(abs(counterfactual - expert) - abs(intact - expert)) AS v FROM supplied GROUP BY ALL),
         n AS (SELECT *, row_number() OVER (PARTITION BY task ORDER BY episode_index) - 1 AS i, count(*) OVER (PARTITION BY task) AS size FROM e),
-        s AS (SELECT task, replicate, CAST(('0x' || substr(md5(concat_ws(':', {SEED}, task, replicate, i)), 1, 15)) AS BIGINT) % size AS i
-          FROM n, range({REPLICATES}) AS r(replicate)),
-        m AS (SELECT task, replicate, avg(v) AS m FROM s JOIN n USING (task, i) GROUP BY ALL),
+        {bootstrap_sql("task", REPLICATES)},
+        m AS (SELECT task, replicate, avg(v) AS m FROM d JOIN n USING (task, i) GROUP BY ALL),
         q AS (SELECT replicate, avg(m) AS m FROM m GROUP BY replicate)
         SELECT quantile_cont(m, 0.025) AS ci95_low, quantile_cont(m, 0.975) AS ci95_high FROM q""",
     "ci95_low ci95_high",
 )
 def stratified(spark, d):
-    rows = plain_pairs(spark, d)
+    rows = supplied_pairs(spark, d)
     effect = F.abs(F.col("counterfactual") - F.col("expert")) - F.abs(F.col("intact") - F.col("expert"))
     return bootstrap.stratified_bootstrap_ci(
         rows.withColumn("v", effect), "v", index_block("episode_index"), REPLICATES, SEED
@@ -268,15 +294,14 @@ def stratified(spark, d):
     "A16_cluster_bootstrap_ci",
     f"""{with_(PAIRS)}, e AS (SELECT cohort, episode_index, sum(intact - expert) AS s, count(*) AS c FROM pairs GROUP BY ALL),
         n AS (SELECT *, row_number() OVER (PARTITION BY cohort ORDER BY episode_index) - 1 AS i, count(*) OVER (PARTITION BY cohort) AS size FROM e),
-        d AS (SELECT cohort, replicate, CAST(('0x' || substr(md5(concat_ws(':', {SEED}, cohort, replicate, i)), 1, 15)) AS BIGINT) % size AS i
-          FROM n, range({REPLICATES}) AS r(replicate)),
+        {bootstrap_sql("cohort", CLUSTER_REPLICATES)},
         m AS (SELECT cohort, replicate, sum(s) / sum(c) AS m FROM d JOIN n USING (cohort, i) GROUP BY ALL)
         SELECT cohort, quantile_cont(m, 0.025) AS ci95_low, quantile_cont(m, 0.975) AS ci95_high FROM m GROUP BY cohort""",
     "ci95_low ci95_high",
 )
 def cluster(spark, d):
     rows = plain_pairs(spark, d).withColumn("v", F.col("intact") - F.col("expert"))
-    return bootstrap.cluster_bootstrap_ci(rows, "v", index_block("episode_index"), REPLICATES, SEED, ["cohort"])
+    return bootstrap.cluster_bootstrap_ci(rows, "v", index_block("episode_index"), CLUSTER_REPLICATES, SEED, ["cohort"])
 
 
 # --- donors ---------------------------------------------------------------------------
@@ -284,7 +309,7 @@ def cluster(spark, d):
 DONORS = EVENTS + "," + EVENT_EPISODES + f""",
 ring AS MATERIALIZED (SELECT shuffle_repeat, task, episode_index, length,
     row_number() OVER w AS r, count(*) OVER (PARTITION BY shuffle_repeat, task) AS n
-  FROM (SELECT *, md5(concat_ws(':', {SEED}, shuffle_repeat, task, episode_index)) AS h FROM ep, range(2) AS t(shuffle_repeat))
+  FROM (SELECT *, {digest_sql(SEED, 'shuffle_repeat', 'task', 'episode_index')} AS h FROM ep, range(2) AS t(shuffle_repeat))
   WINDOW w AS (PARTITION BY shuffle_repeat, task ORDER BY h, episode_index)),
 donors AS MATERIALIZED (SELECT a.shuffle_repeat, a.task, a.episode_index AS recipient_episode_index, a.length AS recipient_length,
     b.episode_index AS donor_episode_index, b.length AS donor_length
@@ -602,8 +627,8 @@ def summary_sql(extra: str = "") -> str:
           FROM w GROUP BY ALL),
         e AS (SELECT {keys}, episode_index, sum(delta) AS s, count(*) AS c FROM w GROUP BY ALL),
         n AS (SELECT *, row_number() OVER (PARTITION BY {keys} ORDER BY episode_index) - 1 AS i, count(*) OVER (PARTITION BY {keys}) AS size FROM e),
-        b AS (SELECT {keys}, replicate, CAST(('0x' || substr(md5(concat_ws(':', {SEED}, {keys}, replicate, i)), 1, 15)) AS BIGINT) % size AS i FROM n, range(20) AS r(replicate)),
-        m AS (SELECT {keys}, replicate, sum(s) / sum(c) AS m FROM b JOIN n USING ({keys}, i) GROUP BY ALL),
+        {bootstrap_sql(keys, CLUSTER_REPLICATES)},
+        m AS (SELECT {keys}, replicate, sum(s) / sum(n.c) AS m FROM d JOIN n USING ({keys}, i) GROUP BY ALL),
         q AS (SELECT {keys}, quantile_cont(m, 0.025) AS mse_delta_vs_hold_ci95_low, quantile_cont(m, 0.975) AS mse_delta_vs_hold_ci95_high FROM m GROUP BY ALL)
         SELECT * FROM a JOIN q USING ({keys})"""
 
@@ -618,12 +643,12 @@ SUMMARY_INTS = "checkpoint_step decision_offset noise_samples episodes events sc
 
 @query("A18_strategy_summary", summary_sql(), SUMMARY_DOUBLES, SUMMARY_INTS)
 def summary(spark, d):
-    return strategies.strategy_summary(strategy(spark, d), replicates=20, seed=SEED)
+    return strategies.strategy_summary(strategy(spark, d), replicates=CLUSTER_REPLICATES, seed=SEED)
 
 
 @query("A19_strategy_summary_by", summary_sql("moving_hand"), SUMMARY_DOUBLES, SUMMARY_INTS)
 def summary_by(spark, d):
-    return strategies.strategy_summary_by(strategy(spark, d), "moving_hand", replicates=20, seed=SEED)
+    return strategies.strategy_summary_by(strategy(spark, d), "moving_hand", replicates=CLUSTER_REPLICATES, seed=SEED)
 
 
 # --- labels ---------------------------------------------------------------------------

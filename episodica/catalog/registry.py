@@ -14,6 +14,23 @@ ORACLES: dict[str, str] = {}
 DIGITS = 6
 
 
+def digest_sql(seed: int, *parts: str) -> str:
+    """SQL of ``seeded_digest``."""
+    texts = [f"CAST({p} AS VARCHAR)" for p in (f"'{seed}'", *parts)]
+    return "md5(concat(" + ", ".join(f"coalesce(length({t}) || ':' || {t}, '-')" for t in texts) + "))"
+
+
+def draw_sql(seed: int, *parts: str) -> str:
+    """SQL of ``draw(seeded_digest(...))``."""
+    digest = digest_sql(seed, *parts)
+    return f"(CAST(('0x' || substr({digest}, 1, 15)) AS BIGINT) * 8 + CAST(('0x' || substr({digest}, 16, 1)) AS BIGINT) // 2)"
+
+
+def below_sql(seed: int, *parts: str) -> str:
+    """SQL of the number whose remainder ``draw_below`` takes."""
+    return f"CAST(('0x' || substr({digest_sql(seed, *parts)}, 1, 15)) AS BIGINT)"
+
+
 def tidy(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles rounded (never -0.0), integers as bigint, decimals as doubles."""
     out = []

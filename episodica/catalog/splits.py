@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from episodica.catalog.base import DOCS, EVENT_EPISODES, EVENTS, doc_episodes, event_episodes, table, with_
-from episodica.catalog.registry import query
+from episodica.catalog.registry import below_sql, digest_sql, draw_sql, query
 from episodica.functions.labels import numbered_name
 from episodica.functions.seeds import seeded_digest, seeded_order
 from episodica.operators import checks, merge, numbering, splits
@@ -13,11 +13,18 @@ from episodica.operators.ordered import hash_block
 from episodica.plans.compose import compose_collection
 
 SEED = 42
-HEX = "CAST(('0x' || substr(md5({0}), 1, 15)) AS BIGINT)"
 
 
 def digest(*parts: str) -> str:
-    return f"concat_ws(':', {SEED}, {', '.join(parts)})"
+    return digest_sql(SEED, *parts)
+
+
+def drawn(*parts: str) -> str:
+    return draw_sql(SEED, *parts)
+
+
+def below(*parts: str) -> str:
+    return below_sql(SEED, *parts)
 
 
 @query(
@@ -56,7 +63,7 @@ def quotas(spark, d):
 
 STRATIFIED = QUOTA + f""",
 ranked AS (SELECT docs.*, row_number() OVER (PARTITION BY source_dataset, goal
-    ORDER BY md5({digest('source_dataset', 'goal', 'episode_index')}), episode_index) AS r FROM docs),
+    ORDER BY {digest('source_dataset', 'goal', 'episode_index')}, episode_index) AS r FROM docs),
 assigned AS (SELECT r.* EXCLUDE (split, r), CASE WHEN r.r <= q.test THEN 'test' WHEN r.r <= q.test + q.validation THEN 'validation'
     ELSE 'train' END AS split FROM ranked r JOIN quota q ON q.ds = r.source_dataset AND q.goal = r.goal)"""
 
@@ -71,13 +78,13 @@ def stratified(spark, d):
     return splits.split_goal_stratified(rows, SEED, by=["source_dataset"])
 
 
-TRIALS = 400
+TRIALS = 20000
 TRIAL = DOCS + f""",
 names AS (SELECT source_session, row_number() OVER (ORDER BY source_session) - 1 AS number, count(*) OVER () AS n
   FROM (SELECT DISTINCT source_session FROM docs)),
-anchor AS (SELECT trial, n, {HEX.format(digest("'first'", 'trial'))} % n AS a,
-    {HEX.format(digest("'second'", 'trial'))} % (n - 1) AS b0, {HEX.format(digest("'third'", 'trial'))} % (n - 2) AS c0,
-    {HEX.format(digest("'turn'", 'trial'))} % 6 AS turn
+anchor AS (SELECT trial, n, {below("'first'", 'trial')} % n AS a,
+    {below("'second'", 'trial')} % (n - 1) AS b0, {below("'third'", 'trial')} % (n - 2) AS c0,
+    {below("'turn'", 'trial')} % 6 AS turn
   FROM range({TRIALS}) AS t(trial), (SELECT count(*) AS n FROM names)),
 anchor2 AS (SELECT *, (a + 1 + b0) % n AS b FROM anchor),
 anchor3 AS (SELECT *, c0 + CASE WHEN c0 >= least(a, b) THEN 1 ELSE 0 END AS c1 FROM anchor2),
@@ -88,7 +95,7 @@ drawn AS (SELECT trial, source_session,
     CASE WHEN number = a THEN s0 WHEN number = b THEN s1 WHEN number = c THEN s2
       WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'test' ELSE 'validation' END AS split
   FROM (SELECT trial, a, b, c, s0, s1, s2, source_session, number,
-      {HEX.format(digest("'session'", 'trial', 'number'))} / 1152921504606846976.0 AS u
+      {drawn("'session'", 'trial', 'number')} / 9223372036854775808.0 AS u
     FROM anchor4 JOIN orders3 USING (turn), names)),
 cells AS (SELECT trial, goal, count(*) AS total, count(*) FILTER (d.split = 'train') AS train,
     count(*) FILTER (d.split = 'test') AS test, count(*) FILTER (d.split = 'validation') AS validation
@@ -123,7 +130,7 @@ def session_grouped(spark, d):
 
 SAMPLE = DOCS + f""",
 marks AS (SELECT episode_index, goal FROM docs UNION ALL SELECT episode_index, source_dataset FROM docs),
-drawn AS (SELECT *, row_number() OVER (PARTITION BY goal ORDER BY md5({digest('goal', 'episode_index')}), episode_index) AS r FROM marks)"""
+drawn AS (SELECT *, row_number() OVER (PARTITION BY goal ORDER BY {digest('goal', 'episode_index')}, episode_index) AS r FROM marks)"""
 
 
 @query(
@@ -152,7 +159,7 @@ def first(spark, d):
 
 @query(
     "T8_seeded_order",
-    f"SELECT doc_id, {HEX.format(digest('lang', 'doc_id'))} AS position FROM documents",
+    f"SELECT doc_id, {drawn('lang', 'doc_id')} AS position FROM documents",
     ints="doc_id position",
 )
 def ordered(spark, d):

@@ -1,9 +1,11 @@
 """Bootstrap intervals over episodes.
 
 Replicates are drawn by hash, so an interval depends on the seed and the data only.
-Each episode row offers one slot per replicate; a slot names a drawn episode by its
-number in the task. Slots meet values in an equi-join on (task, number), which
-spreads a hot task over all its numbers, and are summed before they are shuffled.
+Draws go in two stages with the same distribution as one. Episodes are numbered and cut into
+blocks; first every slot of a replicate draws the block of its episode, and only the
+counts per (group, replicate, block) leave the task. Then, inside the one row that holds a
+block's values, that many local draws are made. No slot is shuffled, and a group that fits
+one block needs no first stage.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.functions.seeds import draw_below, seeded_digest
+from episodica.functions.seeds import digest_text, draw_below, seeded_digest
 from episodica.operators.ordered import row_numbers
 from episodica.operators.quantiles import exact_quantiles
 from episodica.shared import checkpointed, sized
@@ -19,26 +21,64 @@ from episodica.shared import checkpointed, sized
 INTERVAL = {"ci95_low": 0.025, "ci95_high": 0.975}
 
 
-def _draws(clusters: DataFrame, keys, block, replicates: int, seed: int, values) -> DataFrame:
-    """Drawn values: ``keys, replicate`` and ``values``, as many per replicate as clusters."""
+BLOCK = 1024
+"""Episodes in one row at most."""
+PART = 200
+"""Replicates that one task draws for a block at once."""
+
+
+def _replicate_sums(clusters: DataFrame, keys, block, replicates: int, seed: int) -> DataFrame:
+    """``keys, replicate`` and the drawn sums of ``_s`` and ``_n``, as many draws as clusters."""
     keys = list(keys)
-    # One row per episode, read four times below. Null keys are groups too: one text
+    # One row per episode, read several times below. Null keys are groups too: one text
     # key stands for all of them.
     clusters = checkpointed(clusters)
     clusters = clusters.withColumn("_group", F.to_json(F.struct(*keys)) if keys else F.lit("{}"))
     numbered = row_numbers(clusters, ["_group"], ["episode_index"], block, "_number", start=0)
     sizes = clusters.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    slots = numbered.join(sized(sizes), "_group").select(
-        *keys,
-        "_group",
-        "_number",
-        "_size",
-        F.explode(F.sequence(F.lit(0), F.lit(replicates - 1))).alias("replicate"),
+    numbered = numbered.join(sized(sizes), "_group").withColumn("_block", F.expr(f"_number div {BLOCK}"))
+    value = F.struct("_number", F.col("_s").cast("double").alias("_s"), F.col("_n").cast("double").alias("_n"))
+    blocks = numbered.groupBy(*keys, "_group", "_size", "_block").agg(F.array_sort(F.collect_list(value)).alias("_rows"))
+
+    every = F.sequence(F.lit(0), F.lit(replicates - 1))
+    slots = numbered.where(F.col("_size") > BLOCK).withColumn("replicate", F.explode(every))
+    place = draw_below(seeded_digest(seed, *keys, "replicate", "_number"), F.col("_size"))
+    counts = slots.select("_group", "replicate", F.floor(place / BLOCK).alias("_block"))
+    counts = counts.groupBy("_group", "_block", "replicate").agg(F.count(F.lit(1)).alias("_k"))
+    # At most one entry per replicate.
+    counts = counts.groupBy("_group", "_block").agg(
+        F.map_from_entries(F.collect_list(F.struct("replicate", "_k"))).alias("_counts")
     )
-    digest = seeded_digest(seed, *[F.col(k) for k in keys], "replicate", "_number")
-    slots = slots.select(*keys, "_group", "replicate", draw_below(digest, F.col("_size")).alias("_number"))
-    drawn = slots.join(numbered.select("_group", "_number", *values), ["_group", "_number"])
-    return drawn.drop("_group", "_number")
+    blocks = blocks.join(counts, ["_group", "_block"], "left")
+
+    def of_replicate(replicate):
+        drawn = F.coalesce(F.element_at("_counts", replicate), F.lit(0).cast("long"))
+        number = F.when(F.col("_size") <= BLOCK, F.col("_size")).otherwise(drawn)
+        slots = F.when(number > 0, F.sequence(F.lit(0).cast("long"), number - 1)).otherwise(F.array().cast("array<bigint>"))
+
+        # The parts that all slots share are written out once.
+        shared = F.array(F.concat("_text", digest_text(replicate, "_block")))
+
+        def rows(text):
+            def row(slot):
+                return F.get("_rows", draw_below(F.md5(F.concat(text, digest_text(slot))), F.size("_rows")).cast("int"))
+
+            return F.transform(slots, row)
+
+        zero = F.struct(F.lit(0.0).alias("_s"), F.lit(0.0).alias("_n"))
+        add = lambda a, x: F.struct(
+            (a["_s"] + F.coalesce(x["_s"], F.lit(0.0))).alias("_s"), (a["_n"] + F.coalesce(x["_n"], F.lit(0.0))).alias("_n")
+        )
+        return F.aggregate(F.get(F.transform(shared, rows), F.lit(0)), zero, add)
+
+    # Replicates of one block are shared out among tasks.
+    parts = blocks.withColumn("_from", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1), F.lit(PART))))
+    parts = parts.withColumn("_text", digest_text(F.lit(str(seed)), F.lit("slot"), *keys))
+    parts = parts.repartition("_group", "_block", "_from")
+    own = F.sequence("_from", F.least(F.col("_from") + PART, F.lit(replicates)) - 1)
+    one = F.transform(own, lambda r: F.struct(r.alias("replicate"), of_replicate(r).alias("_sum")))
+    sums = parts.select(*keys, F.explode(one).alias("_one")).select(*keys, "_one.*")
+    return sums.groupBy(*keys, "replicate").agg(F.sum("_sum._s").alias("_s"), F.sum("_sum._n").alias("_n"))
 
 
 def stratified_bootstrap_ci(
@@ -49,10 +89,10 @@ def stratified_bootstrap_ci(
     Several rows of an episode (repeats) are averaged first. Tasks weigh equally.
     """
     keys = list(keys)
-    episodes = effects.groupBy(*keys, task, "episode_index").agg(F.avg(value).alias("_v"))
-    drawn = _draws(episodes, [*keys, task], block, replicates, seed, ["_v"])
-    means = drawn.groupBy(*keys, task, "replicate").agg(F.avg("_v").alias("_m"))
-    samples = means.groupBy(*keys, "replicate").agg(F.avg("_m").alias("_m"))
+    mean = F.avg(value)
+    episodes = effects.groupBy(*keys, task, "episode_index").agg(mean.alias("_s"), mean.isNotNull().cast("long").alias("_n"))
+    sums = _replicate_sums(episodes, [*keys, task], block, replicates, seed)
+    samples = sums.groupBy(*keys, "replicate").agg(F.avg(F.try_divide("_s", "_n")).alias("_m"))
     return exact_quantiles(samples, keys, "_m", INTERVAL)
 
 
@@ -64,6 +104,6 @@ def cluster_bootstrap_ci(
     episodes = rows.groupBy(*keys, "episode_index").agg(
         F.sum(value).alias("_s"), F.count(value).alias("_n")
     )
-    drawn = _draws(episodes, keys, block, replicates, seed, ["_s", "_n"])
-    samples = drawn.groupBy(*keys, "replicate").agg((F.sum("_s") / F.sum("_n")).alias("_m"))
+    sums = _replicate_sums(episodes, keys, block, replicates, seed)
+    samples = sums.select(*keys, "replicate", F.try_divide("_s", "_n").alias("_m"))
     return exact_quantiles(samples, keys, "_m", INTERVAL)

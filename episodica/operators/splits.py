@@ -121,23 +121,31 @@ def split_goal_stratified(episodes: DataFrame, seed: int, goal="goal", episode="
     return joined.select(*episodes.columns, split.alias("split"))
 
 
-def _trial_split(seed: int, trial: Column, number: Column, sessions: Column) -> Column:
-    """Split of session ``number`` in a trial.
-
-    Three anchor sessions, drawn without repeats, take the three splits in a drawn
-    order; the others draw with the split ratios.
-    """
+def _anchors(seed: int, trial: Column, sessions: Column) -> Column:
+    """What a trial draws once: three anchor sessions without repeats and the order of their splits."""
 
     def pick(name: str, bound: Column) -> Column:
         return draw_below(seeded_digest(seed, F.lit(name), trial), bound)
 
-    first = pick("first", sessions)
-    second = F.pmod(first + 1 + pick("second", sessions - 1), sessions)
-    low, high = F.least(first, second), F.greatest(first, second)
-    third = pick("third", sessions - 2)
-    third = third + F.when(third >= low, 1).otherwise(0)
-    third = third + F.when(third >= high, 1).otherwise(0)
-    turn = pick("turn", F.lit(6))
+    drawn = F.struct(
+        pick("first", sessions).alias("first"),
+        pick("second", sessions - 1).alias("gap"),
+        pick("third", sessions - 2).alias("third"),
+        pick("turn", F.lit(6)).alias("turn"),
+    )
+
+    def spread(x: Column) -> Column:
+        second = F.pmod(x["first"] + 1 + x["gap"], sessions)
+        third = x["third"] + F.when(x["third"] >= F.least(x["first"], second), 1).otherwise(0)
+        third = third + F.when(third >= F.greatest(x["first"], second), 1).otherwise(0)
+        return F.struct(trial.alias("trial"), x["first"].alias("first"), second.alias("second"), third.alias("third"), x["turn"].alias("turn"))
+
+    # One element, so that each draw is written out once.
+    return F.get(F.transform(F.array(drawn), spread), F.lit(0))
+
+
+def _trial_split(seed: int, anchors: Column, number: Column) -> Column:
+    """Split of session ``number``: the anchors take one split each, the others draw with the ratios."""
     orders = [
         ("train", "test", "validation"), ("train", "validation", "test"),
         ("test", "train", "validation"), ("test", "validation", "train"),
@@ -145,18 +153,20 @@ def _trial_split(seed: int, trial: Column, number: Column, sessions: Column) ->
     ]
 
     def anchor(place: int) -> Column:
-        return F.get(F.array(*[F.lit(o[place]) for o in orders]), turn.cast("int"))
-
-    unit = unit_draw(seeded_digest(seed, F.lit("session"), trial, number))
-    free = (
-        F.when(unit < RATIOS["train"], "train")
-        .when(unit < RATIOS["train"] + RATIOS["test"], "test")
-        .otherwise("validation")
+        return F.get(F.array(*[F.lit(o[place]) for o in orders]), anchors["turn"].cast("int"))
+
+    unit = unit_draw(seeded_digest(seed, F.lit("session"), anchors["trial"], number))
+    free = F.get(
+        F.transform(
+            F.array(unit),
+            lambda u: F.when(u < RATIOS["train"], "train").when(u < RATIOS["train"] + RATIOS["test"], "test").otherwise("validation"),
+        ),
+        F.lit(0),
     )
     return (
-        F.when(number == first, anchor(0))
-        .when(number == second, anchor(1))
-        .when(number == third, anchor(2))
+        F.when(number == anchors["first"], anchor(0))
+        .when(number == anchors["second"], anchor(1))
+        .when(number == anchors["third"], anchor(2))
         .otherwise(free)
     )
 
@@ -194,17 +204,21 @@ def _numbered_sessions(episodes: DataFrame, session: str) -> DataFrame:
 def session_trials(episodes: DataFrame, seed: int, trials: int, session="source_session", goal="goal"):
     """T4/T5: the score of every trial.
 
-    Episodes are counted per (session, goal) first; a trial then costs one row per
-    such pair, summed before the shuffle.
+    Episodes are counted per (session, goal) first. A trial's own draws are made once; it
+    then costs one draw per session and one row per (session, goal), summed before the shuffle.
     """
     numbers = _numbered_sessions(episodes, session)
     size = numbers.agg(F.count(F.lit(1)).alias("n"))
     pairs = episodes.groupBy(session, F.col(goal).alias("goal")).agg(F.count(F.lit(1)).alias("episodes"))
-    pairs = pairs.join(numbers.select(session, "_number"), session)
-    pairs = pairs.withColumn("_sessions", size.scalar())
-    rows = pairs.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
-    split = _trial_split(seed, F.col("trial"), F.col("_number"), F.col("_sessions"))
-    counts = rows.groupBy("trial", "goal", split.alias("split")).agg(F.sum("episodes").alias("episodes"))
+    pairs = pairs.groupBy(session).agg(F.collect_list(F.struct("goal", "episodes")).alias("_goals"))
+    rows = pairs.join(numbers.select(session, "_number"), session)
+    every = episodes.sparkSession.range(trials).select(F.col("id").alias("trial"), size.scalar().alias("n"))
+    drawn = every.select(_anchors(seed, F.col("trial"), F.col("n")).alias("a")).agg(F.collect_list("a").alias("all"))
+    # One entry per trial, whatever the number of episodes.
+    rows = rows.withColumn("_all", drawn.scalar()).select("_number", "_goals", F.explode("_all").alias("_a"))
+    rows = rows.select("_goals", F.col("_a.trial").alias("trial"), _trial_split(seed, F.col("_a"), F.col("_number")).alias("split"))
+    rows = rows.select("trial", "split", F.explode("_goals").alias("_g"))
+    counts = rows.groupBy("trial", F.col("_g.goal").alias("goal"), "split").agg(F.sum("_g.episodes").alias("episodes"))
     goals = episodes.groupBy(F.col(goal).alias("goal")).agg(F.count(F.lit(1)).alias("goal_total"))
     return assignment_score(counts, goals)
 
@@ -223,7 +237,7 @@ def split_session_grouped(
         F.raise_error(F.lit("at least 3 sessions are required")).cast("long")
     )
     chosen = chosen.select(
-        session, _trial_split(seed, F.col("_trial"), F.col("_number"), enough).alias("split")
+        session, _trial_split(seed, _anchors(seed, F.col("_trial"), enough), F.col("_number")).alias("split")
     )
     return episodes.join(sized(chosen), session)
 
