@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from episodica.shared import BROADCAST_ROWS, sized
 
 CELLS = 2048  # cells per power of two
+INFINITE, NAN = 1 << 40, 1 << 41  # cells of their own at the ends
 
 
 def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
@@ -23,12 +24,13 @@ def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
 
 def _cell(value: Column) -> Column:
     """A log-linear histogram cell; never falls as the value grows."""
-    size = F.abs(value)
+    size = F.when(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(1.0)).otherwise(F.abs(value))
     power = F.floor(F.log2(size))
     inside = F.floor((size / F.pow(F.lit(2.0), power) - 1) * CELLS)
     cell = ((power + 1100) * CELLS + inside).cast("long")
     tiny = size < 1e-300
-    return F.when(tiny, F.lit(0)).when(value > 0, cell).otherwise(-cell)
+    cell = F.when(F.abs(value) == float("inf"), F.lit(INFINITE)).otherwise(cell)
+    return F.when(F.isnan(value), F.lit(NAN)).when(tiny, F.lit(0)).when(value > 0, cell).otherwise(-cell)
 
 
 def exact_quantiles(
@@ -39,7 +41,10 @@ def exact_quantiles(
     weight: str | None = None,
     fan_out: Column | None = None,
 ) -> DataFrame:
-    """One row per group with the linear-interpolated quantiles of finite ``value``.
+    """One row per group with the linear-interpolated quantiles of ``value``.
+
+    A group with NaN has NaN for all quantiles; infinities stand at the ends, and between
+    two equal neighbours the quantile is their value.
 
     1. values are counted per histogram cell, combined before the shuffle: what is
        moved is bounded by groups x cells, whatever the number of rows;
@@ -73,6 +78,7 @@ def exact_quantiles(
                 F.sum("_m").over(group.orderBy("_cell").rowsBetween(*before)), F.lit(0)
             ),
             "_all": F.sum("_m").over(group),
+            "_nan": F.max("_cell").over(group) == NAN,
         }
     )
 
@@ -85,14 +91,14 @@ def exact_quantiles(
 
     wanted = [r for p in probabilities.values() for r in ranks(p)[1:]]
     hit = reduce(lambda a, b: a | b, [holds(r, "_m") for r in wanted])
-    hits = sized(cells.where(hit).select(*by, "_cell", "_from", "_all"), BROADCAST_ROWS)
+    hits = sized(cells.where(hit).select(*by, "_cell", "_from", "_all", "_nan"), BROADCAST_ROWS)
     chosen = match(fanned(rows).select(*by, "_v", "_n", "_cell"), hits, [*by, "_cell"])
-    chosen = chosen.groupBy(*by, "_cell", "_from", "_all", "_v").agg(F.sum("_n").alias("_n"))
+    chosen = chosen.groupBy(*by, "_cell", "_from", "_all", "_nan", "_v").agg(F.sum("_n").alias("_n"))
     order = Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(*before)
     chosen = chosen.withColumn(
         "_from", F.col("_from") + F.coalesce(F.sum("_n").over(order), F.lit(0))
     )
-    aggregates = []
+    aggregates = [F.max("_nan").alias("_nan")]
     for name, p in probabilities.items():
         at, low, high = ranks(p)
         aggregates += [
@@ -101,13 +107,10 @@ def exact_quantiles(
             F.max(at - low).alias(f"_part_{name}"),
         ]
     read = chosen.groupBy(*by).agg(*aggregates)
-    return read.select(
-        *by,
-        *[
-            (
-                F.col(f"_low_{n}")
-                + (F.col(f"_high_{n}") - F.col(f"_low_{n}")) * F.col(f"_part_{n}")
-            ).alias(n)
-            for n in probabilities
-        ],
-    )
+
+    def quantile(name: str) -> Column:
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_part_{name}"))
+        return F.when(F.col("_nan"), F.lit(float("nan"))).otherwise(between)
+
+    return read.select(*by, *[quantile(n).alias(n) for n in probabilities])

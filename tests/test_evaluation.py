@@ -168,3 +168,21 @@ def test_error_metrics_of_one_group(spark):
 def test_chunks_stop_at_the_episode_end(spark):
     df = spark.createDataFrame([(8, h, 10) for h in range(8)], "anchor_frame int, horizon_position int, length int")
     assert errors.action_chunks(df).count() == 2
+
+
+def test_quantiles_of_groups_with_nan_and_infinity(spark):
+    import numpy as np
+    from episodica.operators.quantiles import exact_quantiles
+
+    inf, nan = float("inf"), float("nan")
+    groups = {"n": [1.0, 2.0, 3.0, nan], "small": [0.1, 0.2, 0.3, nan], "up": [1.0, 2.0, 5.0, inf], "down": [-inf, -1.0, 0.0, 4.0], "both": [-inf, 1.0, 2.0, 3.0, inf], "all": [nan], "ends": [inf, inf, inf], "plain": [0.0, -0.0, 1e-310, -7.5, 7.5]}
+    df = spark.createDataFrame([(g, v) for g, values in groups.items() for v in values], "g string, v double")
+    wanted = {"median": 0.5, "p95": 0.95, "q01": 0.01}
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", wanted).collect()}
+    for g, values in groups.items():
+        for name, p in wanted.items():
+            # Beside an infinity the rule low + (high - low) * part, where NumPy's other branch gives NaN.
+            low, high = (float(np.quantile(np.array(values), p, method=m)) for m in ("lower", "higher"))
+            part = p * (len(values) - 1) % 1
+            right = float(np.quantile(np.array(values), p)) if np.isfinite([low, high]).all() else low if low == high else low + (high - low) * part
+            assert np.isclose(got[g][name], right, equal_nan=True), (g, name)
