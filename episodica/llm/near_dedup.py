@@ -7,7 +7,8 @@
   a text stops as soon as all slots hold values below the next j.
 * ``BANDS`` bands of ``ROWS`` slots: a pair at similarity 0.8 shares none with
   probability (1 - 0.8**6)**40 = 5e-6. Buckets have no cap.
-* Members of a bucket are compared with its smallest member first. Buckets that then still
+* Members of a bucket are compared first with its most central one, which meets most others
+  over all bands. Buckets that then still
   hold several components are compared across components, block by block: a task gets two
   blocks of about ``BLOCK_BYTES`` and gives out confirmed links that join components.
 * Every link is confirmed on the full shingle sets.
@@ -214,8 +215,12 @@ def near_classes(docs: DataFrame, words: int = SHINGLE, similarity: float = SIMI
     once = here.filter("bands IS NOT NULL").groupBy("cls")
     classes = written(once.agg(F.any_value("n_shingles").alias("n"), F.any_value("sketch").alias("sketch"), F.any_value("bands").alias("bands")), "classes")
     banded = classes.select("cls", F.explode("bands").alias("key"))
-    shared = banded.groupBy("key").agg(F.min("cls").alias("root"), F.count("*").alias("members")).filter("members > 1")
-    buckets = written(banded.join(shared, "key").select("key", "cls", "root"), "buckets")
+    shared = banded.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1")
+    met = written(banded.join(shared, "key").select("key", "cls", "members"), "met")
+    # The text that the variants come from meets most others: stars around it leave little apart.
+    central = met.groupBy("cls").agg(F.sum("members").alias("meets"))
+    roots = met.join(central, "cls").groupBy("key").agg(F.max(F.struct("meets", "cls")).alias("top")).select("key", F.col("top.cls").alias("root"))
+    buckets = written(met.join(roots, "key").select("key", "cls", "root"), "buckets")
 
     several = buckets.select("cls").distinct()
     texts = written(class_texts(docs, words, text_column).join(several, "cls", "left_semi").groupBy("cls").agg(F.any_value("text").alias("text")), "bucket-texts")
