@@ -119,7 +119,7 @@ def surroundings(rows: DataFrame, length: int, gram: int) -> DataFrame:
             kinds = (pa.int64(), pa.bool_(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["gram", "hot", "key", "place", "left", "right"])
 
-    return rows.select("key", "text", "spots").mapInArrow(run, "gram long, hot boolean, key binary, place long, left binary, right binary")
+    return rows.select("key", "text", "spots", "id").mapInArrow(run, "gram long, hot boolean, key binary, place long, left binary, right binary")
 
 
 def agreeing(near: DataFrame, length: int) -> DataFrame:
@@ -180,15 +180,21 @@ def agreeing_by_count(near: DataFrame, length: int) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """key and spans (begin, end) of texts with repeated strings. ``docs`` has text and its key."""
-    found = written(text_anchors(docs, length, gram), "anchors")
-    once = found.groupBy("key").agg(F.any_value("places").alias("places"), F.any_value("grams").alias("grams"))
-    spots = written(once.select("key", F.explode(F.arrays_zip("places", "grams")).alias("s")).select("key", F.col("s.places").alias("place"), F.col("s.grams").alias("gram")), "spots")
-    again = spots.groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > group).alias("hot"))
-    wanted = spots.join(again, "gram").groupBy("key").agg(F.collect_list(F.struct("place", "gram", "hot")).alias("spots"))
-    near = written(surroundings(docs.select("key", "text").join(wanted, "key").select("key", "text", "spots"), length, gram), "surroundings")
-    usual = agreeing(near.filter("NOT hot").repartition("gram").sortWithinPartitions("gram"), length)
-    spans = usual.union(agreeing_by_count(near.filter("hot"), length))
+    """key and spans (begin, end) of texts with repeated strings. ``docs`` has id, text and the text's key."""
+    found = text_anchors(docs, length, gram)
+    once = written(found.groupBy("key").agg(F.any_value("places").alias("places"), F.any_value("grams").alias("grams")), "anchors")
+    spots = once.select("key", F.explode(F.arrays_zip("places", "grams")).alias("s")).select("key", F.col("s.places").alias("place"), F.col("s.grams").alias("gram"))
+    again = once.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > group).alias("hot"))
+
+    def near(chosen: DataFrame) -> DataFrame:
+        wanted = chosen.groupBy("key").agg(F.collect_list(F.struct("place", "gram", "hot")).alias("spots"))
+        # All columns of ``docs`` go in, so that this join and the caller's share one exchange of texts.
+        return surroundings(docs.join(wanted, "key"), length, gram)
+
+    repeated = spots.join(again, "gram")
+    spans = agreeing(near(repeated.filter("NOT hot")).repartition("gram").sortWithinPartitions("gram"), length)
+    if not again.filter("hot").isEmpty():
+        spans = spans.union(agreeing_by_count(near(repeated.filter("hot")), length))
     copies = docs.groupBy("key").count().filter("count > 1").select("key", F.lit(0).cast("long").alias("begin"), F.lit(WHOLE).cast("long").alias("end"))
     return spans.union(copies).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 
@@ -196,7 +202,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
 def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = LENGTH, gram: int = GRAM, group: int = GROUP, keep_bytes: bool = True) -> DataFrame:
     """id, n_bytes, n_removed, n_spans, the kept bytes (null unless ``keep_bytes``) and their sha256."""
     rows = docs.select(F.col(id_column).alias("id"), text_or_empty(text_column).alias("text")).withColumn("key", F.unhex(F.md5("text")))
-    spans = repeated_spans(rows.select("key", "text"), length, gram, group)
+    # Never null; said here, so that both joins below ask for the same exchange.
+    rows = rows.filter("key IS NOT NULL")
+    spans = repeated_spans(rows, length, gram, group)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in slices(batches, 1):
