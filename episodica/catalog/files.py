@@ -296,21 +296,6 @@ def table_written(spark, d):
     return spark.read.schema(rows.schema).option("header", "true").csv(path)
 
 
-@query("S8_scan_inventory")
-def inventory(spark, d):
-    return scans.scan_inventory(spark, d)
-
-
-@query("A24_tree_digest")
-def digest(spark, d):
-    return scans.tree_digest(scans.file_hashes(spark, d))
-
-
-@query("A25_inventory_digest")
-def size_digest(spark, d):
-    return scans.inventory_digest(scans.scan_inventory(spark, d))
-
-
 # --- packed frames: 8 x 8 RGB from every embedding ---------------------------------------
 
 PIXELS = VECTORS + """,

@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a local folder only if it is unset."""
+    """``spark.checkpoint.dir`` of the session; where it is unset, a local folder in local mode only."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local[") and context.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="spark-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import hashlib
 from collections.abc import Iterator
 
@@ -59,9 +60,16 @@ def scan_inventory(spark: SparkSession, root: str, pattern: str | None = None) -
 
 
 def relative(path: Column, root: str) -> Column:
+    """The part of ``path`` below ``root``, whatever scheme either is written with.
+
+    The root is a prefix: only its first place counts, at the beginning of an absolute path, or, for a
+    relative root, the path of the working folder comes before it.
+    """
     name = root.split("://", 1)[-1].strip("/")
-    found = F.locate(f"{name}/", path)
-    return F.when(found > 0, F.substr(path, found + len(name) + 1)).otherwise(path)
+    if "://" not in root and not root.startswith("/"):
+        name = os.path.abspath(root).strip("/")
+    plain = F.ltrim(F.regexp_replace(path, "^[a-zA-Z][a-zA-Z0-9+.-]*:(//[^/]*)?", ""), F.lit("/"))
+    return F.when(plain.startswith(f"{name}/"), F.substr(plain, F.lit(len(name) + 2))).otherwise(path)
 
 
 def scan_frames(spark, root, columns, max_files: int | None = None, vectors=(), with_file: bool = False) -> DataFrame:
