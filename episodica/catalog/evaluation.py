@@ -326,6 +326,27 @@ def derangement(spark, d):
     return ring(spark, d)
 
 
+# Users in two splits that share their numbers.
+SHARED = f"""two AS (SELECT CASE WHEN episode_index % 2 = 0 THEN 'train' ELSE 'test' END AS split, task, episode_index // 2 AS episode_index, length FROM ep),
+ring AS MATERIALIZED (SELECT *, row_number() OVER w AS r, count(*) OVER (PARTITION BY shuffle_repeat, split, task) AS n
+  FROM (SELECT *, {digest_sql(SEED, 'shuffle_repeat', 'split', 'task', 'episode_index')} AS h FROM two, range(2) AS t(shuffle_repeat))
+  WINDOW w AS (PARTITION BY shuffle_repeat, split, task ORDER BY h, episode_index))"""
+
+
+@query(
+    "W4_donor_derangement_by_split",
+    f"""{with_(EVENTS, EVENT_EPISODES)}, {SHARED}
+        SELECT a.shuffle_repeat, a.split, a.task, a.episode_index AS recipient_episode_index, a.length AS recipient_length,
+          b.episode_index AS donor_episode_index, b.length AS donor_length
+        FROM ring a JOIN ring b ON a.shuffle_repeat = b.shuffle_repeat AND a.split = b.split AND a.task = b.task AND b.r = a.r % a.n + 1""",
+    ints=DONOR_INTS,
+)
+def derangement_by_split(spark, d):
+    split = F.when(F.col("episode_index") % 2 == 0, "train").otherwise("test")
+    rows = event_episodes(spark, d).select(split.alias("split"), "task", F.expr("episode_index div 2").alias("episode_index"), "length")
+    return donors.donor_derangement(rows, SEED, 2, by=["split"])
+
+
 @query(
     "V14_donor_feasibility",
     f"""{with_(EVENTS, EVENT_EPISODES)}, t AS (SELECT task || (episode_index // 60) AS task FROM ep)

@@ -28,19 +28,22 @@ def donor_feasibility(episodes: DataFrame, task="task") -> DataFrame:
 
 
 def donor_derangement(
-    episodes: DataFrame, seed: int, repeats: int = 1, task="task", episode="episode_index", length="length"
+    episodes: DataFrame, seed: int, repeats: int = 1, task="task", episode="episode_index", length="length", by=()
 ) -> DataFrame:
     """In each task a seeded circle of episodes; each takes the next as donor.
 
+    ``by`` names the columns, such as dataset and split, within which episodes are numbered.
+
     The circle is the order of a digest, cut into blocks by its first digits, so a
     task of any size is spread out. A task with one episode fails the job.
     """
-    rows = episodes.select(task, episode, length)
+    by = list(by)
+    rows = episodes.select(*by, task, episode, length)
     rows = rows.withColumn("shuffle_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    rows = rows.withColumn("_digest", seeded_digest(seed, "shuffle_repeat", task, episode))
+    rows = rows.withColumn("_digest", seeded_digest(seed, "shuffle_repeat", *by, task, episode))
     circle = next_row(
         rows,
-        ["shuffle_repeat", task],
+        ["shuffle_repeat", *by, task],
         ["_digest", episode],
         [episode, length],
         hash_block("_digest"),
@@ -51,6 +54,7 @@ def donor_derangement(
     ).otherwise(F.raise_error(F.lit("task has one episode; no donor")).cast("long"))
     return circle.select(
         "shuffle_repeat",
+        *by,
         task,
         F.col(episode).alias("recipient_episode_index"),
         F.col(length).alias("recipient_length"),
@@ -66,15 +70,18 @@ def anchors(frames: DataFrame, horizon: int, frame="frame_index") -> DataFrame:
 
 def frame_mapping(
     anchor_frames: DataFrame, donors: DataFrame | None, intervention: str, repeats: int = 1,
-    brightness_scale: float | None = None,
+    brightness_scale: float | None = None, by=(),
 ) -> DataFrame:
     """Which donor frame replaces the input of each anchor frame.
 
-    ``anchor_frames``: ``task, episode_index, length, frame_index``. Cross-episode
-    interventions read ``donors`` from ``donor_derangement``.
+    ``anchor_frames``: ``by, task, episode_index, length, frame_index``. Cross-episode
+    interventions read ``donors`` from ``donor_derangement``; an anchor whose episode has no
+    donor fails the job.
     """
+    by = list(by)
     t, size = F.col("recipient_frame"), F.col("recipient_length")
     rows = anchor_frames.select(
+        *by,
         "task",
         F.col("episode_index").alias("recipient_episode_index"),
         F.col("length").alias("recipient_length"),
@@ -82,9 +89,11 @@ def frame_mapping(
     )
     if intervention in PHASES:
         given = donors.select(
-            "shuffle_repeat", "recipient_episode_index", "donor_episode_index", "donor_length"
+            *by, "shuffle_repeat", "recipient_episode_index", F.col("donor_episode_index").alias("_donor"), "donor_length"
         )
-        rows = rows.join(given, "recipient_episode_index")
+        rows = rows.join(given, [*by, "recipient_episode_index"], "left")
+        missing = F.raise_error(F.lit("episode of an anchor has no donor")).cast("long")
+        rows = rows.withColumn("donor_episode_index", F.coalesce("_donor", missing)).drop("_donor")
         donor_size = F.col("donor_length")
         fields = {
             "replacement_source": F.lit("same_task_donor"),
@@ -127,23 +136,31 @@ def frame_mapping(
             "rounding_rule": F.lit(ROUNDING_RULE if bright else None).cast("string"),
         }
     ).select(
-        "intervention", "shuffle_repeat", "task", "recipient_episode_index", "recipient_length",
+        "intervention", "shuffle_repeat", *by, "task", "recipient_episode_index", "recipient_length",
         "recipient_frame", "recipient_progress", "replacement_source", "donor_progress",
         "donor_episode_index", "donor_length", "donor_frame", "brightness_scale", "rounding_rule",
     )
 
 
-def fetch_donor_frame(mapping: DataFrame, frames: DataFrame, view: str) -> DataFrame:
-    """Anchors with the donor's frame; an equi-join on (episode, frame).
+def fetch_donor_frame(mapping: DataFrame, frames: DataFrame, view: str, by=()) -> DataFrame:
+    """Anchors with the donor's frame; an equi-join on (by, episode, frame).
 
-    Only mapped frames meet payloads: the mapping holds one row in ``horizon``.
+    Only mapped frames meet payloads: the mapping holds one row in ``horizon``. Anchors
+    without a donor, such as those of brightness changes, are left out; a donor frame that
+    is named but not there fails the job.
     """
+    by = list(by)
     donor = frames.select(
+        *by,
         F.col("episode_index").alias("donor_episode_index"),
         F.col("frame_index").alias("donor_frame"),
         F.col(view).alias("replacement"),
+        F.lit(True).alias("_found"),
     )
-    return mapping.join(donor, ["donor_episode_index", "donor_frame"])
+    named = mapping.where(F.col("donor_episode_index").isNotNull())
+    joined = named.join(donor, [*by, "donor_episode_index", "donor_frame"], "left")
+    missing = F.raise_error(F.lit("donor frame is not in the frame table")).cast(frames.schema[view].dataType)
+    return joined.withColumn("replacement", F.when(F.col("_found"), F.col("replacement")).otherwise(missing)).drop("_found")
 
 
 def replace_view(df: DataFrame, view: str, replacement: Column) -> DataFrame:

@@ -15,10 +15,10 @@ from episodica.operators.quantiles import match
 from pyspark.sql import functions as F
 
 
-def all_mappings(anchors: DataFrame, donors: DataFrame, repeats: int, brightness_scale: float) -> DataFrame:
+def all_mappings(anchors: DataFrame, donors: DataFrame, repeats: int, brightness_scale: float, by=()) -> DataFrame:
     """W5 for all seven interventions."""
     parts = [
-        frame_mapping(anchors, donors, name, repeats, brightness_scale)
+        frame_mapping(anchors, donors, name, repeats, brightness_scale, by)
         for name in (*PHASES, *OFFSETS, *CURRENT_FRAME)
     ]
     return reduce(lambda a, b: a.unionByName(b), parts)

@@ -186,3 +186,17 @@ def test_quantiles_of_groups_with_nan_and_infinity(spark):
             part = p * (len(values) - 1) % 1
             right = float(np.quantile(np.array(values), p)) if np.isfinite([low, high]).all() else low if low == high else low + (high - low) * part
             assert np.isclose(got[g][name], right, equal_nan=True), (g, name)
+
+
+def test_donors_stay_in_their_split(spark):
+    episodes = spark.createDataFrame([(s, "t", e, 4) for s in ("train", "test") for e in range(3)], "split string, task string, episode_index long, length long")
+    frames = episodes.select("split", "task", "episode_index", "length", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long"))).alias("frame_index"))
+    frames = frames.withColumn("view", F.concat("split", F.lit(":"), F.col("episode_index").cast("string"), F.lit(":"), F.col("frame_index").cast("string")))
+    ring = donors.donor_derangement(episodes, 3, by=["split"])
+    mapping = donors.frame_mapping(donors.anchors(frames, 2), ring, "phase_matched", by=["split"])
+    got = donors.fetch_donor_frame(mapping, frames, "view", by=["split"]).collect()
+    assert len(got) == 12 and all(r.replacement == f"{r.split}:{r.donor_episode_index}:{r.donor_frame}" for r in got)
+    with pytest.raises(Exception, match="donor frame is not in"):
+        donors.fetch_donor_frame(mapping, frames.where("split = 'train'"), "view", by=["split"]).collect()
+    with pytest.raises(Exception, match="has no donor"):
+        donors.frame_mapping(frames, ring.where("split = 'train'"), "phase_matched", by=["split"]).collect()
