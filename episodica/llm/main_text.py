@@ -5,7 +5,7 @@ names in class, id and role, share of links, length, sentence ends) gives its un
 potential, and each edge has a potential for parent and child by the child's element. Messages pass up
 the tree and down again (sum-product), which is exact on a tree, and a run of text whose
 marginal reaches 0.5 is kept. Both potentials are counted over labelled pages: layouts
-labelled by hand, and at most ``SAMPLE`` given pages (smallest hash of the url and page) whose own article
+labelled by hand, and at most ``SAMPLE`` given pages (smallest hash of the page) whose own article
 or main element marks the text; blocks in it that bear a name of page furniture are not.
 
 Defined results: null and empty pages give the empty text, as do pages without main text;
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from episodica.llm import labelled_pages as layouts
 from episodica.llm.dom import HINT, Node, parse
-from episodica.llm.tables import slices
+from episodica.llm.tables import slices, smallest_hashes
 
 SAMPLE = 1000
 SMOOTH = 0.5
@@ -135,8 +135,8 @@ def fit(pages: DataFrame, html_column: str = "html", sample: int = SAMPLE) -> Mo
     """Counts over the labelled pages; one row per piece of evidence comes to the driver."""
     spark = pages.sparkSession
     by_hand = spark.createDataFrame([(h, True) for h in layouts.labelled_pages()], "html string, by_hand boolean")
-    given = pages.filter(F.col(html_column).isNotNull()).select(F.col(html_column).alias("html"), F.xxhash64(html_column).alias("h"))
-    given = given.orderBy("h").limit(sample).select("html", F.lit(False).alias("by_hand"))
+    given = pages.filter(F.col(html_column).isNotNull()).select(F.col(html_column).alias("html"))
+    given = smallest_hashes(given, sample, "html").select("html", F.lit(False).alias("by_hand"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()

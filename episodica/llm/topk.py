@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import written
+from episodica.llm.tables import smallest_hashes, written
 
 PIVOTS, SAMPLE, BLOCK = 64, 4096, 4096
 EXACT = 2.0**53
@@ -93,7 +93,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     spark = vectors.sparkSession
     named = vectors.select(F.col(id_column).cast("long").alias("id"), whole_components(F.col(vector_column)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     named = named.filter("id IS NOT NULL AND v IS NOT NULL")
-    sample = [r["v"] for r in named.select("v", F.xxhash64("id", "v").alias("h")).orderBy("h").limit(SAMPLE).collect()]
+    sample = [r["v"] for r in smallest_hashes(named.select("id", "v"), SAMPLE, "id", "v").collect()]
     width = max(map(len, sample), default=1)
     centres = far_apart(matrix([np.array(v, "<i8").tobytes() for v in sample], width).astype(float), pivots) if sample else np.zeros((1, width))
     shared = spark.sparkContext.broadcast(centres)

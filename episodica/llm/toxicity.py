@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import keyed, only, slices, written
+from episodica.llm.tables import keyed, only, slices, smallest_hashes, written
 
 TRAIN_ROWS = 40_000
 PRIOR = 20.0
@@ -98,7 +98,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, held_out, id_column: str,
     """text and label of at most ``limit`` labelled rows outside the held-out fold."""
     marked = labels.filter(F.col(label_column).isNotNull() & F.col(id_column).isNotNull()).filter(~held_out(F.col(id_column)))
     marked = marked.groupBy(F.col(id_column).alias("_id")).agg(F.max(label_column).cast("int").alias("_label"))
-    chosen = marked.orderBy(F.xxhash64("_id"), "_id").limit(limit)
+    chosen = smallest_hashes(marked, limit, "_id")
     # At most ``limit`` pairs of numbers are sent to every task.
     return docs.select(F.col(id_column).alias("_id"), F.col(text_column).alias("_text")).join(F.broadcast(chosen), "_id").select("_text", "_label")
 
