@@ -61,14 +61,14 @@ def class_states(ledger: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
     return changes.groupBy("digest").agg(F.max(F.struct("group_size", "kept")).alias("last")).select("digest", "last.kept", "last.group_size")
 
 
-def exact_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", digest=sha256) -> DataFrame:
+def exact_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", digest=sha256, by_content: bool = False) -> DataFrame:
     """One row per row of ``docs``: id, digest, keep_id, group_size, kept and its locator.
 
     ``digest`` maps the text to the key of the state. Weak digests give right results too:
     where the bytes of a hit differ, the rows of that digest are told apart by their text.
     """
     spark = docs.sparkSession
-    rows = located(docs).select(F.col(f"row.`{id_column}`").alias("id"), "locator", text_or_empty(f"row.`{text_column}`").alias("text"))
+    rows = located(docs, by_content).select(F.col(f"row.`{id_column}`").alias("id"), "locator", text_or_empty(f"row.`{text_column}`").alias("text"))
     rows = rows.withColumn("digest", digest(F.col("text")))
     ledger = written(rows.select("digest", "id", "locator"), "ledger")
     if not ledger.inputFiles():
@@ -92,7 +92,7 @@ def exact_classes(docs: DataFrame, id_column: str = "doc_id", text_column: str =
 
 
 def drop_exact_copies(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, with all their columns; which of those that share text and identifier, their content says."""
     here = located(docs)
-    stay = exact_classes(docs, id_column, text_column).filter("kept").select(F.col("locator.file").alias("_file"), F.col("locator.row").alias("_row"))
+    stay = exact_classes(docs, id_column, text_column, by_content=True).filter("kept").select(F.col("locator.file").alias("_file"), F.col("locator.row").alias("_row"))
     return here.join(stay, (F.col("locator.file") == F.col("_file")) & (F.col("locator.row") == F.col("_row")), "left_semi").select("row.*")

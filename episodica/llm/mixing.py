@@ -81,10 +81,18 @@ def highest_quotients(shares: DataFrame, group: list[str], share: str, seats: Co
 
 def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", source_column: str = "source", weights=WEIGHTS, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """Each row's size, source_size, target and taken words (repeats counted)."""
-    rows = docs.select(
-        F.col(id_column).alias("id"), F.col(source_column).alias("source"), F.coalesce(F.regexp_count(text_column, F.lit(WORD)), F.lit(0)).cast("long").alias("size")
-    )
-    rows = written(rows.withColumn("spot", draw("id")), "sizes")
+    rows = docs.select(F.col(id_column).alias("id"), F.col(source_column).alias("source"), words_in(F.col(text_column)).alias("size"))
+    cut = dealt(rows.withColumn("spot", draw("id")), weights, block, shard_rows)
+    return cut.select("id", "source", "size", "source_size", "target", "taken")
+
+
+def words_in(text: Column) -> Column:
+    return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def dealt(rows: DataFrame, weights=WEIGHTS, block: int = BLOCK, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """``taken`` and the shard of rows with id, source, size and ``spot``, the draw that orders them."""
+    rows = written(rows, "sizes")
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.ceil(F.count("*") / shard_rows).alias("shards"))
     # A row per source: the ordering of the source names is one small window by definition.
     ranked = sources.withColumn("source_rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
@@ -113,7 +121,7 @@ def mixed(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     return (
         cut.withColumn("first_block", F.when(F.col("size") > 0, first).otherwise(0))
         .withColumn("last_block", F.when(F.col("size") > 0, last).otherwise(0))
-        .select("id", "source", "size", "source_size", "target", taken.alias("taken"))
+        .select("id", "source", "size", "source_size", "target", "source_rank", "shard", "spot", taken.alias("taken"))
     )
 
 
@@ -121,11 +129,15 @@ def mix_documents(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     """The mix as whole documents: each row as often as its taken words fill it.
 
     What is left of a row is rounded up or down by a seeded draw in proportion, so that sources
-    keep their words on average; rows without words are not taken.
+    keep their words on average; rows without words are not taken. Draws are made from the
+    identifier and the content of a row, and its number among fully equal rows; file and row
+    only find it again. So two runs on the same rows give the same rows.
     """
     rows = keyed(docs, id_column)
-    flat = rows.select("key", F.col(f"row.`{text_column}`").alias("text"), F.col(f"row.`{source_column}`").alias("source"))
-    taken = mixed(flat, "key", "text", "source", **settings).withColumn("part", draw("id") / F.lit(float(1 << 60)))
+    flat = rows.select(F.col("key").alias("id"), F.col(f"row.`{source_column}`").alias("source"), words_in(F.col(f"row.`{text_column}`")).alias("size"))
+    equal = Window.partitionBy("id.id", "id.content").orderBy("id.file", "id.row")
+    flat = flat.withColumn("copy", F.row_number().over(equal)).withColumn("spot", draw("id.id", "id.content", "copy")).drop("copy")
+    taken = dealt(flat, **settings).withColumn("part", F.conv(F.substring(F.md5(F.concat(F.lit("round:"), F.col("spot").cast("string"))), 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52)))
     times = taken.filter("size > 0").select(F.col("id.file").alias("_file"), F.col("id.row").alias("_row"), F.floor(F.col("taken") / F.col("size") + F.col("part")).cast("int").alias("_times")).filter("_times > 0")
     found = rows.join(times, (F.col("key.file") == F.col("_file")) & (F.col("key.row") == F.col("_row")))
     return found.select("row", F.explode(F.array_repeat(F.lit(0), F.col("_times")))).select("row.*")

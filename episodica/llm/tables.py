@@ -28,18 +28,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def located(docs: DataFrame) -> DataFrame:
-    """row (all columns of ``docs``) and locator (file and row in the file): where each row can be read again."""
-    found = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+def located(docs: DataFrame, by_content: bool = False) -> DataFrame:
+    """row (all columns of ``docs``) and locator (file and row in the file): where each row can be read again.
+
+    File names change with every run where ``docs`` is a written table. With ``by_content`` a hash
+    of all columns comes first, so that the order of locators is the same in every run, but
+    for fully equal rows.
+    """
+    found = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row")]
     try:
-        return docs.select(F.struct("*").alias("row"), found.alias("locator"))
+        rows = docs.select(F.struct("*").alias("row"), F.struct(*found).alias("locator"))
     except AnalysisException:
-        return located(written(docs, "located"))
+        return located(written(docs, "located"), by_content)
+    if not by_content:
+        return rows
+    return rows.select("row", F.struct(F.xxhash64(F.to_json("row")).alias("content"), F.col("locator.file"), F.col("locator.row")).alias("locator"))
 
 
 def keyed(docs: DataFrame, id_column: str) -> DataFrame:
-    """row, and ``key``: the identifier first, then the locator, so that rows that share it are told apart."""
-    return located(docs).select("row", F.struct(F.col(f"row.`{id_column}`").alias("id"), F.col("locator.file"), F.col("locator.row")).alias("key"))
+    """row, and ``key``: the identifier first, then content and locator, so that rows that share it are told apart."""
+    return located(docs, by_content=True).select("row", F.struct(F.col(f"row.`{id_column}`").alias("id"), "locator.*").alias("key"))
 
 
 def only(rows: DataFrame, keys: DataFrame) -> DataFrame:
