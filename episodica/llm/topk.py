@@ -72,10 +72,13 @@ def best(queries: pd.DataFrame, data: pd.DataFrame, k: int) -> pd.DataFrame:
     if len(queries) and len(data):
         data = data.sort_values("id", ignore_index=True)
         width = max(map(len, [*queries["vec"], *data["vec"]])) // 8
-        right, ids = matrix(data["vec"], width), data["id"].to_numpy()
+        right = matrix(data["vec"], width)
+        ids, first = np.unique(data["id"].to_numpy(), return_index=True)
         for begin in range(0, len(queries), 256):
             part = queries.iloc[begin : begin + 256]
-            for query, scores in zip(part["id"].to_numpy(), products(matrix(part["vec"], width), right), strict=True):
+            # Vectors that share an identifier are one candidate before k are taken.
+            highest = np.maximum.reduceat(products(matrix(part["vec"], width), right), first, axis=1)
+            for query, scores in zip(part["id"].to_numpy(), highest, strict=True):
                 other = np.flatnonzero(ids != query)
                 scores = scores[other]
                 if len(other) > k:
@@ -93,6 +96,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
     spark = vectors.sparkSession
     named = vectors.select(F.col(id_column).cast("long").alias("id"), whole_components(F.col(vector_column)).alias("v"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     named = named.filter("id IS NOT NULL AND v IS NOT NULL")
+    # Equal rows once; they are combined before the shuffle.
+    once = named.groupBy("id", "v").agg(F.max("asks").alias("asks")).select("id", "v", "asks")
     sample = [r["v"] for r in smallest_hashes(named.select("id", "v"), SAMPLE, "id", "v").collect()]
     width = max(map(len, sample), default=1)
     centres = far_apart(matrix([np.array(v, "<i8").tobytes() for v in sample], width).astype(float), pivots) if sample else np.zeros((1, width))
@@ -111,7 +116,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
                 names=["id", "asks", "vec", "cell", "away", "norm"],
             )
 
-    placed = written(named.mapInArrow(assign, "id long, asks boolean, vec binary, cell long, away double, norm double"), "cells")
+    placed = written(once.mapInArrow(assign, "id long, asks boolean, vec binary, cell long, away double, norm double"), "cells")
     found = placed.groupBy("cell").agg(F.max("away").alias("radius"), F.max("norm").alias("norm"), F.ceil(F.count("*") / block).alias("blocks")).collect()
     # One row per pivot.
     cells = {r["cell"]: (r["radius"], r["norm"], r["blocks"]) for r in found}
@@ -123,7 +128,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 20, id_column: str = "v
         return asked.groupBy("cell", "block").cogroup(data.groupBy("cell", "block")).applyInPandas(lambda q, d: best(q, d, k), "query_id long, vec_id long, score long")
 
     home = written(solve(queries), "home-results")
-    floor = home.groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
+    # k candidates, each once: only then is the lowest a score that the k-th best cannot fall below.
+    floor = home.groupBy("query_id", "vec_id").agg(F.max("score").alias("score")).groupBy("query_id").agg(F.min("score").alias("least"), F.count("*").alias("n"))
     asked = queries.join(floor, queries["id"] == floor["query_id"], "left").select("id", "vec", "cell", "block", F.when(F.col("n") >= k, F.col("least")).alias("least"))
     summaries = spark.sparkContext.broadcast((centres, cells))
 
