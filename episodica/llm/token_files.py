@@ -47,11 +47,14 @@ class WordEncoder:
 
     The tokenizer folds case and parts letters from marks, so a word of letters is looked up
     in lower case and without the marks at its end.
+
+    With ``literal`` a special token's text is encoded like other text, else it is that token,
+    as by the library's default. Special tokens hold no white space, so both go word by word.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, literal: bool = True):
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = literal
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {}
 
@@ -93,7 +96,7 @@ class WordEncoder:
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id and ids of every row, the end id last."""
+    """id and ids of every row, the end id last; the text of a special token is that token."""
     with open(tokenizer_path) as file:
         definition = file.read()
     shared, version = docs.sparkSession.sparkContext.broadcast(definition), zlib.crc32(definition.encode())
@@ -102,7 +105,7 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Spark runs one task per core; the tokenizer's own threads would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder = kept_in_worker(f"words:{version}", lambda: WordEncoder(shared.value))
+        encoder = kept_in_worker(f"words:{version}", lambda: WordEncoder(shared.value, literal=False))
         for batch, texts in slices(batches, 1):
             ids = [i + tail for i in encoder.encode(texts)]
             ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
