@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.operators.ordered import index_block
-from episodica.operators.quantiles import exact_quantiles, match
+from episodica.operators.quantiles import SIZE, exact_quantiles, match, profile
 from episodica.operators.statistics import frame_delta
 from episodica.shared import checkpointed, sized
 
@@ -38,15 +38,21 @@ def _means(df: DataFrame) -> DataFrame:
 TYPICAL = {"median_absolute_error": 0.5, "p95_absolute_error": 0.95}
 
 
+def _from_profile(found: DataFrame, by) -> DataFrame:
+    m = F.col("moments")
+    sums = {"sample_count": "count", "sum_absolute_error": "abs_sum", "sum_squared_error": "square_sum", "sum_error": "sum"}
+    named = [m[n].alias(c) for c, n in sums.items()] + [m["abs_max"].alias("max_absolute_error")]
+    return _means(found.select(*by, *named, *TYPICAL))
+
+
 def error_metrics(df, by, prediction="prediction", expert="expert", quantiles=True) -> DataFrame:
     """Counts, sums, MAE, MSE, RMSE, bias, largest, median and 95 % absolute error."""
     by = list(by)
     error = F.col(prediction) - F.col(expert)
-    out = _means(df.groupBy(*by).agg(*_sums(error)))
     if not quantiles:
-        return out
-    sizes = df.select(*by, F.abs(error).alias("_size"))
-    return match(out, exact_quantiles(sizes, by, "_size", TYPICAL), by, "left")
+        return _means(df.groupBy(*by).agg(*_sums(error)))
+    found = profile(df.select(*by, error.alias("_error")), by, "_error", {SIZE: TYPICAL}, empty=True)
+    return _from_profile(found, by)
 
 
 def prediction_change(df, by, intact="intact", counterfactual="counterfactual") -> DataFrame:
@@ -134,23 +140,14 @@ def scopes(task="task", cohort="cohort") -> Column:
 def condition_summary(pairs: DataFrame, keys=(), episode=("episode_index",), frame=("frame_index",)) -> DataFrame:
     """A8 per scope, condition and group, with distinct episodes and frames.
 
-    Sums and value counts are formed once at (task, cohort) level and only those
+    Cells with their sums and counts are formed once at (task, cohort) level and only those
     partial results are fanned out to the scopes.
     """
     keys, fine = list(keys), [*keys, "task", "cohort", "condition", "group"]
     scoped = [*keys, "scope", "scope_value", "condition", "group"]
-    rows = long_conditions(pairs)
-    error = F.col("prediction") - F.col("expert")
-    parts = rows.groupBy(*fine).agg(*_sums(error))
-    spread = parts.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
-    totals = _means(
-        spread.groupBy(*scoped).agg(
-            *[F.sum(c).alias(c) for c in ("sample_count", "sum_absolute_error", "sum_squared_error", "sum_error")],
-            F.max("max_absolute_error").alias("max_absolute_error"),
-        )
-    )
-    sizes = rows.select(*fine, F.abs(error).alias("_size"))
-    typical = exact_quantiles(sizes, scoped, "_size", TYPICAL, fan_out=scopes())
+    error = (F.col("prediction") - F.col("expert")).alias("_error")
+    found = profile(long_conditions(pairs).select(*fine, error), scoped, "_error", {SIZE: TYPICAL}, fan_out=scopes(), empty=True)
+    totals = _from_profile(found, scoped)
     # Episodes and frames belong to the scope alone: distinct frames of group "all",
     # counted per episode, then episodes.
     whole = [*keys, "task", "cohort"]
@@ -161,7 +158,7 @@ def condition_summary(pairs: DataFrame, keys=(), episode=("episode_index",), fra
     seen = seen.groupBy(*keys, "scope", "scope_value").agg(
         F.count(F.lit(1)).alias("episodes"), F.sum("_f").cast("long").alias("frames")
     )
-    return match(match(totals, typical, scoped), seen, [*keys, "scope", "scope_value"])
+    return match(totals, seen, [*keys, "scope", "scope_value"])
 
 
 def horizon_summary(pairs: DataFrame, keys=()) -> DataFrame:

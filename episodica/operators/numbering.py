@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from episodica.functions.labels import name_number, numbered_name
-from episodica.operators.ordered import index_block, running_total, sorted_numbers
+from episodica.operators.ordered import index_block, running_total, running_totals, sorted_numbers
 from episodica.shared import sized
 
 
@@ -17,9 +17,8 @@ def renumber_episodes(episodes: DataFrame, by=("split",), source="source_rank",
     """
     block = [F.col(source), index_block(episode)]
     order = [source, episode]
-    # Both totals in one pass: count and frames travel as one decimal-free pair.
-    out = running_total(episodes, by, order, block, F.lit(1).cast("long"), "new_episode_index")
-    return running_total(out, by, order, block, F.col(length).cast("long"), "first_index")
+    totals = {"new_episode_index": F.lit(1).cast("long"), "first_index": F.col(length).cast("long")}
+    return running_totals(episodes, by, order, block, totals)
 
 
 def renumber_frames(frames: DataFrame, numbered: DataFrame, keys=("split", "source_rank", "episode_index")):

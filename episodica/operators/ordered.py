@@ -3,14 +3,16 @@
 A plain ``Window.partitionBy(episode)`` sends a whole episode to one task. Here a
 group is cut into blocks by a *monotone function of its leading order column*
 (``frame_index div 65536``, a minute, a hash prefix). Each block is one window
-partition; what crosses a block edge (a neighbour row, a running total) travels
-through a summary with one row per block. Results equal the plain window.
+partition; what crosses a block edge (a neighbour row, a running total, a run) travels
+through a summary with a row or two per block. Results equal the plain window.
 
 Keys and order columns must not be null, and ``order`` must be total in a group.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,55 +38,127 @@ def _blocked(df: DataFrame, block) -> tuple[DataFrame, list[str]]:
     return df.withColumns(dict(zip(names, blocks, strict=True))), names
 
 
-def _neighbour(df, by, order, values, block, prefix, forward, circular):
+def _values(names) -> Column:
+    return F.struct(*[F.col(v).alias(v) for v in names])
+
+
+def neighbours(
+    df, by, order, block, previous=(), following=(), circular=False,
+    previous_prefix="previous_", next_prefix="next_",
+) -> DataFrame:
+    """``lag`` of the ``previous`` and ``lead`` of the ``following`` columns, from one shuffle.
+
+    Inside a block both are plain windows. The first and the last row of a block are its
+    summary: they alone meet the other blocks' edges (two rows a block and group), while
+    the rows between pass by. Both halves read the same exchange, so the source is
+    scanned and shuffled once. ``circular`` joins the two ends of a group.
+    """
     df, blocks = _blocked(df, block)
     by, order = list(by), list(order)
     keys = by + blocks
-    pick = F.min_by if forward else F.max_by
-    row = F.struct(*[F.col(v).alias(v) for v in values])
-    edges = df.groupBy(*keys).agg(pick(row, F.struct(*order)).alias("_edge"))
-    turn = (lambda c: F.col(c).desc()) if forward else F.col
-    across = Window.partitionBy(*by).orderBy(*[turn(b) for b in blocks])
-    carried = F.lag("_edge").over(across)
+    within = Window.partitionBy(*keys).orderBy(*columns(order))
+    back, ahead = _values(previous or order[:1]), _values(following or order[:1])
+    local = df.repartition(*columns(keys)).withColumns(
+        {"_back": F.lag(back).over(within), "_ahead": F.lead(ahead).over(within)}
+    )
+    # A struct is null only where there is no such row.
+    edge = F.col("_back").isNull() | F.col("_ahead").isNull()
+    across = Window.partitionBy(*by).orderBy(*columns(blocks + order))
+    before, after = F.lag(back).over(across), F.lead(ahead).over(across)
     if circular:
         everything = across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        carried = F.coalesce(carried, F.last("_edge").over(everything))
-    edges = edges.withColumn("_edge", carried)
-    within = Window.partitionBy(*keys).orderBy(*[turn(o) for o in order])
-    near = F.coalesce(F.lag(row).over(within), F.col("_edge"))
-    out = df.join(edges, keys, "left").withColumn("_near", near)
-    return out.withColumns({f"{prefix}{v}": F.col("_near")[v] for v in values}).drop(
-        "_near", "_edge", *blocks
-    )
+        before = F.coalesce(before, F.last(back).over(everything))
+        after = F.coalesce(after, F.first(ahead).over(everything))
+    # Window columns first: they read the edges of all blocks, not those found so far.
+    edges = local.where(edge).withColumns({"_before": before, "_after": after})
+    edges = edges.withColumns(
+        {"_back": F.coalesce("_back", "_before"), "_ahead": F.coalesce("_ahead", "_after")}
+    ).drop("_before", "_after")
+    both = local.where(~edge).unionByName(edges)
+    near = {f"{previous_prefix}{v}": F.col("_back")[v] for v in previous}
+    near |= {f"{next_prefix}{v}": F.col("_ahead")[v] for v in following}
+    return both.withColumns(near).drop("_back", "_ahead", *blocks)
 
 
 def previous_row(df, by, order, values, block, prefix="previous_", circular=False) -> DataFrame:
     """``lag`` of ``values`` in each group; ``circular`` gives the first row the last one."""
-    return _neighbour(df, by, order, values, block, prefix, False, circular)
+    return neighbours(df, by, order, block, values, (), circular, previous_prefix=prefix)
 
 
 def next_row(df, by, order, values, block, prefix="next_", circular=False) -> DataFrame:
     """``lead`` of ``values`` in each group; ``circular`` gives the last row the first one."""
-    return _neighbour(df, by, order, values, block, prefix, True, circular)
+    return neighbours(df, by, order, block, (), values, circular, next_prefix=prefix)
 
 
-def running_total(df, by, order, block, value: Column, name: str) -> DataFrame:
-    """Sum of ``value`` over the rows strictly before each row of its group."""
-    df, blocks = _blocked(df.withColumn("_value", value), block)
+def running_totals(df, by, order, block, totals: dict[str, Column]) -> DataFrame:
+    """For each name the sum of its value over the rows strictly before in the group.
+
+    All totals come from one window and one summary. The summary adds up blocks, combined
+    before the shuffle: it reads the columns of keys and values only, so where the source
+    is columnar its second read is a narrow one.
+    """
     by = list(by)
+    value = {name: f"_value{i}" for i, name in enumerate(totals)}
+    df, blocks = _blocked(df.withColumns({value[n]: v for n, v in totals.items()}), block)
     keys = by + blocks
     before = Window.unboundedPreceding, -1
-    sums = df.groupBy(*keys).agg(F.sum("_value").alias("_total"))
-    across = Window.partitionBy(*by).orderBy(*blocks).rowsBetween(*before)
-    sums = sums.withColumn("_total", F.coalesce(F.sum("_total").over(across), F.lit(0)))
+    across = Window.partitionBy(*by).orderBy(*columns(blocks)).rowsBetween(*before)
+    sums = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_sum{v}") for v in value.values()])
+    sums = sums.select(*keys, *[F.coalesce(F.sum(f"_sum{v}").over(across), F.lit(0)).alias(f"_to{v}") for v in value.values()])
     within = Window.partitionBy(*keys).orderBy(*columns(order)).rowsBetween(*before)
-    return (
-        df.join(sums, keys)
-        .withColumn(name, F.col("_total") + F.coalesce(F.sum("_value").over(within), F.lit(0)))
-        .drop("_value", "_total", *blocks)
+    local = {n: F.coalesce(F.sum(v).over(within), F.lit(0)) for n, v in value.items()}
+    out = df.withColumns(local).join(sums, keys)
+    return out.withColumns({n: F.col(n) + F.col(f"_to{v}") for n, v in value.items()}).drop(
+        *value.values(), *[f"_to{v}" for v in value.values()], *blocks
     )
 
 
+def running_total(df, by, order, block, value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` over the rows strictly before each row of its group."""
+    return running_totals(df, by, order, block, {name: value})
+
+
+def runs(df, by, order, block, same, name: str, pieces_of, runs_of) -> DataFrame:
+    """One row per maximal run of rows that agree on the ``same`` columns with the row before.
+
+    Runs are first reduced to pieces inside their block, where the exchange of rows has put
+    them: ``pieces_of(rows, keys, ends)`` aggregates by ``keys`` and keeps the ``ends``. Only
+    the first and the last piece of a block may go on in another one. These (two a block)
+    meet in their group and are numbered; pieces between stay apart. ``runs_of(pieces, keys)``
+    then merges pieces. Rows are scanned and shuffled once. ``name`` tells the runs of a
+    group apart; it is no running number.
+    """
+    df, blocks = _blocked(df, block)
+    by, order = list(by), list(order)
+    keys = by + blocks
+    within = Window.partitionBy(*columns(keys)).orderBy(*columns(order))
+    now = _values(same)
+    changed = _starts(F.lag(now).over(within), now, same)
+    rows = df.withColumn("_changed", changed)
+    rows = rows.withColumn("_piece", F.sum("_changed").over(within.rowsBetween(Window.unboundedPreceding, 0)))
+    place = F.struct(*columns(order))
+    ends = [F.min_by(now, place).alias("_begin"), F.max_by(now, place).alias("_end")]
+    pieces = pieces_of(rows, [*keys, "_piece"], ends)
+    edge = (F.col("_piece") == 1) | (F.col("_piece") == F.max("_piece").over(Window.partitionBy(*keys)))
+    pieces = pieces.withColumn("_edge", edge)
+    # Edges share one place in their group, an inner piece has its own.
+    own = {f"_at{i}": F.when(~F.col("_edge"), F.col(b)) for i, b in enumerate([*blocks, "_piece"])}
+    pieces = pieces.withColumns(own)
+    together = Window.partitionBy(*by, *own).orderBy(*columns(blocks), "_piece")
+    first = _starts(F.lag("_end").over(together), F.col("_begin"), same)
+    # A block's later pieces begin with a change, whatever the edge piece before them holds.
+    pieces = pieces.withColumn("_begins", F.when(F.col("_piece") != 1, 1).otherwise(first))
+    number = F.sum("_begins").over(together.rowsBetween(Window.unboundedPreceding, 0))
+    pieces = pieces.withColumn(name, F.struct(*own, number.alias("number")))
+    return runs_of(pieces, [*by, name])
+
+
+def _starts(before: Column, now: Column, names) -> Column:
+    """1 where there is no row before or a value is known to differ from it; a null says nothing."""
+    equal = reduce(lambda a, b: a & b, [F.coalesce(before[n] == now[n], F.lit(True)) for n in names])
+    return F.when(before.isNull() | ~equal, 1).otherwise(0)
+
+
 def row_numbers(df, by, order, block, name="row_number", start=1) -> DataFrame:
     """``row_number`` within ``by``, for order columns that can be cut into blocks."""
     numbered = running_total(df, by, order, block, F.lit(1), name)

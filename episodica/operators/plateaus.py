@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.contract import EPISODE
-from episodica.operators.ordered import index_block, previous_row, row_numbers, running_total
+from episodica.operators.ordered import index_block, row_numbers, runs
+from episodica.shared import checkpointed
 
 
 def detect_plateaus(
@@ -31,52 +30,12 @@ def detect_plateaus(
     by = list(by)
     block = index_block(order[0]) if block is None else block
     rows = frames.select(*dict.fromkeys([*by, *order, frame, *states, *actions]))
-    rows = previous_row(rows, by, order, list(states), block)
-    changed = reduce(lambda a, b: a | b, [F.col(s) != F.col(f"previous_{s}") for s in states])
-    changed = F.when(F.coalesce(changed, F.lit(False)), 1).otherwise(0)
-    rows = rows.withColumn("_changed", changed)
-    rows = running_total(rows, by, order, block, F.col("_changed"), "_run")
-    rows = rows.withColumn("_run", F.col("_run") + F.col("_changed"))
-
-    def range_of(action: str) -> DataFrame | Column:
-        return F.max(F.col(action)) - F.min(F.col(action))
-
     vector = frames.schema[actions[0]].dataType.typeName() == "array"
-    if vector:
-        # Joint ranges need one row per joint, reduced before the shuffle.
-        def side(name: str, action: str) -> Column:
-            def joint(v: Column, j: Column) -> Column:
-                return F.struct(F.lit(name).alias("hand"), j.alias("joint"), v.alias("v"))
-
-            return F.transform(F.col(action), joint)
-
-        sides = [side(n, a) for n, a in zip(("left", "right"), actions, strict=True)]
-        joints = rows.select(*by, "_run", frame, F.explode(F.concat(*sides)).alias("_j"))
-        joints = joints.groupBy(*by, "_run", "_j.hand", "_j.joint").agg(
-            F.min(frame).alias("_first"),
-            F.max(frame).alias("_last"),
-            F.count(F.lit(1)).alias("_n"),
-            (F.max("_j.v") - F.min("_j.v")).alias("_range"),
-        )
-        first = F.col("hand") == "left"
-        runs = joints.groupBy(*by, "_run").agg(
-            F.min("_first").alias("fresh_proxy_frame"),
-            F.max("_last").alias("plateau_end_frame"),
-            F.max("_n").alias("plateau_frames"),
-            F.max(F.when(first, F.col("_range"))).alias("left_action_range"),
-            F.max(F.when(~first, F.col("_range"))).alias("right_action_range"),
-        )
-    else:
-        runs = rows.groupBy(*by, "_run").agg(
-            F.min(frame).alias("fresh_proxy_frame"),
-            F.max(frame).alias("plateau_end_frame"),
-            F.count(F.lit(1)).alias("plateau_frames"),
-            range_of(actions[0]).alias("left_action_range"),
-            range_of(actions[1]).alias("right_action_range"),
-        )
+    pieces_of, runs_of = _joint_ranges(frame, actions, order) if vector else _ranges(frame, actions)
+    found = runs(rows, by, order, block, list(states), "_run", pieces_of, runs_of)
     left = F.col("left_action_range") >= strong_action_range
     right = F.col("right_action_range") >= strong_action_range
-    kept = runs.where(F.col("plateau_frames") >= minimum_frames).drop("_run")
+    kept = found.where(F.col("plateau_frames") >= minimum_frames).drop("_run")
     kept = kept.withColumns(
         {
             "stale_candidate_frames": F.greatest(F.col("plateau_frames") - 1, F.lit(0)),
@@ -88,11 +47,72 @@ def detect_plateaus(
             .otherwise("neither"),
         }
     )
+    # One row per plateau, read twice by the numbering.
     return row_numbers(
-        kept, by, ["fresh_proxy_frame"], index_block("fresh_proxy_frame"), "event_index", start=0
+        checkpointed(kept), by, ["fresh_proxy_frame"], index_block("fresh_proxy_frame"), "event_index", start=0
     )
 
 
+def _run_columns(left: Column, right: Column) -> list[Column]:
+    return [
+        F.min("_first").alias("fresh_proxy_frame"),
+        F.max("_last").alias("plateau_end_frame"),
+        left.alias("left_action_range"),
+        right.alias("right_action_range"),
+    ]
+
+
+def _ranges(frame: str, actions):
+    """Ranges of two scalar actions: minima and maxima of pieces, then of runs."""
+
+    def pieces_of(rows: DataFrame, keys, ends) -> DataFrame:
+        sides = zip(("left", "right"), actions, strict=True)
+        extremes = [f(a).alias(f"_{f.__name__}_{n}") for n, a in sides for f in (F.min, F.max)]
+        size = [F.min(frame).alias("_first"), F.max(frame).alias("_last"), F.count(F.lit(1)).alias("_n")]
+        return rows.groupBy(*keys).agg(*ends, *size, *extremes)
+
+    def runs_of(pieces: DataFrame, keys) -> DataFrame:
+        left, right = (F.max(f"_max_{n}") - F.min(f"_min_{n}") for n in ("left", "right"))
+        return pieces.groupBy(*keys).agg(F.sum("_n").alias("plateau_frames"), *_run_columns(left, right))
+
+    return pieces_of, runs_of
+
+
+def _joint_ranges(frame: str, actions, order):
+    """The same of action vectors: the largest range of a hand's joints. A piece holds a list with one entry per joint."""
+
+    def side(name: str, action: str) -> Column:
+        def joint(v: Column, j: Column) -> Column:
+            return F.struct(F.lit(name).alias("hand"), j.alias("joint"), v.alias("v"))
+
+        return F.transform(F.col(action), joint)
+
+    size = [F.min("_first").alias("_first"), F.max("_last").alias("_last")]
+    extremes = [F.min("_low").alias("_low"), F.max("_high").alias("_high")]
+
+    def pieces_of(rows: DataFrame, keys, ends) -> DataFrame:
+        kinds = F.concat(*[side(n, a) for n, a in zip(("left", "right"), actions, strict=True)])
+        others = [c for c in rows.columns if c not in actions]
+        joints = rows.select(*others, F.explode(kinds).alias("_j")).select(*others, "_j.*")
+        joints = joints.groupBy(*keys, "hand", "joint").agg(
+            *ends, F.min(frame).alias("_first"), F.max(frame).alias("_last"),
+            F.count(F.lit(1)).alias("_n"), F.min("v").alias("_low"), F.max("v").alias("_high"),
+        )
+        return joints.groupBy(*keys).agg(
+            F.any_value("_begin").alias("_begin"), F.any_value("_end").alias("_end"), *size,
+            F.max("_n").alias("_n"), F.collect_list(F.struct("hand", "joint", "_low", "_high")).alias("_joints"),
+        )
+
+    def runs_of(pieces: DataFrame, keys) -> DataFrame:
+        joints = pieces.select(*keys, "_first", "_last", "_n", F.explode("_joints").alias("_j")).select("*", "_j.*")
+        joints = joints.groupBy(*keys, "hand", "joint").agg(*size, F.sum("_n").alias("_n"), *extremes)
+        spread, first = F.col("_high") - F.col("_low"), F.col("hand") == "left"
+        left, right = F.max(F.when(first, spread)), F.max(F.when(~first, spread))
+        return joints.groupBy(*keys).agg(F.max("_n").alias("plateau_frames"), *_run_columns(left, right))
+
+    return pieces_of, runs_of
+
+
 def event_id(split: Column, episode: Column, first: Column, last: Column) -> Column:
     return F.format_string("%s:episode-%06d:frames-%d-%d", split, episode, first, last)
 

@@ -1,4 +1,4 @@
-"""Exact linear quantiles without gathering a group in one task."""
+"""Exact linear quantiles, with counts and moments, without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from episodica.shared import BROADCAST_ROWS, sized
 
 CELLS = 2048  # cells per power of two
-INFINITE, NAN = 1 << 40, 1 << 41  # cells of their own at the ends
+INFINITE, NAN, EMPTY = 1 << 40, 1 << 41, 1 << 42  # cells of their own at the ends
+VALUE, SIZE = "value", "size"  # views: the value itself and its absolute value
 
 
 def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
@@ -22,90 +23,102 @@ def match(left: DataFrame, right: DataFrame, keys, how="inner") -> DataFrame:
     return left.join(renamed, test, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def _cell(value: Column) -> Column:
-    """A log-linear histogram cell; never falls as the value grows."""
-    size = F.when(F.isnan(value) | (F.abs(value) == float("inf")), F.lit(1.0)).otherwise(F.abs(value))
+def _cell(value: Column, size: Column) -> Column:
+    """A log-linear histogram cell; never falls as the value grows. ``size`` is its absolute value."""
     power = F.floor(F.log2(size))
     inside = F.floor((size / F.pow(F.lit(2.0), power) - 1) * CELLS)
-    cell = ((power + 1100) * CELLS + inside).cast("long")
-    tiny = size < 1e-300
-    cell = F.when(F.abs(value) == float("inf"), F.lit(INFINITE)).otherwise(cell)
-    return F.when(F.isnan(value), F.lit(NAN)).when(tiny, F.lit(0)).when(value > 0, cell).otherwise(-cell)
+    # Only the last branch computes; the others keep it from values that it cannot hold.
+    cell = (
+        F.when(value.isNull(), F.lit(EMPTY))
+        .when(F.isnan(value), F.lit(NAN))
+        .when(size == float("inf"), F.lit(INFINITE))
+        .when(size < 1e-300, F.lit(0))
+        .otherwise((power + 1100) * CELLS + inside)
+    )
+    return F.when(value < 0, -cell).otherwise(cell)
+
+
+def _ranks(p: float, count: Column) -> tuple[Column, Column, Column]:
+    at = (count - 1) * F.lit(float(p))
+    return at, F.floor(at), F.ceil(at)
+
+
+def _holds(rank: Column, first: Column, width: Column) -> Column:
+    return (rank >= first) & (rank < first + width)
 
 
-def exact_quantiles(
+def profile(
     df: DataFrame,
     by,
     value: str,
-    probabilities: dict[str, float],
+    views: dict[str, dict[str, float]],
     weight: str | None = None,
     fan_out: Column | None = None,
+    finite: bool = False,
+    empty: bool = False,
 ) -> DataFrame:
-    """One row per group with the linear-interpolated quantiles of ``value``.
-
-    A group with NaN has NaN for all quantiles; infinities stand at the ends, and between
-    two equal neighbours the quantile is their value.
-
-    1. values are counted per histogram cell, combined before the shuffle: what is
-       moved is bounded by groups x cells, whatever the number of rows;
-    2. the counts locate the cells that hold the wanted ranks (checkpointed, at most
-       two cells per group and quantile);
+    """One row per group: the struct ``moments`` and the linear-interpolated quantiles.
+
+    ``views`` names quantiles of the ``value`` and of its absolute value (``size``).
+    ``moments`` has count, nonfinite, sum, abs_sum, square_sum, min, max, abs_max, mean and
+    std (population), of rows without ``weight``. With ``finite`` other values are counted as nonfinite and left out of
+    all else; without it a group with NaN has NaN for all quantiles and infinities stand
+    at the ends, where between two equal neighbours the quantile is their value. Nulls are
+    left out; ``empty`` keeps groups that have nothing else.
+
+    1. values fall into histogram cells, each with its count, sum, squares and extremes,
+       combined before the shuffle: what is moved is bounded by groups x cells, whatever
+       the number of rows;
+    2. the cells of a group give its moments and locate the cells that hold the wanted
+       ranks: one row per group (checkpointed, at most two cells per quantile);
     3. only rows in those cells are counted per value, ordered and read off. A value
        that fills a third of the rows is one row per task there.
 
     ``fan_out`` is an array of structs that adds ``by`` columns, such as several
-    scopes for one row. Counts, not rows, are fanned out in the first step.
+    scopes for one row. Cells, not rows, are fanned out in the first step.
     """
     by = list(by)
     fine = by if fan_out is None else [c for c in df.columns if c not in (value, weight)]
     number = F.col(weight) if weight else F.lit(1).cast("long")
     rows = df.select(*fine, F.col(value).cast("double").alias("_v"), number.alias("_n"))
-    rows = rows.where(F.col("_v").isNotNull()).withColumn("_cell", _cell(F.col("_v")))
+    rows = rows.withColumn("_size", F.abs("_v"))
+    rows = rows.withColumns({"_cell": _cell(F.col("_v"), F.col("_size")), "_n": F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)})
+    if not empty:
+        rows = rows.where(F.col("_v").isNotNull())
 
     def fanned(part: DataFrame) -> DataFrame:
         if fan_out is None:
             return part
         return part.withColumn("_s", F.explode(fan_out)).select("*", "_s.*").drop("_s")
 
-    cells = rows.groupBy(*fine, "_cell").agg(F.sum("_n").alias("_m"))
-    if fan_out is not None:
-        cells = fanned(cells).groupBy(*by, "_cell").agg(F.sum("_m").alias("_m"))
-    before = Window.unboundedPreceding, -1
-    group = Window.partitionBy(*by)
-    cells = cells.withColumns(
-        {
-            "_from": F.coalesce(
-                F.sum("_m").over(group.orderBy("_cell").rowsBetween(*before)), F.lit(0)
-            ),
-            "_all": F.sum("_m").over(group),
-            "_nan": F.max("_cell").over(group) == NAN,
-        }
-    )
-
-    def ranks(p: float) -> tuple[Column, Column, Column]:
-        at = (F.col("_all") - 1) * F.lit(float(p))
-        return at, F.floor(at), F.ceil(at)
-
-    def holds(rank: Column, width: str) -> Column:
-        return (rank >= F.col("_from")) & (rank < F.col("_from") + F.col(width))
-
-    wanted = [r for p in probabilities.values() for r in ranks(p)[1:]]
-    hit = reduce(lambda a, b: a | b, [holds(r, "_m") for r in wanted])
-    hits = sized(cells.where(hit).select(*by, "_cell", "_from", "_all", "_nan"), BROADCAST_ROWS)
-    chosen = match(fanned(rows).select(*by, "_v", "_n", "_cell"), hits, [*by, "_cell"])
-    chosen = chosen.groupBy(*by, "_cell", "_from", "_all", "_nan", "_v").agg(F.sum("_n").alias("_n"))
-    order = Window.partitionBy(*by, "_cell").orderBy("_v").rowsBetween(*before)
-    chosen = chosen.withColumn(
-        "_from", F.col("_from") + F.coalesce(F.sum("_n").over(order), F.lit(0))
+    cells = rows.groupBy(*fine, "_cell").agg(
+        F.sum("_n").alias("_m"),
+        F.sum("_v").alias("_sum"),
+        (F.var_pop("_v") * F.count("_v")).alias("_around"),
+        F.min("_v").alias("_low"),
+        F.max("_v").alias("_high"),
     )
-    aggregates = [F.max("_nan").alias("_nan")]
-    for name, p in probabilities.items():
-        at, low, high = ranks(p)
-        aggregates += [
-            F.max(F.when(holds(low, "_n"), F.col("_v"))).alias(f"_low_{name}"),
-            F.max(F.when(holds(high, "_n"), F.col("_v"))).alias(f"_high_{name}"),
-            F.max(at - low).alias(f"_part_{name}"),
-        ]
+    # Cells of one group may repeat after fanning out: the windows below allow ties.
+    summary = sized(_summary(fanned(cells), by, views, finite))
+    hits = summary.select(*by, F.col("moments.count").alias("_all"), F.explode("_hits").alias("_h")).select(*by, "_all", "_h.*")
+
+    chosen = match(fanned(rows).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
+    seen = F.when(F.col("view") == SIZE, F.col("_size")).otherwise(F.col("_v"))
+    keys = [*by, "_all", "view", "place", "before"]
+    chosen = chosen.withColumn("_v", seen).groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))
+    order = Window.partitionBy(*by, "view", "place").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    first = F.col("before") + F.coalesce(F.sum("_n").over(order), F.lit(0))
+    chosen = chosen.withColumn("_first", first)
+
+    aggregates = []
+    for view, wanted in views.items():
+        for name, p in wanted.items():
+            at, low, high = _ranks(p, F.col("_all"))
+            here = F.col("view") == view
+            for side, rank in (("low", low), ("high", high)):
+                held = here & _holds(rank, F.col("_first"), F.col("_n"))
+                aggregates.append(F.max(F.when(held, F.col("_v"))).alias(f"_{side}_{name}"))
+            aggregates.append(F.max(at - low).alias(f"_part_{name}"))
     read = chosen.groupBy(*by).agg(*aggregates)
 
     def quantile(name: str) -> Column:
@@ -113,4 +126,68 @@ def exact_quantiles(
         between = F.when(low == high, low).otherwise(low + (high - low) * F.col(f"_part_{name}"))
         return F.when(F.col("_nan"), F.lit(float("nan"))).otherwise(between)
 
-    return read.select(*by, *[quantile(n).alias(n) for n in probabilities])
+    names = [n for wanted in views.values() for n in wanted]
+    return match(summary, read, by, "left").select(*by, "moments", *[quantile(n).alias(n) for n in names])
+
+
+def _step(size: Column) -> Column:
+    """A power of two of which sums up to ``size`` are exact multiples with 40 bits; null where there is none."""
+    return F.when((size > 1e-250) & (size < 1e300), F.pow(F.lit(2.0), F.ceil(F.log2(size)) - 40))
+
+
+def _total(value: Column, step: Column) -> Column:
+    """The sum in two parts, multiples of ``step`` (exact) and the rest, so that the order of cells does not show."""
+    whole = F.rint(value / step) * step
+    return F.sum(F.when(step.isNull(), value).otherwise(whole)) + F.sum(F.when(step.isNull(), F.lit(0.0)).otherwise(value - whole))
+
+
+def _summary(cells: DataFrame, by, views, finite: bool) -> DataFrame:
+    """by, moments, whether NaN decides the quantiles, and the cells with the wanted ranks."""
+    number, sound = F.col("_m"), F.abs("_cell") < INFINITE
+    used = number if not finite else F.when(sound, number).otherwise(0)
+    group = Window.partitionBy(*by)
+    cells = cells.withColumn("_used", used)
+    total, sums = F.sum("_used"), F.sum(F.when(F.col("_used") > 0, F.col("_sum")))
+    places = {VALUE: F.col("_cell"), SIZE: F.abs("_cell")}
+    columns = {"_count": total.over(group), "_mean": sums.over(group) / total.over(group)}
+    for view in views:
+        # Cells at the same place may repeat: all smaller ones come before, equal ones are one.
+        ordered = group.orderBy(places[view])
+        columns[f"_before_{view}"] = F.coalesce(total.over(ordered.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        columns[f"_width_{view}"] = total.over(ordered.rangeBetween(0, 0))
+    squares = F.col("_around") + F.col("_sum") * F.col("_sum") / number
+    added = {"_sum": F.col("_sum"), "_abs": F.abs("_sum"), "_square": squares}
+    added = {n: F.when(F.col("_used") > 0, c) for n, c in added.items()}
+    columns |= {f"_step{n}": _step(F.sum(F.abs(c)).over(group)) for n, c in added.items()}
+    cells = cells.withColumns(columns)
+    hits = []
+    for view, wanted in views.items():
+        first, width = F.col(f"_before_{view}"), F.col(f"_width_{view}")
+        ranks = [r for p in wanted.values() for r in _ranks(p, F.col("_count"))[1:]]
+        held = reduce(lambda a, b: a | b, [_holds(r, first, width) for r in ranks])
+        hit = F.struct(F.lit(view).alias("view"), "_cell", places[view].alias("place"), first.alias("before"))
+        hits.append(F.collect_set(F.when(held & (F.col("_used") > 0), hit)))
+    any_used = F.col("_used") > 0
+    part = lambda c: F.when(any_used, c)
+    apart = F.col("_sum") / number - F.col("_mean")
+    n = F.sum("_used")
+    totals = {name: _total(c, F.col(f"_step{name}")) for name, c in added.items()}
+    moments = F.struct(
+        n.alias("count"),
+        F.sum(number - F.col("_used")).alias("nonfinite"),
+        totals["_sum"].alias("sum"),
+        totals["_abs"].alias("abs_sum"),
+        totals["_square"].alias("square_sum"),
+        F.min(part(F.col("_low"))).alias("min"),
+        F.max(part(F.col("_high"))).alias("max"),
+        F.max(part(F.greatest(F.abs("_low"), F.abs("_high")))).alias("abs_max"),
+        (totals["_sum"] / n).alias("mean"),
+        F.sqrt(F.sum(part(F.col("_around") + number * apart * apart)) / n).alias("std"),
+    )
+    nan = F.coalesce(F.max(part(F.col("_cell") == NAN)), F.lit(False))
+    return cells.groupBy(*by).agg(moments.alias("moments"), nan.alias("_nan"), F.flatten(F.array(*hits)).alias("_hits"))
+
+
+def exact_quantiles(df: DataFrame, by, value: str, probabilities: dict[str, float], weight: str | None = None, fan_out: Column | None = None) -> DataFrame:
+    """One row per group with the quantiles of ``value``, as in ``profile``."""
+    return profile(df, by, value, {VALUE: probabilities}, weight, fan_out).drop("moments")

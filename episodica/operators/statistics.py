@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from episodica.contract import EPISODE, is_finite
 from episodica.functions.vectors import explode_joints
-from episodica.operators.ordered import index_block, lookahead, next_row, previous_row
-from episodica.operators.quantiles import exact_quantiles, match
+from episodica.operators.ordered import index_block, lookahead, neighbours, previous_row
+from episodica.operators.quantiles import SIZE, VALUE, exact_quantiles, match, profile
 from episodica.shared import sized
 
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "median": 0.50, "p95": 0.95, "p99": 0.99}
@@ -58,12 +58,12 @@ def frame_delta(df, value: str, by=EPISODE, order=("frame_index",), block=None,
 def next_frame_gap(df, action: str, state: str, by=EPISODE, order=("frame_index",), block=None):
     """``gap`` = action(t) - state(t+1), absent on the last row, and ``gap_delta``."""
     block = index_block(order[0]) if block is None else block
-    df = next_row(df, by, order, [state], block)
-    vector = df.schema[state].dataType.typeName() == "array"
-    after = F.col(f"next_{state}")
-    gap = _minus(F.col(action), after) if vector else F.col(action) - after
-    df = df.withColumn("gap", gap).drop(f"next_{state}").where(F.col("gap").isNotNull())
-    return frame_delta(df, "gap", by, order, block, "gap_delta")
+    df = neighbours(df, by, order, block, [action], [state])
+    minus = _minus if df.schema[state].dataType.typeName() == "array" else lambda a, b: a - b
+    gap = minus(F.col(action), F.col(f"next_{state}"))
+    before = minus(F.col(f"previous_{action}"), F.col(state))
+    df = df.withColumns({"gap": gap, "_before": before}).withColumn("gap_delta", minus(F.col("gap"), F.col("_before")))
+    return df.drop(f"previous_{action}", f"next_{state}", "_before").where(F.col("gap").isNotNull())
 
 
 def command_state_gap(df, action="action", state="state", by=EPISODE, order=("frame_index",), block=None):
@@ -74,8 +74,7 @@ def command_state_gap(df, action="action", state="state", by=EPISODE, order=("fr
     """
     block = index_block(order[0]) if block is None else block
     keys = [*by, *order]
-    near = previous_row(df.select(*keys, action, state), by, order, [action, state], block)
-    near = next_row(near, by, order, [state], block)
+    near = neighbours(df.select(*keys, action, state), by, order, block, [action, state], [state])
     act, now = F.col(action), F.col(state)
     act_before, before, after = (
         F.col(f"previous_{action}"), F.col(f"previous_{state}"), F.col(f"next_{state}")
@@ -98,55 +97,40 @@ def command_state_gap(df, action="action", state="state", by=EPISODE, order=("fr
     return rows.where(F.col("values").isNotNull())
 
 
-def _quantiles_of(df: DataFrame, by, samples: dict[str, Column], wanted: dict[str, dict[str, float]]):
-    """Quantiles of several expressions of a row in one pass; nulls are left out."""
-    by = list(by)
-    kinds = F.array(*[F.struct(F.lit(k).alias("_kind"), c.alias("_x")) for k, c in samples.items()])
-    rows = df.select(*by, F.explode(kinds).alias("_k")).select(*by, "_k.*")
-    levels = sorted({p for names in wanted.values() for p in names.values()})
-    column = {p: f"_q{i}" for i, p in enumerate(levels)}
-    found = exact_quantiles(rows, [*by, "_kind"], "_x", {column[p]: p for p in levels})
-    return found.groupBy(*by).agg(
-        *[
-            F.max(F.when(F.col("_kind") == kind, F.col(column[p]))).alias(name)
-            for kind, names in wanted.items()
-            for name, p in names.items()
-        ]
-    )
-
+VALUE_QUANTILES = {VALUE: PERCENTILES, SIZE: {f"abs_{k}": p for k, p in TAILS.items()}}
+DELTA_QUANTILES = {SIZE: {f"abs_delta_{k}": p for k, p in TAILS.items()}}
 
-def _finite(name: str) -> Column:
-    return F.when(is_finite(F.col(name)), F.col(name))
 
-
-def _value_aggregates(value: str) -> list[Column]:
-    x = _finite(value)
+def _value_columns(quantiles=VALUE_QUANTILES) -> list[Column]:
+    """The columns of A1 from a profile."""
+    m = F.col("moments")
+    names = [n for wanted in quantiles.values() for n in wanted]
     return [
-        F.count(value).alias("sample_count"),
-        F.count(x).alias("finite_count"),
-        (F.count(value) - F.count(x)).alias("nonfinite_count"),
-        F.min(x).alias("min"),
-        F.max(x).alias("max"),
-        F.avg(x).alias("mean"),
-        F.stddev_pop(x).alias("std"),
-        F.avg(F.abs(x)).alias("abs_mean"),
-        F.max(F.abs(x)).alias("abs_max"),
+        (m["count"] + m["nonfinite"]).alias("sample_count"),
+        m["count"].alias("finite_count"),
+        m["nonfinite"].alias("nonfinite_count"),
+        *[m[n].alias(n) for n in ("min", "max", "mean", "std")],
+        _mean_of(m["abs_sum"]).alias("abs_mean"),
+        m["abs_max"].alias("abs_max"),
+        *[F.col(n) for n in names],
     ]
 
 
-def _delta_aggregates(delta: str) -> list[Column]:
-    x = F.abs(_finite(delta))
+def _delta_columns() -> list[Column]:
+    """The columns of A2 from a profile."""
+    m = F.col("moments")
     return [
-        F.count(delta).alias("delta_sample_count"),
-        F.count(x).alias("delta_finite_count"),
-        (F.count(delta) - F.count(x)).alias("delta_nonfinite_count"),
-        F.avg(x).alias("abs_delta_mean"),
-        F.max(x).alias("abs_delta_max"),
+        (m["count"] + m["nonfinite"]).alias("delta_sample_count"),
+        m["count"].alias("delta_finite_count"),
+        m["nonfinite"].alias("delta_nonfinite_count"),
+        _mean_of(m["abs_sum"]).alias("abs_delta_mean"),
+        m["abs_max"].alias("abs_delta_max"),
+        *[F.col(n) for n in DELTA_QUANTILES[SIZE]],
     ]
 
 
-VALUE_QUANTILES = {"value": PERCENTILES, "abs": {f"abs_{k}": p for k, p in TAILS.items()}}
-DELTA_QUANTILES = {"delta": {f"abs_delta_{k}": p for k, p in TAILS.items()}}
+def _mean_of(total: Column) -> Column:
+    return F.when(F.col("moments")["count"] > 0, total / F.col("moments")["count"])
 
 
 def _speeds(df: DataFrame, fps: float) -> DataFrame:
@@ -163,40 +147,36 @@ def joint_statistics(df, by, value="value") -> DataFrame:
 
     Non-finite samples are counted and left out.
     """
-    samples = {"value": _finite(value), "abs": F.abs(_finite(value))}
-    basic = df.groupBy(*by).agg(*_value_aggregates(value))
-    return match(basic, _quantiles_of(df, by, samples, VALUE_QUANTILES), by, "left")
+    found = profile(df.select(*by, value), by, value, VALUE_QUANTILES, finite=True, empty=True)
+    return found.select(*by, *_value_columns())
 
 
 def delta_statistics(df, by, delta="delta", fps: float | None = None) -> DataFrame:
     """A2: statistics of |delta|, and of the speed |delta| x fps."""
-    basic = df.groupBy(*by).agg(*_delta_aggregates(delta))
-    tails = _quantiles_of(df, by, {"delta": F.abs(_finite(delta))}, DELTA_QUANTILES)
-    out = match(basic, tails, by, "left")
+    found = profile(df.select(*by, delta), by, delta, DELTA_QUANTILES, finite=True, empty=True)
+    out = found.select(*by, *_delta_columns())
     return out if fps is None else _speeds(out, fps)
 
 
 def motion_statistics(df, by, fps: float, value="value", delta="delta") -> DataFrame:
     """A1 and A2 of the same rows together, in the passes of one."""
-    samples = {
-        "value": _finite(value), "abs": F.abs(_finite(value)), "delta": F.abs(_finite(delta)),
-    }
-    basic = df.groupBy(*by).agg(*_value_aggregates(value), *_delta_aggregates(delta))
-    found = _quantiles_of(df, by, samples, VALUE_QUANTILES | DELTA_QUANTILES)
-    return _speeds(match(basic, found, by, "left"), fps)
+    kinds = F.array(*[F.struct(F.lit(k).alias("_kind"), F.col(c).alias("_x")) for k, c in (("value", value), ("delta", delta))])
+    rows = df.select(*by, F.explode(kinds).alias("_k")).select(*by, "_k.*")
+    found = profile(rows, [*by, "_kind"], "_x", VALUE_QUANTILES, finite=True, empty=True)
+    # The tails of |x| have the same levels in both kinds; the kinds of a group meet in one row.
+    tails = zip(VALUE_QUANTILES[SIZE], DELTA_QUANTILES[SIZE], strict=True)
+    found = found.withColumns({new: F.col(old) for old, new in tails})
+    kinds = {"value": F.struct(*_value_columns()), "delta": F.struct(*_delta_columns())}
+    rows = found.groupBy(*by).agg(*[F.any_value(F.when(F.col("_kind") == k, c), F.lit(True)).alias(f"_{k}") for k, c in kinds.items()])
+    return _speeds(rows.select(*by, "_value.*", "_delta.*"), fps)
 
 
 def episode_stats(df, value="value", by=(*EPISODE, "feature", "dim")) -> DataFrame:
     """A4: min, max, mean, std, count and five quantiles per episode and feature."""
     by = list(by)
-    basic = df.groupBy(*by).agg(
-        F.min(value).alias("min"),
-        F.max(value).alias("max"),
-        F.avg(value).alias("mean"),
-        F.stddev_pop(value).alias("std"),
-        F.count(value).alias("count"),
-    )
-    return match(basic, exact_quantiles(df, by, value, EPISODE_QUANTILES), by, "left")
+    found = profile(df.select(*by, value), by, value, {VALUE: EPISODE_QUANTILES}, empty=True)
+    m = F.col("moments")
+    return found.select(*by, *[m[n].alias(n) for n in ("min", "max", "mean", "std", "count")], *EPISODE_QUANTILES)
 
 
 def merge_stats(stats: DataFrame, by=("feature", "dim")) -> DataFrame:

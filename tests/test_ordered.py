@@ -8,6 +8,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from episodica.operators import ordered, quantiles
+from episodica.operators.plateaus import detect_plateaus
+from episodica.operators.statistics import next_frame_gap
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +41,65 @@ def test_neighbours_cross_blocks(frames, forward, circular):
     assert {(r.e, r.t, r.n_x, r.n_t) for r in got.collect()} == want
 
 
+def test_previous_and_next_share_one_exchange(spark, frames, tmp_path):
+    frames.write.parquet(f"{tmp_path}/frames")
+    rows = spark.read.parquet(f"{tmp_path}/frames")
+    got = ordered.neighbours(rows, ["e"], ["t"], ordered.index_block("t", 4), ["x"], ["x"])
+    order = Window.partitionBy("e").orderBy("t")
+    want = rows.withColumns({"previous_x": F.lag("x").over(order), "next_x": F.lead("x").over(order)})
+    assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+    got.collect()
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    final = plan[: plan.index("== Initial Plan ==")]
+    assert final.count("FileScan") == 1 and "ReusedExchange" in final
+    gaps = {(r.e, r.t): (r.gap, r.gap_delta) for r in next_frame_gap(rows, "x", "x", ["e"], ["t"], ordered.index_block("t", 4)).collect()}
+    both = {(r.e, r.t): r for r in want.collect()}
+    assert gaps == {
+        k: (r.x - r.next_x, None if r.previous_x is None else r.x - r.next_x - (r.previous_x - r.x))
+        for k, r in both.items() if r.next_x is not None
+    }
+
+
+def test_several_totals_at_once(frames):
+    got = ordered.running_totals(frames, ["e"], ["t"], ordered.index_block("t", 4), {"sum": F.col("x"), "rows": F.lit(1)})
+    assert got.columns == [*frames.columns, "sum", "rows"]
+    groups = {}
+    for r in got.orderBy("t").collect():
+        before = groups.setdefault(r.e, [0.0, 0])
+        assert (r["sum"], r["rows"]) == tuple(before)
+        before[0] += r.x
+        before[1] += 1
+
+
+@pytest.mark.parametrize("rows_in_block", [1, 2, 5, 1000])
+@pytest.mark.parametrize("vector", [False, True])
+def test_runs_cross_blocks(spark, rows_in_block, vector):
+    draw = random.Random(rows_in_block)
+    data, want = [], set()
+    for e in range(25):
+        states, now = [], (0.0, 0.0)
+        for _ in range(draw.randint(1, 40)):
+            # Few values, so that the ends of a block often agree around another run.
+            now = draw.choice([now, now, now, (1.0, 0.0), (0.0, 0.0), (0.0, 1.0)])
+            states.append(now)
+        actions = [[draw.random(), draw.random(), draw.random()] for _ in states]
+        data += [(e, t, *s, a) for t, (s, a) in enumerate(zip(states, actions, strict=True))]
+        begin, events = 0, 0
+        for t in range(1, len(states) + 1):
+            if t == len(states) or states[t] != states[begin]:
+                if t - begin >= 3:
+                    spans = [max(a[j] for a in actions[begin:t]) - min(a[j] for a in actions[begin:t]) for j in range(3)]
+                    spans = (max(spans[:2]), spans[2]) if vector else (spans[0], spans[2])
+                    want.add((e, events, begin, t - 1, t - begin, *spans))
+                    events += 1
+                begin = t
+    df = spark.createDataFrame(data, "e int, t long, l double, r double, a array<double>").repartition(3)
+    df = df.withColumns({"left": F.slice("a", 1, 2) if vector else F.col("a")[0], "right": F.slice("a", 3, 1) if vector else F.col("a")[2]})
+    got = detect_plateaus(df, ("l", "r"), ("left", "right"), ["e"], ["t"], "t", ordered.index_block("t", rows_in_block), minimum_frames=3)
+    columns = "e event_index fresh_proxy_frame plateau_end_frame plateau_frames left_action_range right_action_range".split()
+    assert {tuple(r) for r in got.select(columns).collect()} == want
+
+
 def test_running_total_and_numbers(frames):
     total = ordered.running_total(frames, ["e"], ["t"], ordered.index_block("t", 4), F.col("x"), "before")
     window = Window.partitionBy("e").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
