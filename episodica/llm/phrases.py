@@ -5,11 +5,12 @@ its piece, at most ``longest``. Multikey three-way quicksort splits pointers by
 time; the pointers of an equal partition share a phrase, so their number is its count. It goes
 to depth ``longest`` and no further.
 
-* Inside a task the suffixes of ``POINTERS`` words are sorted, and equal ones travel as one row
-  with their number.
-* Rows are routed by their leading words: by one word, or by one more for each leading word that
+* Inside a task the suffixes of ``TEXT`` characters are sorted, and equal ones travel as one
+  with their number, many in an array.
+* They are routed by their leading words: by one word, or by one more for each leading word that
   makes up over 1 / ``HOT`` of all words (there are at most ``HOT`` of these, so their list is
-  small whatever the input). No route holds a larger share of the suffixes than that.
+  small whatever the input). No route holds a larger share of the suffixes than that. Routes
+  are dealt to buckets of about ``POINTERS`` suffixes each, so there are more with more data.
 * Where all suffixes of a route are together, quicksort abandons a partition, less and greater
   ones too, as soon as it has under ``least`` occurrences: no phrase of it can be frequent.
   Shorter phrases than the route's words are summed over routes.
@@ -35,9 +36,13 @@ from episodica.llm.tables import slices, text_or_empty, written
 
 BREAKS = ".,;:!?\n\v\f\r"
 """Characters that end a piece; blanks and tabs part words."""
-POINTERS = 2_000_000
-"""Suffixes that are sorted at once inside a task."""
-SHORT = 512
+TEXT = 4_000_000
+"""Characters of text whose suffixes are sorted at once; a longer text is taken whole."""
+POINTERS = 500_000
+"""Suffixes of a bucket."""
+TOGETHER = 256
+"""Suffixes in one array, so that a batch of rows stays small."""
+SHORT = 2048
 """A partition of so few pointers is finished by a plain sort."""
 HOT = 10_000
 
@@ -57,7 +62,7 @@ def words_of(texts: list[str]) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
     inside = kind == 0
     edge = np.diff(np.concatenate([[False], inside]).astype(np.int8))
     begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    piece = np.cumsum(kind == 2)[begin]
+    piece = np.cumsum(kind == 2, dtype=np.int32 if len(data) < 1 << 31 else np.int64)[begin]
     offsets = np.concatenate([[0], np.cumsum(end - begin)])
     words = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside]))
     return words, np.searchsorted(begins, begin, "right") - 1, piece
@@ -136,7 +141,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], limit: int):
     for batch, texts in slices(batches, 1, limit):
         words, text, piece = words_of(texts)
         langs = batch.column(0).dictionary_encode()
-        yield words, langs.indices.to_numpy(zero_copy_only=False)[text], langs.dictionary, piece
+        yield words.dictionary_encode(), langs.indices.to_numpy(zero_copy_only=False)[text], langs.dictionary, piece
 
 
 def _prepared(docs: DataFrame, lang_column: str, text_column: str) -> DataFrame:
@@ -147,8 +152,7 @@ def word_counts(docs: DataFrame, lang_column: str = "lang", text_column: str = "
     """lang, word and n of all words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, lang, langs, _ in _chunks(batches, 6 * POINTERS):
-            coded = words.dictionary_encode()
+        for coded, lang, langs, _ in _chunks(batches, 2 * TEXT):
             size = max(1, len(coded.dictionary))
             pair, n = np.unique(lang.astype(np.int64) * size + coded.indices.to_numpy(), return_counts=True)
             yield pa.RecordBatch.from_arrays([langs.take(pa.array(pair // size)), coded.dictionary.take(pa.array(pair % size)).cast(pa.string()), pa.array(n)], names=["lang", "word", "n"])
@@ -164,95 +168,125 @@ def hot_words(counts: DataFrame, hot: int = HOT) -> set[int]:
     return {r[0] for r in words.select(F.crc32(F.col("word").cast("binary"))).collect()}
 
 
-def routed(docs: DataFrame, hot: set[int], longest: int, lang_column: str = "lang", text_column: str = "text") -> DataFrame:
-    """lang, suffix (words joined by blanks), words that route it, and n: one row per distinct suffix of a chunk."""
+def routed(docs: DataFrame, hot: set[int], buckets: int, longest: int, lang_column: str = "lang", text_column: str = "text") -> DataFrame:
+    """bucket, lang, depth (words that route them), suffixes (words joined by blanks) and their numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, lang, langs, piece in _chunks(batches, 6 * POINTERS):
-            coded = words.dictionary_encode()
+        for coded, lang, langs, piece in _chunks(batches, TEXT):
             columns = suffixes(coded.indices.to_numpy(), piece, longest)
             pointers, n = combined([lang, *columns], np.ones(len(lang), np.int64))
-            frequent = np.fromiter((zlib.crc32(w.encode()) in hot for w in coded.dictionary.to_pylist()), bool, len(coded.dictionary))
-            depth = leading = np.ones(len(pointers), np.int32)
-            for k in range(longest - 1):
+            if not len(pointers):
+                continue
+            hashes = np.fromiter((zlib.crc32(w.encode()) for w in coded.dictionary.to_pylist()), np.uint64, len(coded.dictionary))
+            frequent = np.isin(hashes, np.fromiter(hot, np.uint64, len(hot)))
+            route = np.fromiter((zlib.crc32(w.encode()) for w in langs.to_pylist()), np.uint64, len(langs))[lang[pointers]]
+            depth, leading = np.zeros(len(pointers), np.int64), np.ones(len(pointers), bool)
+            for k in range(longest):
                 here = columns[k][pointers]
+                depth += leading
                 # Also behind a piece's end: all suffixes that begin with frequent words only go one word deeper.
-                leading = leading * (frequent[here] & (here >= 0))
-                depth = depth + leading
-            yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang[pointers])), _joined(coded.dictionary, columns, pointers), pa.array(depth, pa.int32()), pa.array(n)], names=["lang", "suffix", "depth", "n"])
-
-    return _prepared(docs, lang_column, text_column).mapInArrow(run, "lang string, suffix string, depth int, n long")
-
-
-def one_batch(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
-    return pa.Table.from_batches(batches).combine_chunks().to_batches()[0]
-
-
-def phrase_counts(rows: DataFrame, longest: int, least: int) -> DataFrame:
-    """lang, phrase and n of phrases of 2 .. ``longest`` words with ``least`` occurrences or more."""
-    routes = rows.withColumn("route", F.expr("xxhash64(lang, depth, substring_index(suffix, ' ', depth))"))
-    ordered = routes.repartition("route").sortWithinPartitions("route").select("route", "lang", "suffix", "depth", "n")
-
-    def arrays(batch: pa.RecordBatch):
-        """Numbers of lang and words of each row, with the words' texts; rows of a batch may be of several routes."""
-        split = pc.split_pattern(batch.column("suffix"), " ")
-        size = split.value_lengths().to_numpy()
+                route = np.where(leading & (here >= 0), route * np.uint64(0x9E3779B97F4A7C15) + hashes[here], route)
+                leading = leading & (here >= 0) & frequent[here]
+            bucket = ((route ^ (route >> np.uint64(29))) % np.uint64(buckets)).astype(np.int64)
+            kind = (bucket * len(langs) + lang[pointers]) * (longest + 1) + depth
+            order = np.argsort(kind, kind="stable")
+            pointers, kind = pointers[order], kind[order]
+            fresh = np.flatnonzero(np.concatenate([[True], kind[1:] != kind[:-1]]))
+            size = np.diff(np.append(fresh, len(kind)))
+            # Arrays of TOGETHER suffixes at most, each of one bucket, lang and depth.
+            parts = -(-size // TOGETHER)
+            nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            begins = np.repeat(fresh, parts) + nth * TOGETHER
+            offsets = pa.array(np.append(begins, len(kind)).astype(np.int32))
+            about = kind[begins]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(about // (longest + 1) // len(langs)), langs.take(pa.array(about // (longest + 1) % len(langs))), pa.array((about % (longest + 1)).astype(np.int32)),
+                    pa.ListArray.from_arrays(offsets, _joined(coded.dictionary, columns, pointers)), pa.ListArray.from_arrays(offsets, pa.array(n[order])),
+                ],
+                names=["bucket", "lang", "depth", "suffixes", "numbers"],
+            )
+
+    return _prepared(docs, lang_column, text_column).mapInArrow(run, "bucket long, lang string, depth int, suffixes array<string>, numbers array<long>")
+
+
+class Suffixes:
+    """Rows of a bucket as arrays: numbers of lang and words (with their texts), route depth and weight."""
+
+    def __init__(self, batches: list[pa.RecordBatch], longest: int):
+        rows = pa.Table.from_batches(batches).combine_chunks()
+        lists = rows.column("suffixes").combine_chunks()
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        langs = rows.column("lang").combine_chunks().dictionary_encode()
+        split = pc.split_pattern(lists.flatten(), " ")
+        words = split.value_lengths().to_numpy(zero_copy_only=False)
         coded = split.flatten().dictionary_encode()
-        flat, first = coded.indices.to_numpy(zero_copy_only=False), np.cumsum(size) - size
-        columns = []
+        flat, first = coded.indices.to_numpy(zero_copy_only=False), np.cumsum(words) - words
+        self.lang = np.repeat(langs.indices.to_numpy(zero_copy_only=False), sizes)
+        self.depth = np.repeat(rows.column("depth").to_numpy(), sizes)
+        self.weight = rows.column("numbers").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        self.langs, self.words, self.columns = langs.dictionary, coded.dictionary, []
         for k in range(longest):
-            column = np.full(len(size), -1, np.int64)
-            column[size > k] = flat[first[size > k] + k]
-            columns.append(column)
-        langs = batch.column("lang").dictionary_encode()
-        return langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), langs.dictionary, columns, coded.dictionary
-
-    def merged(batch: pa.RecordBatch) -> pa.RecordBatch:
-        """Equal suffixes of one route as one row."""
-        lang, _, columns, _ = arrays(batch)
-        route = batch.column("route").dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        pointers, n = combined([route, lang, *columns], batch.column("n").to_numpy())
-        kept = batch.take(pa.array(pointers))
-        return kept.set_column(4, "n", pa.array(n))
-
-    def frequent(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lang, langs, columns, words = arrays(batch)
-        routed_by = batch.column("depth").to_numpy()
-        weight = batch.column("n").to_numpy()
-        # Rows of whole routes may be abandoned; shorter phrases of deeper routes are parts of sums.
-        for depth in np.unique(routed_by).tolist():
-            rows = np.flatnonzero(routed_by == depth)
-            part = [lang[rows], *(c[rows] for c in columns)]
+            column = np.full(len(words), -1, np.int32)
+            column[words > k] = flat[first[words > k] + k]
+            self.columns.append(column)
+
+    def merged(self, bucket: int) -> pa.RecordBatch:
+        """Equal suffixes as one."""
+        pointers, n = combined([self.lang, self.depth, *self.columns], self.weight)
+        one = pa.array(np.arange(len(pointers) + 1, dtype=np.int32))
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array(np.full(len(pointers), bucket)), self.langs.take(pa.array(self.lang[pointers])), pa.array(self.depth[pointers], pa.int32()),
+                pa.ListArray.from_arrays(one, _joined(self.words, self.columns, pointers)), pa.ListArray.from_arrays(one, pa.array(n)),
+            ],
+            names=["bucket", "lang", "depth", "suffixes", "numbers"],
+        )
+
+    def phrases(self, least: int) -> Iterator[pa.RecordBatch]:
+        """lang, phrase and n of 2 words or more; the bucket holds whole routes."""
+        longest = len(self.columns)
+        for depth in np.unique(self.depth).tolist():
+            rows = np.flatnonzero(self.depth == depth)
+            part = [self.lang[rows], *(c[rows] for c in self.columns)]
+            # Phrases that the route does not hold whole are parts of sums: none may be abandoned.
             for whole in (True, False) if depth > 2 else (True,):
-                found = [(d - 1, p, w) for d, p, w in equal_partitions(part, weight[rows], least if whole else 1)]
-                for d in range(2, longest + 1):
-                    if (d >= depth) != whole:
-                        continue
-                    hits = [(p, w) for at, p, w in found if at == d]
+                found = list(equal_partitions(part, self.weight[rows], least if whole else 1))
+                for size in range(2, longest + 1):
+                    hits = [(p, w) for at, p, w in found if at == size + 1 and (size >= depth) == whole]
                     if hits:
                         pointers = rows[np.concatenate([p for p, _ in hits])]
-                        n = np.concatenate([w for _, w in hits])
-                        yield pa.RecordBatch.from_arrays([langs.take(pa.array(lang[pointers])), _joined(words, columns[:d], pointers), pa.array(n)], names=["lang", "phrase", "n"])
+                        phrase = _joined(self.words, self.columns[:size], pointers)
+                        yield pa.RecordBatch.from_arrays([self.langs.take(pa.array(self.lang[pointers])), phrase, pa.array(np.concatenate([w for _, w in hits]))], names=["lang", "phrase", "n"])
+
+
+def phrase_counts(rows: DataFrame, longest: int, least: int) -> DataFrame:
+    """lang, phrase and n of phrases of 2 .. ``longest`` words with ``least`` occurrences or more."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, limit = [], 0, POINTERS // 8
+        held, size, limit, last = [], 0, 4 * POINTERS, None
         for batch in batches:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= limit:
-                rows = one_batch(held)
-                route = rows.column("route").to_numpy()
-                # Whole routes are counted, the last one may go on.
-                cut = int(np.argmax(route == route[-1]))
-                if cut:
-                    yield from frequent(rows.slice(0, cut))
-                rest = merged(rows.slice(cut))
-                held, size = [rest], rest.num_rows
-                limit = max(POINTERS // 8, 2 * size)
-        if size:
-            yield from frequent(one_batch(held))
-
-    found = ordered.mapInArrow(run, "lang string, phrase string, n long")
+            buckets = batch.column("bucket").to_numpy()
+            edges = np.flatnonzero(np.diff(buckets)) + 1
+            for begin, end in zip([0, *edges.tolist()], [*edges.tolist(), len(buckets)], strict=True):
+                if begin == end:
+                    continue
+                if buckets[begin] != last and held:
+                    yield from Suffixes(held, longest).phrases(least)
+                    held, size, limit = [], 0, 4 * POINTERS
+                last = buckets[begin]
+                part = batch.slice(begin, end - begin)
+                held.append(part)
+                size += pc.sum(pc.list_value_length(part.column("suffixes"))).as_py()
+                if size >= limit:
+                    held = [Suffixes(held, longest).merged(last)]
+                    size = held[0].num_rows
+                    limit = max(4 * POINTERS, 2 * size)
+        if held:
+            yield from Suffixes(held, longest).phrases(least)
+
+    dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+    found = dealt.mapInArrow(run, "lang string, phrase string, n long")
     return found.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
 
 
@@ -269,7 +303,9 @@ def collocations(docs: DataFrame, longest: int = 3, least: int = 10, inside: int
     """
     words = written(word_counts(docs, lang_column, text_column), "word-counts")
     totals = words.groupBy("lang").agg(F.sum("n").alias("words"))
-    phrases = written(phrase_counts(routed(docs, hot_words(words, hot), longest, lang_column, text_column), longest, least), "phrase-counts")
+    buckets = 1 + (words.agg(F.sum("n")).first()[0] or 0) // POINTERS
+    suffix_rows = routed(docs, hot_words(words, hot), buckets, longest, lang_column, text_column)
+    phrases = written(phrase_counts(suffix_rows, longest, least), "phrase-counts")
     counts = phrases.unionByName(words.filter(F.col("n") >= least).withColumnRenamed("word", "phrase"))
 
     parts = phrases.withColumn("w", F.split("phrase", " "))
