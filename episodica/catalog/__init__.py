@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("statistics", "splits", "merging", "evaluation", "checkpoints", "files")
+MODULES = ("statistics", "splits", "merging", "evaluation", "checkpoints", "files", "validation")
 
 
 def _load():

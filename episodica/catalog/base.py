@@ -178,11 +178,12 @@ def turn_episodes(spark, d) -> DataFrame:
     )
 
 
-def turn_frames(spark, d) -> DataFrame:
+def turn_frames(spark, d, episodes: DataFrame | None = None, tasks: DataFrame | None = None) -> DataFrame:
     keys = ["dataset", "source_rank", "split"]
     rows = turn_rows(spark, d).drop("text")
-    rows = rows.join(turn_episodes(spark, d).drop("length"), [*keys, "conv_id"])
-    tasks = turn_tasks(spark, d).withColumnRenamed("task", "role")
+    episodes = turn_episodes(spark, d) if episodes is None else episodes
+    rows = rows.join(episodes.drop("length"), [*keys, "conv_id"])
+    tasks = (turn_tasks(spark, d) if tasks is None else tasks).withColumnRenamed("task", "role")
     return rows.join(tasks, [*keys, "role"])
 
 

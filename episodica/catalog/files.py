@@ -116,7 +116,7 @@ def raw_folder(spark, d) -> str:
 
 
 def raw_episodes(spark, d):
-    rows = scans.scan_raw_episodes(spark, raw_folder(spark, d), "*.txt")
+    rows = scans.scan_raw_episodes(spark, raw_folder(spark, d), "*.txt", once=True)
     return rows.withColumns(
         {
             "episode": F.regexp_extract("episode", r"(episode_\d+)", 1),

@@ -9,10 +9,11 @@ from episodica.catalog.base import (
     table, turn_episodes, turn_frames, turn_rows, turn_tasks, vector_rows, with_,
 )
 from episodica.catalog.registry import query
-from episodica.operators import checks, donors, merge, numbering
+from episodica.operators import checks, dataset_checks, donors, merge, numbering
 from episodica.operators import statistics as st
 from episodica.operators.ordered import index_block, row_numbers
 from episodica.plans.append import append_report
+from episodica.shared import checkpointed
 
 MERGED = TURNS + """,
 first AS (SELECT split, task, min(source_rank * 1000000 + task_index) AS pos FROM tasks GROUP BY split, task),
@@ -26,7 +27,9 @@ merged AS (SELECT f.split, f.source_rank, m.episode_index, f.frame_index, m.firs
 
 
 def parts(spark, d):
-    return turn_frames(spark, d), turn_episodes(spark, d), turn_tasks(spark, d)
+    """Frames, episodes and tasks; the small tables are made once."""
+    episodes, tasks = checkpointed(turn_episodes(spark, d)), checkpointed(turn_tasks(spark, d))
+    return turn_frames(spark, d, episodes, tasks), episodes, tasks
 
 
 @query(
@@ -381,7 +384,7 @@ def contiguous(spark, d):
     lines = table(spark, d, "lineitem").select(
         F.col("l_orderkey").alias("episode_index"), (F.col("l_linenumber") - 1).alias("frame_index")
     )
-    return checks.check_contiguous(lines, ["episode_index"], index=None)
+    return dataset_checks.check_contiguous(lines, ["episode_index"], index=None)
 
 
 @query(
@@ -409,7 +412,7 @@ def dataset_faults(spark, d):
     info = info.join(tasks.groupBy("dataset", "split").agg(F.count(F.lit(1)).alias("total_tasks")), ["dataset", "split"])
     stats = episodes.where("length <> 2")
     six = F.when(F.col("length") == 6, 7).otherwise(F.col("length"))
-    return checks.validate_dataset(info, tasks, episodes.withColumn("length", six), stats, frames)
+    return dataset_checks.validate_dataset(info, tasks, episodes.withColumn("length", six), stats, frames)
 
 
 @query(

@@ -1,4 +1,4 @@
-"""Data-contract checks.
+"""Data-contract checks (V2-V8, V12, V13, W13-W16, J3, J7, J9, J10, A28); V1 and W12 are in ``dataset_checks``.
 
 Each returns a violation table ``(check, key, detail)``, empty when the data passes.
 """
@@ -16,8 +16,9 @@ from pyspark.sql import types as T
 from episodica.contract import EPISODE, SPLITS, is_finite
 from episodica.functions.labels import name_number, normalize_split
 from episodica.operators.merge import set_difference
-from episodica.operators.ordered import index_block, previous_row, row_numbers, running_total
+from episodica.operators.ordered import index_block, neighbours, previous_row, row_numbers
 from episodica.operators.splits import target_sizes
+from episodica.shared import checkpointed
 
 
 def violations(df: DataFrame, check: str, key, detail) -> DataFrame:
@@ -42,78 +43,47 @@ def assert_empty(table: DataFrame) -> None:
         raise ValueError("; ".join("/".join(str(v) for v in row) for row in found))
 
 
-def check_contiguous(
-    frames: DataFrame, by=EPISODE, order: str = "frame_index", index: str | None = "index", tasks: DataFrame | None = None
-) -> DataFrame:
-    """frame_index is 0..L-1; the global index continues; the task exists.
-
-    Positions come from counts, not from an ordered scan: L distinct values with
-    minimum 0 and maximum L-1 are 0..L-1. The running index is checked against the
-    frames of the episodes before.
-    """
-    by = list(by)
-    stats = [F.count(F.lit(1)).alias("n"), F.min(order).alias("low"), F.max(order).alias("high")]
-    if index:
-        shift = F.col(index) - F.col(order)
-        stats += [F.min(shift).alias("shift_low"), F.max(shift).alias("shift_high")]
-    sizes = frames.groupBy(*by).agg(*stats)
-    repeats = (
-        frames.groupBy(*by, order).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        .groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
-    )
-    out = [
-        violations(
-            sizes.where((F.col("low") != 0) | (F.col("high") != F.col("n") - 1)),
-            "frame_index", key_of(*by), F.format_string("%d rows in %d..%d", "n", "low", "high"),
-        ),
-        violations(repeats, "frame_index repeated", key_of(*by), F.col("n")),
-    ]
-    if index:
-        order_in = [by[-1]]
-        starts = running_total(
-            sizes, by[:-1], order_in, index_block(by[-1]), F.col("n"), "start"
-        )
-        broken = starts.where(
-            (F.col("shift_low") != F.col("shift_high")) | (F.col("shift_low") != F.col("start"))
-        )
-        out.append(violations(broken, "global index", key_of(*by), F.col("start")))
-    if tasks is not None:
-        shared = [c for c in ("dataset", "split") if c in tasks.columns and c in frames.columns]
-        used = frames.groupBy(*shared, "task_index").agg(F.count(F.lit(1)).alias("n"))
-        lost = used.join(tasks.select(*shared, "task_index"), [*shared, "task_index"], "left_anti")
-        out.append(violations(lost, "task_index", key_of(*shared, "task_index"), F.col("n")))
-    return all_of(*out)
+CHUNK = ["chunk_index", "start_frame", "frame_count"]
+SHAPE = ["height", "width", "channels"]
 
 
 def check_chunk_index(chunks: DataFrame, lengths: DataFrame, chunk_frames: int = 32, by=EPISODE) -> DataFrame:
     """Chunk numbers and starts are contiguous, sizes and hashes are sound, and
-    the frames add up to the episode's ``length``."""
+    the frames add up to the episode's ``length``.
+
+    A chunk is compared with the one before it, so a fault is told where the chain breaks.
+    Columns ``filename`` and ``lossless_round_trip_verified`` are checked where they exist.
+    """
     by = list(by)
-    block = index_block("chunk_index")
-    rows = row_numbers(chunks, by, ["chunk_index"], block, "_number", start=0)
-    rows = running_total(rows, by, ["chunk_index"], block, F.col("frame_count"), "_start")
+    extra = [c for c in ("filename", "lossless_round_trip_verified") if c in chunks.columns]
+    rows = chunks.select(*by, *CHUNK, *SHAPE, "uncompressed_bytes", "compressed_sha256", *extra)
+    rows = neighbours(rows, by, ["chunk_index"], index_block("chunk_index"), CHUNK)
+    number = F.coalesce(F.col("previous_chunk_index") + 1, F.lit(0))
+    start = F.coalesce(F.col("previous_start_frame") + F.col("previous_frame_count"), F.lit(0))
     bytes_ = F.col("frame_count") * F.col("height") * F.col("width") * F.col("channels")
     detail = (
-        F.when(F.col("chunk_index") != F.col("_number"), "chunk_index")
-        .when(F.col("start_frame") != F.col("_start"), "start_frame")
+        F.when(F.col("chunk_index") != number, "chunk_index")
+        .when(F.col("start_frame") != start, "start_frame")
         .when(~F.col("frame_count").between(1, chunk_frames), "frame_count")
         .when(F.col("uncompressed_bytes") != bytes_, "uncompressed_bytes")
         .when(~F.coalesce(F.col("compressed_sha256").rlike("^[0-9a-f]{64}$"), F.lit(False)), "sha256")
     )
-    bad = rows.withColumn("_d", detail).where(F.col("_d").isNotNull())
-    shapes = chunks.groupBy(*by).agg(
-        F.min(F.struct("height", "width", "channels")).alias("a"),
-        F.max(F.struct("height", "width", "channels")).alias("b"),
-        F.sum("frame_count").alias("frames"),
+    if "filename" in extra:
+        detail = detail.when(~F.coalesce(F.col("filename").rlike("^[^/]+$"), F.lit(False)), "filename")
+    if "lossless_round_trip_verified" in extra:
+        detail = detail.when(~F.coalesce("lossless_round_trip_verified", F.lit(False)), "not verified")
+    # The rows are read once; their faults and the totals of episodes come from this.
+    rows = checkpointed(rows.select(*by, "chunk_index", "frame_count", F.struct(*SHAPE).alias("_shape"), detail.alias("_d")))
+    shapes = rows.groupBy(*by).agg(
+        F.min("_shape").alias("a"), F.max("_shape").alias("b"), F.sum("frame_count").alias("frames")
     )
     joined = shapes.join(lengths.select(*by, "length"), by, "full_outer")
+    off = F.when(~F.col("frames").eqNullSafe(F.col("length")), F.struct(F.lit("chunk frames").alias("check"), F.col("frames").cast("string").alias("detail")))
+    apart = F.when(F.col("a") != F.col("b"), F.struct(F.lit("chunk shape").alias("check"), F.lit("shape differs").alias("detail")))
+    episodes = joined.select(key_of(*by).alias("key"), F.explode(F.array_compact(F.array(off, apart))).alias("_f"))
     return all_of(
-        violations(bad, "chunk", key_of(*by, "chunk_index"), F.col("_d")),
-        violations(shapes.where("a <> b"), "chunk shape", key_of(*by), "shape differs"),
-        violations(
-            joined.where(~F.col("frames").eqNullSafe(F.col("length"))),
-            "chunk frames", key_of(*by), F.col("frames"),
-        ),
+        violations(rows.where(F.col("_d").isNotNull()), "chunk", key_of(*by, "chunk_index"), F.col("_d")),
+        episodes.select("_f.check", "key", "_f.detail"),
     )
 
 
@@ -263,60 +233,45 @@ def validate_tasks(tasks: DataFrame, by=("dataset",)) -> DataFrame:
     )
 
 
-def validate_dataset(info, tasks, episodes, stats, frames, by=("dataset", "split")) -> DataFrame:
-    """V1: counts of ``info`` against the tables, with V2, J3 and W12."""
-    by = list(by)
-    actual = episodes.groupBy(*by).agg(
-        F.count(F.lit(1)).alias("episodes"), F.sum("length").alias("frames"),
-        F.min("episode_index").alias("low"), F.max("episode_index").alias("high"),
-    )
-    actual = actual.join(
-        tasks.groupBy(*by).agg(F.count(F.lit(1)).alias("tasks")), by, "full_outer"
-    )
-    both = info.select(*by, "total_episodes", "total_frames", "total_tasks").join(actual, by, "full_outer")
-    pairs = [("total_episodes", "episodes"), ("total_frames", "frames"), ("total_tasks", "tasks")]
-    wrong = F.array_compact(
-        F.array(*[F.when(~F.col(a).eqNullSafe(F.col(b)), F.lit(a)) for a, b in pairs])
-    )
-    counted = both.withColumn("_d", F.explode(wrong))
-    apart = actual.where((F.col("low") != 0) | (F.col("high") != F.col("episodes") - 1))
-    keys = [*by, "episode_index"]
-    sizes = frames.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows"))
-    sizes = episodes.select(*keys, "length").join(sizes, keys, "full_outer")
-    return all_of(
-        violations(counted, "info", key_of(*by), F.col("_d")),
-        violations(apart, "episode indices", key_of(*by), F.col("high")),
-        violations(
-            sizes.where(~F.col("length").eqNullSafe(F.col("rows"))), "length", key_of(*keys), F.col("rows")
-        ),
-        validate_tasks(tasks, by),
-        episode_coverage(episodes, stats, keys),
-        check_contiguous(frames, keys, tasks=tasks),
-    )
-
-
 PARTS = ("left_arm", "right_arm", "left_ee", "right_ee")
 
 
-def audit_raw_source(frames: DataFrame, episodes: DataFrame, inventory: DataFrame | None, goal: str, width: int = 7):
-    """V3: goal, non-empty frames, W14, finite vectors of the exact width, media.
+def audit_raw_source(
+    frames: DataFrame, episodes: DataFrame, inventory: DataFrame | None, goal: str, width: int = 7,
+    members: DataFrame | None = None, totals: tuple[int, int] | None = None,
+):
+    """V3: membership, totals, goal, non-empty frames, W14, finite vectors of the exact width, media.
 
     ``frames`` are exploded raw frames ``(episode, position, idx, timestamp_s, states,
     actions, media)``; ``states`` and ``actions`` are structs of the four parts.
+    ``members`` (``episode``) are the expected episodes, ``totals`` the expected number of
+    episodes and frames. The rules of a frame are an array, exploded once.
     """
-    out = [
-        violations(
-            episodes.where(~F.col("goal").eqNullSafe(F.lit(goal))), "goal", F.col("episode"), F.col("goal")
-        ),
-        violations(episodes.where("coalesce(frame_count, 0) = 0"), "no frames", F.col("episode"), F.lit(None)),
-        check_timestamps(frames, ("episode",), "position"),
+    keys = [
+        F.when(~F.col("goal").eqNullSafe(F.lit(goal)), F.struct(F.lit("goal").alias("check"), F.col("goal").cast("string").alias("detail"))),
+        F.when(F.coalesce("frame_count", F.lit(0)) == 0, F.struct(F.lit("no frames").alias("check"), F.lit(None).cast("string").alias("detail"))),
     ]
+    of_episodes = episodes.select(F.col("episode").alias("key"), F.explode(F.array_compact(F.array(*keys))).alias("_f"))
+    out = [of_episodes.select("_f.check", "key", "_f.detail"), check_timestamps(frames, ("episode",), "position")]
+    wrong = []
     for section in ("states", "actions"):
         for part in PARTS:
             values = F.col(f"{section}.{part}.qpos")
             sound = (F.size(values) == width) & F.forall(values, is_finite)
-            bad = frames.where(~F.coalesce(sound, F.lit(False)))
-            out.append(violations(bad, f"{section}.{part}", key_of("episode", "position"), F.size(values)))
+            told = F.struct(F.lit(f"{section}.{part}").alias("check"), F.size(values).cast("string").alias("detail"))
+            wrong.append(F.when(~F.coalesce(sound, F.lit(False)), told))
+    of_frames = frames.select(key_of("episode", "position").alias("key"), F.explode(F.array_compact(F.array(*wrong))).alias("_f"))
+    out.append(of_frames.select("_f.check", "key", "_f.detail"))
+    if members is not None:
+        both = set_difference(members.select("episode"), episodes.select("episode"))
+        out.append(violations(both, "membership", F.col("episode"), F.col("side")))
+    if totals is not None:
+        found = episodes.agg(F.count(F.lit(1)).alias("episodes"), F.coalesce(F.sum("frame_count"), F.lit(0)).alias("frames"))
+        apart = [
+            F.when(F.col(n) != want, F.struct(F.lit(f"total {n}").alias("check"), F.lit(None).cast("string").alias("key"), F.col(n).cast("string").alias("detail")))
+            for n, want in zip(("episodes", "frames"), totals, strict=True)
+        ]
+        out.append(found.select(F.explode(F.array_compact(F.array(*apart))).alias("_f")).select("_f.*"))
     if inventory is not None:
         files = frames.select("episode", "position", F.explode("media").alias("file"))
         named = files.withColumn("file", F.concat_ws("/", "episode", "file"))
@@ -396,11 +351,118 @@ def manifest_matches(records: DataFrame, converted: DataFrame, keys=("split", "s
     return violations(both, "manifest", key_of(*keys), F.col("_d"))
 
 
-def validate_stats(stats: DataFrame, expected: DataFrame | None = None, keys=("feature", "dim")) -> DataFrame:
+def reconcile_manifest(
+    manifest: DataFrame, raw: DataFrame, converted: DataFrame, infos: DataFrame | None = None, keys=("split", "split_episode")
+) -> DataFrame:
+    """V5: manifest, raw and converted episodes agree, in one pass over the three.
+
+    All have ``keys, frame_count, goal`` (``length`` in ``converted``, which also has
+    ``episode_index``); manifest and raw have ``data_json_sha256``. An episode must occur
+    once on every side with equal frames and goal, raw bytes must have the recorded hash,
+    names must be numbered from 1 and converted indices must follow the names. ``infos``
+    (``split, total_frames``) must add up.
+    """
+    keys = list(keys)
+    sides = {
+        "manifest": manifest.select(*keys, "frame_count", "goal", "data_json_sha256"),
+        "raw": raw.select(*keys, "frame_count", "goal", "data_json_sha256"),
+        "converted": converted.select(*keys, F.col("length").alias("frame_count"), "goal", F.col("episode_index").cast("long").alias("_index")),
+    }
+    rows = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [df.withColumn("_side", F.lit(name)) for name, df in sides.items()],
+    )
+
+    def of(name: str, column: str, what=F.max) -> Column:
+        return what(F.when(F.col("_side") == name, F.col(column))).alias(f"{name}_{column.lstrip('_')}")
+
+    met = rows.groupBy(*keys).agg(
+        *[F.count_if(F.col("_side") == n).alias(f"{n}_rows") for n in sides],
+        *[of(n, c) for n in sides for c in ("frame_count", "goal")],
+        *[of(n, "data_json_sha256") for n in ("manifest", "raw")],
+        of("converted", "_index"),
+    )
+    met = checkpointed(met.withColumn("_number", name_number(F.col(keys[-1]))))
+    key = key_of(*keys)
+
+    def fault(test: Column, check: str, detail: Column) -> Column:
+        row = F.struct(F.lit(check).alias("check"), key.alias("key"), detail.cast("string").alias("detail"))
+        return F.when(test, row)
+
+    present = {n: F.col(f"{n}_rows") > 0 for n in sides}
+    faults = [fault(~p, "missing", F.lit(n)) for n, p in present.items()]
+    faults += [fault(F.col(f"{n}_rows") > 1, "repeated", F.lit(n)) for n in sides]
+    for n in ("raw", "converted"):
+        both = present["manifest"] & present[n]
+        for column in ("frame_count", "goal"):
+            apart = ~F.col(f"manifest_{column}").eqNullSafe(F.col(f"{n}_{column}"))
+            faults.append(fault(both & apart, f"{n} {column}", F.col(f"{n}_{column}")))
+    changed = ~F.col("manifest_data_json_sha256").eqNullSafe(F.col("raw_data_json_sha256"))
+    faults.append(fault(present["manifest"] & present["raw"] & changed, "raw hash", F.col("raw_data_json_sha256")))
+    faults.append(fault(present["manifest"] & F.col("_number").isNull(), "name", F.col(keys[-1])))
+    # Converted episodes follow the order of names, so the index is the number less one.
+    moved = present["manifest"] & present["converted"] & (F.col("converted_index") != F.col("_number") - 1)
+    faults.append(fault(moved, "converted index", F.col("converted_index")))
+    out = met.select(F.explode(F.array_compact(F.array(*faults))).alias("_f")).select("_f.*")
+
+    by = keys[:-1]
+    totals = met.groupBy(*by).agg(
+        F.min("_number").alias("low"), F.max("_number").alias("high"),
+        F.count(F.when(present["manifest"], 1)).alias("n"),
+        F.sum("converted_frame_count").alias("frames"),
+    )
+    tables = [out, violations(totals.where("low <> 1 OR high <> n"), "names not contiguous", key_of(*by), F.format_string("%d in %d..%d", "n", "low", "high"))]
+    if infos is not None:
+        sums = infos.select(*by, "total_frames").join(totals, by, "full_outer").where(~F.col("total_frames").eqNullSafe(F.col("frames")))
+        tables.append(violations(sums, "total_frames", key_of(*by), F.col("frames")))
+    return all_of(*tables)
+
+
+def table_fingerprint(df: DataFrame, by, columns=None) -> DataFrame:
+    """V6: ``by, rows, fingerprint`` of a multiset of rows: equal for equal rows in any order.
+
+    Rows are hashed twice and the hashes added up as decimals, so repeated rows count and
+    partial sums combine before the shuffle; what is moved is one row per key and task.
+    """
+    by = list(by)
+    columns = [c for c in df.columns if c not in by] if columns is None else list(columns)
+    # Nulls change no hash, so that a row also says which of its columns are null.
+    marks = [F.col(c).isNull() for c in columns]
+    sums = [
+        F.sum(F.xxhash64(F.lit(seed), *[F.col(c) for c in columns], *marks).cast("decimal(20,0)")).cast("string")
+        for seed in (1, 2)
+    ]
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias("rows"), F.concat_ws(":", *sums).alias("fingerprint"))
+
+
+def unchanged(before: DataFrame, after: DataFrame, by, columns=None, check: str = "held-out statistics") -> DataFrame:
+    """V6: keys whose rows differ between two tables, such as held-out statistics after an append.
+
+    ``before`` may be a table of fingerprints kept from an earlier run.
+    """
+    by = list(by)
+    old = before if "fingerprint" in before.columns and columns is None else table_fingerprint(before, by, columns)
+    new = table_fingerprint(after, by, columns)
+    both = old.select(*by, F.struct("rows", "fingerprint").alias("_old")).join(
+        new.select(*by, F.struct("rows", "fingerprint").alias("_new")), by, "full_outer"
+    )
+    detail = (
+        F.when(F.col("_new").isNull(), "missing").when(F.col("_old").isNull(), "unexpected")
+        .when(F.col("_old") != F.col("_new"), "changed")
+    )
+    both = both.withColumn("_d", detail).where(F.col("_d").isNotNull())
+    return violations(both, check, key_of(*by), F.col("_d"))
+
+
+def validate_stats(
+    stats: DataFrame, expected: DataFrame | None = None, keys=("feature", "dim"),
+    held_out: tuple[DataFrame, DataFrame] | None = None, held_out_by=("split",),
+) -> DataFrame:
     """V6: finite numbers, std >= 0, min <= q01 <= q99 <= max, current fingerprints.
 
     ``expected``: ``feature, width, fingerprint``; the set of features and their widths
-    must match exactly.
+    must match exactly. ``held_out`` has the statistics of the other splits before and
+    after; they must be untouched.
     """
     names = ["mean", "std", "min", "max", "q01", "q99"]
     finite = reduce(lambda a, b: a & b, [F.coalesce(is_finite(F.col(n)), F.lit(False)) for n in names])
@@ -428,6 +490,8 @@ def validate_stats(stats: DataFrame, expected: DataFrame | None = None, keys=("f
         )
         both = both.withColumn("_d", stale).where(F.col("_d").isNotNull())
         out.append(violations(both, "feature", F.col("feature"), F.col("_d")))
+    if held_out is not None:
+        out.append(unchanged(*held_out, held_out_by))
     return all_of(*out)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from episodica.functions.labels import numbered_name
 from episodica.operators.numbering import renumber_episodes, renumber_frames
-from episodica.operators.ordered import index_block, row_numbers
+from episodica.operators.ordered import index_block, row_numbers, running_maxima
 from episodica.shared import sized
 
 
@@ -148,6 +148,85 @@ def merge_provenance(episodes: DataFrame, provenance: DataFrame, by=("split",))
     ).drop("new_episode_index", "first_index")
 
 
+def provenance_coverage(
+    episodes: DataFrame, records: DataFrame, fingerprints: DataFrame | None = None, by=("split",)
+) -> DataFrame:
+    """V9: faults ``(check, key, detail)`` of provenance records against the merged episodes.
+
+    ``episodes``: ``by, episode_index, length``. ``records``: ``by, final_episode_index,
+    frame_count, final_index_start, final_index_end_exclusive`` and, where ``fingerprints``
+    (``by, fingerprint``) is given, ``camera_calibration_fingerprint``. Every episode has
+    one record of its length, no record lies outside, and the frame ranges cover the split
+    without gap or overlap.
+
+    Episodes and records meet in one aggregation; the ranges are swept in sorted order with
+    the furthest end so far carried across blocks, so no task holds a split.
+    """
+    by = list(by)
+    listed = episodes.select(*by, F.col("episode_index").cast("long").alias("episode_index"), F.col("length").cast("long").alias("length"))
+    told = records.select(
+        *by, F.col("final_episode_index").cast("long").alias("episode_index"), F.col("frame_count").cast("long").alias("frame_count"),
+        F.lit(1).cast("long").alias("_record"),
+    )
+    met = listed.unionByName(told, allowMissingColumns=True).groupBy(*by, "episode_index").agg(
+        F.max("length").alias("length"), F.sum("_record").alias("n"),
+        F.min("frame_count").alias("low"), F.max("frame_count").alias("high"),
+    )
+    known, n = F.col("length").isNotNull(), F.coalesce("n", F.lit(0))
+    place = F.concat_ws("/", *[F.col(c).cast("string") for c in [*by, "episode_index"]])
+
+    def fault(test: Column, check: str, key: Column, detail: Column) -> Column:
+        return F.when(test, F.struct(F.lit(check).alias("check"), key.alias("key"), detail.cast("string").alias("detail")))
+
+    of_episodes = [
+        fault(known & (n == 0), "no record", place, F.col("length")),
+        fault(~known, "out of range", place, n),
+        fault(n > 1, "repeated index", place, n),
+        fault(known & (n > 0) & ((F.col("low") != F.col("length")) | (F.col("high") != F.col("length")) | F.col("low").isNull()), "length", place, F.col("high")),
+    ]
+    out = [met.select(F.explode(F.array_compact(F.array(*of_episodes))).alias("_f")).select("_f.*")]
+    ranges = records.select(*by, F.col("final_index_start").alias("start"), F.col("final_index_end_exclusive").alias("end"), F.col("final_episode_index").alias("_at"))
+    sizes = listed.groupBy(*by).agg(F.sum("length").alias("total"))
+    out.append(interval_faults(ranges, sizes, by))
+    if fingerprints is not None:
+        declared = records.select(*by, "final_episode_index", F.col("camera_calibration_fingerprint").alias("_f")).where("_f IS NOT NULL")
+        both = declared.join(sized(fingerprints.select(*by, "fingerprint")), by, "left")
+        form = ~F.col("_f").rlike("^sha256:[0-9a-f]{64}$")
+        key = F.concat_ws("/", *[F.col(c).cast("string") for c in [*by, "final_episode_index"]])
+        detail = F.when(form, "form").when(~F.col("_f").eqNullSafe(F.col("fingerprint")), "differs from info")
+        both = both.select(F.lit("calibration").alias("check"), key.alias("key"), detail.alias("detail"))
+        out.append(both.where("detail IS NOT NULL"))
+    return reduce(lambda a, b: a.unionByName(b), out)
+
+
+def interval_faults(ranges: DataFrame, totals: DataFrame, by) -> DataFrame:
+    """Ranges ``(by, start, end, _at)`` that leave gaps, overlap, are empty or lie outside ``0 .. total``.
+
+    A range is compared with the furthest end of all that begin before it.
+    """
+    by = list(by)
+    bad = F.col("start").isNull() | F.col("end").isNull() | (F.col("end") <= F.col("start")) | (F.col("start") < 0)
+    sound = ranges.where(~bad)
+    swept = running_maxima(sound, by, ["start", "end", "_at"], index_block("start"), {"reach": F.col("end")})
+    joined = swept.join(sized(totals), by, "left")
+    reach = F.coalesce("reach", F.lit(0))
+    key = F.concat_ws("/", *[F.col(c).cast("string") for c in [*by, "_at"]])
+    spans = [
+        F.when(F.col("start") > reach, F.struct(F.lit("gap").alias("check"), F.concat_ws("-", reach.cast("string"), F.col("start").cast("string")).alias("detail"))),
+        F.when(F.col("start") < reach, F.struct(F.lit("overlap").alias("check"), F.concat_ws("-", F.col("start").cast("string"), F.least(reach, F.col("end")).cast("string")).alias("detail"))),
+        F.when(F.coalesce(F.col("end") > F.col("total"), F.lit(True)), F.struct(F.lit("outside").alias("check"), F.col("end").cast("string").alias("detail"))),
+    ]
+    found = joined.select(key.alias("key"), F.explode(F.array_compact(F.array(*spans))).alias("_f")).select("_f.check", "key", "_f.detail")
+    empty = ranges.where(bad).select(F.lit("empty range").alias("check"), key.alias("key"), F.concat_ws("-", F.col("start").cast("string"), F.col("end").cast("string")).alias("detail"))
+    ends = totals.join(sound.groupBy(*by).agg(F.max("end").alias("last")), by, "left")
+    last = F.coalesce("last", F.lit(0))
+    open_end = ends.where(last < F.col("total")).select(
+        F.lit("gap").alias("check"), F.concat_ws("/", *[F.col(c).cast("string") for c in by], F.lit("end")).alias("key"),
+        F.concat_ws("-", last.cast("string"), F.col("total").cast("string")).alias("detail"),
+    )
+    return found.unionByName(empty).unionByName(open_end)
+
+
 def provenance_faults(provenance: DataFrame, digest="data_json_sha256", fingerprint="camera_calibration_fingerprint"):
     """V9: bad or repeated content hashes, and more than one calibration."""
     known = provenance.where(F.col(digest).isNotNull())

@@ -90,29 +90,39 @@ def next_row(df, by, order, values, block, prefix="next_", circular=False) -> Da
     return neighbours(df, by, order, block, (), values, circular, next_prefix=prefix)
 
 
-def running_totals(df, by, order, block, totals: dict[str, Column]) -> DataFrame:
-    """For each name the sum of its value over the rows strictly before in the group.
-
-    All totals come from one window and one summary. The summary adds up blocks, combined
-    before the shuffle: it reads the columns of keys and values only, so where the source
-    is columnar its second read is a narrow one.
-    """
+def _running(df, by, order, block, values: dict[str, Column], combine, join, start) -> DataFrame:
+    """``combine`` of each value over the rows strictly before in the group; ``join`` puts two results together."""
     by = list(by)
-    value = {name: f"_value{i}" for i, name in enumerate(totals)}
-    df, blocks = _blocked(df.withColumns({value[n]: v for n, v in totals.items()}), block)
+    value = {name: f"_value{i}" for i, name in enumerate(values)}
+    df, blocks = _blocked(df.withColumns({value[n]: v for n, v in values.items()}), block)
     keys = by + blocks
     before = Window.unboundedPreceding, -1
     across = Window.partitionBy(*by).orderBy(*columns(blocks)).rowsBetween(*before)
-    sums = df.groupBy(*keys).agg(*[F.sum(v).alias(f"_sum{v}") for v in value.values()])
-    sums = sums.select(*keys, *[F.coalesce(F.sum(f"_sum{v}").over(across), F.lit(0)).alias(f"_to{v}") for v in value.values()])
+    sums = df.groupBy(*keys).agg(*[combine(v).alias(f"_sum{v}") for v in value.values()])
+    sums = sums.select(*keys, *[start(combine(f"_sum{v}").over(across)).alias(f"_to{v}") for v in value.values()])
     within = Window.partitionBy(*keys).orderBy(*columns(order)).rowsBetween(*before)
-    local = {n: F.coalesce(F.sum(v).over(within), F.lit(0)) for n, v in value.items()}
+    local = {n: start(combine(v).over(within)) for n, v in value.items()}
     out = df.withColumns(local).join(sums, keys)
-    return out.withColumns({n: F.col(n) + F.col(f"_to{v}") for n, v in value.items()}).drop(
+    return out.withColumns({n: join(F.col(n), F.col(f"_to{v}")) for n, v in value.items()}).drop(
         *value.values(), *[f"_to{v}" for v in value.values()], *blocks
     )
 
 
+def running_totals(df, by, order, block, totals: dict[str, Column]) -> DataFrame:
+    """For each name the sum of its value over the rows strictly before in the group.
+
+    All totals come from one window and one summary. The summary adds up blocks, combined
+    before the shuffle: it reads the columns of keys and values only, so where the source
+    is columnar its second read is a narrow one.
+    """
+    return _running(df, by, order, block, totals, F.sum, lambda a, b: a + b, lambda c: F.coalesce(c, F.lit(0)))
+
+
+def running_maxima(df, by, order, block, values: dict[str, Column]) -> DataFrame:
+    """The same with the largest value so far, null on the first row of a group."""
+    return _running(df, by, order, block, values, F.max, F.greatest, lambda c: c)
+
+
 def running_total(df, by, order, block, value: Column, name: str) -> DataFrame:
     """Sum of ``value`` over the rows strictly before each row of its group."""
     return running_totals(df, by, order, block, {name: value})

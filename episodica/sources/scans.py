@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from episodica.functions.labels import name_number
 from episodica.operators.checks import all_of, violations
-from episodica.shared import sized
+from episodica.shared import checkpointed, sized
 
 TASKS = "task_index long, task string"
 EPISODES = "episode_index long, tasks array<string>, length long"
@@ -100,10 +100,11 @@ def scan_info(spark, path, schema=INFO) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
 
 
-def scan_raw_episodes(spark, root, pattern="data.json") -> DataFrame:
+def scan_raw_episodes(spark, root, pattern="data.json", once: bool = False) -> DataFrame:
     """Raw episodes with goal, frame count, hash, capture start and session.
 
-    Also keeps the parsed ``data`` for P11 and V3; Spark drops it when unused.
+    Also keeps the parsed ``data`` for P11 and V3. With ``once`` the files are read and parsed
+    once into a checkpointed table with nested frames, for callers that read it several times.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     files = files.option("pathGlobFilter", pattern).load(root)
@@ -116,7 +117,7 @@ def scan_raw_episodes(spark, root, pattern="data.json") -> DataFrame:
         F.sha2("content", 256).alias("data_json_sha256"),
         F.from_json(F.decode("content", "utf-8"), RAW, {"mode": "FAILFAST"}).alias("j"),
     )
-    return rows.select(
+    out = rows.select(
         "path",
         "episode",
         name_number(F.col("episode")).alias("episode_number"),
@@ -128,6 +129,7 @@ def scan_raw_episodes(spark, root, pattern="data.json") -> DataFrame:
         F.col("j.info.depth.scale_m_per_unit").alias("depth_scale"),
         F.col("j.data").alias("data"),
     )
+    return checkpointed(out) if once else out
 
 
 def raw_frames(episodes: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from episodica.functions import labels
-from episodica.operators import checkpoints, checks, images
+from episodica.operators import checkpoints, checks, dataset_checks, images
 from episodica.sources import scans, sinks
 from tests.conftest import rows
 
@@ -24,7 +24,7 @@ def test_assert_empty(spark):
 def test_contiguous_faults(spark):
     data = [("d", "s", 0, 0, 0), ("d", "s", 0, 2, 2), ("d", "s", 1, 0, 9), ("d", "s", 1, 0, 9)]
     df = spark.createDataFrame(data, "dataset string, split string, episode_index long, frame_index long, index long")
-    kinds = {r.check for r in checks.check_contiguous(df).collect()}
+    kinds = {r.check for r in dataset_checks.check_contiguous(df).collect()}
     assert kinds == {"frame_index", "frame_index repeated", "global index"}
 
 

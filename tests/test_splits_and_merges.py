@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from episodica.operators import checks, merge, numbering, splits
+from episodica.operators import checks, dataset_checks, merge, numbering, splits
 from episodica.operators.statistics import merge_stats, relative_action_stats, relative_sample_count
 from tests.conftest import rows
 
@@ -98,7 +98,7 @@ def test_append_split_roots(spark):
     train = sorted((r["index"], r.episode_index, r.task_index, r.source_rank) for r in out.where("split = 'train'").collect())
     assert [r[0] for r in train] == list(range(16))
     assert train[3] == (3, 1, 1, 1) and train[15][1] == 2
-    assert checks.check_contiguous(out.withColumn("dataset", F.lit("d")), tasks=merged).count() == 0
+    assert dataset_checks.check_contiguous(out.withColumn("dataset", F.lit("d")), tasks=merged).count() == 0
     assert new_episodes.count() == 7
 
 
