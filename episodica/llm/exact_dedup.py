@@ -21,7 +21,11 @@ from episodica.llm.tables import located, text_or_empty, written
 from episodica.shared import scratch_path
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+STREAM = {
+    "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+    # Else each state partition takes some 4 MB of disk in advance, whatever it holds.
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 FILES_PER_BATCH = 200
 
 
@@ -37,8 +41,9 @@ def class_states(ledger: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
     """
     spark: SparkSession = ledger.sparkSession
     out, log = scratch_path(spark, "states"), scratch_path(spark, "stream")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {key: spark.conf.get(key, None) for key in STREAM}
+    for key, value in STREAM.items():
+        spark.conf.set(key, value)
     try:
         folder = ledger.inputFiles()[0].rpartition("/")[0]
         stream = spark.readStream.schema(ledger.schema).option("maxFilesPerTrigger", files_per_batch).parquet(folder)
@@ -52,10 +57,11 @@ def class_states(ledger: DataFrame, files_per_batch: int = FILES_PER_BATCH) -> D
         )
         running.awaitTermination()
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
     changes = spark.read.schema(states.schema).parquet(f"{out}/batch=*")
     # A later state of a digest has counted more rows.
     return changes.groupBy("digest").agg(F.max(F.struct("group_size", "kept")).alias("last")).select("digest", "last.kept", "last.group_size")
