@@ -68,17 +68,23 @@ def anchors(frames: DataFrame, horizon: int, frame="frame_index") -> DataFrame:
     return frames.where(F.col(frame) % horizon == 0)
 
 
-def frame_mapping(
-    anchor_frames: DataFrame, donors: DataFrame | None, intervention: str, repeats: int = 1,
+def frame_mappings(
+    anchor_frames: DataFrame, donors: DataFrame | None, interventions, repeats: int = 1,
     brightness_scale: float | None = None, by=(),
 ) -> DataFrame:
-    """Which donor frame replaces the input of each anchor frame.
+    """Which donor frame replaces the input of each anchor frame, for several interventions.
 
     ``anchor_frames``: ``by, task, episode_index, length, frame_index``. Cross-episode
     interventions read ``donors`` from ``donor_derangement``; an anchor whose episode has no
-    donor fails the job.
+    donor fails the job. Anchors are read once: the donors of an episode (one per repeat)
+    come by one join, and all interventions are an array of structs, exploded once.
     """
     by = list(by)
+    unknown = [i for i in interventions if i not in (*PHASES, *OFFSETS, *CURRENT_FRAME)]
+    if unknown:
+        raise ValueError(f"unknown intervention {unknown[0]!r}")
+    if "brightness_scale" in interventions and brightness_scale is None:
+        raise ValueError("brightness_scale needs its numeric scale")
     t, size = F.col("recipient_frame"), F.col("recipient_length")
     rows = anchor_frames.select(
         *by,
@@ -87,61 +93,72 @@ def frame_mapping(
         F.col("length").alias("recipient_length"),
         F.col("frame_index").alias("recipient_frame"),
     )
-    if intervention in PHASES:
-        given = donors.select(
-            *by, "shuffle_repeat", "recipient_episode_index", F.col("donor_episode_index").alias("_donor"), "donor_length"
+    phases = [i for i in interventions if i in PHASES]
+    if phases:
+        given = donors.groupBy(*by, "recipient_episode_index").agg(
+            F.collect_list(F.struct("shuffle_repeat", "donor_episode_index", "donor_length")).alias("_donors")
         )
         rows = rows.join(given, [*by, "recipient_episode_index"], "left")
-        missing = F.raise_error(F.lit("episode of an anchor has no donor")).cast("long")
-        rows = rows.withColumn("donor_episode_index", F.coalesce("_donor", missing)).drop("_donor")
-        donor_size = F.col("donor_length")
-        fields = {
-            "replacement_source": F.lit("same_task_donor"),
-            "donor_progress": phase_progress(t, size, intervention),
-            "donor_frame": phase_frame(t, size, donor_size, intervention),
-        }
-    else:
-        rows = rows.withColumn(
-            "shuffle_repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1)))
+
+    def replaced(intervention: str, repeat: Column, source: str, at: Column, donor: Column, length: Column, frame: Column) -> Column:
+        bright = intervention == "brightness_scale"
+        return F.struct(
+            F.lit(intervention).alias("intervention"),
+            repeat.cast("int").alias("shuffle_repeat"),
+            F.lit(source).alias("replacement_source"),
+            at.cast("double").alias("donor_progress"),
+            donor.cast("long").alias("donor_episode_index"),
+            length.cast("long").alias("donor_length"),
+            frame.cast("long").alias("donor_frame"),
+            F.lit(brightness_scale if bright else None).cast("double").alias("brightness_scale"),
+            F.lit(ROUNDING_RULE if bright else None).cast("string").alias("rounding_rule"),
         )
-        if intervention in OFFSETS:
-            moved = offset_frame(t, size, OFFSETS[intervention])
-            fields = {
-                "replacement_source": F.lit("same_episode"),
-                "donor_episode_index": F.col("recipient_episode_index"),
-                "donor_length": size,
-                "donor_progress": progress(moved, size),
-                "donor_frame": moved,
-            }
-        elif intervention in CURRENT_FRAME:
-            if intervention == "brightness_scale" and brightness_scale is None:
-                raise ValueError("brightness_scale needs its numeric scale")
-            nothing = F.lit(None)
-            fields = {
-                "replacement_source": F.lit(CURRENT_FRAME[intervention]),
-                "donor_episode_index": nothing.cast("long"),
-                "donor_length": nothing.cast("long"),
-                "donor_progress": nothing.cast("double"),
-                "donor_frame": nothing.cast("long"),
-            }
-        else:
-            raise ValueError(f"unknown intervention {intervention!r}")
-    bright = intervention == "brightness_scale"
-    return rows.withColumns(
-        {
-            **fields,
-            "intervention": F.lit(intervention),
-            "recipient_progress": progress(t, size),
-            "brightness_scale": F.lit(brightness_scale if bright else None).cast("double"),
-            "rounding_rule": F.lit(ROUNDING_RULE if bright else None).cast("string"),
-        }
-    ).select(
-        "intervention", "shuffle_repeat", *by, "task", "recipient_episode_index", "recipient_length",
-        "recipient_frame", "recipient_progress", "replacement_source", "donor_progress",
-        "donor_episode_index", "donor_length", "donor_frame", "brightness_scale", "rounding_rule",
+
+    def of_donor(intervention: str) -> Column:
+        def one(x: Column) -> Column:
+            frame = phase_frame(t, size, x["donor_length"], intervention)
+            return replaced(
+                intervention, x["shuffle_repeat"], "same_task_donor", phase_progress(t, size, intervention),
+                x["donor_episode_index"], x["donor_length"], frame,
+            )
+
+        missing = F.raise_error(F.lit("episode of an anchor has no donor"))
+        found = F.transform("_donors", one)
+        return F.when(F.col("_donors").isNotNull(), found).otherwise(missing.cast(_MAPPED))
+
+    def of_self(intervention: str) -> Column:
+        none = F.lit(None)
+
+        def one(repeat: Column) -> Column:
+            if intervention in OFFSETS:
+                moved = offset_frame(t, size, OFFSETS[intervention])
+                return replaced(intervention, repeat, "same_episode", progress(moved, size), F.col("recipient_episode_index"), size, moved)
+            return replaced(intervention, repeat, CURRENT_FRAME[intervention], none, none, none, none)
+
+        return F.transform(F.sequence(F.lit(0), F.lit(repeats - 1)), one)
+
+    every = F.concat(*[of_donor(i) if i in PHASES else of_self(i) for i in interventions])
+    return rows.withColumn("recipient_progress", progress(t, size)).withColumn("_m", F.explode(every)).select(
+        "_m.intervention", "_m.shuffle_repeat", *by, "task", "recipient_episode_index", "recipient_length",
+        "recipient_frame", "recipient_progress", "_m.replacement_source", "_m.donor_progress",
+        "_m.donor_episode_index", "_m.donor_length", "_m.donor_frame", "_m.brightness_scale", "_m.rounding_rule",
     )
 
 
+_MAPPED = (
+    "array<struct<intervention:string,shuffle_repeat:int,replacement_source:string,donor_progress:double,"
+    "donor_episode_index:bigint,donor_length:bigint,donor_frame:bigint,brightness_scale:double,rounding_rule:string>>"
+)
+
+
+def frame_mapping(
+    anchor_frames: DataFrame, donors: DataFrame | None, intervention: str, repeats: int = 1,
+    brightness_scale: float | None = None, by=(),
+) -> DataFrame:
+    """W5 for one intervention."""
+    return frame_mappings(anchor_frames, donors, [intervention], repeats, brightness_scale, by)
+
+
 def fetch_donor_frame(mapping: DataFrame, frames: DataFrame, view: str, by=()) -> DataFrame:
     """Anchors with the donor's frame; an equi-join on (by, episode, frame).
 

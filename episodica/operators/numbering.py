@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from episodica.functions.labels import name_number, numbered_name
-from episodica.operators.ordered import index_block, running_total, running_totals, sorted_numbers
+from episodica.operators.ordered import first_rows, index_block, running_total, running_totals, sorted_numbers
 from episodica.shared import sized
 
 
@@ -76,15 +76,11 @@ def flatten_sessions(episodes: DataFrame, session="source_session", name="source
     return out.withColumn("flattened_episode", numbered_name(F.col("_number"))).drop("_number")
 
 
-def first_n(df: DataFrame, n: int, by=(), order=("episode_index",)) -> DataFrame:
+def first_n(df: DataFrame, n: int, by=(), order=("episode_index",), block: Column | None = None) -> DataFrame:
     """The first ``n`` rows of each group in order, with their ``selection`` label.
 
-    The rank filter is applied before the shuffle as well, so a hot group sends at
-    most ``n`` rows per task.
+    ``block`` is a monotone function of the first order column; where it is an integer, blocks
+    of 65536 values are the default. See ``first_rows`` for hot groups.
     """
-    if not by:
-        kept = df.orderBy(*order).limit(n)
-    else:
-        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
-        kept = df.withColumn("_rank", rank).where(F.col("_rank") <= n).drop("_rank")
-    return kept.withColumn("selection", F.lit(f"first_{n}"))
+    block = index_block(order[0]) if block is None else block
+    return first_rows(df, by, list(order), block, n).withColumn("selection", F.lit(f"first_{n}"))

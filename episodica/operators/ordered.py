@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from episodica.contract import columns
-from episodica.shared import checkpointed
+from episodica.shared import checkpointed, sized
 
 BLOCK_ROWS = 65536
 
@@ -175,6 +175,24 @@ def row_numbers(df, by, order, block, name="row_number", start=1) -> DataFrame:
     return numbered.withColumn(name, (F.col(name) + F.lit(start)).cast("long"))
 
 
+def first_rows(df, by, order, block, n: int) -> DataFrame:
+    """The first ``n`` rows of each group in order, however large group and ``n`` are.
+
+    Blocks are counted first, combined before the shuffle; a block that begins behind the
+    n-th row is filtered where its rows are read, and the rows of the others are numbered
+    block by block. No task holds more than a block, and rows that are not wanted stay.
+    """
+    df, blocks = _blocked(df, block)
+    by = list(by)
+    keys = by + blocks
+    sums = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+    across = Window.partitionBy(*by).orderBy(*columns(blocks)).rowsBetween(Window.unboundedPreceding, -1)
+    wanted = sums.select(*keys, F.coalesce(F.sum("_rows").over(across), F.lit(0)).alias("_before")).where(F.col("_before") < n)
+    within = Window.partitionBy(*keys).orderBy(*columns(order))
+    kept = df.join(sized(wanted), keys).withColumn("_place", F.col("_before") + F.row_number().over(within))
+    return kept.where(F.col("_place") <= n).drop("_place", "_before", *blocks)
+
+
 def sorted_numbers(df, by, order, name="row_number", start=1) -> DataFrame:
     """``row_number`` within ``by`` for any order, text included.
 

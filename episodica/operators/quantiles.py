@@ -98,11 +98,24 @@ def profile(
         F.min("_v").alias("_low"),
         F.max("_v").alias("_high"),
     )
-    # Cells of one group may repeat after fanning out: the windows below allow ties.
-    summary = sized(_summary(fanned(cells), by, views, finite))
+    def of(hits: DataFrame) -> DataFrame:
+        return match(fanned(rows).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
+
+    return settle(fanned(cells), by, views, finite, of)
+
+
+def settle(cells: DataFrame, by, views, finite: bool, values_of) -> DataFrame:
+    """The result of ``profile`` from the cells and, for the cells that hold the wanted ranks, their values.
+
+    ``cells``: ``by, _cell`` with ``_m, _sum, _around, _low, _high``; a cell may come in several
+    rows, each with the squares around its own mean. ``values_of(hits)`` joins ``_v, _size,
+    _n`` to the hits by cell.
+    """
+    by = list(by)
+    summary = sized(_summary(cells, by, views, finite))
     hits = summary.select(*by, F.col("moments.count").alias("_all"), F.explode("_hits").alias("_h")).select(*by, "_all", "_h.*")
 
-    chosen = match(fanned(rows).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
+    chosen = values_of(hits)
     seen = F.when(F.col("view") == SIZE, F.col("_size")).otherwise(F.col("_v"))
     keys = [*by, "_all", "view", "place", "before"]
     chosen = chosen.withColumn("_v", seen).groupBy(*keys, "_v").agg(F.sum("_n").alias("_n"))

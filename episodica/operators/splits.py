@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from episodica.contract import RATIOS
 from episodica.functions.seeds import draw_below, seeded_digest, unit_draw
-from episodica.operators.ordered import hash_block, row_numbers, sorted_numbers
+from episodica.operators.ordered import first_rows, hash_block, row_numbers, sorted_numbers
 from episodica.shared import sized
 
 
@@ -245,7 +245,6 @@ def split_session_grouped(
 def sample_per_goal(episode_goals: DataFrame, k: int, seed: int, goal="goal", episode="episode_index"):
     """Up to ``k`` episodes per goal without replacement; an episode drawn for
     several goals appears once."""
-    digest = seeded_digest(seed, goal, episode)
-    rank = F.row_number().over(Window.partitionBy(goal).orderBy("_digest", episode))
-    drawn = episode_goals.withColumn("_digest", digest).withColumn("_rank", rank)
-    return drawn.where(F.col("_rank") <= k).groupBy(episode).agg(F.min(goal).alias(goal))
+    drawn = episode_goals.withColumn("_digest", seeded_digest(seed, goal, episode))
+    kept = first_rows(drawn, [goal], ["_digest", episode], hash_block("_digest"), k)
+    return kept.groupBy(episode).agg(F.min(goal).alias(goal))

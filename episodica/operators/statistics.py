@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from episodica.contract import EPISODE, is_finite
 from episodica.functions.vectors import explode_joints
-from episodica.operators.ordered import index_block, lookahead, neighbours, previous_row
-from episodica.operators.quantiles import SIZE, VALUE, exact_quantiles, match, profile
+from episodica.operators.ordered import index_block, neighbours, previous_row
+from episodica.operators.offsets import offset_profile
+from episodica.operators.quantiles import SIZE, VALUE, match, profile
 from episodica.shared import sized
 
 PERCENTILES = {"p01": 0.01, "p05": 0.05, "median": 0.50, "p95": 0.95, "p99": 0.99}
@@ -213,21 +214,11 @@ def relative_action_stats(
     df, action="action", state="state", by=EPISODE, order="frame_index", horizon=32
 ) -> DataFrame:
     """action(t+k) - state(t) per joint and k, over rows with the full horizon ahead."""
-    ahead = lookahead(df.select(*by, order, action, state), by, order, action, horizon, "_ahead")
-    full = ahead.where(F.size("_ahead") == horizon)
-    steps = full.select(state, F.posexplode("_ahead").alias("k", "_then"))
-    joints = steps.select(
-        "k", F.posexplode(_minus(F.col("_then"), F.col(state))).alias("joint_index", "value")
-    )
-    keys = ["joint_index", "k"]
-    basic = joints.groupBy(*keys).agg(
-        F.count("value").alias("sample_count"),
-        F.avg("value").alias("mean"),
-        F.stddev_pop("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    found = offset_profile(df, action, state, by, order, horizon, {VALUE: {"q01": 0.01, "q99": 0.99}})
+    m = F.col("moments")
+    return found.select(
+        "joint_index", "k", m["count"].alias("sample_count"), *[m[n].alias(n) for n in ("mean", "std", "min", "max")], "q01", "q99"
     )
-    return match(basic, exact_quantiles(joints, keys, "value", {"q01": 0.01, "q99": 0.99}), keys)
 
 
 def relative_sample_count(episodes: DataFrame, horizon=32, by=("dataset", "split")) -> DataFrame:

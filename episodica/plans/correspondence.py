@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 
 from episodica.functions.phases import CURRENT_FRAME, OFFSETS, PHASES
 from episodica.operators.bootstrap import stratified_bootstrap_ci
-from episodica.operators.donors import frame_mapping
+from episodica.operators.donors import frame_mappings
 from episodica.operators.errors import episode_pairs, paired_effects, scopes
 from episodica.operators.ordered import index_block
 from episodica.operators.quantiles import match
@@ -17,11 +15,7 @@ from pyspark.sql import functions as F
 
 def all_mappings(anchors: DataFrame, donors: DataFrame, repeats: int, brightness_scale: float, by=()) -> DataFrame:
     """W5 for all seven interventions."""
-    parts = [
-        frame_mapping(anchors, donors, name, repeats, brightness_scale, by)
-        for name in (*PHASES, *OFFSETS, *CURRENT_FRAME)
-    ]
-    return reduce(lambda a, b: a.unionByName(b), parts)
+    return frame_mappings(anchors, donors, [*PHASES, *OFFSETS, *CURRENT_FRAME], repeats, brightness_scale, by)
 
 
 def effect_report(pairs: DataFrame, replicates: int = 10000, seed: int = 42) -> DataFrame:

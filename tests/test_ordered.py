@@ -7,9 +7,9 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from episodica.operators import ordered, quantiles
+from episodica.operators import offsets, ordered, quantiles
 from episodica.operators.plateaus import detect_plateaus
-from episodica.operators.statistics import next_frame_gap
+from episodica.operators.statistics import next_frame_gap, relative_action_stats
 
 
 @pytest.fixture(scope="module")
@@ -100,6 +100,57 @@ def test_runs_cross_blocks(spark, rows_in_block, vector):
     assert {tuple(r) for r in got.select(columns).collect()} == want
 
 
+@pytest.mark.parametrize("n", [1, 3, 50, 10_000])
+def test_first_rows_of_hot_groups(frames, n):
+    got = ordered.first_rows(frames, ["e"], ["t"], ordered.index_block("t", 4), n)
+    rank = F.row_number().over(Window.partitionBy("e").orderBy("t"))
+    want = frames.withColumn("r", rank).where(F.col("r") <= n).drop("r")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert ordered.first_rows(frames, [], ["t", "e"], ordered.index_block("t", 4), n).count() == min(n, frames.count())
+
+
+@pytest.mark.parametrize(("block", "flush"), [(65536, 2_000_000), (5, 7)])
+def test_offsets_equal_all_pairs(spark, monkeypatch, block, flush):
+    monkeypatch.setattr(offsets, "BLOCK_ROWS", block)
+    monkeypatch.setattr(offsets, "FLUSH", flush)
+    draw = np.random.default_rng(block)
+    data, values = [], {}
+    for e in range(12):
+        n = int(draw.integers(1, 23))
+        action, state = draw.normal(0, 3, (n, 2)).round(2), draw.normal(0, 3, (n, 2)).round(2)
+        data += [(e, t, action[t].tolist(), [None if t == 2 else float(state[t][0]), float(state[t][1])]) for t in range(n)]
+        for t in range(n - 3):
+            for k in range(4):
+                for j in range(2):
+                    if not (t == 2 and j == 0):
+                        values.setdefault((j, k), []).append(action[t + k][j] - state[t][j])
+    df = spark.createDataFrame(data, "e int, t long, a array<double>, s array<double>").repartition(3)
+    got = {(r.joint_index, r.k): r for r in relative_action_stats(df, "a", "s", ["e"], "t", 4).collect()}
+    assert set(got) == set(values)
+    for key, x in values.items():
+        r = got[key]
+        assert r.sample_count == len(x)
+        want = [np.mean(x), np.std(x), min(x), max(x), np.quantile(x, 0.01), np.quantile(x, 0.99)]
+        assert [r.mean, r.std, r.min, r.max, r.q01, r.q99] == pytest.approx(want, rel=1e-12, abs=1e-12)
+
+
+def test_moments_of_cells(spark):
+    draw = np.random.default_rng(8)
+    groups = {"a": draw.normal(1e6, 1e-3, 500), "b": np.array([1e300, -1e300, 3.0]), "c": np.array([np.nan, np.inf, -np.inf, 2.0, 4.0]), "d": np.array([-0.0, 1e-310])}
+    data = [(g, float(v)) for g, x in groups.items() for v in x] + [("e", None), ("a", None)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(4)
+    views = {quantiles.VALUE: {"m": 0.5}, quantiles.SIZE: {"s": 0.5}}
+    got = {r.g: r for r in quantiles.profile(df, ["g"], "v", views, finite=True, empty=True).collect()}
+    assert set(got) == {*groups, "e"} and got["e"].moments["count"] == 0 and got["e"].m is None and got["e"].moments["mean"] is None
+    for g, x in groups.items():
+        sound, m = x[np.isfinite(x)], got[g].moments
+        assert (m["count"], m["nonfinite"]) == (len(sound), len(x) - len(sound))
+        assert [m["min"], m["max"], m["abs_max"]] == [sound.min(), sound.max(), np.abs(sound).max()]
+        assert [got[g].m, got[g].s] == pytest.approx([np.median(sound), np.median(np.abs(sound))], rel=1e-12, abs=1e-300)
+        if g != "b":
+            assert [m["sum"], m["mean"], m["std"], m["abs_sum"], m["square_sum"]] == pytest.approx([sound.sum(), sound.mean(), sound.std(), np.abs(sound).sum(), (sound**2).sum()], rel=1e-6)
+
+
 def test_running_total_and_numbers(frames):
     total = ordered.running_total(frames, ["e"], ["t"], ordered.index_block("t", 4), F.col("x"), "before")
     window = Window.partitionBy("e").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
