@@ -2,8 +2,9 @@
 
 The pieces of an existing vocabulary are arcs over a word's characters. An arc's weight
 starts from the vocabulary's own scores (a score is minus a rank; ranks weigh 1 / (rank + 2))
-and is sharpened by the pieces' expected numbers in the distinct training words (``PASSES`` passes
-of forward and backward sums). The forward recursion, in logs, sums all segmentations. A word seen in training is one more arc with its discounted count,
+and is sharpened by the pieces' expected numbers in the distinct training words, whatever their
+length (``PASSES`` passes of forward and backward sums). The forward recursion, in logs, sums
+all segmentations (``segmentations``, for many words at once). A word seen in training is one more arc with its discounted count,
 and the lattice gets the mass that the discount frees:
 
     P(w) = (max(c - d, 0) + d * V * lattice(w)) / N,   d = n1 / (n1 + 2 * n2)
@@ -21,15 +22,17 @@ vocabulary go by their bytes.
 from __future__ import annotations
 
 import math
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from episodica.llm.tables import slices, written
+from episodica.llm.segmentations import Pieces, Segmentations
+from episodica.llm.tables import kept_in_worker, slices, written
 
 HEAD = 100_000
 PASSES = 2
@@ -62,45 +65,19 @@ class Lattice:
                 prior[pieces.id_to_piece(i)] = 1.0 / (max(rank, 0.0) + 2.0)
         mass, total = sum(prior.values()), sum(counts.values())
         weight = {p: (counts.get(p, 0.0) + PRIOR * w / mass) / (total + PRIOR) for p, w in prior.items()}
-        self.byte = [weight.pop(f"<0x{b:02X}>", 1e-9) for b in range(256)]
+        byte = [weight.pop(f"<0x{b:02X}>", 1e-9) for b in range(256)]
         self.stop = sum(w for p, w in weight.items() if p.startswith(MARK))
-        self.weight = weight
-        self.logs = {p: math.log(w) for p, w in weight.items()}
-        self.longest = max(map(len, weight))
-
-    def log10(self, word: str) -> float:
-        """Forward recursion in logs: alpha[j] sums alpha[i] * weight(text[i:j]) over all arcs."""
-        text, weight = MARK + word, self.logs.get
-        alpha = [0.0]
-        for j in range(1, len(text) + 1):
-            terms = [alpha[i] + w for i in range(max(0, j - self.longest), j) if (w := weight(text[i:j])) is not None]
-            if text[j - 1] not in self.logs:
-                terms.append(alpha[j - 1] + sum(math.log(self.byte[b]) for b in text[j - 1].encode()))
-            top = max(terms)
-            alpha.append(top if len(terms) == 1 else top + math.log(sum([math.exp(t - top) for t in terms])))
-        return (alpha[-1] + math.log(self.stop)) / math.log(10)
-
-    def expect(self, word: str, found: dict[str, float]) -> None:
-        """Adds the expected number of each piece in the word: forward and backward sums."""
-        text, weight, longest = MARK + word, self.weight.get, self.longest
-        n = len(text)
-        arcs, alpha = [], [1.0] + [0.0] * n
-        for j in range(1, n + 1):
-            into = [(i, p, w) for i in range(max(0, j - longest), j) if (w := weight(p := text[i:j])) is not None]
-            if text[j - 1] not in self.weight:
-                into.append((j - 1, None, math.prod([self.byte[b] for b in text[j - 1].encode()])))
-            # Scaled by 32 per character, far from the ends of the floating range for words.
-            alpha[j] = sum([alpha[i] * w * 32.0 ** (j - i) for i, _, w in into])
-            arcs.append(into)
-        if not 1e-250 < alpha[n] < 1e250:
-            return
-        beta = [0.0] * n + [1.0 / alpha[n]]
-        for j in range(n, 0, -1):
-            for i, piece, w in arcs[j - 1]:
-                share = w * 32.0 ** (j - i) * beta[j]
-                beta[i] += share
-                if piece is not None:
-                    found[piece] += alpha[i] * share
+        self.weight, self.names = weight, list(weight)
+        found = kept_in_worker(f"pieces:{hash(tuple(self.names))}", lambda: Pieces(self.names))
+        self.sums = Segmentations(found, np.log(list(weight.values())), np.log(byte))
+
+    def log10(self, words: list[str]) -> np.ndarray:
+        """Log probability of each word: all segmentations, and that the word ends."""
+        return (self.sums.log_sums([MARK + w for w in words]) + math.log(self.stop)) / math.log(10)
+
+    def expected(self, words: list[str]) -> np.ndarray:
+        """The expected number of each piece of ``names`` in all words together."""
+        return self.sums.expected([MARK + w for w in words])
 
 
 def word_counts(rows: DataFrame) -> DataFrame:
@@ -136,11 +113,12 @@ def piece_counts(words: DataFrame, model: bytes, counts: dict[str, float]) -> di
     shared = words.sparkSession.sparkContext.broadcast((model, counts))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattice, found = Lattice(*shared.value), defaultdict(float)
+        lattice = Lattice(*shared.value)
+        found = np.zeros(len(lattice.names))
         for batch in batches:
-            for word in batch.column(0).to_pylist():
-                lattice.expect(word, found)
-        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array(list(found.values()), pa.float64())], names=["piece", "n"])
+            found += lattice.expected(batch.column(0).to_pylist())
+        some = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([lattice.names[i] for i in some], pa.string()), pa.array(found[some])], names=["piece", "n"])
 
     found = words.filter("c > 0").select("word").mapInArrow(run, "piece string, n double").groupBy("piece").agg(F.sum("n").alias("n"))
     return {r["piece"]: r["n"] for r in found.collect()}
@@ -187,7 +165,7 @@ def likelihood(docs: DataFrame, vocabulary_path: str, held_out, id_column: str =
         lattice = Lattice(*pieces.value)
         for batch in batches:
             counts = batch.column("c").to_pylist()
-            score = [blended(n, lattice.log10(w)) for w, n in zip(batch.column("word").to_pylist(), counts, strict=True)]
+            score = [blended(n, s) for s, n in zip(lattice.log10(batch.column("word").to_pylist()).tolist(), counts, strict=True)]
             base = [math.log10(n + SMOOTH) - floor for n in counts]
             yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("c"), batch.column("everywhere"), pa.array(score), pa.array(base)], names=["word", "c", "everywhere", "s", "b"])
 

@@ -47,7 +47,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-files")
-    token_files.write_token_files(token_files.token_ids(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")), path)
+    docs = token_files.in_file_order(table(spark, sf_dir, "documents"))
+    token_files.write_token_files(token_files.token_ids(docs, public_tokenizers.path("word_bpe_49k.json")), path)
     rows = token_files.read_token_files(spark, path).join(token_files.token_starts(spark, path), ["file", "row"])
     return rows.select(F.col("id").alias("doc_id"), "start", "n_tokens", "ids_crc32")
 

@@ -6,10 +6,10 @@ metadata columns alone, by the page index; ids are dictionary encoded and, past
 dictionary's size, delta packed (version 2 pages).
 
 A tokenizer that drops white space encodes each word by itself, so a worker encodes every
-distinct word once and joins the ids.
+distinct word once and joins the ids. Documents are put in order before they are encoded.
 
 Defined results: null and empty texts have the end id alone; null identifiers come first,
-equal ones in the order of their ids; an empty table gives an empty table.
+equal ones in the order of their texts' lengths; an empty table gives an empty table.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -25,12 +24,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from episodica.llm.shingles import IS_SPACE, chunk_of
 from episodica.llm.tables import kept_in_worker, slices
 
 END_ID = 1
 CACHE = 300_000
 AT_ONCE = 8192
 """Words given to the tokenizer at once: its results are large objects."""
+KEPT = 64
+"""Bytes of a word that is remembered: the memo is bounded in bytes as well."""
 MARKS = b".,!?;:"
 WRITE = {
     "parquet.block.size": str(32 << 20),
@@ -73,26 +75,43 @@ class WordEncoder:
                     self.parts[word.encode()] = raw[at:end]
                     at = end
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode().split() for t in texts]
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the number of each text.
+
+        Words are told apart in arrays; only distinct ones of a batch are looked up.
+        """
+        data, begins = chunk_of(texts)
+        edge = np.diff(np.concatenate([[False], ~IS_SPACE[data]]).astype(np.int8))
+        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        offsets = np.concatenate([[0], np.cumsum(end - begin)])
+        letters = pa.py_buffer(data[~IS_SPACE[data]])
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), letters]).dictionary_encode()
+        ids = self._ids(coded.dictionary.to_pylist())
+        ends = np.cumsum([0] + [len(i) // 4 for i in ids])
+        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        words = coded.indices.to_numpy(zero_copy_only=False)
+        before = np.concatenate([[0], np.cumsum(np.diff(ends)[words])])
+        first = np.searchsorted(begin, begins)
+        return lists.take(pa.array(words)).flatten().to_numpy(zero_copy_only=False), before[first[1:]] - before[first[:-1]]
+
+    def _ids(self, words: list[bytes]) -> list[bytes]:
         known, parts = self.known, self.parts
         new = {}
-        for word in set(chain.from_iterable(split)).difference(known):
-            base = word.rstrip(MARKS)
-            # Letters of ASCII have one lower case and one composed form.
-            new[word] = (base.lower(), word[len(base) :]) if base.isalpha() else (word, b"")
+        for word in words:
+            if word not in known:
+                base = word.rstrip(MARKS)
+                # Letters of ASCII have one lower case and one composed form.
+                new[word] = (base.lower(), word[len(base) :]) if base.isalpha() else (word, b"")
         if len(parts) > CACHE:
             parts.clear()
         self._learn([p for p in {p for pair in new.values() for p in pair} if p and p not in parts])
         found = {word: parts[base] + parts[tail] if tail else parts[base] for word, (base, tail) in new.items()}
-        # The words met first, and so the frequent ones, stay; later ones are found again.
+        for part in [p for p in parts if len(p) > KEPT]:
+            del parts[part]
+        # The words met first, and so the frequent ones, stay; later and long ones are found again.
         if len(known) < CACHE:
-            known.update(found)
-            found = known
-        else:
-            found.update((w, known[w]) for w in set(chain.from_iterable(split)).intersection(known))
-        get = found.__getitem__
-        return [b"".join(map(get, words)) for words in split]
+            known.update((w, i) for w, i in found.items() if len(w) <= KEPT)
+        return [found[w] if w in found else known[w] for w in words]
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -100,26 +119,36 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID,
     with open(tokenizer_path) as file:
         definition = file.read()
     shared, version = docs.sparkSession.sparkContext.broadcast(definition), zlib.crc32(definition.encode())
-    tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # Spark runs one task per core; the tokenizer's own threads would only wait for each other.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = kept_in_worker(f"words:{version}", lambda: WordEncoder(shared.value, literal=False))
         for batch, texts in slices(batches, 1):
-            ids = [i + tail for i in encoder.encode(texts)]
-            ends = np.cumsum([0] + [len(i) // 4 for i in ids]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<i4")))
+            ids, sizes = encoder.encode(texts)
+            if end_id is not None:
+                ids = np.insert(ids, np.cumsum(sizes), end_id)
+                sizes = sizes + 1
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids.astype(np.int32)))
             yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["id", "ids"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(run, f"id {kind}, ids array<int>")
 
 
+def in_file_order(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Documents dealt to ranges of identifiers and sorted there, before the tokenizer has its turn.
+
+    The bounds of the ranges come from a sample of the rows, which would else be encoded for it.
+    """
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    return docs.repartitionByRange(id_column).sortWithinPartitions(id_column, F.length(text), F.xxhash64(text))
+
+
 def write_token_files(ids: DataFrame, path: str) -> None:
-    """Files in ascending order of id; n_tokens stands beside the ids for reads without them."""
-    counted = ids.withColumn("n_tokens", F.size("ids").cast("long"))
-    counted.repartitionByRange("id").sortWithinPartitions("id", F.col("n_tokens"), F.xxhash64("ids")).write.options(**WRITE).parquet(path)
+    """A file for each partition of ``ids``, in its order; n_tokens stands beside the ids for reads without them."""
+    ids.withColumn("n_tokens", F.size("ids").cast("long")).write.options(**WRITE).parquet(path)
 
 
 def token_starts(spark, path: str) -> DataFrame:

@@ -254,6 +254,24 @@ def test_base_scores_and_words_outside_the_head(spark):
         r = few[i]
         assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (len(ws), sum(w in counts for w in ws), total, zlib.crc32(str(i).encode()) % 10 == 0)
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(many[i]["score"])
+    # The score, summed plainly: pieces are counted twice over the distinct training words.
+    with open(path, "rb") as file:
+        model = file.read()
+    known = [w.decode() for w in counts if w is not None]
+    pieces = {}
+    for _ in range(2):
+        one = lattice.Lattice(model, pieces)
+        pieces = dict(zip(one.names, one.expected(known).tolist(), strict=True))
+    one = lattice.Lattice(model, pieces)
+    ones, twos = (sum(n == k for w, n in counts.items() if w is not None) for k in (1, 2))
+    d = ones / (ones + 2 * twos)
+
+    def of(word):
+        spelled = d * types * 10 ** one.log10([word.decode()])[0] if word is not None else 0.0
+        return math.log10((max(counts[word] - d, 0.0) + spelled) / total)
+
+    for i in list(words)[:25]:
+        assert few[i]["score"] == pytest.approx(math.fsum(map(of, words[i])), rel=1e-6)
 
 
 def test_token_files_hold_all_ids_in_order(spark):

@@ -61,7 +61,11 @@ def test_word_encoder_equals_the_library():
     library = Tokenizer.from_file(path)
     library.encode_special_tokens = True
     texts = mixed_texts(300) + ["a b. c, <|endoftext|> ΑΣ İ", "x.y,z!?"]
-    assert mine.encode(texts) == [np.array(e.ids, "<u4").tobytes() for e in library.encode_batch(texts, add_special_tokens=False)]
+    theirs = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    for _ in range(2):
+        ids, sizes = mine.encode(texts)
+        assert sizes.tolist() == [len(i) for i in theirs] and ids.tolist() == [x for i in theirs for x in i]
+    assert mine.encode([])[0].size == 0 and mine.encode(["", " "])[1].tolist() == [0, 0]
 
 
 def test_shingles_follow_the_words():
@@ -135,12 +139,25 @@ def test_lattice_sums_all_segmentations():
             total += math.prod(lattice.weight.get(p, 0.0) for p in parts)
         return math.log10(total * lattice.stop)
 
-    for word in ("a", "the", "thanedble", "in,"):
-        assert lattice.log10(word) == pytest.approx(by_hand(MARK + word))
-    assert lattice.log10("\U0010fffe") < lattice.log10("a") and math.isfinite(lattice.log10("x" * 5000))
-    found = {p: 0.0 for p in lattice.weight}
-    lattice.expect("the", found)
-    assert sum(n * len(p) for p, n in found.items()) == pytest.approx(len(MARK + "the"))
+    words = ["a", "the", "thanedble", "in,", "a", ""]
+    assert lattice.log10(words).tolist() == pytest.approx([by_hand(MARK + w) for w in words])
+    odd, plain, long = lattice.log10(["\U0010fffe", "a", "x" * 5000])
+    assert odd < plain and math.isfinite(odd) and math.isfinite(long)
+    assert lattice.log10([]).size == 0
+
+
+def test_expected_pieces_cover_every_word():
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as file:
+        lattice = Lattice(file.read(), {})
+    sizes = np.array([len(p) for p in lattice.names])
+    draw = random.Random(2)
+    # Words far beyond the floating range count as well.
+    for word in ("the", "a" * 400, "".join(draw.choice("abcdefgh") for _ in range(1000)), "thanedble"):
+        assert lattice.expected([word]) @ sizes == pytest.approx(len(MARK + word))
+    words = ["the", "of", "the", "then", "x" * 30]
+    assert lattice.expected(words) == pytest.approx(sum(lattice.expected([w]) for w in words))
+    # Characters that are no piece go by their bytes.
+    assert lattice.expected(["a\U0010fffeb"]) @ sizes == pytest.approx(len(MARK + "ab"))
 
 
 def test_segments_are_the_maximal_ones():
