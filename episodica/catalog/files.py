@@ -420,6 +420,15 @@ def layouts(spark, d):
     return images.layout_comparison(chunk_rows(spark, d))
 
 
+@query(
+    "W20_layout_restores",
+    f"""{with_(VECTORS)} SELECT layout, true AS restores_exactly, (SELECT count(*) FROM vec) > 0 AS has_bytes
+        FROM (VALUES ('plain'), ('planar'), ('temporal_delta')) AS l(layout)""",
+)
+def restored(spark, d):
+    return images.layout_comparison(chunk_rows(spark, d)).select("layout", "restores_exactly", (F.col("file_bytes") > 0).alias("has_bytes"))
+
+
 @query(
     "A26_channel_stats",
     f"""{with_(PIXELS)} SELECT episode_index, c AS channel, min(p / 255.0) AS min, max(p / 255.0) AS max, avg(p / 255.0) AS mean, stddev_pop(p / 255.0) AS std, count(*) AS count,

@@ -91,19 +91,20 @@ anchor3 AS (SELECT *, c0 + CASE WHEN c0 >= least(a, b) THEN 1 ELSE 0 END AS c1 F
 anchor4 AS (SELECT *, c1 + CASE WHEN c1 >= greatest(a, b) THEN 1 ELSE 0 END AS c FROM anchor3),
 orders3 AS (SELECT * FROM (VALUES (0,'train','test','validation'),(1,'train','validation','test'),(2,'test','train','validation'),
   (3,'test','validation','train'),(4,'validation','train','test'),(5,'validation','test','train')) AS o(turn, s0, s1, s2)),
-drawn AS (SELECT trial, source_session,
+drawn AS MATERIALIZED (SELECT trial, source_session,
     CASE WHEN number = a THEN s0 WHEN number = b THEN s1 WHEN number = c THEN s2
       WHEN u < 0.8 THEN 'train' WHEN u < 0.9 THEN 'test' ELSE 'validation' END AS split
   FROM (SELECT trial, a, b, c, s0, s1, s2, source_session, number,
       {drawn("'session'", 'trial', 'number')} / 9223372036854775808.0 AS u
     FROM anchor4 JOIN orders3 USING (turn), names)),
-cells AS (SELECT trial, goal, count(*) AS total, count(*) FILTER (d.split = 'train') AS train,
-    count(*) FILTER (d.split = 'test') AS test, count(*) FILTER (d.split = 'validation') AS validation
-  FROM docs JOIN drawn d USING (source_session) GROUP BY trial, goal),
+pairs AS (SELECT source_session, goal, count(*) AS n FROM docs GROUP BY ALL),
+cells AS (SELECT trial, goal, CAST(sum(n) AS BIGINT) AS total, CAST(coalesce(sum(n) FILTER (d.split = 'train'), 0) AS BIGINT) AS train,
+    CAST(coalesce(sum(n) FILTER (d.split = 'test'), 0) AS BIGINT) AS test, CAST(coalesce(sum(n) FILTER (d.split = 'validation'), 0) AS BIGINT) AS validation
+  FROM pairs JOIN drawn d USING (source_session) GROUP BY trial, goal),
 errors AS (SELECT trial, sum(total) AS total, sum(train) AS train, sum(test) AS test, sum(validation) AS validation,
     avg((abs(train - 0.8 * total) + abs(test - 0.1 * total) + abs(validation - 0.1 * total)) / (2 * total)) AS goal_error
   FROM cells GROUP BY trial),
-scores AS (SELECT trial, goal_error, (abs(train - (total - 2 * t)) + abs(test - t) + abs(validation - t)) / total AS size_error,
+scores AS MATERIALIZED (SELECT trial, goal_error, (abs(train - (total - 2 * t)) + abs(test - t) + abs(validation - t)) / total AS size_error,
     4.0 * (abs(train - (total - 2 * t)) + abs(test - t) + abs(validation - t)) / total + goal_error AS score
   FROM (SELECT *, greatest(1, CAST(floor(0.1 * total + 0.5) AS BIGINT)) AS t FROM errors))"""
 
@@ -178,6 +179,20 @@ def duplicates(spark, d):
     return checks.duplicate_content(doc_episodes(spark, d), ["data_json_sha256"])
 
 
+@query(
+    "A28_duplicate_capture",
+    f"""{with_(DOCS)}, r AS (SELECT source_identity, unnest(['data_json_sha256', 'capture_start_utc']) AS kind,
+            unnest([data_json_sha256, CASE WHEN goal <> 'es' THEN printf('2024-01-01T%06d', frame_count % 3000) END]) AS value FROM docs),
+          many AS (SELECT kind, value, count(*) AS owners, min(source_identity) AS first_owner FROM r WHERE value IS NOT NULL GROUP BY ALL HAVING count(*) > 1)
+        SELECT kind, value, source_identity AS owner, owners, first_owner FROM r JOIN many USING (kind, value)""",
+    ints="owners",
+)
+def captures(spark, d):
+    """Equal capture starts as well as equal content; episodes without a start own none."""
+    begun = F.when(F.col("goal") != "es", F.format_string("2024-01-01T%06d", F.col("frame_count") % 3000))
+    return checks.duplicate_content(doc_episodes(spark, d).withColumn("capture_start_utc", begun))
+
+
 @query(
     "J7_split_leakage",
     f"""{with_(DOCS)}, per AS (SELECT data_json_sha256, count(*) FILTER (split = 'train') AS a,

@@ -48,12 +48,12 @@ def normalize_split(split: Column) -> Column:
 
 
 def split_name_faults(df: DataFrame, split: str = "split", root: str = "dataset") -> DataFrame:
-    """P10: unknown split names, and roots that use both spellings."""
+    """P10: unknown split names, one row per root and name, and roots that use both spellings."""
     unknown = (
         df.where(normalize_split(F.col(split)).isNull())
-        .groupBy(root)
-        .agg(F.array_join(F.array_sort(F.collect_set(split)), ",").alias("detail"))
-        .select(F.lit("unknown split").alias("check"), F.col(root).alias("key"), "detail")
+        .groupBy(root, split)
+        .agg(F.lit(1).alias("_one"))
+        .select(F.lit("unknown split").alias("check"), F.col(root).alias("key"), F.col(split).alias("detail"))
     )
     both = (
         df.where(F.col(split).isin("validate", "validation"))

@@ -189,10 +189,9 @@ def interleaved_layout(chunks: DataFrame, payload="payload") -> DataFrame:
 def layout_comparison(chunks: DataFrame, keys=(*EPISODE, "chunk_index"), compression="lz4_raw") -> DataFrame:
     """Bytes per layout after columnar compression, and whether it restores exactly.
 
-    Each variant is written once as Parquet to the shared folder and read back.
+    Each variant is written once as Parquet to the shared folder and read back; the files
+    tell their own sizes.
     """
-    from episodica.sources.scans import scan_inventory
-
     spark = chunks.sparkSession
     keys = list(keys)
     variants = {
@@ -208,9 +207,9 @@ def layout_comparison(chunks: DataFrame, keys=(*EPISODE, "chunk_index"), compres
         written = spark.read.parquet(path)
         restored = decode(written).select(*keys, F.sha2("payload", 256).alias("sha"))
         differ = set_difference(original, restored).agg(F.count(F.lit(1)).alias("n"))
-        files = scan_inventory(spark, path, "*.parquet")
+        sizes = written.select("_metadata.file_path", "_metadata.file_size").groupBy("file_path").agg(F.max("file_size").alias("size"))
         rows.append(
-            files.agg(F.sum("size").alias("file_bytes"), F.count(F.lit(1)).alias("files")).select(
+            sizes.agg(F.sum("size").alias("file_bytes")).select(
                 F.lit(name).alias("layout"), "file_bytes", (differ.scalar() == 0).alias("restores_exactly")
             )
         )
@@ -233,9 +232,13 @@ def channel_stats(frames: DataFrame, by=EPISODE, pixels="pixels", channels: int
         for batch in batches:
             parts = []
             for key, group in batch.groupby(by, sort=False, dropna=False):
-                flat = np.concatenate([np.frombuffer(b, dtype=np.uint8) for b in group[pixels]])
-                bins = (flat.reshape(-1, channels) + 256 * np.arange(channels)).ravel()
-                found = np.bincount(bins, minlength=256 * channels)
+                found = np.zeros((channels, 256), np.int64)
+                # One frame and channel at a time: only that much is widened to whole numbers.
+                for frame in group[pixels]:
+                    planes = np.frombuffer(frame, dtype=np.uint8).reshape(-1, channels)
+                    for c in range(channels):
+                        found[c] += np.bincount(planes[:, c], minlength=256)
+                found = found.ravel()
                 at = np.flatnonzero(found)
                 part = pd.DataFrame({"channel": at // 256, "level": at % 256, "n": found[at]})
                 for name, value in zip(by, key, strict=True):
