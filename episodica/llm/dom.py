@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from html import unescape
 
-# Elements that break lines, elements whose text is never read, elements that end an open one.
+# Elements that break lines, elements whose content is no markup and is not read, elements that are
+# parts of forms or pictures, which a block ends, and elements that end an open one.
 BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
-    "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split()
+    "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul "
+    "button canvas iframe noscript object optgroup option select svg template".split()
 )
-UNREAD = frozenset("script style noscript template title textarea select button iframe svg math object canvas".split())
+RAW = frozenset("script style title textarea".split())
+ENDED = frozenset("button optgroup option select svg".split())
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 LISTS = frozenset(("ul", "ol", "dl", "table", "menu"))
 
@@ -30,8 +34,14 @@ class Node:
 
 
 def parse(html: str) -> list[Node]:
-    """Nodes in page order, each after its parent; sizes hold all text below."""
+    """Nodes in page order, each after its parent; sizes hold all text below.
+
+    Only scripts, styles, titles and text areas are left out, to the end of the page where they
+    are not closed; formulas are text, and buttons, pictures, frames and the like are nodes.
+    """
     nodes, stack = [Node("html", -1)], [0]
+    # How many elements of a tag are open: a stray end tag does not search the stack.
+    opened: Counter[str] = Counter()
     run: list[tuple[str, bool]] = []
     link, at, end = False, 0, len(html)
 
@@ -46,11 +56,18 @@ def parse(html: str) -> list[Node]:
                 nodes.append(node)
             run = []
 
+    def cut(depth: int) -> None:
+        for i in stack[depth:]:
+            opened[nodes[i].tag] -= 1
+        del stack[depth:]
+
     def pop_to(tags: tuple[str, ...], walls: frozenset[str]) -> None:
+        if not any(opened[tag] for tag in tags):
+            return
         for depth in range(len(stack) - 1, 0, -1):
             tag = nodes[stack[depth]].tag
             if tag in tags:
-                del stack[depth:]
+                cut(depth)
                 return
             if tag in walls:
                 return
@@ -66,7 +83,7 @@ def parse(html: str) -> list[Node]:
         if not found[2]:
             continue
         tag, closing = found[2].lower(), bool(found[1])
-        if tag in UNREAD:
+        if tag in RAW:
             if not closing and not found[3].endswith("/"):
                 finish = re.compile(rf"</{tag}\s*>", re.I).search(html, at)
                 at = finish.end() if finish else end
@@ -80,7 +97,10 @@ def parse(html: str) -> list[Node]:
             if closing:
                 pop_to((tag,), frozenset())
                 continue
-            if tag != "hr":
+            if tag != "hr" and not (tag == "svg" and found[3].endswith("/")):
+                if tag not in ENDED:
+                    while nodes[stack[-1]].tag in ENDED:
+                        cut(len(stack) - 1)
                 if tag in CLOSES:
                     pop_to(CLOSES[tag], LISTS)
                 pop_to(("p",), frozenset(BLOCKS - {"p"}))
@@ -93,6 +113,7 @@ def parse(html: str) -> list[Node]:
                         hints += HINT.findall(value.lower())
                 nodes.append(Node(tag, stack[-1], tuple(hints), label))
                 stack.append(len(nodes) - 1)
+                opened[tag] += 1
     close_run()
     for node in reversed(nodes):
         if node.parent >= 0:

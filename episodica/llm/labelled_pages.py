@@ -21,6 +21,7 @@ NOTICES = (("div", 'class="cookie-notice"'), ("div", 'class="cookie-banner conse
 ADS = (("div", 'class="ad"'), ("div", 'class="ads sponsored"'), ("div", 'class="advert"'), ("section", 'class="promo"'), ("aside", 'class="advertisement"'), ("div", 'id="banner"'), ("p", 'class="ad"'), ("div", 'class="sponsor"'))
 FORMS = (("form", ""), ("form", 'class="newsletter subscribe"'), ("div", 'class="login signup"'), ("form", 'id="search"'), ("div", 'class="newsletter"'), ("div", 'class="share social"'))
 COMMENTS = (("div", 'class="comments"'), ("section", 'id="comments"'), ("div", 'class="comment"'), ("ol", 'class="comment-list"'), ("div", 'class="reader-comments replies"'), ("section", 'class="comments"'), ("div", 'id="disqus thread discussion"'))
+WIDGETS = ("<button>{}</button>", "<select><option>{0}<option>{0}</select>", "<noscript>{}</noscript>", "<svg><text>{}</text></svg>", "<iframe>{}</iframe>", "<object>{}</object>", "<canvas>{}</canvas>", "<template><p>{}</p></template>")
 SHORT, LONG = (2, 8), (12, 90)
 
 
@@ -88,4 +89,11 @@ def labelled_pages(count: int = 240, seed: int = 7) -> list[str]:
         after += [furniture(k, draw.choice((SHORT, (8, 30)))) for k, s in ((SIDES, 0.5), (ADS, 0.3), (FORMS, 0.3)) if draw.random() < s]
         after.append(block(draw.choice(FOOTERS), draw.choice(("&copy; " + words(2, 20), "<p>" + words(2, 20) + "</p>" + links()))))
         pages.append("<html><head><title>t</title></head><body>" + "".join([*before, main, *after]) + "</body></html>")
+    # Parts of forms, pictures and frames, in the main text and around it.
+    for _ in range(count // 4):
+        body = [f'<p data-label="1">{words(*LONG)}</p>' for _ in range(draw.randint(2, 6))]
+        for _ in range(draw.randint(1, 3)):
+            body.insert(draw.randint(0, len(body)), draw.choice(WIDGETS).format(words(*SHORT)))
+        around = [draw.choice(WIDGETS).format(words(*SHORT)) for _ in range(draw.randint(0, 2))]
+        pages.append("<html><body>" + "".join([*around, block(draw.choice(CONTAINERS), "".join(body))]) + "</body></html>")
     return pages

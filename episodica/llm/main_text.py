@@ -5,7 +5,7 @@ names in class, id and role, share of links, length, sentence ends) gives its un
 potential, and each edge has a potential for parent and child by the child's element. Messages pass up
 the tree and down again (sum-product), which is exact on a tree, and a run of text whose
 marginal reaches 0.5 is kept. Both potentials are counted over labelled pages: layouts
-labelled by hand, and at most ``SAMPLE`` given pages (smallest hash of the page) whose own article
+labelled by rule, and at most ``SAMPLE`` given pages (smallest hash of the page) whose own article
 or main element marks the text; blocks in it that bear a name of page furniture are not.
 
 Defined results: null and empty pages give the empty text, as do pages without main text;

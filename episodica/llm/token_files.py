@@ -81,10 +81,12 @@ class WordEncoder:
         Words are told apart in arrays; only distinct ones of a batch are looked up.
         """
         data, begins = chunk_of(texts)
-        edge = np.diff(np.concatenate([[False], ~IS_SPACE[data]]).astype(np.int8))
-        begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        inside = ~IS_SPACE[data]
+        # A word begins and ends where the mask changes; the data end with white space.
+        edges = np.flatnonzero(np.diff(inside, prepend=False))
+        begin, end = edges[::2], edges[1::2]
         offsets = np.concatenate([[0], np.cumsum(end - begin)])
-        letters = pa.py_buffer(data[~IS_SPACE[data]])
+        letters = pa.py_buffer(data[inside])
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), letters]).dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
         ends = np.cumsum([0] + [len(i) // 4 for i in ids])
@@ -104,10 +106,12 @@ class WordEncoder:
                 new[word] = (base.lower(), word[len(base) :]) if base.isalpha() else (word, b"")
         if len(parts) > CACHE:
             parts.clear()
-        self._learn([p for p in {p for pair in new.values() for p in pair} if p and p not in parts])
+        learned = [p for p in {p for pair in new.values() for p in pair} if p and p not in parts]
+        self._learn(learned)
         found = {word: parts[base] + parts[tail] if tail else parts[base] for word, (base, tail) in new.items()}
-        for part in [p for p in parts if len(p) > KEPT]:
-            del parts[part]
+        for part in learned:
+            if len(part) > KEPT:
+                del parts[part]
         # The words met first, and so the frequent ones, stay; later and long ones are found again.
         if len(known) < CACHE:
             known.update((w, i) for w, i in found.items() if len(w) <= KEPT)

@@ -4,6 +4,7 @@ import base64
 import itertools
 import math
 import random
+import time
 
 import numpy as np
 import public_tokenizers
@@ -160,6 +161,33 @@ def test_expected_pieces_cover_every_word():
     assert lattice.expected(["a\U0010fffeb"]) @ sizes == pytest.approx(len(MARK + "ab"))
 
 
+def texts_of_page(html):
+    return [n.text for n in parse(html) if n.tag == "#"]
+
+
+def test_pages_keep_all_text_but_raw_elements():
+    assert texts_of_page("<article><p>one</p><button>go<p>two</p><p>three</p></article>") == ["one", "go", "two", "three"]
+    assert texts_of_page("<p>area is <math><mi>x</mi>+1</math> big</p>") == ["area is x+1 big"]
+    assert texts_of_page("<p>a<script>b<p>c</script>d<style>e</style><title>f</title>g<textarea>h") == ["adg"]
+    assert texts_of_page("<p>a<script>b<p>c") == ["a"]
+    assert texts_of_page("<select><option>a<option>b<p>c</select>d") == ["a", "b", "c", "d"]
+    assert texts_of_page("<div>a<svg/>b<svg><text>c</text><div>d</div></svg>e<noscript>f</noscript><iframe>g") == ["a", "b", "c", "d", "e", "f", "g"]
+    parents = {n.text: n.parent for n in parse("<article><p>one</p><button>go<p>two</p></article>") if n.tag == "#"}
+    nodes = parse("<article><p>one</p><button>go<p>two</p></article>")
+    assert nodes[nodes[parents["two"]].parent].tag == "article"
+
+
+def test_deep_and_stray_markup_takes_linear_time():
+    def seconds(n):
+        began = time.process_time()
+        nodes = parse("<div>" * n + "x" + "</section></li></p>" * n + "<li>y" * n)
+        assert len(nodes) > n
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(16_000) < 40 * max(seconds(2000), 0.01)
+
+
 def test_segments_are_the_maximal_ones():
     scores = Scores({"good": (2.0, 9.0), "bad": (-1.5, -9.0)}, -0.5, 1.0)
     draw = random.Random(8)
