@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from episodica.operators.ordered import BLOCK_ROWS, index_block
-from episodica.operators.quantiles import CELLS, INFINITE, NAN, match, settle
+from episodica.operators.quantiles import CELLS, INFINITE, NAN, match, merged_cells, settle
 
 FLUSH = 2_000_000
 """Differences that a task holds before they are counted."""
@@ -28,6 +28,14 @@ def cells_of(values: np.ndarray) -> np.ndarray:
     return np.where(values < 0, -cell, cell)
 
 
+def edges_of(cells: np.ndarray) -> np.ndarray:
+    """The lower edge of each cell's sizes; 0 for cells of no number."""
+    place = np.abs(cells)
+    sound = (place > 0) & (place < INFINITE)
+    place = np.where(sound, place, 0)
+    return np.where(sound, np.ldexp(1 + place % CELLS / CELLS, (place // CELLS - 1100).astype(np.int32)), 0.0)
+
+
 class Vectors:
     """Vectors of the open segment as matrices, with what is null in them."""
 
@@ -107,13 +115,12 @@ def _cell_rows(k: int, joints: np.ndarray, values: np.ndarray) -> pa.RecordBatch
     fresh = np.flatnonzero(np.concatenate([[True], (joints[1:] != joints[:-1]) | (cells[1:] != cells[:-1])])) if len(cells) else np.zeros(0, np.int64)
     n = np.diff(np.append(fresh, len(cells)))
     with np.errstate(invalid="ignore"):
-        total = np.add.reduceat(values, fresh) if len(fresh) else values
-        around = values - np.repeat(total / np.maximum(n, 1), n)
-        around = np.add.reduceat(around * around, fresh) if len(fresh) else values
+        over = np.abs(values) - edges_of(cells)
+        sums = [np.add.reduceat(x, fresh) if len(fresh) else x for x in (values, over, over * over)]
         low = np.minimum.reduceat(values, fresh) if len(fresh) else values
         high = np.maximum.reduceat(values, fresh) if len(fresh) else values
-    columns = [joints[fresh].astype(np.int32), np.full(len(fresh), k, np.int32), cells[fresh], n, total, around, low, high]
-    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["joint_index", "k", "_cell", "_m", "_sum", "_around", "_low", "_high"])
+    columns = [joints[fresh].astype(np.int32), np.full(len(fresh), k, np.int32), cells[fresh], n, *sums, low, high]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["joint_index", "k", "_cell", "_m", "_v", "_over", "_over2", "_low", "_high"])
 
 
 def _value_rows(wanted: dict[int, tuple[np.ndarray, np.ndarray]]):
@@ -150,7 +157,9 @@ def offset_profile(df: DataFrame, action: str, state: str, by, order: str, horiz
     both = F.when((F.col(order) % BLOCK_ROWS < horizon - 1) & (F.col(order) >= BLOCK_ROWS), F.array(home, home - 1)).otherwise(F.array(home))
     rows = df.select(*by, order, F.col(action).cast("array<double>").alias("_a"), F.col(state).cast("array<double>").alias("_s"), F.explode(both).alias("_block"))
     keys = [*by, "_block"]
-    laid = rows.repartition(*keys).sortWithinPartitions(*keys, order)
+    # A fixed number of tasks: few bytes make much work here, so small partitions stay apart.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    laid = rows.repartition(tasks, *keys).sortWithinPartitions(*keys, order)
     laid = laid.select(*keys, (F.col("_block") == home).alias("_home"), "_a", "_s")
     width = len(keys)
 
@@ -161,7 +170,7 @@ def offset_profile(df: DataFrame, action: str, state: str, by, order: str, horiz
         return laid.mapInArrow(run, schema)
 
     subject = ["joint_index", "k"]
-    partial = counted(_cell_rows, "joint_index int, k int, _cell long, _m long, _sum double, _around double, _low double, _high double")
+    partial = counted(_cell_rows, "joint_index int, k int, _cell long, _m long, _v double, _over double, _over2 double, _low double, _high double")
 
     def values_of(hits: DataFrame) -> DataFrame:
         # At most two cells per joint, offset and quantile.
@@ -172,4 +181,4 @@ def offset_profile(df: DataFrame, action: str, state: str, by, order: str, horiz
         found = counted(_value_rows(sought), "joint_index int, k int, _cell long, _v double, _n long")
         return match(found.withColumn("_size", F.abs("_v")), hits, [*subject, "_cell"])
 
-    return settle(partial, subject, views, False, values_of)
+    return settle(merged_cells(partial, subject), subject, views, False, values_of)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from episodica.shared import BROADCAST_ROWS, sized
 
-CELLS = 2048  # cells per power of two
+CELLS = 256  # cells per power of two
 INFINITE, NAN, EMPTY = 1 << 40, 1 << 41, 1 << 42  # cells of their own at the ends
 VALUE, SIZE = "value", "size"  # views: the value itself and its absolute value
 
@@ -38,6 +38,13 @@ def _cell(value: Column, size: Column) -> Column:
     return F.when(value < 0, -cell).otherwise(cell)
 
 
+def _center(cell: str) -> Column:
+    """The lower edge of a cell's sizes, exact; 0 for cells of no number."""
+    place = F.abs(cell)
+    edge = F.pow(F.lit(2.0), F.expr(f"abs({cell}) div {CELLS}") - 1100) * (1 + (place % CELLS) / F.lit(float(CELLS)))
+    return F.when((place > 0) & (place < INFINITE), edge).otherwise(0.0)
+
+
 def _ranks(p: float, count: Column) -> tuple[Column, Column, Column]:
     at = (count - 1) * F.lit(float(p))
     return at, F.floor(at), F.ceil(at)
@@ -47,6 +54,16 @@ def _holds(rank: Column, first: Column, width: Column) -> Column:
     return (rank >= first) & (rank < first + width)
 
 
+def cell_sums(number, total, over, over2, low, high) -> list[Column]:
+    """What a cell holds: count, sum, sums of sizes and their squares above the cell's edge, extremes. All but the last two add up."""
+    return [number.alias("_m"), total.alias("_v"), over.alias("_over"), over2.alias("_over2"), low.alias("_low"), high.alias("_high")]
+
+
+def merged_cells(cells: DataFrame, by) -> DataFrame:
+    """Cells that repeat as one."""
+    return cells.groupBy(*by, "_cell").agg(*cell_sums(*[F.sum(c) for c in ("_m", "_v", "_over", "_over2")], F.min("_low"), F.max("_high")))
+
+
 def profile(
     df: DataFrame,
     by,
@@ -61,12 +78,12 @@ def profile(
 
     ``views`` names quantiles of the ``value`` and of its absolute value (``size``).
     ``moments`` has count, nonfinite, sum, abs_sum, square_sum, min, max, abs_max, mean and
-    std (population), of rows without ``weight``. With ``finite`` other values are counted as nonfinite and left out of
+    std (population; where the value itself is viewed), of rows without ``weight``. With ``finite`` other values are counted as nonfinite and left out of
     all else; without it a group with NaN has NaN for all quantiles and infinities stand
     at the ends, where between two equal neighbours the quantile is their value. Nulls are
     left out; ``empty`` keeps groups that have nothing else.
 
-    1. values fall into histogram cells, each with its count, sum, squares and extremes,
+    1. values fall into histogram cells, each with its count, sums above its edge and extremes,
        combined before the shuffle: what is moved is bounded by groups x cells, whatever
        the number of rows;
     2. the cells of a group give its moments and locate the cells that hold the wanted
@@ -83,6 +100,9 @@ def profile(
     rows = df.select(*fine, F.col(value).cast("double").alias("_v"), number.alias("_n"))
     rows = rows.withColumn("_size", F.abs("_v"))
     rows = rows.withColumns({"_cell": _cell(F.col("_v"), F.col("_size")), "_n": F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)})
+    if VALUE not in views:
+        # Only sizes are ordered: both signs share a cell.
+        rows = rows.withColumn("_cell", F.abs("_cell"))
     if not empty:
         rows = rows.where(F.col("_v").isNotNull())
 
@@ -91,25 +111,22 @@ def profile(
             return part
         return part.withColumn("_s", F.explode(fan_out)).select("*", "_s.*").drop("_s")
 
-    cells = rows.groupBy(*fine, "_cell").agg(
-        F.sum("_n").alias("_m"),
-        F.sum("_v").alias("_sum"),
-        (F.var_pop("_v") * F.count("_v")).alias("_around"),
-        F.min("_v").alias("_low"),
-        F.max("_v").alias("_high"),
-    )
+    above = F.col("_size") - _center("_cell")
+    cells = rows.withColumn("_above", above).groupBy(*fine, "_cell").agg(*cell_sums(F.sum("_n"), F.sum("_v"), F.sum("_above"), F.sum(F.col("_above") * F.col("_above")), F.min("_v"), F.max("_v")))
+    if fan_out is not None:
+        cells = merged_cells(fanned(cells), by)
+
     def of(hits: DataFrame) -> DataFrame:
         return match(fanned(rows).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
 
-    return settle(fanned(cells), by, views, finite, of)
+    return settle(cells, by, views, finite, of)
 
 
 def settle(cells: DataFrame, by, views, finite: bool, values_of) -> DataFrame:
     """The result of ``profile`` from the cells and, for the cells that hold the wanted ranks, their values.
 
-    ``cells``: ``by, _cell`` with ``_m, _sum, _around, _low, _high``; a cell may come in several
-    rows, each with the squares around its own mean. ``values_of(hits)`` joins ``_v, _size,
-    _n`` to the hits by cell.
+    ``cells``: ``by, _cell`` once each, with the columns of ``cell_sums``. ``values_of(hits)`` joins
+    ``_v, _size, _n`` to the hits by cell.
     """
     by = list(by)
     summary = sized(_summary(cells, by, views, finite))
@@ -156,35 +173,45 @@ def _total(value: Column, step: Column) -> Column:
 
 def _summary(cells: DataFrame, by, views, finite: bool) -> DataFrame:
     """by, moments, whether NaN decides the quantiles, and the cells with the wanted ranks."""
-    number, sound = F.col("_m"), F.abs("_cell") < INFINITE
-    used = number if not finite else F.when(sound, number).otherwise(0)
+    number, place = F.col("_m"), F.abs("_cell")
+    used = number if not finite else F.when(place < INFINITE, number).otherwise(0)
+    signed = VALUE in views
+    sign = F.when(F.col("_cell") < 0, -1.0).otherwise(1.0)
+    cells = cells.withColumns({"_used": used, "_edge": _center("_cell"), "_sign": sign if signed else F.lit(1.0)})
+    edge, over = F.col("_edge"), F.col("_over")
+    counts = F.col("_used") > 0
+    sizes = number * edge + over
+    squares = F.col("_over2") + 2 * edge * over + number * edge * edge
+    added = {"_sum": F.col("_sign") * sizes if signed else F.col("_v"), "_abs": sizes, "_square": squares}
+    cells = cells.withColumns({n: F.when(counts, c) for n, c in added.items()})
     group = Window.partitionBy(*by)
-    cells = cells.withColumn("_used", used)
-    total, sums = F.sum("_used"), F.sum(F.when(F.col("_used") > 0, F.col("_sum")))
-    places = {VALUE: F.col("_cell"), SIZE: F.abs("_cell")}
-    columns = {"_count": total.over(group), "_mean": sums.over(group) / total.over(group)}
+    before = Window.unboundedPreceding, -1
+    n = F.sum("_used")
+    columns = {"_count": n.over(group), "_mean": F.sum("_sum").over(group) / n.over(group)}
+    columns |= {f"_step{c}": _step(F.sum(F.abs(c)).over(group)) for c in added}
     for view in views:
-        # Cells at the same place may repeat: all smaller ones come before, equal ones are one.
-        ordered = group.orderBy(places[view])
-        columns[f"_before_{view}"] = F.coalesce(total.over(ordered.rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        columns[f"_width_{view}"] = total.over(ordered.rangeBetween(0, 0))
-    squares = F.col("_around") + F.col("_sum") * F.col("_sum") / number
-    added = {"_sum": F.col("_sum"), "_abs": F.abs("_sum"), "_square": squares}
-    added = {n: F.when(F.col("_used") > 0, c) for n, c in added.items()}
-    columns |= {f"_step{n}": _step(F.sum(F.abs(c)).over(group)) for n, c in added.items()}
+        # The sizes of both signs of a place lie in one stretch of the order.
+        order = group.orderBy("_cell") if view == VALUE or not signed else group.orderBy(place, "_cell")
+        first = F.coalesce(n.over(order.rowsBetween(*before)), F.lit(0))
+        if view == SIZE and signed:
+            back = F.when(F.abs(F.lag("_cell").over(order)) == place, F.lag("_used").over(order))
+            ahead = F.when(F.abs(F.lead("_cell").over(order)) == place, F.lead("_used").over(order))
+            back, ahead = F.coalesce(back, F.lit(0)), F.coalesce(ahead, F.lit(0))
+            columns |= {"_before_size": first - back, "_width_size": F.col("_used") + back + ahead}
+        else:
+            columns |= {f"_before_{view}": first, f"_width_{view}": F.col("_used")}
     cells = cells.withColumns(columns)
     hits = []
     for view, wanted in views.items():
         first, width = F.col(f"_before_{view}"), F.col(f"_width_{view}")
         ranks = [r for p in wanted.values() for r in _ranks(p, F.col("_count"))[1:]]
         held = reduce(lambda a, b: a | b, [_holds(r, first, width) for r in ranks])
-        hit = F.struct(F.lit(view).alias("view"), "_cell", places[view].alias("place"), first.alias("before"))
-        hits.append(F.collect_set(F.when(held & (F.col("_used") > 0), hit)))
-    any_used = F.col("_used") > 0
-    part = lambda c: F.when(any_used, c)
-    apart = F.col("_sum") / number - F.col("_mean")
-    n = F.sum("_used")
-    totals = {name: _total(c, F.col(f"_step{name}")) for name, c in added.items()}
+        hit = F.struct(F.lit(view).alias("view"), "_cell", (F.col("_cell") if view == VALUE else place).alias("place"), first.alias("before"))
+        hits.append(F.collect_list(F.when(held & counts, hit)))
+    part = lambda c: F.when(counts, c)
+    apart = edge - F.col("_sign") * F.col("_mean")
+    totals = {name: _total(F.col(name), F.col(f"_step{name}")) for name in added}
+    spread = F.sqrt(F.sum(part(F.col("_over2") + 2 * apart * over + number * apart * apart)) / n)
     moments = F.struct(
         n.alias("count"),
         F.sum(number - F.col("_used")).alias("nonfinite"),
@@ -195,7 +222,7 @@ def _summary(cells: DataFrame, by, views, finite: bool) -> DataFrame:
         F.max(part(F.col("_high"))).alias("max"),
         F.max(part(F.greatest(F.abs("_low"), F.abs("_high")))).alias("abs_max"),
         (totals["_sum"] / n).alias("mean"),
-        F.sqrt(F.sum(part(F.col("_around") + number * apart * apart)) / n).alias("std"),
+        (spread if signed else F.lit(None).cast("double")).alias("std"),
     )
     nan = F.coalesce(F.max(part(F.col("_cell") == NAN)), F.lit(False))
     return cells.groupBy(*by).agg(moments.alias("moments"), nan.alias("_nan"), F.flatten(F.array(*hits)).alias("_hits"))
