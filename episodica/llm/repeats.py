@@ -6,8 +6,11 @@
 * The places of a gram, with the bytes before and from them on, come together. Equal
   surroundings are one; the others are sorted from the place on and backwards (deep-shallow
   sorting), and the sorted orders tell how far each place agrees with some other.
-* A gram with over ``GROUP`` places never meets in one task: the strings around its places
-  are counted by their hash, combined before the shuffle.
+* A gram with over ``GROUP`` places never meets in one task. Two places that agree on LENGTH
+  bytes agree on half of them before or behind the gram, so its places are dealt to groups by
+  a hash of either half; a place that shares neither goes no further. Groups are sorted like
+  grams. Only where over ``GROUP`` different texts share a half as well, strings are counted
+  by their hash, combined before the shuffle.
 * Equal texts have one key and take part once; a text with an equal other is covered whole.
 
 Defined results: null and empty texts have nothing to remove; repeated rows are equal texts;
@@ -30,8 +33,8 @@ from episodica.llm.suffix_sort import reaches
 from episodica.llm.tables import slices, text_or_empty, written
 
 LENGTH, GRAM = 400, 32
-GROUP = 100_000
-"""Places of a gram that meet in one task: at most GROUP * 2 * LENGTH bytes, 80 MB."""
+GROUP = 20_000
+"""Places of a gram that meet in one task: at most GROUP * 2 * LENGTH bytes, 16 MB."""
 SEGMENT = 1 << 20
 WHOLE = 2**31 - 1
 
@@ -123,6 +126,30 @@ def surroundings(rows: DataFrame, length: int, gram: int) -> DataFrame:
     return rows.select("key", "text", "spots", "id").mapInArrow(run, "gram long, hot boolean, key binary, place long, left binary, right binary")
 
 
+def halves(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """gram, side, hash, key, place: for each place its LENGTH / 2 bytes before and from it on, hashed."""
+    half = (length + 1) // 2
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for batch, texts in slices(batches, 1):
+            out = []
+            for key, text, spots in zip(batch.column(0).to_pylist(), texts, batch.column(2).to_pylist(), strict=True):
+                if key == last:
+                    continue
+                last, raw = key, text.encode()
+                for spot in spots:
+                    at = spot["place"]
+                    for side, part in ((0, raw[max(0, at - half) : at]), (1, raw[at : at + half])):
+                        if len(part) == half:
+                            out.append((spot["gram"], side, hashlib.blake2b(part, digest_size=12).digest(), key, at))
+            columns = list(zip(*out, strict=True)) if out else [[]] * 5
+            kinds = (pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["gram", "side", "hash", "key", "place"])
+
+    return rows.select("key", "text", "spots", "id").mapInArrow(run, "gram long, side int, hash binary, key binary, place long")
+
+
 def agreeing(near: DataFrame, length: int) -> DataFrame:
     """key, begin and end of what each place shares with another; ``near`` comes grouped by gram."""
 
@@ -187,15 +214,25 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     spots = once.select("key", F.explode(F.arrays_zip("places", "grams")).alias("s")).select("key", F.col("s.places").alias("place"), F.col("s.grams").alias("gram"))
     again = once.select(F.explode("grams").alias("gram")).groupBy("gram").count().filter("count > 1").select("gram", (F.col("count") > group).alias("hot"))
 
-    def near(chosen: DataFrame) -> DataFrame:
+    def placed(chosen: DataFrame) -> DataFrame:
         wanted = chosen.groupBy("key").agg(F.collect_list(F.struct("place", "gram", "hot")).alias("spots"))
         # All columns of ``docs`` go in, so that this join and the caller's share one exchange of texts.
-        return surroundings(docs.join(wanted, "key"), length, gram)
+        return docs.join(wanted, "key")
+
+    def sorted_spans(chosen: DataFrame) -> DataFrame:
+        return agreeing(surroundings(placed(chosen), length, gram).repartition("gram").sortWithinPartitions("gram"), length)
 
     repeated = spots.join(again, "gram")
-    spans = agreeing(near(repeated.filter("NOT hot")).repartition("gram").sortWithinPartitions("gram"), length)
+    spans = sorted_spans(repeated.filter("NOT hot"))
     if not again.filter("hot").isEmpty():
-        spans = spans.union(agreeing_by_count(near(repeated.filter("hot")), length))
+        sides = written(halves(placed(repeated.filter("hot")), length, gram), "halves")
+        shared = sides.groupBy("gram", "side", "hash").count().filter("count > 1")
+        # A clash of numbers puts groups together; bytes are compared there.
+        kept = sides.join(shared, ["gram", "side", "hash"]).select("key", "place", F.xxhash64("gram", "side", "hash").alias("gram"), (F.col("count") > group).alias("hot"))
+        kept = written(kept, "halved")
+        spans = spans.union(sorted_spans(kept.filter("NOT hot")))
+        if not kept.filter("hot").isEmpty():
+            spans = spans.union(agreeing_by_count(surroundings(placed(kept.filter("hot")), length, gram), length))
     copies = docs.groupBy("key").count().filter("count > 1").select("key", F.lit(0).cast("long").alias("begin"), F.lit(WHOLE).cast("long").alias("end"))
     return spans.union(copies).groupBy("key").agg(F.collect_set(F.struct("begin", "end")).alias("spans"))
 

@@ -211,7 +211,7 @@ def test_repeats_against_every_window(spark):
                 gone[s : s + length] = [True] * length
         kept = bytes(b for b, g in zip(r, gone, strict=True) if not g)
         wanted[i] = (len(r), sum(gone), sum(g and not (k and gone[k - 1]) for k, g in enumerate(gone)), kept, hashlib.sha256(kept).hexdigest())
-    for group in (20_000, 2):
+    for group in (20_000, 8, 2):
         found = repeats.without_repeats(docs, length=length, gram=8, group=group).collect()
         assert {r["id"]: tuple(r)[1:] for r in found} == wanted
 
