@@ -33,8 +33,8 @@ from episodica.llm.suffix_sort import reaches
 from episodica.llm.tables import slices, text_or_empty, written
 
 LENGTH, GRAM = 400, 32
-GROUP = 20_000
-"""Places of a gram that meet in one task: at most GROUP * 2 * LENGTH bytes, 16 MB."""
+GROUP = 100_000
+"""Places of a gram that meet in one task: at most GROUP * 2 * LENGTH bytes, 80 MB."""
 SEGMENT = 1 << 20
 WHOLE = 2**31 - 1
 
