@@ -4,16 +4,21 @@ Replicates are drawn by hash, so an interval depends on the seed and the data on
 Draws go in two stages with the same distribution as one. Episodes are numbered and cut into
 blocks; first every slot of a replicate draws the block of its episode, and only the
 counts per (group, replicate, block) leave the task. Then, inside the one row that holds a
-block's values, that many local draws are made. No slot is shuffled, and a group that fits
-one block needs no first stage.
+block's values, that many local draws are made. No slot is a row, and a group that fits
+one block needs no first stage. The work is cut by its number of draws, so that all cores have a
+share however few rows and bytes stand for it.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from episodica.functions.seeds import digest_text, draw_below, seeded_digest
+from episodica.functions import digests
+from episodica.functions.seeds import digest_text
 from episodica.operators.ordered import row_numbers
 from episodica.operators.quantiles import exact_quantiles
 from episodica.shared import checkpointed, sized
@@ -24,7 +29,62 @@ INTERVAL = {"ci95_low": 0.025, "ci95_high": 0.975}
 BLOCK = 1024
 """Episodes in one row at most."""
 PART = 200
-"""Replicates that one task draws for a block at once."""
+"""Replicates that one row draws for a block at once."""
+UNIT, LONG = 1 << 20, 1 << 24
+"""Draws of a row of the first stage: of several replicates together, and of one at most."""
+TASK = 1 << 24
+"""Draws of a task, some seconds."""
+
+
+def _block_counts(batches):
+    """First stage: how often each block is drawn by the replicates of a row."""
+    for batch in batches:
+        out = []
+        for row in batch.to_pylist():
+            first, last, size = row["_first"], row["_last"], row["_size"]
+            blocks = -(-size // BLOCK)
+            found = np.zeros((last - first) * blocks, np.int64)
+            ends = np.full(last - first, row["_end"])
+            for which, number in digests.draws(row["_text"], (first, last), "", row["_start"], ends):
+                place = which * blocks + (number % np.uint64(size)).astype(np.int64) // BLOCK
+                found += np.bincount(place, minlength=len(found))
+            found = found.reshape(last - first, blocks)
+            drawn = np.flatnonzero(found.any(axis=0))
+            values = pa.array(found[:, drawn].T.ravel())
+            counts = pa.ListArray.from_arrays(pa.array(np.arange(len(drawn) + 1) * (last - first), pa.int32()), values)
+            same = [pa.array([row["_group"]] * len(drawn), pa.string()), pa.array(drawn), *[pa.array(np.full(len(drawn), row[n])) for n in ("_from", "_first")]]
+            out.append(pa.record_batch([*same, counts], names=["_group", "_block", "_from", "_first", "_k"]))
+        yield from out
+
+
+COUNTS = "_group string, _block long, _from long, _first long, _k array<long>"
+
+
+def _block_sums(keys, replicates: int):
+    """Second stage: sums of the values that the replicates of a row draw from its block."""
+
+    def run(batches):
+        for batch in batches:
+            parts = []
+            for i in range(batch.num_rows):
+                of = lambda name: batch.column(name)[i].as_py()  # noqa: E731, B023
+                first = of("_from")
+                last = min(first + PART, replicates)
+                drawn = np.full(last - first, of("_size") if of("_size") <= BLOCK else 0)
+                for some in of("_counts") or []:
+                    at = some["_first"] - first
+                    drawn[at : at + len(some["_k"])] += some["_k"]
+                values = [batch.column(n)[i].values.to_numpy(zero_copy_only=False) for n in ("_s", "_n")]
+                sums = [np.zeros(last - first) for _ in values]
+                for which, number in digests.draws(of("_slot"), (first, last), of("_middle"), 0, drawn):
+                    row = number % np.uint64(len(values[0]))
+                    for total, value in zip(sums, values, strict=True):
+                        total += np.bincount(which, value[row], minlength=len(total))
+                same = batch.select(keys).take(pa.array(np.full(last - first, i)))
+                parts.append(pa.record_batch([*same.columns, pa.array(np.arange(first, last)), *[pa.array(x) for x in sums]], names=[*keys, "replicate", "_s", "_n"]))
+            yield from parts
+
+    return run
 
 
 def _replicate_sums(clusters: DataFrame, keys, block, replicates: int, seed: int) -> DataFrame:
@@ -35,50 +95,37 @@ def _replicate_sums(clusters: DataFrame, keys, block, replicates: int, seed: int
     clusters = checkpointed(clusters)
     clusters = clusters.withColumn("_group", F.to_json(F.struct(*keys)) if keys else F.lit("{}"))
     numbered = row_numbers(clusters, ["_group"], ["episode_index"], block, "_number", start=0)
-    sizes = clusters.groupBy("_group").agg(F.count(F.lit(1)).alias("_size"))
-    numbered = numbered.join(sized(sizes), "_group").withColumn("_block", F.expr(f"_number div {BLOCK}"))
-    value = F.struct("_number", F.col("_s").cast("double").alias("_s"), F.col("_n").cast("double").alias("_n"))
-    blocks = numbered.groupBy(*keys, "_group", "_size", "_block").agg(F.array_sort(F.collect_list(value)).alias("_rows"))
-
-    every = F.sequence(F.lit(0), F.lit(replicates - 1))
-    slots = numbered.where(F.col("_size") > BLOCK).withColumn("replicate", F.explode(every))
-    place = draw_below(seeded_digest(seed, *keys, "replicate", "_number"), F.col("_size"))
-    counts = slots.select("_group", "replicate", F.floor(place / BLOCK).alias("_block"))
-    counts = counts.groupBy("_group", "_block", "replicate").agg(F.count(F.lit(1)).alias("_k"))
-    # At most one entry per replicate.
-    counts = counts.groupBy("_group", "_block").agg(
-        F.map_from_entries(F.collect_list(F.struct("replicate", "_k"))).alias("_counts")
+    sizes = sized(clusters.groupBy(*keys, "_group").agg(F.count(F.lit(1)).alias("_size")))
+    # Few rows stand for many draws, so tasks are counted by draws.
+    draws = replicates * (sizes.agg(F.sum("_size")).first()[0] or 0)
+    tasks = max(min(draws // TASK + 1, 100_000), min(draws // UNIT + 1, clusters.sparkSession.sparkContext.defaultParallelism))
+
+    spread = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(replicates - 1).cast("long"), F.lit(PART).cast("long")))
+    units = sizes.where(F.col("_size") > BLOCK).withColumns(
+        {"_text": digest_text(F.lit(str(seed)), *keys), "_step": F.greatest(F.lit(1).cast("long"), F.least(F.lit(PART).cast("long"), F.expr(f"{UNIT} div _size")))}
     )
-    blocks = blocks.join(counts, ["_group", "_block"], "left")
-
-    def of_replicate(replicate):
-        drawn = F.coalesce(F.element_at("_counts", replicate), F.lit(0).cast("long"))
-        number = F.when(F.col("_size") <= BLOCK, F.col("_size")).otherwise(drawn)
-        slots = F.when(number > 0, F.sequence(F.lit(0).cast("long"), number - 1)).otherwise(F.array().cast("array<bigint>"))
-
-        # The parts that all slots share are written out once.
-        shared = F.array(F.concat("_text", digest_text(replicate, "_block")))
-
-        def rows(text):
-            def row(slot):
-                return F.get("_rows", draw_below(F.md5(F.concat(text, digest_text(slot))), F.size("_rows")).cast("int"))
-
-            return F.transform(slots, row)
-
-        zero = F.struct(F.lit(0.0).alias("_s"), F.lit(0.0).alias("_n"))
-        add = lambda a, x: F.struct(
-            (a["_s"] + F.coalesce(x["_s"], F.lit(0.0))).alias("_s"), (a["_n"] + F.coalesce(x["_n"], F.lit(0.0))).alias("_n")
-        )
-        return F.aggregate(F.get(F.transform(shared, rows), F.lit(0)), zero, add)
-
-    # Replicates of one block are shared out among tasks.
-    parts = blocks.withColumn("_from", F.explode(F.sequence(F.lit(0), F.lit(replicates - 1), F.lit(PART))))
-    parts = parts.withColumn("_text", digest_text(F.lit(str(seed)), F.lit("slot"), *keys))
-    parts = parts.repartition("_group", "_block", "_from")
-    own = F.sequence("_from", F.least(F.col("_from") + PART, F.lit(replicates)) - 1)
-    one = F.transform(own, lambda r: F.struct(r.alias("replicate"), of_replicate(r).alias("_sum")))
-    sums = parts.select(*keys, F.explode(one).alias("_one")).select(*keys, "_one.*")
-    return sums.groupBy(*keys, "replicate").agg(F.sum("_sum._s").alias("_s"), F.sum("_sum._n").alias("_n"))
+    units = units.drop(*keys).withColumn("_from", spread)
+    units = units.withColumn("_to", F.least(F.col("_from") + PART, F.lit(replicates)))
+    units = units.withColumn("_first", F.explode(F.sequence(F.col("_from"), F.col("_to") - 1, F.col("_step"))))
+    units = units.withColumn("_last", F.least(F.col("_first") + F.col("_step"), F.col("_to")))
+    units = units.withColumn("_start", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_size") - 1, F.lit(LONG).cast("long"))))
+    units = units.withColumn("_end", F.least(F.col("_start") + LONG, F.col("_size"))).drop("_to", "_step")
+    counts = units.repartition(tasks, "_group", "_first", "_start").mapInArrow(_block_counts, COUNTS)
+    place = ["_group", "_block", "_from"]
+    counts = counts.repartition(tasks, *place).groupBy(*place).agg(F.collect_list(F.struct("_first", "_k")).alias("_counts"))
+
+    numbered = numbered.join(sizes.select("_group", "_size"), "_group").withColumn("_block", F.expr(f"_number div {BLOCK}"))
+    value = F.struct("_number", *[F.coalesce(F.col(n).cast("double"), F.lit(0.0)).alias(n) for n in ("_s", "_n")])
+    blocks = numbered.groupBy(*keys, "_group", "_size", "_block").agg(F.array_sort(F.collect_list(value)).alias("_rows"))
+    parts = blocks.select(
+        *keys, "_group", "_size", "_block", digest_text(F.lit(str(seed)), F.lit("slot"), *keys).alias("_slot"), digest_text("_block").alias("_middle"),
+        "_rows._s", "_rows._n",
+    ).withColumn("_from", spread)
+    parts = parts.repartition(tasks, *place).join(counts, place, "left")
+    own = [StructField("replicate", LongType()), StructField("_s", DoubleType()), StructField("_n", DoubleType())]
+    sums = parts.mapInArrow(_block_sums(keys, replicates), StructType([*[clusters.schema[k] for k in keys], *own]))
+    # Groups times replicates, read twice for the quantiles: never drawn twice.
+    return checkpointed(sums.groupBy(*keys, "replicate").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n")))
 
 
 def stratified_bootstrap_ci(
