@@ -100,18 +100,28 @@ def scan_info(spark, path, schema=INFO) -> DataFrame:
     return spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST").json(path)
 
 
-def scan_raw_episodes(spark, root, pattern="data.json", once: bool = False) -> DataFrame:
+def raw_documents(spark, root, pattern="data.json", packed: bool = False) -> DataFrame:
+    """Path below ``root`` and content of each raw document: a file each, or a row each of Parquet packs.
+
+    Opening and listing cost some milliseconds a file whatever its size, so sources of many small
+    documents are kept in packs (``sinks.write_packs``).
+    """
+    if packed:
+        return spark.read.schema("path string, content binary").parquet(root)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    files = files.option("pathGlobFilter", pattern).load(root)
+    return files.select(relative(F.col("path"), root).alias("path"), "content")
+
+
+def scan_raw_episodes(spark, root, pattern="data.json", once: bool = False, packed: bool = False) -> DataFrame:
     """Raw episodes with goal, frame count, hash, capture start and session.
 
     Also keeps the parsed ``data`` for P11 and V3. With ``once`` the files are read and parsed
     once into a checkpointed table with nested frames, for callers that read it several times.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    files = files.option("pathGlobFilter", pattern).load(root)
-    place = relative(F.col("path"), root)
-    parts = F.split(place, "/")
-    rows = files.select(
-        place.alias("path"),
+    parts = F.split("path", "/")
+    rows = raw_documents(spark, root, pattern, packed).select(
+        "path",
         F.try_element_at(parts, F.lit(-2)).alias("episode"),
         F.array_join(F.slice(parts, 1, F.greatest(F.size(parts) - 2, F.lit(0))), "/").alias("source_session"),
         F.sha2("content", 256).alias("data_json_sha256"),

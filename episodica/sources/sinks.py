@@ -22,3 +22,8 @@ def write_manifest(summary: DataFrame, records: DataFrame, path: str, mode="erro
     """
     summary.coalesce(1).write.mode(mode).json(f"{path}/summary")
     records.write.mode(mode).json(f"{path}/episodes", ignoreNullFields=False)
+
+
+def write_packs(documents: DataFrame, path: str, mode="errorifexists") -> None:
+    """Small documents ``(path, content)`` as rows of Parquet packs, byte for byte."""
+    documents.select("path", "content").write.mode(mode).parquet(path)
