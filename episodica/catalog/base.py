@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from episodica.contract import Layout
 from episodica.functions.labels import numbered_name
 from episodica.functions.vectors import joint_groups
-from episodica.operators.ordered import index_block, row_numbers
+from episodica.operators.ordered import hot_groups, index_block, row_numbers, spread
 
 EVENT_KEYS = ["dataset", "split", "episode_index"]
 
@@ -71,7 +71,9 @@ EVENT_ORDER = ["ts", "event_id"]
 
 
 def event_frames(spark, d) -> DataFrame:
-    return row_numbers(event_rows(spark, d), EVENT_KEYS, EVENT_ORDER, time_block(), "frame_index", start=0)
+    rows = event_rows(spark, d)
+    rows = spread(rows, EVENT_KEYS, table(spark, d, "events").count())
+    return row_numbers(rows, EVENT_KEYS, EVENT_ORDER, time_block(), "frame_index", start=0, hot=hot_groups(event_rows(spark, d), EVENT_KEYS))
 
 
 EVENT_EPISODES = """
@@ -241,6 +243,7 @@ grouped AS (
 
 
 def pair_rows(spark, d) -> DataFrame:
+    """Predictions, dealt by episode: the orders are joined last, so what follows by episode needs no shuffle."""
     rows = table(spark, d, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
         "l_discount", "l_tax", "l_returnflag", "l_shipdate",
@@ -249,7 +252,9 @@ def pair_rows(spark, d) -> DataFrame:
         F.col("o_orderkey").alias("l_orderkey"), "o_orderpriority", "o_orderstatus"
     )
     parts = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_retailprice")
-    return rows.join(orders, "l_orderkey").join(parts, "l_partkey").select(
+    n = table(spark, d, "lineitem").count()
+    rows = spread(spread(rows, ["l_partkey"], n).join(parts, "l_partkey"), ["l_orderkey"], n)
+    return rows.join(orders, "l_orderkey").select(
         F.col("l_orderkey").alias("episode_index"),
         F.col("o_orderpriority").alias("task"),
         F.col("o_orderstatus").alias("cohort"),
@@ -274,15 +279,25 @@ def plain_pairs(spark, d) -> DataFrame:
     return pair_rows(spark, d).drop(*PAIR_ORDER)
 
 
-def pairs(spark, d) -> DataFrame:
-    """Predictions with their frame number inside the order."""
+def hot_pairs(spark, d) -> DataFrame:
+    """Episodes of predictions with very many rows; an order's lines are counted before the joins."""
+    return hot_groups(table(spark, d, "lineitem").select(F.col("l_orderkey").alias("episode_index")), ["episode_index"])
+
+
+def pairs(spark, d, hot: DataFrame | None = None) -> DataFrame:
+    """Predictions with their frame number inside the order; ``hot`` from ``hot_pairs``, if it is at hand."""
     block = [F.col("l_linenumber"), index_block("l_partkey")]
-    rows = row_numbers(pair_rows(spark, d), ["episode_index"], PAIR_ORDER, block, "frame_index", start=0)
+    hot = hot_pairs(spark, d) if hot is None else hot
+    rows = row_numbers(pair_rows(spark, d), ["episode_index"], PAIR_ORDER, block, "frame_index", start=0, hot=hot)
     return rows.drop(*PAIR_ORDER)
 
 
+def groups() -> Column:
+    return joint_groups(F.col("joint_index"), LAYOUT)
+
+
 def grouped(df: DataFrame) -> DataFrame:
-    return df.withColumn("group", F.explode(joint_groups(F.col("joint_index"), LAYOUT)))
+    return df.withColumn("group", F.explode(groups()))
 
 
 # --- checkpoint metrics: one model per brand, one step per line number ---------------

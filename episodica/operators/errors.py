@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from episodica.operators.ordered import index_block
-from episodica.operators.quantiles import SIZE, exact_quantiles, match, profile
-from episodica.operators.statistics import frame_delta
+from episodica.operators.ordered import index_block, marked, previous_row
+from episodica.operators.quantiles import (
+    EMPTY, SIZE, VALUE, counted_cells, fanned, fanned_hits, in_cells, match, merged_cells, profile, settle,
+)
 from episodica.shared import checkpointed, sized
 
 PAIR = ["intact", "counterfactual"]
@@ -35,6 +36,8 @@ def _means(df: DataFrame) -> DataFrame:
     )
 
 
+SUMS = ("sample_count", "sum_absolute_error", "sum_squared_error", "sum_error", "max_absolute_error")
+MEANS = ("mae", "mse", "rmse", "bias")
 TYPICAL = {"median_absolute_error": 0.5, "p95_absolute_error": 0.95}
 
 
@@ -92,9 +95,35 @@ def long_conditions(pairs: DataFrame) -> DataFrame:
     return pairs.select(*others, F.explode(both).alias("_c")).select(*others, "_c.*")
 
 
-def episode_condition_metrics(pairs: DataFrame, keys) -> DataFrame:
-    """A10: A8 per key and condition."""
-    return error_metrics(long_conditions(pairs), [*keys, "condition"])
+def _whole_conditions(pairs: DataFrame, keys) -> DataFrame:
+    """A8 per key and condition where a key has few rows: one aggregation by ``keys``."""
+
+    def of(name: str) -> Column:
+        error = F.col(name) - F.col("expert")
+        ranks = F.percentile(F.abs(error), F.array(*[F.lit(p) for p in TYPICAL.values()]))
+        # NaN decides the quantiles, as in ``profile``.
+        ranks = F.when(F.coalesce(F.max(F.isnan(error)), F.lit(False)), F.array(*[F.lit(float("nan"))] * len(TYPICAL))).otherwise(ranks)
+        return F.struct(F.lit(name).alias("condition"), *_sums(error), *[ranks[i].alias(c) for i, c in enumerate(TYPICAL)])
+
+    both = pairs.groupBy(*keys).agg(F.array(*[of(c) for c in PAIR]).alias("_c"))
+    rows = both.select(*keys, F.explode("_c").alias("_c")).select(*keys, "_c.*")
+    return _means(rows).select(*keys, "condition", *SUMS, *MEANS, *TYPICAL)
+
+
+def episode_condition_metrics(pairs: DataFrame, keys, hot: DataFrame | None = None) -> DataFrame:
+    """A10: A8 per key and condition.
+
+    With ``hot``, from ``ordered.hot_groups``, only those keys go through cells; the rows of
+    any other key are few and meet in one aggregation.
+    """
+    keys = list(keys)
+    if hot is None:
+        return error_metrics(long_conditions(pairs), [*keys, "condition"])
+    if hot.isEmpty():
+        return _whole_conditions(pairs, keys)
+    rows = marked(pairs, keys, hot)
+    cut = error_metrics(long_conditions(rows.where("_hot")), [*keys, "condition"])
+    return _whole_conditions(rows.where(~F.col("_hot")), keys).unionByName(cut)
 
 
 def episode_pairs(pairs: DataFrame, keys) -> DataFrame:
@@ -137,21 +166,35 @@ def scopes(task="task", cohort="cohort") -> Column:
     )
 
 
-def condition_summary(pairs: DataFrame, keys=(), episode=("episode_index",), frame=("frame_index",)) -> DataFrame:
+def _groups_of(groups: Column | None, joint: str) -> tuple[str, Column]:
+    """The column that tells the groups of a row apart, and the array of its groups."""
+    return ("group", F.array("group")) if groups is None else (joint, groups)
+
+
+def condition_summary(
+    pairs: DataFrame, keys=(), episode=("episode_index",), frame=("frame_index",), groups: Column | None = None, joint="joint_index"
+) -> DataFrame:
     """A8 per scope, condition and group, with distinct episodes and frames.
 
     Cells with their sums and counts are formed once at (task, cohort) level and only those
-    partial results are fanned out to the scopes.
+    partial results are fanned out to the scopes; and to the groups, where these are given as
+    an array that ``joint`` decides instead of a ``group`` on each row.
     """
-    keys, fine = list(keys), [*keys, "task", "cohort", "condition", "group"]
+    parted, groups = _groups_of(groups, joint)
+    keys, fine = list(keys), [*keys, "task", "cohort", "condition", parted]
     scoped = [*keys, "scope", "scope_value", "condition", "group"]
     error = (F.col("prediction") - F.col("expert")).alias("_error")
-    found = profile(long_conditions(pairs).select(*fine, error), scoped, "_error", {SIZE: TYPICAL}, fan_out=scopes(), empty=True)
+    each = lambda s: F.transform(groups, lambda g: F.struct(s["scope"], s["scope_value"], g.alias("group")))
+    out_to = F.flatten(F.transform(scopes(), each))
+    rows = long_conditions(pairs).select(*fine, error)
+    if parted == "group":
+        out_to = scopes()
+    found = profile(rows, scoped, "_error", {SIZE: TYPICAL}, fan_out=out_to, empty=True)
     totals = _from_profile(found, scoped)
     # Episodes and frames belong to the scope alone: distinct frames of group "all",
     # counted per episode, then episodes.
     whole = [*keys, "task", "cohort"]
-    seen = pairs.where(F.col("group") == "all").groupBy(*whole, *episode, *frame).agg(F.lit(1).alias("_f"))
+    seen = pairs.where(F.array_contains(groups, "all")).groupBy(*whole, *episode, *frame).agg(F.lit(1).alias("_f"))
     seen = seen.groupBy(*whole, *episode).agg(F.count(F.lit(1)).alias("_f"))
     seen = seen.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
     seen = seen.groupBy(*keys, "scope", "scope_value", *episode).agg(F.sum("_f").alias("_f"))
@@ -161,9 +204,14 @@ def condition_summary(pairs: DataFrame, keys=(), episode=("episode_index",), fra
     return match(totals, seen, [*keys, "scope", "scope_value"])
 
 
-def horizon_summary(pairs: DataFrame, keys=()) -> DataFrame:
-    """A8 per horizon position, condition and group."""
-    return error_metrics(long_conditions(pairs), [*keys, "horizon_position", "condition", "group"])
+def horizon_summary(pairs: DataFrame, keys=(), groups: Column | None = None, joint="joint_index") -> DataFrame:
+    """A8 per horizon position, condition and group; ``groups`` as in ``condition_summary``."""
+    fine = [*keys, "horizon_position", "condition"]
+    if groups is None:
+        return error_metrics(long_conditions(pairs), [*fine, "group"])
+    rows = long_conditions(pairs).select(*fine, joint, (F.col("prediction") - F.col("expert")).alias("_error"))
+    out_to = F.transform(groups, lambda g: F.struct(g.alias("group")))
+    return _from_profile(profile(rows, [*fine, "group"], "_error", {SIZE: TYPICAL}, fan_out=out_to, empty=True), [*fine, "group"])
 
 
 def joint_summary(pairs: DataFrame, keys=()) -> DataFrame:
@@ -179,8 +227,9 @@ def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
 
     ``effects`` has one row per (repeat, episode, group) as from ``episode_pairs``; an
     episode has one task and one cohort. Repeats are averaged per episode, episodes
-    per task, tasks per scope. Only sums per (task, cohort, group) are fanned out to
-    the scopes.
+    per task, tasks per scope. Only sums per (task, cohort, group) and cell are fanned out to
+    the scopes. Episodes are not kept: sums and cells come from one pass over ``effects``,
+    the values in the wanted cells and the repeats from two more.
     """
     fine, scoped = [*keys, "task", "cohort", "group"], [*keys, "scope", "scope_value", "group"]
     sums = [f"{c}_{s}" for c in PAIR for s in ("absolute", "squared")]
@@ -189,24 +238,23 @@ def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
         F.avg("mean_absolute_prediction_change").alias("change"),
         *[F.sum(f"{c}_sum_{s}_error").alias(f"{c}_{s}") for c in PAIR for s in ("absolute", "squared")],
         F.sum("sample_count").alias("samples"),
-        F.collect_set("shuffle_repeat").alias("repeats"),
     )
-    # One row per episode and group, read four times below.
-    per_episode = checkpointed(per_episode)
-
-    def fanned(part: DataFrame) -> DataFrame:
-        return part.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
-
-    parts = per_episode.groupBy(*fine).agg(
+    median = {VALUE: {"episode_macro_median_delta_mae": 0.5}}
+    rows = in_cells(per_episode, [*fine, "change", *sums, "samples"], "delta_mae", median)
+    cells = counted_cells(
+        rows, fine,
         F.count(F.lit(1)).alias("_episodes"),
-        F.sum("delta_mae").alias("_delta"),
+        F.sum("_v").alias("_delta"),
         F.sum("change").alias("_change"),
-        F.count_if(F.col("delta_mae") > 0).alias("_wins"),
+        F.count_if(F.col("_v") > 0).alias("_wins"),
         *[F.sum(n).alias(n) for n in sums],
         F.sum("samples").alias("samples"),
     )
+    # At most groups x cells, whatever the number of episodes; read twice below.
+    cells = checkpointed(cells)
     totals = ["_episodes", "_delta", "_change", "_wins", *sums, "samples"]
-    per_task = fanned(parts).groupBy(*scoped, "task").agg(*[F.sum(c).alias(c) for c in totals])
+    parts = cells.groupBy(*fine).agg(*[F.sum(c).alias(c) for c in totals])
+    per_task = fanned(parts, scopes()).groupBy(*scoped, "task").agg(*[F.sum(c).alias(c) for c in totals])
     n, k = F.sum("samples"), F.sum("_episodes")
     out = per_task.groupBy(*scoped).agg(
         k.alias("episodes"),
@@ -222,12 +270,11 @@ def paired_effects(effects: DataFrame, keys=()) -> DataFrame:
         (F.sum("_wins") / k).alias("episode_win_rate_counterfactual_worse"),
         (F.sum("_change") / k).alias("episode_macro_prediction_change_mae"),
     )
-    middle = exact_quantiles(
-        per_episode.select(*fine, "delta_mae"), scoped, "delta_mae",
-        {"episode_macro_median_delta_mae": 0.5}, fan_out=scopes(),
-    )
-    repeats = per_episode.select(*fine, F.explode("repeats").alias("_r")).groupBy(*fine, "_r").agg(F.lit(1).alias("_one"))
-    repeats = fanned(repeats).groupBy(*scoped).agg(F.count_distinct("_r").alias("shuffle_repeats"))
+    known = merged_cells(fanned(cells.where(F.col("_cell") != EMPTY), scopes()), scoped)
+    middle = settle(known, scoped, median, False, lambda hits: fanned_hits(rows.select(*fine, "_v", "_size", "_n", "_cell"), scoped, scopes(), hits))
+    middle = middle.drop("moments")
+    repeats = effects.groupBy(*fine, "shuffle_repeat").agg(F.lit(1).alias("_one"))
+    repeats = fanned(repeats, scopes()).groupBy(*scoped).agg(F.count_distinct("shuffle_repeat").alias("shuffle_repeats"))
     return match(match(out, middle, scoped), repeats, scoped)
 
 
@@ -276,16 +323,19 @@ def model_wins(episode_mae: DataFrame, model="model", keys=("task", "episode_ind
 
 def motion_split_errors(
     df: DataFrame, threshold: float, keys=(), by=("episode_index",), order=("frame_index",), block=None,
-    prediction="prediction", expert="expert", anchor: str | None = None,
+    prediction="prediction", expert="expert", anchor: str | None = None, hot: DataFrame | None = None,
 ) -> DataFrame:
     """Errors on active and on low motion frames, with predicted speed.
 
     A frame is active when the recorded value moved by at least ``threshold`` since
-    the frame before. With ``anchor``, jumps at chunk starts are reported as well.
+    the frame before. With ``anchor``, jumps at chunk starts are reported as well. With
+    ``hot`` (keys, see ``ordered.hot_groups``) only those episodes are cut into blocks.
     """
     block = index_block(order[0]) if block is None else block
-    moved = frame_delta(df, expert, by, order, block, "_moved")
-    moved = frame_delta(moved, prediction, by, order, block, "_speed")
+    near = previous_row(df, by, order, [expert, prediction], block, "_before_", hot=hot)
+    moved = near.withColumns(
+        {n: F.col(c) - F.col(f"_before_{c}") for n, c in (("_moved", expert), ("_speed", prediction))}
+    )
     moved = moved.where(F.col("_moved").isNotNull()).withColumn(
         "motion", F.when(F.abs("_moved") >= threshold, F.lit("active")).otherwise(F.lit("low"))
     )

@@ -32,19 +32,49 @@ def hash_block(name: str, digits: int = 3) -> Column:
     return F.substring(name, 1, digits)
 
 
+PARTITION_ROWS = 500_000
+
+
+def spread(df: DataFrame, keys, rows: int) -> DataFrame:
+    """``df`` dealt by ``keys`` over one partition per ``PARTITION_ROWS`` of ``rows``, where a shuffle has fewer.
+
+    What a task then sorts or aggregates by ``keys`` stays the same as the input grows.
+    """
+    parts = -(-rows // PARTITION_ROWS)
+    usual = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(parts, *columns(keys)) if parts > usual else df
+
+
+def hot_groups(df: DataFrame, by, rows: int = BLOCK_ROWS) -> DataFrame:
+    """Keys of the groups with over ``rows`` rows; counted at once, combined before the shuffle."""
+    counts = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_rows"))
+    return sized(counts.where(F.col("_rows") > rows).select(*by))
+
+
+def marked(df: DataFrame, by, hot: DataFrame) -> DataFrame:
+    """``df`` with ``_hot``, whether its group is one of ``hot``."""
+    return df.join(hot.withColumn("_hot", F.lit(True)), list(by), "left").withColumn("_hot", F.coalesce("_hot", F.lit(False)))
+
+
 def _blocked(df: DataFrame, block) -> tuple[DataFrame, list[str]]:
     blocks = block if isinstance(block, (list, tuple)) else [block]
     names = [f"_block{i}" for i in range(len(blocks))]
     return df.withColumns(dict(zip(names, blocks, strict=True))), names
 
 
+def _only_hot(df: DataFrame, by, block, hot: DataFrame) -> tuple[DataFrame, list[Column]]:
+    """``df`` with ``_hot`` and its blocks; any other group is one block, whose number is null."""
+    blocks = block if isinstance(block, (list, tuple)) else [block]
+    return marked(df, by, hot), [F.when(F.col("_hot"), b) for b in blocks]
+
+
 def _values(names) -> Column:
     return F.struct(*[F.col(v).alias(v) for v in names])
 
 
 def neighbours(
     df, by, order, block, previous=(), following=(), circular=False,
-    previous_prefix="previous_", next_prefix="next_",
+    previous_prefix="previous_", next_prefix="next_", hot: DataFrame | None = None,
 ) -> DataFrame:
     """``lag`` of the ``previous`` and ``lead`` of the ``following`` columns, from one shuffle.
 
@@ -52,9 +82,18 @@ def neighbours(
     summary: they alone meet the other blocks' edges (two rows a block and group), while
     the rows between pass by. Both halves read the same exchange, so the source is
     scanned and shuffled once. ``circular`` joins the two ends of a group.
+
+    With ``hot``, from ``hot_groups``, only those groups are cut; without any, one window does.
     """
-    df, blocks = _blocked(df, block)
     by, order = list(by), list(order)
+    if hot is not None and not circular:
+        if hot.isEmpty():
+            whole = Window.partitionBy(*by).orderBy(*columns(order))
+            near = {f"{previous_prefix}{v}": F.lag(v).over(whole) for v in previous}
+            return df.withColumns(near | {f"{next_prefix}{v}": F.lead(v).over(whole) for v in following})
+        df, block = _only_hot(df, by, block, hot)
+    df, blocks = _blocked(df, block)
+    df = df.drop("_hot")
     keys = by + blocks
     within = Window.partitionBy(*keys).orderBy(*columns(order))
     back, ahead = _values(previous or order[:1]), _values(following or order[:1])
@@ -80,9 +119,9 @@ def neighbours(
     return both.withColumns(near).drop("_back", "_ahead", *blocks)
 
 
-def previous_row(df, by, order, values, block, prefix="previous_", circular=False) -> DataFrame:
+def previous_row(df, by, order, values, block, prefix="previous_", circular=False, hot: DataFrame | None = None) -> DataFrame:
     """``lag`` of ``values`` in each group; ``circular`` gives the first row the last one."""
-    return neighbours(df, by, order, block, values, (), circular, previous_prefix=prefix)
+    return neighbours(df, by, order, block, values, (), circular, previous_prefix=prefix, hot=hot)
 
 
 def next_row(df, by, order, values, block, prefix="next_", circular=False) -> DataFrame:
@@ -169,8 +208,26 @@ def _starts(before: Column, now: Column, names) -> Column:
     return F.when(before.isNull() | ~equal, 1).otherwise(0)
 
 
-def row_numbers(df, by, order, block, name="row_number", start=1) -> DataFrame:
-    """``row_number`` within ``by``, for order columns that can be cut into blocks."""
+def row_numbers(df, by, order, block, name="row_number", start=1, hot: DataFrame | None = None) -> DataFrame:
+    """``row_number`` within ``by``, for order columns that can be cut into blocks.
+
+    With ``hot``, from ``hot_groups``, only those groups are cut, and the summary reads them
+    alone; the others are numbered in one window.
+    """
+    if hot is not None:
+        whole = Window.partitionBy(*by).orderBy(*columns(order))
+        if hot.isEmpty():
+            return df.withColumn(name, (F.row_number().over(whole) + F.lit(start - 1)).cast("long"))
+        df, block = _only_hot(df, by, block, hot)
+        df, blocks = _blocked(df, block)
+        keys = [*by, *blocks]
+        within = Window.partitionBy(*keys).orderBy(*columns(order))
+        across = Window.partitionBy(*by).orderBy(*columns(blocks)).rowsBetween(Window.unboundedPreceding, -1)
+        sums = df.where("_hot").groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
+        sums = sums.select(*keys, F.coalesce(F.sum("_rows").over(across), F.lit(0)).alias("_before"))
+        out = df.withColumn(name, F.row_number().over(within)).join(sums, keys, "left")
+        place = F.col(name) + F.coalesce("_before", F.lit(0)) + F.lit(start - 1)
+        return out.withColumn(name, place.cast("long")).drop("_hot", "_before", *blocks)
     numbered = running_total(df, by, order, block, F.lit(1), name)
     return numbered.withColumn(name, (F.col(name) + F.lit(start)).cast("long"))
 

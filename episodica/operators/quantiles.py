@@ -64,6 +64,34 @@ def merged_cells(cells: DataFrame, by) -> DataFrame:
     return cells.groupBy(*by, "_cell").agg(*cell_sums(*[F.sum(c) for c in ("_m", "_v", "_over", "_over2")], F.min("_low"), F.max("_high")))
 
 
+def in_cells(df: DataFrame, others, value: str, views, weight: str | None = None) -> DataFrame:
+    """``others`` with the value ``_v``, its size, weight ``_n`` and ``_cell``."""
+    number = F.col(weight) if weight else F.lit(1).cast("long")
+    rows = df.select(*others, F.col(value).cast("double").alias("_v"), number.alias("_n"))
+    rows = rows.withColumn("_size", F.abs("_v"))
+    rows = rows.withColumns({"_cell": _cell(F.col("_v"), F.col("_size")), "_n": F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)})
+    # Where only sizes are ordered, both signs share a cell.
+    return rows if VALUE in views else rows.withColumn("_cell", F.abs("_cell"))
+
+
+def counted_cells(rows: DataFrame, by, *more: Column) -> DataFrame:
+    """Rows of ``in_cells`` as cells, with ``more`` aggregates."""
+    above = F.col("_above")
+    held = cell_sums(F.sum("_n"), F.sum("_v"), F.sum(above), F.sum(above * above), F.min("_v"), F.max("_v"))
+    return rows.withColumn("_above", F.col("_size") - _center("_cell")).groupBy(*by, "_cell").agg(*held, *more)
+
+
+def fanned(df: DataFrame, fan_out: Column) -> DataFrame:
+    """One row per struct of ``fan_out``, its fields as columns."""
+    return df.withColumn("_s", F.explode(fan_out)).select("*", "_s.*").drop("_s")
+
+
+def fanned_hits(rows: DataFrame, by, fan_out: Column, hits: DataFrame) -> DataFrame:
+    """``hits`` with their rows; only rows in a cell that some group wants are fanned out."""
+    wanted = rows.join(sized(hits.select("_cell").distinct()), "_cell", "left_semi")
+    return match(fanned(wanted, fan_out).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
+
+
 def profile(
     df: DataFrame,
     by,
@@ -96,28 +124,17 @@ def profile(
     """
     by = list(by)
     fine = by if fan_out is None else [c for c in df.columns if c not in (value, weight)]
-    number = F.col(weight) if weight else F.lit(1).cast("long")
-    rows = df.select(*fine, F.col(value).cast("double").alias("_v"), number.alias("_n"))
-    rows = rows.withColumn("_size", F.abs("_v"))
-    rows = rows.withColumns({"_cell": _cell(F.col("_v"), F.col("_size")), "_n": F.when(F.col("_v").isNotNull(), F.col("_n")).otherwise(0)})
-    if VALUE not in views:
-        # Only sizes are ordered: both signs share a cell.
-        rows = rows.withColumn("_cell", F.abs("_cell"))
+    rows = in_cells(df, fine, value, views, weight)
     if not empty:
         rows = rows.where(F.col("_v").isNotNull())
-
-    def fanned(part: DataFrame) -> DataFrame:
-        if fan_out is None:
-            return part
-        return part.withColumn("_s", F.explode(fan_out)).select("*", "_s.*").drop("_s")
-
-    above = F.col("_size") - _center("_cell")
-    cells = rows.withColumn("_above", above).groupBy(*fine, "_cell").agg(*cell_sums(F.sum("_n"), F.sum("_v"), F.sum("_above"), F.sum(F.col("_above") * F.col("_above")), F.min("_v"), F.max("_v")))
+    cells = counted_cells(rows, fine)
     if fan_out is not None:
-        cells = merged_cells(fanned(cells), by)
+        cells = merged_cells(fanned(cells, fan_out), by)
 
     def of(hits: DataFrame) -> DataFrame:
-        return match(fanned(rows).select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
+        if fan_out is not None:
+            return fanned_hits(rows, by, fan_out, hits)
+        return match(rows.select(*by, "_v", "_size", "_n", "_cell"), hits, [*by, "_cell"])
 
     return settle(cells, by, views, finite, of)
 
