@@ -11,6 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +24,7 @@ from episodica.operators.statistics import EPISODE_QUANTILES
 from episodica.shared import scratch_path
 
 CHUNK_FRAMES = 32
+SLICE_BYTES = 1 << 23  # payload that a kernel widens or rewrites at a time
 
 
 def scale_brightness(pixels: Column, scale: float) -> Column:
@@ -64,9 +67,33 @@ def pack_pixels(pixels: pd.Series) -> pd.Series:
     return pixels.map(lambda p: None if p is None else np.asarray(p, dtype=np.uint8).tobytes())
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def unpack_pixels(frames: pd.Series) -> pd.Series:
-    return frames.map(lambda b: None if b is None else np.frombuffer(b, dtype=np.uint8).astype(np.int32))
+def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``SLICE_BYTES`` each, one row at least."""
+    begin, held = 0, 0
+    for i, size in enumerate(pc.fill_null(pc.binary_length(column), 0).to_pylist()):
+        if i > begin and held + size > SLICE_BYTES:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if begin < len(column):
+        yield begin, len(column)
+
+
+def _bytes_at(column: pa.Array, i: int) -> np.ndarray | None:
+    """The bytes of one row, without a copy."""
+    return np.frombuffer(column[i].as_buffer(), dtype=np.uint8) if column[i].is_valid else None
+
+
+@F.arrow_udf(T.ArrayType(T.IntegerType()))
+def unpack_pixels(frames: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Bytes as whole numbers, four times as wide: a slice of a batch at a time."""
+    for batch in frames:
+        for begin, end in _slices(batch):
+            rows = [_bytes_at(batch, i) for i in range(begin, end)]
+            ends = np.cumsum([0, *[0 if r is None else len(r) for r in rows]], dtype=np.int32)
+            whole = np.concatenate([np.empty(0, np.uint8), *[r for r in rows if r is not None]]).astype(np.int32)
+            missing = pa.array([r is None for r in rows])
+            yield pa.ListArray.from_arrays(pa.array(ends), pa.array(whole), mask=missing)
 
 
 def range_mask_frames(
@@ -105,11 +132,6 @@ def range_mask_frames(
     ).drop("_m")
 
 
-@F.pandas_udf(T.BinaryType())
-def _joined(parts: pd.Series) -> pd.Series:
-    return parts.map(lambda p: b"".join(bytes(b) for b in p))
-
-
 def chunk_frames(frames: DataFrame, by=EPISODE, frame="frame_index", pixels="pixels", size=CHUNK_FRAMES):
     """Frames grouped into chunks of ``size`` per episode.
 
@@ -126,7 +148,8 @@ def chunk_frames(frames: DataFrame, by=EPISODE, frame="frame_index", pixels="pix
         F.first("channels").alias("channels"),
         F.transform(ordered, lambda x: x["b"]).alias("_parts"),
     )
-    packed = grouped.withColumn("payload", _joined("_parts")).drop("_parts")
+    joined = F.unhex(F.array_join(F.transform("_parts", F.hex), ""))
+    packed = grouped.withColumn("payload", joined).drop("_parts")
     return packed.withColumns(
         {
             "uncompressed_bytes": F.octet_length("payload").cast("long"),
@@ -140,10 +163,13 @@ def _frames_of(payload, f, h, w, c) -> np.ndarray:
 
 
 def _layout_udf(change):
-    @F.pandas_udf(T.BinaryType())
-    def run(payloads: pd.Series, fs: pd.Series, hs: pd.Series, ws: pd.Series, cs: pd.Series) -> pd.Series:
-        rows = zip(payloads, fs, hs, ws, cs, strict=True)
-        return pd.Series([np.ascontiguousarray(change(*row)).tobytes() for row in rows])
+    @F.arrow_udf(T.BinaryType())
+    def run(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for payloads, *sizes in batches:
+            for begin, end in _slices(payloads):
+                shapes = zip(*[s[begin:end].to_pylist() for s in sizes], strict=True)
+                rows = zip(range(begin, end), shapes, strict=True)
+                yield pa.array([change(_bytes_at(payloads, i), *shape).tobytes() for i, shape in rows], pa.binary())
 
     return run
 
