@@ -127,15 +127,17 @@ def episode_condition_metrics(pairs: DataFrame, keys, hot: DataFrame | None = No
 
 
 def episode_pairs(pairs: DataFrame, keys) -> DataFrame:
-    """A10: one row per key with both conditions, their deltas and the change; one pass."""
+    """A10: one row per key with both conditions, their deltas and the change; one pass.
+
+    Means are sums over counts, so a group holds each of them once.
+    """
 
     def of(name: str) -> list[Column]:
         error = F.col(name) - F.col("expert")
         return [
             F.sum(F.abs(error)).alias(f"{name}_sum_absolute_error"),
             F.sum(error * error).alias(f"{name}_sum_squared_error"),
-            F.avg(F.abs(error)).alias(f"{name}_mae"),
-            F.avg(error * error).alias(f"{name}_mse"),
+            F.count(error).alias(f"_{name}_n"),
         ]
 
     change = F.abs(F.col("counterfactual") - F.col("intact"))
@@ -144,9 +146,21 @@ def episode_pairs(pairs: DataFrame, keys) -> DataFrame:
         *of("intact"),
         *of("counterfactual"),
         F.sum(change).alias("sum_absolute_prediction_change"),
-        F.avg(change).alias("mean_absolute_prediction_change"),
+        F.count(change).alias("_change_n"),
         F.max(change).alias("max_absolute_prediction_change"),
     )
+
+    def mean(total: str, number: str) -> Column:
+        return (F.col(total) / F.col(number)).alias(total.replace("_sum_absolute_error", "_mae").replace("_sum_squared_error", "_mse").replace("sum_abs", "mean_abs"))
+
+    def with_means(name: str) -> list[Column]:
+        sums = [f"{name}_sum_absolute_error", f"{name}_sum_squared_error"]
+        return [*[F.col(s) for s in sums], *[mean(s, f"_{name}_n") for s in sums]]
+
+    out = out.select(
+        *keys, "sample_count", *with_means("intact"), *with_means("counterfactual"), "sum_absolute_prediction_change",
+        mean("sum_absolute_prediction_change", "_change_n"), "max_absolute_prediction_change",
+    )
     return out.withColumns(
         {
             f"delta_{m}_counterfactual_minus_intact": F.col(f"counterfactual_{m}") - F.col(f"intact_{m}")

@@ -76,3 +76,22 @@ def test_groups_fan_out_from_cells(spark, summary):
     want, got = run(pairs.withColumn("group", F.explode(groups))), run(pairs, groups=groups)
     tidy = lambda df: rows(df.select(*[F.round(c, 9).alias(c) if t == "double" else c for c, t in sorted(df.dtypes)]))
     assert tidy(got) == tidy(want)
+
+
+def test_effects_are_summed_where_the_join_has_put_them(spark, monkeypatch):
+    from episodica.catalog.evaluation import EFFECT_KEYS
+
+    monkeypatch.setattr(ordered, "PARTITION_ROWS", 500)
+    broadcast = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        found = errors.episode_pairs(base.grouped(base.plain_pairs(spark, SF)), EFFECT_KEYS)
+        assert "hashpartitioning(shuffle_repeat" not in found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+
+
+def test_means_leave_out_missing_predictions(spark):
+    pairs = spark.createDataFrame([(1, 1.0, None, 0.0), (1, 3.0, 2.0, 1.0)], "e int, intact double, counterfactual double, expert double")
+    got = errors.episode_pairs(pairs, ["e"]).first()
+    assert (got.sample_count, got.intact_mae, got.counterfactual_mae, got.mean_absolute_prediction_change) == (2, 1.5, 1.0, 1.0)
