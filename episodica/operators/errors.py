@@ -9,7 +9,7 @@ from episodica.operators.ordered import index_block, marked, previous_row
 from episodica.operators.quantiles import (
     EMPTY, SIZE, VALUE, counted_cells, fanned, fanned_hits, in_cells, match, merged_cells, profile, settle,
 )
-from episodica.shared import checkpointed, sized
+from episodica.shared import checkpointed, sized, stored
 
 PAIR = ["intact", "counterfactual"]
 
@@ -192,10 +192,13 @@ def condition_summary(
 
     Cells with their sums and counts are formed once at (task, cohort) level and only those
     partial results are fanned out to the scopes; and to the groups, where these are given as
-    an array that ``joint`` decides instead of a ``group`` on each row.
+    an array that ``joint`` decides instead of a ``group`` on each row. Where each row of group
+    "all" is a frame of its own, ``frame=()`` counts rows, which then need no number. ``pairs`` is
+    made once: its columns are stored, and cells, wanted cells and frames read those they need.
     """
     parted, groups = _groups_of(groups, joint)
     keys, fine = list(keys), [*keys, "task", "cohort", "condition", parted]
+    pairs = stored(pairs.select(*dict.fromkeys([*keys, "task", "cohort", parted, *episode, *frame, *PAIR, "expert"])), "pairs")
     scoped = [*keys, "scope", "scope_value", "condition", "group"]
     error = (F.col("prediction") - F.col("expert")).alias("_error")
     each = lambda s: F.transform(groups, lambda g: F.struct(s["scope"], s["scope_value"], g.alias("group")))
@@ -208,7 +211,9 @@ def condition_summary(
     # Episodes and frames belong to the scope alone: distinct frames of group "all",
     # counted per episode, then episodes.
     whole = [*keys, "task", "cohort"]
-    seen = pairs.where(F.array_contains(groups, "all")).groupBy(*whole, *episode, *frame).agg(F.lit(1).alias("_f"))
+    seen = pairs.where(F.array_contains(groups, "all"))
+    if frame:
+        seen = seen.groupBy(*whole, *episode, *frame).agg(F.lit(1).alias("_f"))
     seen = seen.groupBy(*whole, *episode).agg(F.count(F.lit(1)).alias("_f"))
     seen = seen.withColumn("_s", F.explode(scopes())).select("*", "_s.*")
     seen = seen.groupBy(*keys, "scope", "scope_value", *episode).agg(F.sum("_f").alias("_f"))
