@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -96,6 +98,62 @@ def strategy_metrics(rows: DataFrame, window_keys, group: str = "group") -> Data
     )
 
 
+def window_metrics(windows: DataFrame, window_keys, groups_of: Callable[[Column], Column]) -> DataFrame:
+    """A17 from whole windows, one row each: the metrics of its groups are made in its row, without a shuffle.
+
+    ``windows`` hold ``window`` and ``expert_window`` (arrays of vectors), ``fresh_command`` and
+    ``previous_command`` (vectors); ``groups_of(joint)`` is the array of a joint's groups. Results
+    are those of ``strategy_metrics`` over ``window_rows``: positions beyond the expert window have no error.
+    """
+    window_keys = list(window_keys)
+    zero, none = F.lit(0.0), F.lit(0).cast("long")
+
+    def known(values: Column) -> Column:
+        return F.filter(values, lambda x: x.isNotNull())
+
+    def total(values: Column) -> Column:
+        return F.aggregate(values, zero, lambda a, x: a + x)
+
+    def of_joint(j: Column) -> Column:
+        values = F.transform("window", lambda step: F.get(step, j).cast("double"))
+        errors = known(F.transform(values, lambda x, h: x - F.get(F.get("expert_window", h), j)))
+        slews = known(F.transform(F.slice(values, 2, F.greatest(F.size(values) - 1, F.lit(0))), lambda x, h: F.abs(x - F.get(values, h))))
+        jumps = [F.abs(F.get(values, F.lit(0)) - F.get(command, j)) for command in ("fresh_command", "previous_command")]
+        return F.struct(groups_of(j).alias("groups"), errors.alias("errors"), slews.alias("slews"), *[x.alias(n) for x, n in zip(jumps, ("fresh", "previous"), strict=True)])
+
+    joints = F.transform(F.sequence(F.lit(0), F.size(F.get("window", F.lit(0))) - 1), of_joint)
+    rows = windows.select(*window_keys, joints.alias("_joints"))
+    names = F.array_distinct(F.flatten("_joints.groups"))
+    # The joints of a window are one array: it goes with each of its few groups.
+    rows = rows.select(*window_keys, "_joints", F.explode(names).alias("group"))
+    mine = F.filter("_joints", lambda x: F.array_contains(x["groups"], F.col("group")))
+    rows = rows.select(*window_keys, "group", mine.alias("_m"))
+    # A field of an array of structs is the array of that field.
+    rows = rows.select(
+        *window_keys, "group", F.flatten("_m.errors").alias("_e"), F.flatten("_m.slews").alias("_s"),
+        known(F.col("_m.fresh")).alias("_f"), known(F.col("_m.previous")).alias("_p"),
+    )
+    absolute = lambda name: F.transform(name, lambda x: F.abs(x))
+    mean = lambda sum_, array: F.when(F.size(array) > 0, sum_ / F.size(array))
+    some = lambda sum_: F.when(F.size("_e") > 0, sum_)
+    rows = rows.select(
+        "*", some(total(absolute("_e"))).alias("sum_absolute_error"), some(total(F.transform("_e", lambda x: x * x))).alias("sum_squared_error")
+    )
+    out = rows.select(
+        *window_keys, "group",
+        (none + F.size("_e")).alias("sample_count"), "sum_absolute_error", "sum_squared_error",
+        mean(F.col("sum_absolute_error"), "_e").alias("mae"),
+        mean(F.col("sum_squared_error"), "_e").alias("mse"),
+        mean(total(F.col("_e")), "_e").alias("bias"),
+        F.array_max(absolute("_e")).alias("max_absolute_error"),
+        mean(total(F.col("_f")), "_f").alias("jump_from_fresh_proxy_command_mae"),
+        mean(total(F.col("_p")), "_p").alias("entry_jump_from_strategy_history_mae"),
+        F.coalesce(mean(total(F.col("_s")), "_s"), zero).alias("within_window_mean_absolute_slew"),
+        F.coalesce(F.array_max("_s"), zero).alias("within_window_max_absolute_slew"),
+    )
+    return out.withColumn("rmse", F.sqrt("mse"))
+
+
 PAIRED = ("checkpoint_step", "split", "event_id", "decision_offset", "noise_repeat", "group")
 
 

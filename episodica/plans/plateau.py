@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from episodica.contract import Layout
 from episodica.functions.vectors import joint_groups
-from episodica.operators.strategies import CONTINUE, strategy_metrics, strategy_windows, window_rows
+from episodica.operators.strategies import CONTINUE, strategy_windows, window_metrics
 
 WINDOW = [
     "checkpoint_step", "split", "event_id", "episode_index", "decision_offset", "noise_repeat",
@@ -17,20 +17,13 @@ WINDOW = [
 
 def strategy_table(decisions: DataFrame, horizon: int, layout: Layout, keys=WINDOW) -> DataFrame:
     """A17 from decisions with ``fresh_chunk, stale_chunk, pre_dropout_command,
-    expert_window``. The command before a continued chunk is its own preceding step."""
+    expert_window``, one row per decision. The command before a continued chunk is its own preceding step."""
     kind = F.when(F.col("strong"), "strong_action_change").otherwise("ambiguous_stationary")
     before = F.element_at("fresh_chunk", F.greatest(F.col("decision_offset"), F.lit(1)).cast("int"))
     ready = decisions.withColumns({"event_class": kind, "_before": before})
     windows = strategy_windows(ready, horizon)
     previous = F.when(F.col("strategy") == CONTINUE, F.col("_before")).otherwise(F.col("pre_dropout_command"))
-    rows = window_rows(
-        windows.select(*keys, "window", "expert_window", "pre_dropout_command", previous.alias("_previous"))
+    windows = windows.select(
+        *keys, "window", "expert_window", F.col("pre_dropout_command").alias("fresh_command"), previous.alias("previous_command")
     )
-    rows = rows.select(
-        *keys, "horizon_position", "joint_index", "prediction",
-        F.get(F.get("expert_window", "horizon_position"), F.col("joint_index")).alias("expert"),
-        F.get("pre_dropout_command", "joint_index").alias("fresh_command"),
-        F.get("_previous", "joint_index").alias("previous_command"),
-    )
-    rows = rows.withColumn("group", F.explode(joint_groups(F.col("joint_index"), layout)))
-    return strategy_metrics(rows, keys)
+    return window_metrics(windows, keys, lambda joint: joint_groups(joint, layout))

@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
-from episodica.operators import errors
+from episodica.functions.vectors import joint_groups
+from episodica.operators import errors, strategies
+from episodica.plans import plateau
 
 from tests.conftest import rows
 
@@ -35,3 +37,27 @@ def test_condition_summary_makes_its_pairs_once(spark):
     counted = pairs.mapInArrow(seen, pairs.schema)
     errors.condition_summary(counted, groups=F.array(F.lit("all"))).collect()
     assert made.value == pairs.count()
+
+
+def test_strategy_table_needs_no_shuffle_and_equals_long_rows(spark):
+    chunk = lambda e: [[e * 0.5 + h, float("nan") if e == 4 and h == 1 else e - h * h * 0.25] for h in range(4)]
+    made = [(1, "train", f"v{e}", e, o, 0, e % 2 == 0, e % 3 == 0, "left", chunk(e), chunk(e + 1)[:4], [float(e), None if e == 2 else 1.0], chunk(e + 2)[: 1 if e == 5 else 2]) for e in range(7) for o in (1, 2)]
+    kinds = "checkpoint_step long, split string, event_id string, episode_index long, decision_offset int, noise_repeat long, window_all_stale boolean, strong boolean, moving_hand string"
+    vectors = "stale_chunk array<array<double>>, fresh_chunk array<array<double>>, pre_dropout_command array<double>, expert_window array<array<double>>"
+    decisions = spark.createDataFrame(made, f"{kinds}, {vectors}")
+    layout = [("left_hand", 0, 1), ("right_hand", 1, 2)]
+    got = plateau.strategy_table(decisions, 2, layout)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+
+    keys = plateau.WINDOW
+    before = F.element_at("fresh_chunk", F.col("decision_offset"))
+    windows = strategies.strategy_windows(decisions.withColumns({"event_class": F.when(F.col("strong"), "strong_action_change").otherwise("ambiguous_stationary"), "_b": before}), 2)
+    previous = F.when(F.col("strategy") == strategies.CONTINUE, F.col("_b")).otherwise(F.col("pre_dropout_command"))
+    long = strategies.window_rows(windows.select(*keys, "window", "expert_window", "pre_dropout_command", previous.alias("_p")))
+    long = long.select(
+        *keys, "horizon_position", "joint_index", "prediction", F.get(F.get("expert_window", "horizon_position"), F.col("joint_index")).alias("expert"),
+        F.get("pre_dropout_command", "joint_index").alias("fresh_command"), F.get("_p", "joint_index").alias("previous_command"),
+    ).withColumn("group", F.explode(joint_groups(F.col("joint_index"), layout)))
+    wanted = strategies.strategy_metrics(long, keys)
+    close = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    assert sorted(map(repr, map(close, rows(got, *wanted.columns)))) == sorted(map(repr, map(close, rows(wanted))))
