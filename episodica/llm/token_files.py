@@ -5,8 +5,9 @@ Row groups and pages are kept small enough that a reader takes one document's id
 metadata columns alone, by the page index; ids are dictionary encoded and, past the
 dictionary's size, delta packed (version 2 pages).
 
-A tokenizer that drops white space encodes each word by itself, so a worker encodes every
-distinct word once and joins the ids. Documents are put in order before they are encoded.
+A tokenizer that drops white space encodes each word by itself, and most words are cut into
+pieces by the same rule as in the tokenizer; a worker encodes distinct pieces, remembers
+those it met lately and joins the ids. Documents are put in order before they are encoded.
 
 Defined results: null and empty texts have the end id alone; null identifiers come first,
 equal ones in the order of their texts' lengths; an empty table gives an empty table.
@@ -14,9 +15,12 @@ equal ones in the order of their texts' lengths; an empty table gives an empty t
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +32,48 @@ from episodica.llm.shingles import IS_SPACE, chunk_of
 from episodica.llm.tables import kept_in_worker, slices
 
 END_ID = 1
-CACHE = 300_000
+CACHE = 200_000
+"""Pieces in each of the memo's two halves."""
 AT_ONCE = 8192
 """Words given to the tokenizer at once: its results are large objects."""
 KEPT = 64
-"""Bytes of a word that is remembered: the memo is bounded in bytes as well."""
-MARKS = b".,!?;:"
+"""Bytes of a piece that is remembered: the memo is bounded in bytes as well."""
+SPACE, LETTER, DIGIT, SIGN, OTHER = range(5)
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+|[0-9]|[!-&(-/:;=-@\[-`{-~]+")
+"""Pieces for which the library's normalizer changes nothing and its pre-tokenizer cuts nothing."""
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _tables() -> tuple[np.ndarray, np.ndarray]:
+    """Class and lower case of each byte, for words of ASCII and the letters U+00C0 to U+00FF alone.
+
+    In such a word a byte from 0x80 to 0xBF follows 0xC3, so it tells the letter: 0x97 and 0xB7 are
+    signs and 0x80 to 0x9E have their lower case 0x20 further. Apostrophes may begin a suffix that is a
+    token of its own and ``<`` a special token, so words with them are left whole, as are all others.
+    """
+    kind, lower = np.full(256, OTHER, np.uint8), np.arange(256, dtype=np.uint8)
+    kind[0x21:0x7F] = SIGN
+    kind[[ord("'"), ord("<")]] = OTHER
+    kind[0x30:0x3A] = DIGIT
+    kind[0x41:0x5B] = kind[0x61:0x7B] = kind[0x80:0xC0] = kind[0xC3] = LETTER
+    kind[[0x97, 0xB7]] = OTHER
+    kind[IS_SPACE] = SPACE
+    lower[0x41:0x5B] += 0x20
+    lower[0x80:0x9F] += 0x20
+    return kind, lower
+
+
+KIND, LOWER = _tables()
+
+
+def _byte_characters() -> str:
+    """The character that byte-level models have for each byte: itself where it can be printed, else one from U+0100."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return "".join(chr(b if b in printed else next(rest)) for b in range(256))
+
+
+CHARACTERS = _byte_characters()
 WRITE = {
     "parquet.block.size": str(32 << 20),
     "parquet.page.size": str(64 << 10),
@@ -47,8 +87,9 @@ WRITE = {
 class WordEncoder:
     """Ids of texts by a tokenizer for which words between white space stand alone.
 
-    The tokenizer folds case and parts letters from marks, so a word of letters is looked up
-    in lower case and without the marks at its end.
+    Where it folds case and parts letters, digits and signs, words of ASCII and the letters of
+    Latin-1 are cut into such pieces in arrays, and the library's model encodes each piece; any
+    other word is given to the library whole.
 
     With ``literal`` a special token's text is encoded like other text, else it is that token,
     as by the library's default. Special tokens hold no white space, so both go word by word.
@@ -57,11 +98,23 @@ class WordEncoder:
     def __init__(self, definition: str, literal: bool = True):
         self.tokenizer = Tokenizer.from_str(definition)
         self.tokenizer.encode_special_tokens = literal
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Encodes parts of words, many in one text; offsets tell whose each id is."""
+        self.model = self.tokenizer.model
+        self.cuts = _cuts(json.loads(definition))
+        # Pieces met lately, and those met before them.
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def _learn(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        plain = [p for p in pieces if self.cuts and PLAIN.fullmatch(p)]
+        tokens = [[t.id for t in self.model.tokenize(p.decode() if p.isascii() else p.decode("latin-1").translate(CHARACTERS))] for p in plain]
+        raw = np.fromiter(chain.from_iterable(tokens), "<u4").tobytes()
+        ends = list(accumulate((4 * len(t) for t in tokens), initial=0))
+        learned = {p: raw[a:b] for p, a, b in zip(plain, ends, ends[1:], strict=False)}
+        return learned | self._learn_whole([p for p in pieces if p not in learned])
+
+    def _learn_whole(self, words: list[bytes]) -> dict[bytes, bytes]:
+        """Encodes words, many in one text; offsets tell whose each id is."""
+        learned = {}
         for begin in range(0, len(words), AT_ONCE):
             texts = [w.decode() for w in words[begin : begin + AT_ONCE]]
             groups = [texts[i : i + 64] for i in range(0, len(texts), 64)]
@@ -72,50 +125,83 @@ class WordEncoder:
                 ends = np.searchsorted(owner, np.arange(len(group)), "right") * 4
                 raw, at = ids.tobytes(), 0
                 for word, end in zip(group, ends.tolist(), strict=True):
-                    self.parts[word.encode()] = raw[at:end]
+                    learned[word.encode()] = raw[at:end]
                     at = end
+        return learned
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of each text.
 
-        Words are told apart in arrays; only distinct ones of a batch are looked up.
+        Words and their pieces are told apart in arrays; only distinct pieces of a batch are looked up.
         """
         data, begins = chunk_of(texts)
-        inside = ~IS_SPACE[data]
-        # A word begins and ends where the mask changes; the data end with white space.
-        edges = np.flatnonzero(np.diff(inside, prepend=False))
-        begin, end = edges[::2], edges[1::2]
-        offsets = np.concatenate([[0], np.cumsum(end - begin)])
-        letters = pa.py_buffer(data[inside])
-        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets.astype(np.int64)), letters]).dictionary_encode()
+        kind, letters = self._pieces(data)
+        # A piece begins where the kind changes, and each digit is one; white space is between them.
+        begin = np.empty(len(kind), bool)
+        begin[:1] = True
+        np.not_equal(kind[1:], kind[:-1], out=begin[1:])
+        begin |= kind == DIGIT
+        inside = kind != SPACE
+        begin &= inside
+        at = np.flatnonzero(begin)
+        letters = letters[inside]
+        offsets = np.append(np.flatnonzero(begin[inside]), len(letters))
+        coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(letters)]).dictionary_encode()
         ids = self._ids(coded.dictionary.to_pylist())
-        ends = np.cumsum([0] + [len(i) // 4 for i in ids])
-        lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), "<u4")))
-        words = coded.indices.to_numpy(zero_copy_only=False)
-        before = np.concatenate([[0], np.cumsum(np.diff(ends)[words])])
-        first = np.searchsorted(begin, begins)
-        return lists.take(pa.array(words)).flatten().to_numpy(zero_copy_only=False), before[first[1:]] - before[first[:-1]]
-
-    def _ids(self, words: list[bytes]) -> list[bytes]:
-        known, parts = self.known, self.parts
-        new = {}
-        for word in words:
-            if word not in known:
-                base = word.rstrip(MARKS)
-                # Letters of ASCII have one lower case and one composed form.
-                new[word] = (base.lower(), word[len(base) :]) if base.isalpha() else (word, b"")
-        if len(parts) > CACHE:
-            parts.clear()
-        learned = [p for p in {p for pair in new.values() for p in pair} if p and p not in parts]
-        self._learn(learned)
-        found = {word: parts[base] + parts[tail] if tail else parts[base] for word, (base, tail) in new.items()}
-        for part in learned:
-            if len(part) > KEPT:
-                del parts[part]
-        # The words met first, and so the frequent ones, stay; later and long ones are found again.
-        if len(known) < CACHE:
-            known.update((w, i) for w, i in found.items() if len(w) <= KEPT)
-        return [found[w] if w in found else known[w] for w in words]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
+        pieces = coded.indices.to_numpy(zero_copy_only=False)
+        lengths = sizes[pieces]
+        before = np.concatenate([[0], np.cumsum(lengths)])
+        source = np.repeat(starts[pieces] - before[:-1], lengths)
+        source += np.arange(len(source))
+        first = np.searchsorted(at, begins)
+        return flat[source], before[first[1:]] - before[first[:-1]]
+
+    def _pieces(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The kind of each byte, OTHER for all of a word that is left whole, and the bytes, in lower case where a word is cut."""
+        if not self.cuts:
+            return np.where(IS_SPACE[data], SPACE, OTHER).astype(np.uint8), data
+        kind, letters = KIND[data], LOWER[data]
+        other = np.flatnonzero(kind == OTHER)
+        if len(other):
+            edges = np.flatnonzero(np.diff(kind != SPACE, prepend=False))
+            begin, end = edges[::2], edges[1::2]
+            words = np.unique(np.searchsorted(begin, other, "right") - 1)
+            whole = np.zeros(len(data), np.int8)
+            whole[begin[words]], whole[end[words]] = 1, -1
+            whole = np.cumsum(whole, dtype=np.int8).view(bool)
+            kind[whole] = OTHER
+            letters[whole] = data[whole]
+        return kind, letters
+
+    def _ids(self, pieces: list[bytes]) -> list[bytes]:
+        if len(self.young) > CACHE:
+            self.young, self.old = {}, self.young
+        young, old = self.young, self.old
+        found = list(map(young.get, pieces))
+        missing = [i for i, f in enumerate(found) if f is None]
+        learned = self._learn([p for p in (pieces[i] for i in missing) if p not in old])
+        for i in missing:
+            piece = pieces[i]
+            found[i] = ids = learned[piece] if piece in learned else old[piece]
+            # What one batch brings is bounded by the batch.
+            if len(piece) <= KEPT:
+                young[piece] = ids
+        return found
+
+
+def _cuts(definition: dict) -> bool:
+    """Whether the tokenizer folds case, cuts at ``SPLIT`` and has byte-level pieces that go to its model unchanged."""
+    steps = [s["type"] for s in (definition["normalizer"] or {}).get("normalizers", [])]
+    cut, *levels = (definition["pre_tokenizer"] or {}).get("pretokenizers", [None])
+    return (
+        steps == ["NFC", "Replace", "Lowercase"]
+        and definition["normalizer"]["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}
+        and cut == {"type": "Split", "pattern": {"Regex": SPLIT}, "behavior": "Removed", "invert": True}
+        and [(x["type"], x["add_prefix_space"], x["use_regex"]) for x in levels] == [("ByteLevel", False, False)]
+        and all("<" in t["content"] and not t["normalized"] and not t["single_word"] for t in definition["added_tokens"])
+    )
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int | None = END_ID, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
