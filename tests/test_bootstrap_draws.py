@@ -59,3 +59,30 @@ def test_two_stages_of_groups_with_several_blocks(spark, monkeypatch):
             picks = [b * block + number(told(42, "slot") + name + told(r, b, t)) % min(block, size - b * block) for b, k in taken for t in range(k)]
             want[key, r] = (sum(float(i % 97) for i in picks), float(size))
     assert got == want
+
+
+def test_counts_of_blocks_are_not_sent_to_the_driver(spark, monkeypatch):
+    """The sizes are broadcast, the counts derived from them are joined by shuffle."""
+    rows = spark.createDataFrame([("a", i, 1.0, 1) for i in range(1500)], "key string, episode_index long, _s double, _n long")
+    plans, kept = [], bootstrap.checkpointed
+    monkeypatch.setattr(bootstrap, "checkpointed", lambda df: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or kept(df))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        bootstrap._replicate_sums(rows, ["key"], index_block("episode_index"), 3, 42)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    outer = [line for line in plans[-1].splitlines() if "LeftOuter" in line]
+    assert outer and not any("Broadcast" in line for line in outer)
+
+
+def test_groups_of_zeros_are_not_drawn(spark, monkeypatch):
+    data = [("none", i, 0.0) for i in range(1500)] + [("some", i, float(i % 2)) for i in range(1500)] + [("part", 1, 0.0), ("part", 2, None)]
+    df = spark.createDataFrame(data, "source string, episode_index long, v double")
+    got = {r.source: r for r in bootstrap.cluster_bootstrap_ci(df, "v", index_block("episode_index"), 20, 1, ["source"]).collect()}
+    assert (got["none"].ci95_low, got["none"].ci95_high) == (0.0, 0.0)
+    assert 0.4 < got["some"].ci95_low < got["some"].ci95_high < 0.6
+    # A replicate of episodes without values has no mean; the others are 0.
+    assert (got["part"].ci95_low, got["part"].ci95_high) == (0.0, 0.0)
+    sums = bootstrap._replicate_sums(df.groupBy("source", "episode_index").agg(F.sum("v").alias("_s"), F.count("v").alias("_n")), ["source"], index_block("episode_index"), 20, 1)
+    assert {r._n for r in sums.where("source = 'none'").collect()} == {1.0}
+    assert {r._n for r in sums.where("source = 'part'").collect()} <= {0.0, 1.0, 2.0}
