@@ -109,8 +109,6 @@ def _replicate_sums(clusters: DataFrame, keys, block, replicates: int, seed: int
     and ``_n`` is 1, as the quotient is 0 whatever is drawn.
     """
     keys = list(keys)
-    # One row per episode, read several times below, as columns.
-    clusters = stored(clusters, "clusters")
     zero = F.min(F.coalesce((F.col("_s") == 0) & (F.col("_n") > 0), F.lit(False)))
     sizes = clusters.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size"), zero.alias("_zero"))
     # Null keys are groups too: one number stands for all keys.
@@ -165,7 +163,7 @@ def stratified_bootstrap_ci(
     keys = list(keys)
     mean = F.avg(value)
     episodes = effects.groupBy(*keys, task, "episode_index").agg(mean.alias("_s"), mean.isNotNull().cast("long").alias("_n"))
-    sums = _replicate_sums(episodes, [*keys, task], block, replicates, seed)
+    sums = _replicate_sums(stored(episodes, "episodes"), [*keys, task], block, replicates, seed)
     samples = sums.groupBy(*keys, "replicate").agg(F.avg(F.try_divide("_s", "_n")).alias("_m"))
     return exact_quantiles(samples, keys, "_m", INTERVAL)
 
@@ -178,6 +176,12 @@ def cluster_bootstrap_ci(
     episodes = rows.groupBy(*keys, "episode_index").agg(
         F.sum(value).alias("_s"), F.count(value).alias("_n")
     )
+    return cluster_interval(stored(episodes, "episodes"), block, replicates, seed, keys)
+
+
+def cluster_interval(episodes: DataFrame, block, replicates: int, seed: int, keys=()) -> DataFrame:
+    """A16 from one row per episode with the sum ``_s`` and the count ``_n`` of its values, read several times."""
+    keys = list(keys)
     sums = _replicate_sums(episodes, keys, block, replicates, seed)
     samples = sums.select(*keys, "replicate", F.try_divide("_s", "_n").alias("_m"))
     return exact_quantiles(samples, keys, "_m", INTERVAL)

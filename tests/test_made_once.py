@@ -61,3 +61,36 @@ def test_strategy_table_needs_no_shuffle_and_equals_long_rows(spark):
     wanted = strategies.strategy_metrics(long, keys)
     close = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
     assert sorted(map(repr, map(close, rows(got, *wanted.columns)))) == sorted(map(repr, map(close, rows(wanted))))
+
+
+def noisy_decisions(spark):
+    chunk = lambda e, n: [[e * 0.5 + h + n, e - h * h * 0.25] for h in range(4)]
+    made = [
+        (1, "train", f"v{e}", e // 3, o, n, e % 2 == 0, e % 3 == 0, "left" if e % 2 else None, chunk(e, n), chunk(e + 1, n), [float(e), 1.0], chunk(e + 2, 0)[:2])
+        for e in range(7) for o in (1, 2) for n in range(3)
+    ]
+    kinds = "checkpoint_step long, split string, event_id string, episode_index long, decision_offset int, noise_repeat long, window_all_stale boolean, strong boolean, moving_hand string"
+    vectors = "stale_chunk array<array<double>>, fresh_chunk array<array<double>>, pre_dropout_command array<double>, expert_window array<array<double>>"
+    return spark.createDataFrame(made, f"{kinds}, {vectors}")
+
+
+def test_baseline_table_equals_the_joined_baseline(spark):
+    layout = [("left_hand", 0, 1), ("right_hand", 1, 2)]
+    decisions = noisy_decisions(spark).repartition(3, "split", "event_id", "decision_offset")
+    got = plateau.baseline_table(decisions, 2, layout)
+    # One exchange deals the decisions; the baseline and the first of an event need none.
+    assert got._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    wanted = strategies.join_hold_baseline(plateau.strategy_table(decisions, 2, layout)).drop("mse_delta_vs_hold")
+    assert rows(got, *wanted.columns) == rows(wanted)
+    assert {(r.noise_repeat, r.first_of_event) for r in got.collect()} == {(0, True), (1, False), (2, False)}
+
+
+def test_summary_of_the_baseline_table_counts_events_once(spark):
+    layout = [("left_hand", 0, 1), ("right_hand", 1, 2)]
+    decisions = noisy_decisions(spark)
+    got = strategies.strategy_summary_by(plateau.baseline_table(decisions, 2, layout), "moving_hand", replicates=20)
+    wanted = strategies.strategy_summary_by(plateau.strategy_table(decisions, 2, layout), "moving_hand", replicates=20)
+    close = lambda r: tuple(round(x, 9) if isinstance(x, float) else x for x in r)
+    assert sorted(map(repr, map(close, rows(got)))) == sorted(map(repr, map(close, rows(wanted, *got.columns))))
+    whole = [r for r in got.collect() if r.window_scope == "all_windows" and r["group"] == "all" and r.decision_offset == 1]
+    assert {(r.moving_hand, r.episodes, r.events, r.noise_samples) for r in whole} == {("left", 2, 3, 9), (None, 3, 4, 12)}
