@@ -86,3 +86,15 @@ def test_groups_of_zeros_are_not_drawn(spark, monkeypatch):
     sums = bootstrap._replicate_sums(df.groupBy("source", "episode_index").agg(F.sum("v").alias("_s"), F.count("v").alias("_n")), ["source"], index_block("episode_index"), 20, 1)
     assert {r._n for r in sums.where("source = 'none'").collect()} == {1.0}
     assert {r._n for r in sums.where("source = 'part'").collect()} <= {0.0, 1.0, 2.0}
+
+
+@pytest.mark.parametrize("size", [40, 46, 50, 55, 58, 62, 101, 107, 112, 119])
+@pytest.mark.parametrize("bound", [1024, 1000, 18_000_001])
+def test_draws_below_a_bound_where_fields_lie_in_different_blocks(size, bound):
+    """Keys of any length (A19 adds one): replicate and number in one block of md5 or in two, numbers of five digits and more."""
+    text, ends = "k" * size, np.array([10_003, 0, 9_998])
+    got = [(int(w), int(n)) for which, drawn in digests.draws(text, (99, 102), told(3), 9_995, ends) for w, n in zip(which, drawn, strict=True)]
+    want = [(r, number(text + told(99 + r, 3, i))) for r in range(3) for i in range(9_995, ends[r])]
+    assert sorted(got) == sorted(want)
+    first = next(digests.digests(text, (99, 100), told(3), 10_000, ends[:1]))
+    assert digests.below(*first[2:], bound).tolist() == [number(text + told(99, 3, i)) % bound for i in range(10_000, 10_003)]
